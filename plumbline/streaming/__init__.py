@@ -1,0 +1,3 @@
+from plumbline.streaming.microbatch import validate_stream
+
+__all__ = ["validate_stream"]
