@@ -8,8 +8,10 @@ from typing import Any
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plumbline.plans import sqltext as sql
 from plumbline.session import scratch_dir
 
 # The size of one fetch of the date-sliced extract, and the rows of a limited batch.
@@ -89,6 +91,14 @@ def day_predicates(column: str, start: dt.date, end: dt.date) -> list[str]:
     return [f"{column} >= '{a.isoformat()}' AND {column} < '{b.isoformat()}'" for a, b in zip(edges, edges[1:])]
 
 
+def between_days(df: DataFrame, column: str, start: dt.date, end: dt.date) -> DataFrame:
+    """The rows from `start` up to, not including, `end`; the scan skips what lies outside."""
+    value = F.col(sql.name(column))
+    data_type = df.schema[column].dataType
+    low, high = (F.lit(str(day)).cast(data_type) for day in (start, end))
+    return df.where((value >= low) & (value < high))
+
+
 def read_jdbc_by_day(
     spark: SparkSession,
     database: Mapping[str, Any],

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -40,6 +40,6 @@ def validate_stream(
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def stream_results(df_reader, path: str) -> DataFrame:
+def stream_results(spark: SparkSession, path: str) -> DataFrame:
     """The stored verdicts of all batches."""
-    return df_reader.parquet(path).withColumn("batch_identifier", F.col("batch_identifier").cast("bigint"))
+    return spark.read.parquet(path).withColumn("batch_identifier", F.col("batch_identifier").cast("bigint"))
