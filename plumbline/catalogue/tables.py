@@ -29,7 +29,8 @@ from plumbline.operators.structure import (
 )
 from plumbline.operators.suggest import suggest_rules, suggest_suite
 from plumbline.operators.suite import validate
-from plumbline.plans.rules import rules_from_frame
+from plumbline.operators.verdicts import Checks
+from plumbline.plans.rules import Rule, rules_from_frame
 from plumbline.sources.readers import limited_batch
 
 # ---- constraints
@@ -624,6 +625,67 @@ def custom_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("details", F.get_json_object("details", "$.rows"))
 
 
+def _checks(spark: SparkSession, sf_dir: str) -> Checks:
+    checks = Checks()
+    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    now = F.lit("2024-01-31 12:00:00").cast("timestamp_ntz")
+    checks.schema(orders, _ORDERS_DECLARED, "orders schema")
+    checks.primary_key(orders, ["o_orderkey"], "orders key")
+    checks.primary_key(lines, ["l_orderkey", "l_linenumber"], "lines key")
+    checks.reference_integrity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ["doc_id"], "labels")
+    checks.freshness(table(spark, sf_dir, "events"), "ts", 60, now, "events age")
+    checks.anomalies(table(spark, sf_dir, "events"), "value", name="values")
+    checks.constraints(lines, _statistic_constraints(), "line constraints")
+    checks.expectations(lines, [Rule.make("expect_column_values_to_be_greater_than", column="l_discount", value=0)], "lines")
+    checks.custom(orders, lambda df: {"is_valid": F.max("o_totalprice") < 0}, "prices")
+    return checks
+
+
+_CHECKS_ORACLE = f"""
+SELECT 'orders schema' AS check_name, 'schema_validation' AS check_type, FALSE AS is_valid,
+       'Found 6 schema differences' AS message
+UNION ALL
+SELECT 'orders key', 'pk_check', count(*) = count(DISTINCT o_orderkey),
+       'Duplicates: ' || (count(*) - count(DISTINCT o_orderkey)) || ', Nulls: 0' FROM orders
+UNION ALL
+SELECT 'lines key', 'pk_check', n = d, 'Duplicates: ' || (n - d) || ', Nulls: 0' FROM
+  (SELECT count(*) AS n, count(DISTINCT (l_orderkey, l_linenumber)) AS d FROM lineitem)
+UNION ALL
+SELECT 'labels', 'ref_integrity_check', m = 0, 'Missing references: ' || m || ' (' || printf('%.2f', 100.0 * m / n) || '%)' FROM
+  (SELECT count(*) AS n, count(*) FILTER (WHERE doc_id NOT IN (SELECT doc_id FROM labels)) AS m FROM documents)
+UNION ALL
+SELECT 'events age', 'freshness_check', d <= 60, 'Data is ' || printf('%.1f', d) || ' minutes old (max allowed: 60)' FROM
+  (SELECT date_diff('microsecond', max(ts), TIMESTAMP '2024-01-31 12:00:00') / 6e7 AS d FROM events)
+UNION ALL
+SELECT 'values', 'anomaly_check', a = 0, 'Anomalies: ' || a FROM ({_SCORED} SELECT count(*) AS a FROM z WHERE zscore > 3)
+UNION ALL
+SELECT 'line constraints', 'constraints', FALSE, 'Failed rules: ' || count(*) FILTER (WHERE ok IS NOT TRUE)
+FROM ({_STATISTICS_ORACLE})
+UNION ALL
+SELECT 'lines', 'expectations', b = 0, 'Failed expectations: 1' FROM (SELECT count(*) AS b FROM lineitem WHERE NOT l_discount > 0)
+UNION ALL
+SELECT 'prices', 'custom', max(o_totalprice) < 0, '' FROM orders"""
+
+
+@query(_CHECKS_ORACLE)
+def check_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The outcomes of different checks as one table."""
+    return _checks(spark, sf_dir).verdicts().drop("details")
+
+
+@query(
+    f"""
+SELECT CASE check_type WHEN 'schema_validation' THEN 'Schema validation' WHEN 'pk_check' THEN 'Primary key check'
+         WHEN 'ref_integrity_check' THEN 'Referential integrity check' WHEN 'freshness_check' THEN 'Data freshness check'
+         WHEN 'constraints' THEN 'Constraint validation' WHEN 'expectations' THEN 'Expectation validation'
+         WHEN 'anomaly_check' THEN 'Anomaly check' ELSE 'Custom validation' END || ' failed for ' || check_name AS title,
+       message, check_type
+FROM ({_CHECKS_ORACLE}) WHERE NOT is_valid"""
+)
+def check_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _checks(spark, sf_dir).notify()
+
+
 # ---- proposals
 
 _PROPOSED = ("expectation_type", "column_name", "type_", "mostly", "min_value", "max_value", "value")

@@ -15,11 +15,12 @@ from plumbline.operators.suite import validate
 from plumbline.plans.rules import Rule
 from plumbline.session import scratch_dir
 from plumbline.sources.readers import between_days, read_csv, read_csv_as_text, read_json, resolve_source, staged
-from plumbline.sources.store import append_to_store, check_store, read_store, results_with_rules, store_rows
+from plumbline.sources.store import append_to_store, check_store, read_store, results_with_rules, store_counts
 from plumbline.sources.suites import read_suite
 from plumbline.sources.writers import (
     detail_records,
     read_suite_rows,
+    settled,
     summary_record,
     write_by_day,
     write_reports,
@@ -80,6 +81,7 @@ def json_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "json")
     orders = validate(table(spark, sf_dir, "orders"), ORDER_RULES, source="orders")
     events = table(spark, sf_dir, "events").withColumn("event_type", F.expr("nullif(event_type, 'error')"))
+    orders = settled(orders)
     both = orders.unionByName(validate(events, NULL_RULES, source="events with nulls"))
     summary_path, details_path = write_run(orders, path, "20240131_000000")
     write_reports(both.withColumn("source", slug(F.col("source"))), f"{path}/reports")
@@ -114,7 +116,7 @@ def json_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def central_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows that the central summary and detail tables get, JSON columns included."""
-    results = validate(table(spark, sf_dir, "orders"), ORDER_RULES)
+    results = settled(validate(table(spark, sf_dir, "orders"), ORDER_RULES))
     at = "2024-01-31 00:00:00"
     details = detail_records(results, at).agg(F.count(F.lit(1)).alias("n")).scalar()
     shape = "array<struct<unexpected_count: bigint>>"
@@ -175,29 +177,35 @@ LINE_RULES = [
 ]
 
 
-def _filled_store(spark: SparkSession, sf_dir: str) -> tuple[str, list[dict[str, int]]]:
-    """A store after three runs: one of the lines, one of the orders, and the first once more."""
-    path = scratch_dir(spark, "store")
+def _fill_store(spark: SparkSession, sf_dir: str, path: str) -> list[tuple[int, str, int]]:
+    """Fill a store by three runs: the lines, the orders, and the lines once more. Returns the sizes after each.
+
+    The sizes are read at once, for a table grows while it is read later.
+    """
     lines = validate(table(spark, sf_dir, "lineitem"), LINE_RULES, source="lineitem")
     orders = validate(table(spark, sf_dir, "orders"), ORDER_RULES, source="orders")
-    runs = ((lines, "2024-01-30"), (orders, "2024-01-31"), (lines, "2024-01-30"))
-    return path, [append_to_store(spark, path, store_rows(r, batch, f"{batch} 00:00:00")) for r, batch in runs]
+    sizes = []
+    for run, (results, batch) in enumerate([(lines, "2024-01-30"), (orders, "2024-01-31"), (lines, "2024-01-30")], 1):
+        append_to_store(results, path, batch, f"{batch} 00:00:00")
+        sizes += [(run, *row) for row in store_counts(read_store(spark, path)).collect()]
+    return sizes
 
 
 @query(
     """
 WITH s AS (SELECT count(DISTINCT l_suppkey) AS suppliers FROM lineitem)
-SELECT * FROM (VALUES (1, 'datasources', 1::BIGINT), (1, 'expectation_suites', 1), (1, 'expectations', 2), (1, 'batches', 1),
-  (1, 'validations', 1), (2, 'datasources', 1), (2, 'expectation_suites', 0), (2, 'expectations', 8), (2, 'batches', 1),
-  (2, 'validations', 1), (2, 'validation_results', 8), (3, 'datasources', 0), (3, 'expectation_suites', 0),
-  (3, 'expectations', 0), (3, 'batches', 0), (3, 'validations', 0), (3, 'validation_results', 0)) AS t(run, table_name, added)
-UNION ALL SELECT 1, 'validation_results', 1 + suppliers FROM s"""
+SELECT run, table_name, rows::BIGINT AS rows FROM (VALUES (1, 'datasources', 1), (1, 'expectation_suites', 1),
+  (1, 'expectations', 2), (1, 'batches', 1), (1, 'validations', 1), (2, 'datasources', 2), (2, 'expectation_suites', 1),
+  (2, 'expectations', 10), (2, 'batches', 2), (2, 'validations', 2), (3, 'datasources', 2), (3, 'expectation_suites', 1),
+  (3, 'expectations', 10), (3, 'batches', 2), (3, 'validations', 2)) AS t(run, table_name, rows)
+UNION ALL SELECT 1, 'validation_results', 1 + suppliers FROM s
+UNION ALL SELECT 2, 'validation_results', 9 + suppliers FROM s
+UNION ALL SELECT 3, 'validation_results', 9 + suppliers FROM s"""
 )
 def store_get_or_create(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """New rows per table and run; a repeated run adds nothing."""
-    _, added = _filled_store(spark, sf_dir)
-    rows = [(run, name, n) for run, counts in enumerate(added, 1) for name, n in counts.items()]
-    return spark.createDataFrame(rows, "run int, table_name string, added bigint")
+    """The size of each table after each run; a repeated run adds nothing."""
+    sizes = _fill_store(spark, sf_dir, scratch_dir(spark, "store"))
+    return spark.createDataFrame(sizes, "run int, table_name string, rows bigint")
 
 
 @query(
@@ -213,7 +221,8 @@ FROM (
   UNION ALL SELECT 'validation_results', 'expectation_id', 'expectations', 9 + suppliers FROM s)"""
 )
 def store_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, _ = _filled_store(spark, sf_dir)
+    path = scratch_dir(spark, "store")
+    _fill_store(spark, sf_dir, path)
     return check_store(read_store(spark, path)).drop("missing_percentage")
 
 
@@ -234,7 +243,8 @@ FROM v GROUP BY source, batch_identifier, expectation_type, success"""
 )
 def store_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored verdicts joined back to what their keys stand for."""
-    path, _ = _filled_store(spark, sf_dir)
+    path = scratch_dir(spark, "store")
+    _fill_store(spark, sf_dir, path)
     named = results_with_rules(read_store(spark, path))
     elements = F.get_json_object("result", "$.element_count").cast("bigint")
     return named.groupBy("source", "suite", "batch_identifier", "expectation_type", "success").agg(

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.plans import sqltext as sql
-from plumbline.plans.frequency import countable, tally
+from plumbline.plans.frequency import countable, key_tally
 
 
 @dataclass(frozen=True)
@@ -142,7 +142,7 @@ def check_constraints(
         branches = [
             f"SELECT {sql.melted([{'seq': str(s), 'metric': f'm{s}'} for s in wanted])} FROM ("
             f"SELECT {', '.join(f'{build} AS m{s}' for s, build in wanted.items())}"
-            f" FROM {tally('{src}', column)})"
+            f" FROM {key_tally('{src}', column, types[column])})"
             for column, wanted in by_column.items()
         ]
         metrics.append(df.sparkSession.sql(" UNION ALL ".join(branches), src=df))

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from plumbline.operators.quantiles import RANKED_ROWS, exact_quantiles
 from plumbline.plans import sqltext as sql
-from plumbline.plans.frequency import countable, tally
+from plumbline.plans.frequency import KEY_LENGTH, countable, key_tally, tally
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -99,8 +99,18 @@ def _branch(position: int, source: str, distinct: str, quartiles: str = "NULL",
     )
 
 
-def _distinct_branch(position: int, column: str) -> str:
-    return _branch(position, tally("{src}", column), "count(v)")
+def _distinct_branch(position: int, field: T.StructField) -> str:
+    return _branch(position, key_tally("{src}", field.name, field.dataType), "count(v)")
+
+
+def _many_valued_texts(df: DataFrame, fields: list[tuple[int, T.StructField]], facts: dict[str, Any]) -> set[int]:
+    """Columns of long texts with too many values for a list. Their texts need not be shuffled."""
+    long = [(i, f) for i, f in fields if kind_of(f.dataType) == STRING and (facts[f"max_length{i}"] or 0) > KEY_LENGTH]
+    if not long:
+        return set()
+    sketched = df.selectExpr(*[f"approx_count_distinct({sql.name(f.name)}) AS sketch{i}" for i, f in long]).first()
+    # The sketch is within a few percent, so twice the limit is far beyond it.
+    return {i for i, _ in long if sketched[f"sketch{i}"] > 2 * LISTED_IF_DISTINCT_AT_MOST}
 
 
 def _text_branch(position: int, column: str) -> str:
@@ -216,17 +226,18 @@ def profile(
     large = [f.name for i, f in numeric if exact and facts[f"count{i}"] > ranked_rows]
     points = exact_quantiles(df, large, QUARTILES, ranked_rows) if large else {}
 
+    unlisted = _many_valued_texts(df, fields, facts)
     branches = []
     for i, field in fields:
         kind = kind_of(field.dataType)
-        if kind == STRING:
+        if kind == STRING and i not in unlisted:
             branches.append(_text_branch(i, field.name))
         elif not exact or not countable(field.dataType):
             continue
         elif kind == NUMERIC and field.name not in points:
             branches.append(_ranked_branch(i, field.name, facts[f"count{i}"]))
         else:
-            branches.append(_distinct_branch(i, field.name))
+            branches.append(_distinct_branch(i, field))
     # One row per column of the table on both sides of the join.
     known = sql.local_table(df.sparkSession, _known(fields, facts, points), _KNOWN)
     if branches:

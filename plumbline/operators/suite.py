@@ -87,7 +87,7 @@ def alerts(results: DataFrame, *handlers: Callable[[DataFrame], Any]) -> DataFra
 
 def report(results: DataFrame) -> DataFrame:
     """One status line per verdict."""
-    share = F.coalesce(F.format_string("%.2f%%", "unexpected_percent"), F.lit("-"))
+    share = F.when(F.col("unexpected_percent").isNull(), "-").otherwise(F.format_string("%.2f%%", "unexpected_percent"))
     status = F.when(F.col("success"), "passed").when(F.col("exception").isNotNull(), "error").otherwise("failed")
     return results.select(
         "seq",

@@ -10,12 +10,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.plans import sqltext as sql
-from plumbline.plans.fuse import group_key_text, plan_rules, with_predicates
+from plumbline.plans.frequency import tally
+from plumbline.plans.fuse import Planned, group_key_text, plan_rules, with_predicates
 from plumbline.plans.rules import Rule
 
 SAMPLE_SIZE = 20
 
 
+def _entry(item: Planned, column: str) -> str:
+    # Numbers sort as numbers, everything else as its text.
+    order = f"CAST({column} AS DOUBLE)" if isinstance(item.data_type, T.NumericType) else "CAST(NULL AS DOUBLE)"
+    return (
+        f"struct({item.seq} AS seq, {group_key_text(item.rule.group_by)} AS group_key, "
+        f"{order} AS order_number, CAST({column} AS STRING) AS value)"
+    )
+
+
 def unexpected_values(
     df: DataFrame,
     rules: Sequence[Rule],
@@ -24,44 +34,40 @@ def unexpected_values(
     nan_as_missing: bool = False,
     limit: int = SAMPLE_SIZE,
 ) -> DataFrame | None:
-    """Rows (seq, group_key, rank, value, n): the first `limit` distinct unexpected values of each rule.
+    """Rows (seq, group_key, rank, value): the first `limit` unexpected values of each rule, repeats included.
 
-    All rules share one pass. Equal values are counted before they are ranked, and Spark keeps only
-    the first `limit` per rule of each partition before the shuffle, so a rule that half of the
-    table breaks costs no more than one that few rows break. None if no rule has values to show.
+    All row rules share one pass, and Spark keeps only the first `limit` per rule of each partition
+    before the shuffle, so a rule that half of the table breaks moves no more rows than one that few
+    rows break. A uniqueness rule shows the values that occur more than once. None if no rule has
+    values to show.
     """
     bound, planned, _ = plan_rules(df, rules, params, nan_as_missing)
-    shown = [item for item in planned if item.kind in ("row", "unique")]
-    if not shown:
+    row_rules = [item for item in planned if item.kind == "row"]
+    unique_rules = [item for item in planned if item.kind == "unique"]
+    parts = []
+    if row_rules:
+        hits = [f"CASE WHEN {i.unexpected} THEN {_entry(i, sql.name(i.rule.column))} END" for i in row_rules]
+        rows = with_predicates(bound, row_rules).selectExpr(f"inline(array({', '.join(hits)}))")
+        parts.append(rows.where("seq IS NOT NULL"))
+    if unique_rules:
+        repeated = [
+            f"SELECT inline(array_repeat({_entry(item, 'v')}, CAST(least(n, {limit}) AS INT))) FROM "
+            f"{tally('{src}', item.rule.column, item.rule.group_by, item.live)} WHERE v IS NOT NULL AND n > 1"
+            for item in unique_rules
+        ]
+        parts.append(df.sparkSession.sql(" UNION ALL ".join(repeated), src=bound))
+    if not parts:
         return None
-    pairs = []
-    for item in shown:
-        column = sql.name(item.rule.column)
-        # Numbers sort as numbers, everything else as its text.
-        order = f"CAST({column} AS DOUBLE)" if isinstance(item.data_type, T.NumericType) else "CAST(NULL AS DOUBLE)"
-        broken = item.unexpected if item.kind == "row" else sql.both(item.live, f"{column} IS NOT NULL")
-        pairs.append(
-            f"CASE WHEN {broken} THEN struct({item.seq} AS seq, {group_key_text(item.rule.group_by)} AS group_key, "
-            f"{order} AS order_number, CAST({column} AS STRING) AS value) END"
+    found = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return (
+        found.selectExpr(
+            "seq",
+            "group_key",
+            "row_number() OVER (PARTITION BY seq, group_key ORDER BY order_number, value) AS rank",
+            "value",
         )
-    counted = (
-        with_predicates(bound, shown)
-        .selectExpr(f"inline(array({', '.join(pairs)}))")
-        .where("seq IS NOT NULL")
-        .groupBy("seq", "group_key", "order_number", "value")
-        .count()
-        .withColumnRenamed("count", "n")
+        .where(f"rank <= {limit}")
     )
-    repeats = [str(item.seq) for item in shown if item.kind == "unique"]
-    if repeats:
-        counted = counted.where(f"seq NOT IN ({', '.join(repeats)}) OR n > 1")
-    return counted.selectExpr(
-        "seq",
-        "group_key",
-        "row_number() OVER (PARTITION BY seq, group_key ORDER BY order_number, value) AS rank",
-        "value",
-        "n",
-    ).where(f"rank <= {limit}")
 
 
 def unexpected_lists(
@@ -72,13 +78,10 @@ def unexpected_lists(
     nan_as_missing: bool = False,
     limit: int = SAMPLE_SIZE,
 ) -> DataFrame | None:
-    """Rows (seq, group_key, unexpected_list): at most `limit` values as JSON text, repeats included."""
+    """Rows (seq, group_key, unexpected_list): the first `limit` unexpected values as JSON text."""
     values = unexpected_values(df, rules, params=params, nan_as_missing=nan_as_missing, limit=limit)
     if values is None:
         return None
-    # At most `limit` ranked values of at most `limit` copies each are gathered per rule.
-    entry = f"struct(rank, array_repeat(value, CAST(least(n, {limit}) AS INT)) AS copies)"
-    copies = f"flatten(transform(array_sort(collect_list({entry})), e -> e.copies))"
-    return values.groupBy("seq", "group_key").agg(
-        F.expr(f"to_json(slice({copies}, 1, {limit}))").alias("unexpected_list")
-    )
+    # At most `limit` values are gathered per rule and group.
+    ordered = "transform(array_sort(collect_list(struct(rank, value))), e -> e.value)"
+    return values.groupBy("seq", "group_key").agg(F.expr(f"to_json({ordered})").alias("unexpected_list"))

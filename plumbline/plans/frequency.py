@@ -16,14 +16,37 @@ from pyspark.sql import types as T
 
 from plumbline.plans import sqltext as sql
 
+# A text longer than this is counted by its digest, so that the shuffle moves keys and not texts.
+KEY_LENGTH = 64
+
 
 def countable(data_type: T.DataType) -> bool:
     return not isinstance(data_type, (T.ArrayType, T.MapType, T.StructType, T.VariantType))
 
 
+def text_key(column: str) -> str:
+    """A key of bounded length that is equal for equal texts and differs for different ones.
+
+    Short texts stand for themselves. Long ones become a mark and a SHA-256 digest, 65 characters,
+    which no short text can be.
+    """
+    return f"if(length({column}) <= {KEY_LENGTH}, {column}, concat('#', sha2({column}, 256)))"
+
+
 def tally(source: str, column: str, group_by: Sequence[str] = (), where: str | None = None) -> str:
     """A subquery of rows (group columns, v, n) over `source`; the null value is a row too."""
-    keys = ", ".join([sql.name(g) for g in group_by] + [sql.name(column)])
+    return _counted(source, sql.name(column), group_by, where)
+
+
+def key_tally(
+    source: str, column: str, data_type: T.DataType, group_by: Sequence[str] = (), where: str | None = None
+) -> str:
+    """The same where only the counts matter: v identifies the value but need not be it."""
+    value = sql.name(column)
+    return _counted(source, text_key(value) if isinstance(data_type, T.StringType) else value, group_by, where)
+
+
+def _counted(source: str, value: str, group_by: Sequence[str], where: str | None) -> str:
     groups = "".join(f"{sql.name(g)}, " for g in group_by)
     condition = f" WHERE {where}" if where else ""
-    return f"(SELECT {groups}{sql.name(column)} AS v, count(1) AS n FROM {source}{condition} GROUP BY {keys})"
+    return f"(SELECT {groups}{value} AS v, count(1) AS n FROM {source}{condition} GROUP BY {groups}{value})"

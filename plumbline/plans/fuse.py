@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from plumbline.functions.params import bind_conditions
 from plumbline.plans import registry
 from plumbline.plans import sqltext as sql
-from plumbline.plans.frequency import countable, tally
+from plumbline.plans.frequency import countable, key_tally
 from plumbline.plans.rules import MAX_RULES, Rule
 
 # One aggregate carries at most this many result columns; a larger suite takes several, each of
@@ -180,7 +180,7 @@ def _unique_rules(bound: DataFrame, planned: Sequence[Planned]) -> DataFrame:
         groups = ", ".join(sql.name(g) for g in rule.group_by)
         selected = ", ".join(f"{build} AS {name}" for name, build in fields.items())
         parts.append(
-            f"SELECT {selected} FROM {tally('{src}', rule.column, rule.group_by, item.live)}"
+            f"SELECT {selected} FROM {key_tally('{src}', rule.column, item.data_type, rule.group_by, item.live)}"
             + (f" GROUP BY {groups}" if groups else "")
         )
     return bound.sparkSession.sql(" UNION ALL ".join(parts), src=bound)

@@ -11,11 +11,11 @@ from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.operators.structure import reference_check
-from plumbline.plans.rules import expectation_id
+from plumbline.sources.readers import staged
 
 TABLES = {
     "datasources": "id bigint, name string, connection_string string",
@@ -37,54 +37,64 @@ LINKS = (
 )
 
 
+def _rule_key() -> Column:
+    """The rule key of verdict rows; the same as that of the rule's own row."""
+    return F.xxhash64(
+        "suite",
+        "expectation_type",
+        "kwargs",
+        F.coalesce("row_condition", F.lit("")),
+        F.coalesce("group_by", F.lit("")),
+    )
+
+
+_OUTCOME = (
+    "element_count",
+    "missing_count",
+    "unexpected_count",
+    "unexpected_percent",
+    "observed_value",
+    "group_key",
+    "exception",
+)
+
+
 def store_rows(results: DataFrame, batch: str, timestamp: str) -> dict[str, DataFrame]:
     """The rows of each table for the verdicts of one run. `results` must name their `source`."""
-    datasource = F.xxhash64("source")
-    suite = F.xxhash64("suite")
-    batch_key = F.xxhash64("source", F.lit(batch))
-    validation = F.xxhash64("source", F.lit(batch), "suite")
-    keyed = results.withColumn("group_by_list", F.split(F.coalesce("group_by", F.lit("")), ",")).select(
-        "*", datasource.alias("datasource_id"), suite.alias("suite_id"), batch_key.alias("batch_id"), validation.alias("validation_id")
+    keyed = results.select(
+        "*",
+        F.xxhash64("source").alias("datasource_id"),
+        F.xxhash64("suite").alias("suite_id"),
+        F.xxhash64("source", F.lit(batch)).alias("batch_id"),
+        F.xxhash64("source", F.lit(batch), "suite").alias("validation_id"),
+        _rule_key().alias("expectation_id"),
     )
-    keyed = keyed.withColumn("rule_key", expectation_id_of(keyed))
     sources = keyed.select("source", "datasource_id", "batch_id").distinct()
-    rules = keyed.select("suite", "suite_id", "rule_key", "expectation_type", "kwargs").distinct()
-    outcome = ("element_count", "missing_count", "unexpected_count", "unexpected_percent", "observed_value", "group_key", "exception")
+    rules = keyed.select("suite", "suite_id", "expectation_id", "expectation_type", "kwargs").distinct()
+    validations = keyed.groupBy("validation_id", "batch_id", "suite_id").agg(F.bool_and("success").alias("success"))
     return {
-        "datasources": sources.select(
-            F.col("datasource_id").alias("id"), F.col("source").alias("name"), F.lit("").alias("connection_string")
-        ).distinct(),
-        "expectation_suites": rules.select(
-            F.col("suite_id").alias("id"), F.col("suite").alias("name"), F.lit("").alias("description")
-        ).distinct(),
-        "expectations": rules.select(F.col("rule_key").alias("id"), "suite_id", "expectation_type", "kwargs"),
+        "datasources": sources.selectExpr("datasource_id AS id", "source AS name", "'' AS connection_string").distinct(),
+        "expectation_suites": rules.selectExpr("suite_id AS id", "suite AS name", "'' AS description").distinct(),
+        "expectations": rules.selectExpr("expectation_id AS id", "suite_id", "expectation_type", "kwargs"),
         "batches": sources.select(
-            F.col("batch_id").alias("id"), "datasource_id", F.lit(batch).alias("batch_identifier"), F.lit(timestamp).alias("timestamp")
+            F.col("batch_id").alias("id"),
+            "datasource_id",
+            F.lit(batch).alias("batch_identifier"),
+            F.lit(timestamp).alias("timestamp"),
+        ),
+        "validations": validations.select(
+            F.col("validation_id").alias("id"), "batch_id", "suite_id", "success", F.lit(timestamp).alias("run_time")
         ),
-        "validations": keyed.groupBy("validation_id", "batch_id", "suite_id")
-        .agg(F.bool_and("success").alias("success"))
-        .select(F.col("validation_id").alias("id"), "batch_id", "suite_id", "success", F.lit(timestamp).alias("run_time")),
         "validation_results": keyed.select(
-            F.xxhash64("validation_id", "rule_key", "seq", F.coalesce("group_key", F.lit(""))).alias("id"),
+            F.xxhash64("validation_id", "expectation_id", "seq", F.coalesce("group_key", F.lit(""))).alias("id"),
             "validation_id",
-            F.col("rule_key").alias("expectation_id"),
+            "expectation_id",
             "success",
-            F.to_json(F.struct(*outcome)).alias("result"),
+            F.to_json(F.struct(*_OUTCOME)).alias("result"),
         ),
     }
 
 
-def expectation_id_of(results: DataFrame) -> F.Column:
-    """The rule key of verdict rows; the same as that of the rule's own row."""
-    return F.xxhash64(
-        "suite",
-        "expectation_type",
-        "kwargs",
-        F.coalesce("row_condition", F.lit("")),
-        F.coalesce("group_by", F.lit("")),
-    )
-
-
 def only_new(existing: DataFrame, rows: DataFrame) -> DataFrame:
     """The rows whose key the table does not have yet."""
     return rows.join(existing.select("id"), "id", "left_anti")
@@ -103,16 +113,21 @@ def read_store(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return tables
 
 
-def append_to_store(spark: SparkSession, path: str, rows: Mapping[str, DataFrame]) -> dict[str, int]:
-    """Append what is new, parents before children; returns the number of new rows per table."""
-    added = {}
+def append_to_store(results: DataFrame, path: str, batch: str, timestamp: str) -> None:
+    """Store the verdicts of one run, parents before children. A run that is stored again adds nothing.
+
+    The verdicts are written once before the tables are made from them, so the data is checked once.
+    """
+    rows = store_rows(staged(results), batch, timestamp)
+    existing = read_store(results.sparkSession, path)
     for name in TABLES:
-        existing = read_store(spark, path)[name]
-        fresh = only_new(existing, rows[name])
-        before = existing.count()
-        fresh.write.mode("append").parquet(f"{path}/{name}")
-        added[name] = spark.read.schema(TABLES[name]).parquet(f"{path}/{name}").count() - before
-    return added
+        only_new(existing[name], rows[name]).write.mode("append").parquet(f"{path}/{name}")
+
+
+def store_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows per table."""
+    counts = [df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows")) for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, counts)
 
 
 def check_store(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -142,17 +157,3 @@ def results_with_rules(tables: Mapping[str, DataFrame]) -> DataFrame:
     return joined.join(
         tables["datasources"].select(F.col("id").alias("datasource_id"), F.col("name").alias("source")), "datasource_id"
     )
-
-
-__all__ = [
-    "LINKS",
-    "TABLES",
-    "append_to_store",
-    "check_store",
-    "expectation_id",
-    "expectation_id_of",
-    "only_new",
-    "read_store",
-    "results_with_rules",
-    "store_rows",
-]

@@ -9,11 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.operators.suite import records, statistics
-from plumbline.sources.readers import EXTRACT_FETCH_ROWS, jdbc_options
+from plumbline.sources.readers import EXTRACT_FETCH_ROWS, jdbc_options, staged
 
 RUN_FORMAT = "yyyyMMdd_HHmmss"
 
 
+def settled(results: DataFrame) -> DataFrame:
+    """The verdicts as a written table. What uses verdicts more than once must not check the data again."""
+    return staged(results)
+
+
 def summary(results: DataFrame) -> DataFrame:
     """One row: the overall verdict and the run statistics."""
     return statistics(results).select(
@@ -26,6 +31,7 @@ def summary(results: DataFrame) -> DataFrame:
 
 def write_run(results: DataFrame, folder: str, run_time: str) -> tuple[str, str]:
     """Summary and detail JSON of one run, under a folder named for its time (`yyyyMMdd_HHmmss`)."""
+    results = settled(results)
     summary_path = f"{folder}/{run_time}/validation_summary"
     details_path = f"{folder}/{run_time}/validation_details"
     summary(results).write.json(summary_path)
@@ -39,6 +45,7 @@ def summary_record(results: DataFrame, timestamp: str) -> DataFrame:
     One row per rule is gathered, so the JSON is as long as the suite, not as the data. Grouped
     verdicts have no such bound and are left to the detail table.
     """
+    results = settled(results)
     ungrouped = results.where("group_by IS NULL")
     flat = records(ungrouped.orderBy("seq"))
     details = flat.agg(F.to_json(F.array_sort(F.collect_list(F.struct(*flat.columns)))).alias("details_record"))
@@ -72,6 +79,7 @@ def store_summary_jdbc(results: DataFrame, database: Mapping[str, Any], timestam
 
 
 def store_two_tables_jdbc(results: DataFrame, database: Mapping[str, Any], timestamp: str) -> None:
+    results = settled(results)
     append_jdbc(summary_record(results, timestamp).drop("summary", "details_record"), database, "validation_summary")
     append_jdbc(detail_records(results, timestamp), database, "validation_details")
 

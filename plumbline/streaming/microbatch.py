@@ -32,9 +32,10 @@ def validate_stream(
 
     def check(batch: DataFrame, batch_id: int) -> None:
         results = validate(batch, rules, source=source, params=params)
-        results.write.mode("overwrite").parquet(f"{path}/batch_identifier={batch_id}")
+        folder = f"{path}/batch_identifier={batch_id}"
+        results.write.mode("overwrite").parquet(folder)
         if on_batch:
-            on_batch(results, batch_id)
+            on_batch(batch.sparkSession.read.parquet(folder), batch_id)
 
     writer = stream.writeStream.foreachBatch(check).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
