@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from plumbline.operators.quantiles import RANKED_ROWS, exact_quantiles
 from plumbline.plans import sqltext as sql
 from plumbline.plans.frequency import KEY_LENGTH, countable, key_tally, tally
+from plumbline.sources.readers import staged
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -46,11 +47,14 @@ def kind_of(data_type: T.DataType) -> str:
 
 
 def sample_capped(df: DataFrame, max_rows: int) -> DataFrame:
-    """A sample of about `max_rows` rows, or the table itself if it is no larger."""
+    """A sample of about `max_rows` rows, or the table itself if it is no larger.
+
+    The sample is staged, so that the table is read once and every pass sees the same rows.
+    """
     rows = df.count()
     if rows <= max_rows:
         return df
-    return df.sample(withReplacement=False, fraction=max_rows / rows, seed=SAMPLE_SEED)
+    return staged(df.sample(withReplacement=False, fraction=max_rows / rows, seed=SAMPLE_SEED))
 
 
 _FACTS = {

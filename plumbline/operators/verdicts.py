@@ -28,7 +28,7 @@ _MESSAGES = {
     "ref_integrity_check": "format_string('Missing references: %d (%.2f%%)', missing_count, missing_percentage)",
     "freshness_check": (
         "format_string('Data is %s minutes old (max allowed: %.0f)', "
-        "coalesce(format_string('%.1f', delay_minutes), 'N/A'), max_allowed_delay)"
+        "if(delay_minutes IS NULL, 'N/A', format_string('%.1f', delay_minutes)), max_allowed_delay)"
     ),
     "constraints": "format_string('Failed rules: %d', failed + unknown)",
     "expectations": "format_string('Failed expectations: %d', unsuccessful_expectations)",

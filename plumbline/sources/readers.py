@@ -165,8 +165,8 @@ def resolve_source(spark: SparkSession, config: Mapping[str, Any] | DataFrame |
 
 
 def limited_batch(df: DataFrame, rows: int = BATCH_ROWS) -> DataFrame:
-    """A batch of at most `rows` rows, for a first look at a table."""
-    return df.limit(rows)
+    """A batch of at most `rows` rows, for a first look at a table. Staged, so that it stays the same batch."""
+    return staged(df.limit(rows))
 
 
 def staged(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
