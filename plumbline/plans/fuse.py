@@ -25,9 +25,9 @@ from plumbline.plans import sqltext as sql
 from plumbline.plans.frequency import countable, key_tally
 from plumbline.plans.rules import MAX_RULES, Rule
 
-# One aggregate carries at most this many result columns; a larger suite takes several, each of
-# which reads only its own columns.
-AGGREGATES_PER_PASS = 200
+# One aggregate carries at most this many counts, for Spark compiles no aggregate with more than 100
+# fields (spark.sql.codegen.maxFields). A larger suite takes several, each with its own columns.
+AGGREGATES_PER_PASS = 96
 
 RESULT_COLUMNS = (
     "seq",
@@ -164,25 +164,25 @@ def _row_pass(bound: DataFrame, planned: Sequence[Planned], group_by: tuple[str,
 def _unique_rules(bound: DataFrame, planned: Sequence[Planned]) -> DataFrame:
     """Uniqueness rules: the values of a column that occur more than once, counted and then summed.
 
-    An ungrouped rule still gets its verdict when no row is live, and so does each live group.
+    Rules over the same column, condition and grouping share one count. An ungrouped rule still gets
+    its verdict when no row is live, and so does each live group.
     """
-    parts = []
+    shared: dict[tuple, list[Planned]] = defaultdict(list)
     for item in planned:
-        rule = item.rule
-        fields = _counts(
-            item.seq,
-            group_key_text(rule.group_by),
-            "coalesce(sum(n), 0)",
-            "coalesce(sum(n) FILTER (WHERE v IS NULL), 0)",
-            "coalesce(sum(n) FILTER (WHERE v IS NOT NULL AND n > 1), 0)",
-            "coalesce(sum(n) FILTER (WHERE v IS NOT NULL), 0)",
-        )
-        groups = ", ".join(sql.name(g) for g in rule.group_by)
-        selected = ", ".join(f"{build} AS {name}" for name, build in fields.items())
-        parts.append(
-            f"SELECT {selected} FROM {key_tally('{src}', rule.column, item.data_type, rule.group_by, item.live)}"
-            + (f" GROUP BY {groups}" if groups else "")
+        shared[(item.rule.column, item.live, item.rule.group_by)].append(item)
+    parts = []
+    for (column, live, group_by), items in shared.items():
+        groups = [sql.name(g) for g in group_by]
+        sums = (
+            "coalesce(sum(n), 0) AS elements",
+            "coalesce(sum(n) FILTER (WHERE v IS NULL), 0) AS missing",
+            "coalesce(sum(n) FILTER (WHERE v IS NOT NULL AND n > 1), 0) AS repeated",
         )
+        counted = key_tally("{src}", column, items[0].data_type, group_by, live)
+        grouped = f" GROUP BY {', '.join(groups)}" if groups else ""
+        key = group_key_text(group_by)
+        records = [_counts(i.seq, key, "elements", "missing", "repeated", "elements - missing") for i in items]
+        parts.append(f"SELECT {sql.melted(records)} FROM (SELECT {', '.join([*groups, *sums])} FROM {counted}{grouped})")
     return bound.sparkSession.sql(" UNION ALL ".join(parts), src=bound)
 
 

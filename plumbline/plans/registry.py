@@ -67,7 +67,7 @@ def literal(value: Any, data_type: T.DataType) -> Column:
             return F.lit(whole) if abs(whole) < 2**63 else F.lit(float(whole))
         return F.lit(number) if isinstance(data_type, T.DecimalType) else F.lit(float(number))
     if isinstance(data_type, T.FractionalType):
-        return F.lit(float(value))
+        return F.lit(float(value)).cast(data_type)
     if isinstance(data_type, T.BooleanType):
         if isinstance(value, bool):
             return F.lit(value)

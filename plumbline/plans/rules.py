@@ -155,15 +155,17 @@ def rules_by_source(config: Mapping[str, Any]) -> dict[str, list[Rule]]:
     }
 
 
+def digest(*parts: Column | str) -> Column:
+    """A key that depends only on the parts, so that every run and every node agrees.
+
+    128 bits, because tables of grouped verdicts can have more rows than 64 bits keep apart.
+    """
+    return F.md5(F.to_json(F.array(*[F.coalesce(F.col(p) if isinstance(p, str) else p, F.lit("")) for p in parts])))
+
+
 def expectation_id() -> Column:
-    """A key that depends only on what the rule says, so that every run and every node agrees."""
-    return F.xxhash64(
-        F.col("suite"),
-        F.col("expectation_type"),
-        F.col("kwargs"),
-        F.coalesce(F.col("row_condition"), F.lit("")),
-        F.concat_ws(",", F.col("group_by")),
-    )
+    """The key of a rule row: what the rule says."""
+    return digest("suite", "expectation_type", "kwargs", "row_condition", F.concat_ws(",", "group_by"))
 
 
 def rules_to_frame(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:

@@ -11,19 +11,20 @@ from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.operators.structure import reference_check
+from plumbline.plans.rules import digest
 from plumbline.sources.readers import staged
 
 TABLES = {
-    "datasources": "id bigint, name string, connection_string string",
-    "expectation_suites": "id bigint, name string, description string",
-    "expectations": "id bigint, suite_id bigint, expectation_type string, kwargs string",
-    "batches": "id bigint, datasource_id bigint, batch_identifier string, timestamp string",
-    "validations": "id bigint, batch_id bigint, suite_id bigint, success boolean, run_time string",
-    "validation_results": "id bigint, validation_id bigint, expectation_id bigint, success boolean, result string",
+    "datasources": "id string, name string, connection_string string",
+    "expectation_suites": "id string, name string, description string",
+    "expectations": "id string, suite_id string, expectation_type string, kwargs string",
+    "batches": "id string, datasource_id string, batch_identifier string, timestamp string",
+    "validations": "id string, batch_id string, suite_id string, success boolean, run_time string",
+    "validation_results": "id string, validation_id string, expectation_id string, success boolean, result string",
 }
 
 # child table, its key column, parent table
@@ -37,17 +38,6 @@ LINKS = (
 )
 
 
-def _rule_key() -> Column:
-    """The rule key of verdict rows; the same as that of the rule's own row."""
-    return F.xxhash64(
-        "suite",
-        "expectation_type",
-        "kwargs",
-        F.coalesce("row_condition", F.lit("")),
-        F.coalesce("group_by", F.lit("")),
-    )
-
-
 _OUTCOME = (
     "element_count",
     "missing_count",
@@ -63,11 +53,12 @@ def store_rows(results: DataFrame, batch: str, timestamp: str) -> dict[str, Data
     """The rows of each table for the verdicts of one run. `results` must name their `source`."""
     keyed = results.select(
         "*",
-        F.xxhash64("source").alias("datasource_id"),
-        F.xxhash64("suite").alias("suite_id"),
-        F.xxhash64("source", F.lit(batch)).alias("batch_id"),
-        F.xxhash64("source", F.lit(batch), "suite").alias("validation_id"),
-        _rule_key().alias("expectation_id"),
+        digest("source").alias("datasource_id"),
+        digest("suite").alias("suite_id"),
+        digest("source", F.lit(batch)).alias("batch_id"),
+        digest("source", F.lit(batch), "suite").alias("validation_id"),
+        # The same as the key of the rule's own row.
+        digest("suite", "expectation_type", "kwargs", "row_condition", "group_by").alias("expectation_id"),
     )
     sources = keyed.select("source", "datasource_id", "batch_id").distinct()
     rules = keyed.select("suite", "suite_id", "expectation_id", "expectation_type", "kwargs").distinct()
@@ -86,7 +77,7 @@ def store_rows(results: DataFrame, batch: str, timestamp: str) -> dict[str, Data
             F.col("validation_id").alias("id"), "batch_id", "suite_id", "success", F.lit(timestamp).alias("run_time")
         ),
         "validation_results": keyed.select(
-            F.xxhash64("validation_id", "expectation_id", "seq", F.coalesce("group_key", F.lit(""))).alias("id"),
+            digest("validation_id", "expectation_id", F.col("seq").cast("string"), "group_key").alias("id"),
             "validation_id",
             "expectation_id",
             "success",

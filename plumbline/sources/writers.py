@@ -126,5 +126,5 @@ def read_suite_rows(spark: SparkSession, path: str) -> DataFrame:
     """Suite rows that `write_suite` wrote."""
     return spark.read.schema(
         "suite string, expectation_type string, column_name string, kwargs string, row_condition string, "
-        "group_by array<string>, rule_id string, rule_name string, severity string, expectation_id bigint"
+        "group_by array<string>, rule_id string, rule_name string, severity string, expectation_id string"
     ).json(path)
