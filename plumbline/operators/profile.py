@@ -214,8 +214,8 @@ def profile(
 
     The first pass runs at once, the second when the result is used. With `exact`, distinct counts
     and quartiles are exact; a numeric column with more than `ranked_rows` values takes narrowing
-    rounds for its quartiles. Without `exact` they come from sketches, and only text columns are
-    counted. `max_sample_rows` profiles a sample of about that size instead of the whole table.
+    rounds for its quartiles. Without `exact` they come from sketches, and only text columns with few
+    values are counted. `max_sample_rows` profiles a sample of about that size instead of the whole table.
     Columns of nested types get null counts only, so no column can make the profile fail.
     """
     if max_sample_rows is not None:
@@ -228,10 +228,17 @@ def profile(
         if not exact:
             facts |= _sketches(df, chunk)
     numeric = [(i, f) for i, f in fields if kind_of(f.dataType) == NUMERIC]
-    large = [f.name for i, f in numeric if exact and facts[f"count{i}"] > ranked_rows]
-    points = exact_quantiles(df, large, QUARTILES, ranked_rows) if large else {}
-
-    unlisted = _many_valued_texts(df, fields, facts)
+    large = {
+        f.name: (facts[f"count{i}"], facts[f"min{i}"], facts[f"max{i}"])
+        for i, f in numeric
+        if exact and facts[f"count{i}"] > ranked_rows
+    }
+    points = exact_quantiles(df, list(large), QUARTILES, ranked_rows, large) if large else {}
+
+    if exact:
+        unlisted = _many_valued_texts(df, fields, facts)
+    else:
+        unlisted = {i for i, _ in fields if facts.get(f"sketch{i}", 0) > 2 * LISTED_IF_DISTINCT_AT_MOST}
     branches = []
     for i, field in fields:
         kind = kind_of(field.dataType)

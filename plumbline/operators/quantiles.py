@@ -120,49 +120,71 @@ def _grouped(targets: Mapping[_Target, _Span]) -> dict[_Span, list[int]]:
 
 
 def _order_statistics(df: DataFrame, spans: Mapping[_Span, list[int]]) -> dict[_Target, float]:
-    """The value at each wanted rank of spans that are small enough to rank."""
-    searches = []
-    for i, (span, ranks) in enumerate(spans.items()):
-        counted = df.where(span.holds()).groupBy(span.value().alias("v")).agg(F.count(F.lit(1)).alias("n"))
-        upto = F.sum("n").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-        found = [
-            F.min(F.when(F.col("upto") > rank - span.below, F.col("v"))).alias(f"r{j}") for j, rank in enumerate(ranks)
-        ]
+    """The value at each wanted rank of spans that are small enough to rank. Reads each column once."""
+    by_column: dict[str, list[tuple[_Span, list[int]]]] = {}
+    for span, ranks in spans.items():
+        by_column.setdefault(span.column, []).append((span, ranks))
+    searches, listed = [], []
+    for pairs in by_column.values():
+        members, inside, wanted = [], [], []
+        for span, ranks in pairs:
+            slot = len(listed)
+            listed.append(span)
+            inside.append(span.holds())
+            members.append(F.when(span.holds(), F.struct(F.lit(slot).alias("slot"), span.value().alias("v"))))
+            wanted += [F.struct(F.lit(slot).alias("slot"), F.lit(rank - span.below).alias("rank")) for rank in ranks]
+        counted = (
+            df.where(reduce(lambda a, b: a | b, inside))
+            .select(F.inline(F.array(*members)))
+            .where("slot IS NOT NULL")
+            .groupBy("slot", "v")
+            .agg(F.count(F.lit(1)).alias("n"))
+        )
+        # A span has at most `ranked_rows` rows or a single value.
+        upto = F.sum("n").over(Window.partitionBy("slot").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+        ranks = F.filter(F.array(*wanted), lambda w: (w["slot"] == F.col("slot")))
         searches.append(
             counted.withColumn("upto", upto)
-            .agg(*found)
-            .select(F.lit(i).alias("span"), F.array(*[f"r{j}" for j in range(len(ranks))]).alias("at"))
+            .withColumn("rank", F.explode(F.transform(ranks, lambda w: w["rank"])))
+            .where((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
+            .select("slot", "rank", "v")
         )
-    listed = list(spans.items())
     values = {}
-    for row in reduce(DataFrame.unionByName, searches).collect():  # one row per span
-        span, ranks = listed[row["span"]]
-        values |= {(span.column, rank): value for rank, value in zip(ranks, row["at"])}
+    for row in reduce(DataFrame.unionByName, searches).collect():  # one row per wanted rank
+        span = listed[row["slot"]]
+        values[(span.column, row["rank"] + span.below)] = row["v"]
     return values
 
 
+def _facts(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[int, float, float]]:
+    asked = []
+    for i, name in enumerate(columns):
+        value = F.col(f"`{name}`").cast("double")
+        asked += [F.count(value).alias(f"n{i}"), F.min(value).alias(f"low{i}"), F.max(value).alias(f"high{i}")]
+    known = df.agg(*asked).first()
+    return {name: (known[f"n{i}"], known[f"low{i}"], known[f"high{i}"]) for i, name in enumerate(columns)}
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float] = (0.25, 0.5, 0.75),
     ranked_rows: int = RANKED_ROWS,
+    facts: Mapping[str, tuple[int, float, float]] | None = None,
 ) -> dict[str, list[float]]:
     """The quantiles of numeric columns, with linear interpolation between ranks.
 
     A column without values is left out. Each round reads the columns that are still open once.
+    `facts` gives the (count, min, max) of each column where they are known already.
     """
-    facts = []
-    for i, name in enumerate(columns):
-        value = F.col(f"`{name}`").cast("double")
-        facts += [F.count(value).alias(f"n{i}"), F.min(value).alias(f"low{i}"), F.max(value).alias(f"high{i}")]
-    known = df.agg(*facts).first()
+    facts = facts or _facts(df, columns)
     wanted: dict[str, list[float]] = {}
     targets: dict[_Target, _Span] = {}
-    for i, name in enumerate(columns):
-        rows = known[f"n{i}"]
+    for name in columns:
+        rows, low, high = facts[name]
         if rows:
             wanted[name] = [p * (rows - 1) for p in probabilities]
-            span = _Span(name, known[f"low{i}"], known[f"high{i}"], 0, rows)
+            span = _Span(name, low, high, 0, rows)
             for place in wanted[name]:
                 targets[(name, math.floor(place))] = targets[(name, math.ceil(place))] = span
     if not wanted:

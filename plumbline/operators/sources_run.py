@@ -13,7 +13,8 @@ from plumbline.operators.profile import profile
 from plumbline.operators.suggest import suggest_rules
 from plumbline.operators.suite import statistics, validate
 from plumbline.plans.rules import Rule, rules_from_frame
-from plumbline.sources.readers import resolve_source
+from plumbline.sources.readers import resolve_source, staged
+from plumbline.sources.writers import write_reports, write_suite
 
 log = logging.getLogger(__name__)
 
@@ -25,12 +26,29 @@ class SourceRun:
         self.results = results
         self.profiles = profiles
         self.suggested = suggested
+        self._settled = False
 
-    def summary(self) -> DataFrame:
-        """Run statistics per source."""
+    def settled(self) -> DataFrame:
+        """The verdicts as a written table, so that a summary and reports together check the data once."""
         if self.results is None:
             raise ValueError("no source had rules")
-        return statistics(self.results, "source")
+        if not self._settled:
+            self.results, self._settled = staged(self.results), True
+        return self.results
+
+    def summary(self) -> DataFrame:
+        """Run statistics per source."""
+        return statistics(self.settled(), "source")
+
+    def write(self, folder: str, run_time: str) -> None:
+        """Reports and summary per source under `folder/run_time`, proposed suites under `folder/expectations`."""
+        for name, rules in self.suggested.items():
+            write_suite(rules, f"{folder}/expectations/{name}_expectations")
+        if self.results is not None:
+            write_reports(self.settled(), f"{folder}/{run_time}/reports")
+            self.summary().write.json(f"{folder}/{run_time}/summary")
+        for name, profiled in self.profiles.items():
+            profiled.write.json(f"{folder}/{run_time}/profiles/{name}")
 
 
 def validate_sources(

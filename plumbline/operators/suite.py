@@ -12,6 +12,7 @@ from plumbline.functions.scalars import percent
 from plumbline.operators.unexpected import unexpected_lists
 from plumbline.plans.fuse import evaluate
 from plumbline.plans.rules import Rule
+from plumbline.sources.readers import staged
 
 
 def validate(
@@ -80,6 +81,8 @@ def alerts(results: DataFrame, *handlers: Callable[[DataFrame], Any]) -> DataFra
         F.col("expectation_type").alias("check_type"),
         "severity",
     )
+    if handlers:
+        rows = staged(rows)  # handlers must not check the data again
     for handler in handlers:
         handler(rows)
     return rows

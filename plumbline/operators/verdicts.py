@@ -7,19 +7,20 @@ alerts.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame
 
 from plumbline.operators.constraints import check_constraints, constraint_verdict
 from plumbline.operators.custom import custom_check
-from plumbline.operators.outliers import anomaly_summary
+from plumbline.operators.outliers import DEFAULT_THRESHOLD, anomaly_summary
 from plumbline.operators.structure import freshness, primary_key_check, reference_check, schema_diff, schema_verdict
 from plumbline.operators.suite import statistics, validate
 from plumbline.plans import sqltext as sql
+from plumbline.plans.rules import Rule
+from plumbline.sources.readers import staged
 
 # What went wrong, per check type, in terms of the columns of the check's row.
 _MESSAGES = {
@@ -69,6 +70,8 @@ def verdict_alerts(verdicts: DataFrame, *handlers: Callable[[DataFrame], Any]) -
     rows = verdicts.where("NOT is_valid").selectExpr(
         f"concat(CASE check_type {titles} END, ' failed for ', check_name) AS title", "message", "check_type"
     )
+    if handlers:
+        rows = staged(rows)  # handlers must not run the checks again
     for handler in handlers:
         handler(rows)
     return rows
@@ -77,8 +80,9 @@ def verdict_alerts(verdicts: DataFrame, *handlers: Callable[[DataFrame], Any]) -
 class Checks:
     """Run checks under names and keep their outcomes.
 
-    Every method plans one check and returns its row; `verdicts` holds all outcomes so far as one
-    table, and a handler gets the alerts when `notify` is called.
+    Every method runs one check at once, and its outcome is kept as a small written table: reading
+    it, or `verdicts` and `notify`, never runs a check again. A check that is run again under the
+    same name replaces its outcome. Handlers get the alerts when `notify` is called.
     """
 
     def __init__(self, *handlers: Callable[[DataFrame], Any]):
@@ -86,36 +90,51 @@ class Checks:
         self._verdicts: dict[str, DataFrame] = {}
 
     def _keep(self, row: DataFrame, check_type: str, name: str) -> DataFrame:
+        row = staged(row)
         self._verdicts[name] = verdict(row, check_type, name)
         return row
 
     def schema(self, df: DataFrame, expected, name: str = "schema_validation") -> DataFrame:
-        return self._keep(schema_verdict(schema_diff(df, expected)), "schema_validation", name)
+        differences = staged(schema_diff(df, expected))
+        self._keep(schema_verdict(differences), "schema_validation", name)
+        return differences
 
-    def primary_key(self, df: DataFrame, key_columns, name: str = "pk_check") -> DataFrame:
+    def primary_key(self, df: DataFrame, key_columns: Sequence[str], name: str = "pk_check") -> DataFrame:
         return self._keep(primary_key_check(df, key_columns), "pk_check", name)
 
     def reference_integrity(
-        self, df: DataFrame, reference_df: DataFrame, join_columns, name: str = "ref_integrity_check"
+        self, df: DataFrame, reference_df: DataFrame, join_columns: Sequence[str], name: str = "ref_integrity_check"
     ) -> DataFrame:
         return self._keep(reference_check(df, reference_df, join_columns), "ref_integrity_check", name)
 
     def freshness(
-        self, df: DataFrame, timestamp_column: str, max_delay_minutes: float = 60, as_of=None, name: str = "freshness_check"
+        self,
+        df: DataFrame,
+        timestamp_column: str,
+        max_delay_minutes: float = 60,
+        as_of: Column | None = None,
+        name: str = "freshness_check",
     ) -> DataFrame:
         return self._keep(freshness(df, timestamp_column, max_delay_minutes, as_of), "freshness_check", name)
 
-    def expectations(self, df: DataFrame, rules, name: str = "expectations", **options) -> DataFrame:
-        results = validate(df, rules, source=name, **options)
+    def expectations(self, df: DataFrame, rules: Sequence[Rule], name: str = "expectations", **options) -> DataFrame:
+        results = staged(validate(df, rules, source=name, **options))
         self._keep(statistics(results), "expectations", name)
         return results
 
-    def constraints(self, df: DataFrame, constraints, name: str = "constraints") -> DataFrame:
-        results = check_constraints(df, constraints)
+    def constraints(self, df: DataFrame, constraints: Sequence[Any], name: str = "constraints") -> DataFrame:
+        results = staged(check_constraints(df, constraints))
         self._keep(constraint_verdict(results), "constraints", name)
         return results
 
-    def anomalies(self, df: DataFrame, column: str, method: str = "zscore", threshold: float = 3.0, name: str = "anomaly_check"):
+    def anomalies(
+        self,
+        df: DataFrame,
+        column: str,
+        method: str = "zscore",
+        threshold: float = DEFAULT_THRESHOLD,
+        name: str = "anomaly_check",
+    ) -> DataFrame:
         return self._keep(anomaly_summary(df, column, method, threshold), "anomaly_check", name)
 
     def custom(self, df: DataFrame, check: Callable[[DataFrame], Any], name: str = "custom_validation") -> DataFrame:

@@ -5,6 +5,7 @@ import json
 import pytest
 
 from plumbline.operators.suite import alerts, fill_if_empty, merge_suites, records, statistics, validate
+from plumbline.operators.unexpected import unexpected_values
 from plumbline.plans.registry import is_of_type, literal
 from plumbline.plans.rules import (
     Rule,
@@ -258,6 +259,13 @@ def test_odd_column_names(spark):
     assert [r["unexpected_list"] for r in rows] == ['["1","1"]', '["y"]']
 
 
+def test_unexpected_values_are_cut_before_the_shuffle(spark):
+    df = spark.range(100).selectExpr("id AS v", "CAST(id % 5 AS STRING) AS k")
+    rules = [Rule.make(BETWEEN, column="v", max_value=5).by("k"), Rule.make(UNIQUE, column="k")]
+    plan = unexpected_values(df, rules)._jdf.queryExecution().executedPlan().toString()
+    assert "row_number(), 20, Partial" in plan
+
+
 def test_unexpected_list_is_bounded_and_ordered(spark):
     df = spark.range(1000).selectExpr("1000 - id AS v", "IF(id < 900, 'hot', CAST(id AS STRING)) AS k")
     rules = [Rule.make(BETWEEN, column="v", min_value=5000), Rule.make(IN_SET, column="k", value_set=[])]

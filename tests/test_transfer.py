@@ -15,7 +15,7 @@ from plumbline.plans.rules import Rule
 from plumbline.session import scratch_dir
 from plumbline.sources.readers import between_days, day_predicates, jdbc_options, limited_batch, resolve_source, staged
 from plumbline.sources.store import append_to_store, check_store, read_store, results_with_rules
-from plumbline.sources.writers import rows_frame, summary, write_by_day, write_run
+from plumbline.sources.writers import read_suite_rows, rows_frame, summary, write_by_day, write_run
 from plumbline.streaming.microbatch import stream_results, validate_stream
 
 NOT_NULL = "expect_column_values_to_not_be_null"
@@ -183,11 +183,16 @@ def test_store_is_idempotent_and_linked(spark, sales):
     assert results_with_rules(tables).count() == 12
 
 
-def test_sources_run(spark, sales):
+def test_sources_run(spark, tmp_path, sales):
     rules = {"sales": [Rule.make(NOT_NULL, column="customer_id")]}
     run = validate_sources(spark, {"sales": sales, "other": sales, "bad": "x.xlsx", "worse": 3}, rules, auto_suggest=True)
     assert {r["source"] for r in run.summary().collect()} == {"sales"}
     assert set(run.profiles) == {"other"} and set(run.suggested) == {"other"}
+    run.write(str(tmp_path), "20240131_000000")
+    assert spark.read.json(str(tmp_path / "20240131_000000" / "reports")).count() == 1
+    assert spark.read.json(str(tmp_path / "20240131_000000" / "summary")).first()["source"] == "sales"
+    assert spark.read.json(str(tmp_path / "20240131_000000" / "profiles" / "other")).count() == 3
+    assert read_suite_rows(spark, str(tmp_path / "expectations" / "other_expectations")).count() > 5
     applied = validate_sources(spark, {"other": sales}, {}, apply_suggested=True)
     assert applied.summary().first()["success"] is True
     with pytest.raises(ValueError):
