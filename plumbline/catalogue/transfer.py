@@ -15,7 +15,15 @@ from plumbline.operators.suite import validate
 from plumbline.plans.rules import Rule
 from plumbline.session import scratch_dir
 from plumbline.sources.readers import between_days, read_csv, read_csv_as_text, read_json, resolve_source, staged
-from plumbline.sources.store import append_to_store, check_store, read_store, results_with_rules, store_counts
+from plumbline.sources.store import (
+    COMPACT_TABLES,
+    append_to_compact_store,
+    append_to_store,
+    check_store,
+    read_store,
+    results_with_rules,
+    store_counts,
+)
 from plumbline.sources.suites import read_suite
 from plumbline.sources.writers import (
     detail_records,
@@ -252,6 +260,39 @@ def store_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_KEY_RULES = [
+    Rule.from_dict({"expectation_type": "expect_column_values_to_be_unique", "kwargs": {"column": "o_orderkey"}, "rule_name": "Unique keys"}),
+    rule("expect_column_values_to_be_unique", column="o_custkey", mostly=0.5),
+    rule("expect_column_values_to_not_be_null", column="o_custkey"),
+]
+
+
+@query(
+    """
+WITH u AS (SELECT count(*) AS n, sum(c) FILTER (WHERE c = 1)::BIGINT AS s FROM
+             (SELECT count(*) AS c FROM orders GROUP BY o_custkey)),
+o AS (SELECT count(*) AS n, count(DISTINCT o_orderkey) AS d, count(o_custkey) AS k FROM orders)
+SELECT 'orders 2024-01-31' AS dataset, 'Unique keys' AS name, 'Success' AS status,
+       '{"total":' || n || ',"unique":' || d || '}' AS observed, 'Failed' AS run_status FROM o
+UNION ALL
+SELECT 'orders 2024-01-31', 'N/A', CASE WHEN u.s >= 0.5 * o.n THEN 'Success' ELSE 'Failed' END,
+       '{"total":' || o.n || ',"unique":' || coalesce(u.s, 0) || '}', 'Failed' FROM o, u
+UNION ALL
+SELECT 'orders 2024-01-31', 'N/A', 'Success', '{"total":' || n || ',"missing":' || (n - k) || '}', 'Failed' FROM o"""
+)
+def store_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts in the compact store layout, stored twice and read once."""
+    path = scratch_dir(spark, "compact")
+    results = validate(table(spark, sf_dir, "orders"), _KEY_RULES, source="orders")
+    for _ in range(2):
+        append_to_compact_store(results, path, "2024-01-31", "2024-01-31 00:00:00")
+    tables = read_store(spark, path, COMPACT_TABLES)
+    runs = tables["Validations"].selectExpr("id AS ValidationID", "DatasetName AS dataset", "Status AS run_status")
+    rules = tables["Expectations"].selectExpr("id AS ExpectationID", "ExpectationName AS name")
+    named = tables["ValidationResults"].join(runs, "ValidationID").join(rules, "ExpectationID")
+    return named.selectExpr("dataset", "name", "Status AS status", "ObservedValue AS observed", "run_status")
+
+
 @query(
     """
 SELECT 'expect_column_values_to_be_in_set' AS expectation_type, count(*) AS elements,

@@ -9,6 +9,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline import sqltext as sql
+
 _PARAMETER = r"(?<!:):([A-Za-z_][A-Za-z0-9_]*)"
 _QUOTED = r"'[^']*'"
 
@@ -27,9 +29,7 @@ def register_filter(spark: SparkSession, name: str, signature: str, returns: str
 def _check(df: DataFrame, condition: str, params: Mapping[str, Any]) -> str | None:
     """The analysis error of one condition, or None. Analysis only: no job runs."""
     try:
-        df.sparkSession.sql(
-            f"SELECT CAST(({condition}) AS BOOLEAN) AS live FROM {{src}}", args=dict(params), src=df
-        ).schema
+        sql.over(df, f"SELECT CAST(({condition}) AS BOOLEAN) AS live FROM {sql.SOURCE}", params).schema
     except PySparkException as error:
         return f"{error.getCondition() or type(error).__name__}: {condition}"
     return None
@@ -55,5 +55,5 @@ def bind_conditions(
     if not names:
         return df, names, errors
     flags = ", ".join(f"CAST(({c}) AS BOOLEAN) AS {n}" for c, n in names.items())
-    bound = df.sparkSession.sql(f"SELECT *, {flags} FROM {{src}}", args=dict(params), src=df)
+    bound = sql.over(df, f"SELECT *, {flags} FROM {sql.SOURCE}", params)
     return bound, names, errors

@@ -15,7 +15,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.plans import sqltext as sql
+from plumbline import sqltext as sql
 from plumbline.plans.frequency import countable, key_tally
 
 
@@ -52,16 +52,16 @@ _PLAIN = {
     "hasCorrelation": "corr({c}, {o})",
 }
 
-# The same over the distinct values v of a column and their frequencies n. For the entropy:
+# The same over the distinct values __v of a column and their frequencies __n. For the entropy:
 # -sum(n/N ln n/N) = ln N - sum(n ln n) / N.
 _BY_FREQUENCY = {
-    "hasUniqueness": "count_if(v IS NOT NULL AND n = 1) / nullif(sum(n) FILTER (WHERE v IS NOT NULL), 0)",
-    "hasDistinctness": "count(v) / nullif(sum(n) FILTER (WHERE v IS NOT NULL), 0)",
-    "hasUniqueValueRatio": "count_if(v IS NOT NULL AND n = 1) / nullif(count(v), 0)",
-    "hasNumberOfDistinctValues": "count(v)",
+    "hasUniqueness": "count_if(__v IS NOT NULL AND __n = 1) / nullif(sum(__n) FILTER (WHERE __v IS NOT NULL), 0)",
+    "hasDistinctness": "count(__v) / nullif(sum(__n) FILTER (WHERE __v IS NOT NULL), 0)",
+    "hasUniqueValueRatio": "count_if(__v IS NOT NULL AND __n = 1) / nullif(count(__v), 0)",
+    "hasNumberOfDistinctValues": "count(__v)",
     "hasEntropy": (
-        "ln(sum(n) FILTER (WHERE v IS NOT NULL)) - sum(n * ln(n)) FILTER (WHERE v IS NOT NULL)"
-        " / sum(n) FILTER (WHERE v IS NOT NULL)"
+        "ln(sum(__n) FILTER (WHERE __v IS NOT NULL)) - sum(__n * ln(__n)) FILTER (WHERE __v IS NOT NULL)"
+        " / sum(__n) FILTER (WHERE __v IS NOT NULL)"
     ),
 }
 
@@ -142,10 +142,10 @@ def check_constraints(
         branches = [
             f"SELECT {sql.melted([{'seq': str(s), 'metric': f'm{s}'} for s in wanted])} FROM ("
             f"SELECT {', '.join(f'{build} AS m{s}' for s, build in wanted.items())}"
-            f" FROM {key_tally('{src}', column, types[column])})"
+            f" FROM {key_tally(column, types[column])})"
             for column, wanted in by_column.items()
         ]
-        metrics.append(df.sparkSession.sql(" UNION ALL ".join(branches), src=df))
+        metrics.append(sql.over(df, " UNION ALL ".join(branches)))
     if messages:
         failed = [{"seq": seq, "metric": None} for seq in messages]
         metrics.append(sql.local_table(df.sparkSession, failed, "seq int, metric double"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.operators.quantiles import RANKED_ROWS, exact_quantiles
-from plumbline.plans import sqltext as sql
+from plumbline import sqltext as sql
 from plumbline.plans.frequency import KEY_LENGTH, countable, key_tally, tally
 from plumbline.sources.readers import staged
 
@@ -105,7 +105,7 @@ def _branch(position: int, source: str, distinct: str, quartiles: str = "NULL",
 
 
 def _distinct_branch(position: int, field: T.StructField) -> str:
-    return _branch(position, key_tally("{src}", field.name, field.dataType), "count(v)")
+    return _branch(position, key_tally(field.name, field.dataType), "count(__v)")
 
 
 def _many_valued_texts(df: DataFrame, fields: list[tuple[int, T.StructField]], facts: dict[str, Any]) -> set[int]:
@@ -122,20 +122,20 @@ def _text_branch(position: int, column: str) -> str:
     """A text column: its distinct values and the most frequent of them.
 
     The list is a top-k over the same counts, so it is bounded however many values there are.
-    Naming `n` in both keeps the two counts alike, and Spark shuffles them once.
+    Naming the count in both keeps the two counts alike, and Spark shuffles them once.
     """
-    counted = tally("{src}", column, where=f"{sql.name(column)} IS NOT NULL")
-    top = f"(SELECT v, n FROM {counted} ORDER BY n DESC, v LIMIT {LISTED_VALUES})"
-    entries = "array_sort(collect_list(struct(-n AS place, v AS value, n)))"
+    counted = tally(column, where=f"{sql.name(column)} IS NOT NULL")
+    top = f"(SELECT __v, __n FROM {counted} ORDER BY __n DESC, __v LIMIT {LISTED_VALUES})"
+    entries = "array_sort(collect_list(struct(-__n AS place, __v AS value, __n AS n)))"
     listed = f"(SELECT transform({entries}, e -> struct(e.value, e.n)) FROM {top})"
-    return _branch(position, counted, "count_if(n > 0)", listed=listed)
+    return _branch(position, counted, "count_if(__n > 0)", listed=listed)
 
 
 def _ranked_branch(position: int, column: str, count: int) -> str:
     """A numeric column with few enough values for one task to rank them: quartiles from the counts."""
     ranked = (
-        "(SELECT number, sum(n) OVER (ORDER BY number ROWS UNBOUNDED PRECEDING) AS upto FROM "
-        f"(SELECT CAST(v AS DOUBLE) AS number, n FROM {tally('{src}', column)} WHERE v IS NOT NULL))"
+        "(SELECT number, sum(__n) OVER (ORDER BY number ROWS UNBOUNDED PRECEDING) AS upto FROM "
+        f"(SELECT CAST(__v AS DOUBLE) AS number, __n FROM {tally(column)} WHERE __v IS NOT NULL))"
     )
     points = []
     for p in QUARTILES:
@@ -253,7 +253,7 @@ def profile(
     # One row per column of the table on both sides of the join.
     known = sql.local_table(df.sparkSession, _known(fields, facts, points), _KNOWN)
     if branches:
-        counted = df.sparkSession.sql(" UNION ALL ".join(branches), src=df)
+        counted = sql.over(df, " UNION ALL ".join(branches))
     else:
         counted = known.selectExpr(
             "position", "CAST(NULL AS BIGINT) AS counted", "known_quartiles AS exact_quartiles", f"CAST(NULL AS {_LIST}) AS listed"

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 HOT_KEYS = 1000
 
 
-def key_counts(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
+def key_counts(df: DataFrame, keys: Sequence[str], name: str = "__n") -> DataFrame:
     """One row per key, null keys included. The partial count keeps hot keys from piling up."""
     return df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count(F.lit(1)).alias(name))
 
@@ -22,7 +22,7 @@ def any_key_null(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in keys])
 
 
-def attach_facts(rows: DataFrame, facts: DataFrame, keys: Sequence[str], count: str = "n") -> DataFrame:
+def attach_facts(rows: DataFrame, facts: DataFrame, keys: Sequence[str], count: str = "__n") -> DataFrame:
     """Add a key's facts to each of its rows; null keys match null keys.
 
     `facts` has one row per key that occurs in `rows`, with the key's row count in `count`. The rows

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from plumbline.functions.scalars import minutes_between, parse_timestamp, percent
 from plumbline.operators.skew import any_key_null, attach_facts, key_counts
-from plumbline.plans import sqltext as sql
+from plumbline import sqltext as sql
 
 EXAMPLES = 10
 
@@ -72,18 +72,17 @@ def json_fields(df: DataFrame, column: str) -> DataFrame:
     A field whose values have several types in different rows shows as VARIANT; a text that is not
     a JSON object is skipped. Types are merged per field before the shuffle.
     """
-    return df.sparkSession.sql(
+    return sql.over(
+        df.select(F.col(sql.name(column)).alias("__text")),
         "SELECT key AS field, schema_of_variant_agg(value) AS type "
-        f"FROM {{src}}, LATERAL variant_explode(try_parse_json({sql.name(column)})) "
-        "WHERE key IS NOT NULL GROUP BY key",
-        src=df.select(F.col(sql.name(column))),
+        f"FROM {sql.SOURCE}, LATERAL variant_explode(try_parse_json(__text)) WHERE key IS NOT NULL GROUP BY key",
     )
 
 
 def primary_key_check(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: rows, distinct keys, surplus rows, rows with a null in the key, and the verdict."""
-    total, distinct = F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))
-    nulls = F.coalesce(F.sum(F.when(any_key_null(keys), F.col("n"))), F.lit(0))
+    total, distinct = F.coalesce(F.sum("__n"), F.lit(0)), F.count(F.lit(1))
+    nulls = F.coalesce(F.sum(F.when(any_key_null(keys), F.col("__n"))), F.lit(0))
     return key_counts(df, keys).agg(
         ((total == distinct) & (nulls == 0)).alias("is_valid"),
         total.alias("total_count"),
@@ -121,8 +120,8 @@ def reference_check(df: DataFrame, reference: DataFrame, keys: Sequence[str]) ->
     weighs no more than any other. A null key has no reference.
     """
     known = _known_keys(reference, keys).withColumn("__known", F.lit(True))
-    total = F.coalesce(F.sum("n"), F.lit(0))
-    matched = F.coalesce(F.sum(F.when(F.col("__known"), F.col("n"))), F.lit(0))
+    total = F.coalesce(F.sum("__n"), F.lit(0))
+    matched = F.coalesce(F.sum(F.when(F.col("__known"), F.col("__n"))), F.lit(0))
     share = F.when(total > 0, F.round(percent(total - matched, total), 2)).otherwise(0.0)
     return (
         key_counts(df, keys)

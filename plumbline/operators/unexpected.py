@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.plans import sqltext as sql
+from plumbline import sqltext as sql
 from plumbline.plans.frequency import tally
 from plumbline.plans.fuse import Planned, group_key_text, plan_rules, with_predicates
 from plumbline.plans.rules import Rule
@@ -51,11 +51,11 @@ def unexpected_values(
         parts.append(rows.where("seq IS NOT NULL"))
     if unique_rules:
         repeated = [
-            f"SELECT inline(array_repeat({_entry(item, 'v')}, CAST(least(n, {limit}) AS INT))) FROM "
-            f"{tally('{src}', item.rule.column, item.rule.group_by, item.live)} WHERE v IS NOT NULL AND n > 1"
+            f"SELECT inline(array_repeat({_entry(item, '__v')}, CAST(least(__n, {limit}) AS INT))) FROM "
+            f"{tally(item.rule.column, item.rule.group_by, item.live)} WHERE __v IS NOT NULL AND __n > 1"
             for item in unique_rules
         ]
-        parts.append(df.sparkSession.sql(" UNION ALL ".join(repeated), src=bound))
+        parts.append(sql.over(bound, " UNION ALL ".join(repeated)))
     if not parts:
         return None
     found = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])

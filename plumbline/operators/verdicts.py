@@ -18,7 +18,7 @@ from plumbline.operators.custom import custom_check
 from plumbline.operators.outliers import DEFAULT_THRESHOLD, anomaly_summary
 from plumbline.operators.structure import freshness, primary_key_check, reference_check, schema_diff, schema_verdict
 from plumbline.operators.suite import statistics, validate
-from plumbline.plans import sqltext as sql
+from plumbline import sqltext as sql
 from plumbline.plans.rules import Rule
 from plumbline.sources.readers import staged
 

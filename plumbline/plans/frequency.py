@@ -14,7 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import types as T
 
-from plumbline.plans import sqltext as sql
+from plumbline import sqltext as sql
 
 # A text longer than this is counted by its digest, so that the shuffle moves keys and not texts.
 KEY_LENGTH = 64
@@ -33,20 +33,20 @@ def text_key(column: str) -> str:
     return f"if(length({column}) <= {KEY_LENGTH}, {column}, concat('#', sha2({column}, 256)))"
 
 
-def tally(source: str, column: str, group_by: Sequence[str] = (), where: str | None = None) -> str:
-    """A subquery of rows (group columns, v, n) over `source`; the null value is a row too."""
-    return _counted(source, sql.name(column), group_by, where)
+def tally(column: str, group_by: Sequence[str] = (), where: str | None = None) -> str:
+    """A subquery of rows (group columns, __v, __n) over the source; the null value is a row too."""
+    return _counted(sql.name(column), group_by, where)
 
 
 def key_tally(
-    source: str, column: str, data_type: T.DataType, group_by: Sequence[str] = (), where: str | None = None
+    column: str, data_type: T.DataType, group_by: Sequence[str] = (), where: str | None = None
 ) -> str:
-    """The same where only the counts matter: v identifies the value but need not be it."""
+    """The same where only the counts matter: __v identifies the value but need not be it."""
     value = sql.name(column)
-    return _counted(source, text_key(value) if isinstance(data_type, T.StringType) else value, group_by, where)
+    return _counted(text_key(value) if isinstance(data_type, T.StringType) else value, group_by, where)
 
 
-def _counted(source: str, value: str, group_by: Sequence[str], where: str | None) -> str:
+def _counted(value: str, group_by: Sequence[str], where: str | None) -> str:
     groups = "".join(f"{sql.name(g)}, " for g in group_by)
     condition = f" WHERE {where}" if where else ""
-    return f"(SELECT {groups}{value} AS v, count(1) AS n FROM {source}{condition} GROUP BY {groups}{value})"
+    return f"(SELECT {groups}{value} AS __v, count(1) AS __n FROM {sql.SOURCE}{condition} GROUP BY {groups}{value})"

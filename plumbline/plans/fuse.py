@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from plumbline.functions.params import bind_conditions
 from plumbline.plans import registry
-from plumbline.plans import sqltext as sql
+from plumbline import sqltext as sql
 from plumbline.plans.frequency import countable, key_tally
 from plumbline.plans.rules import MAX_RULES, Rule
 
@@ -90,7 +90,7 @@ class _Aggregates:
         self.names: dict[str, str] = {}
 
     def ask(self, build: str) -> str:
-        return self.names.setdefault(build, f"a{len(self.names)}")
+        return self.names.setdefault(build, f"__count_{len(self.names)}")
 
     def columns(self) -> list[str]:
         return [f"{build} AS {name}" for build, name in self.names.items()]
@@ -174,16 +174,16 @@ def _unique_rules(bound: DataFrame, planned: Sequence[Planned]) -> DataFrame:
     for (column, live, group_by), items in shared.items():
         groups = [sql.name(g) for g in group_by]
         sums = (
-            "coalesce(sum(n), 0) AS elements",
-            "coalesce(sum(n) FILTER (WHERE v IS NULL), 0) AS missing",
-            "coalesce(sum(n) FILTER (WHERE v IS NOT NULL AND n > 1), 0) AS repeated",
+            "coalesce(sum(__n), 0) AS __rows",
+            "coalesce(sum(__n) FILTER (WHERE __v IS NULL), 0) AS __missing",
+            "coalesce(sum(__n) FILTER (WHERE __v IS NOT NULL AND __n > 1), 0) AS __repeated",
         )
-        counted = key_tally("{src}", column, items[0].data_type, group_by, live)
+        counted = key_tally(column, items[0].data_type, group_by, live)
         grouped = f" GROUP BY {', '.join(groups)}" if groups else ""
         key = group_key_text(group_by)
-        records = [_counts(i.seq, key, "elements", "missing", "repeated", "elements - missing") for i in items]
+        records = [_counts(i.seq, key, "__rows", "__missing", "__repeated", "__rows - __missing") for i in items]
         parts.append(f"SELECT {sql.melted(records)} FROM (SELECT {', '.join([*groups, *sums])} FROM {counted}{grouped})")
-    return bound.sparkSession.sql(" UNION ALL ".join(parts), src=bound)
+    return sql.over(bound, " UNION ALL ".join(parts))
 
 
 def _reason(error: Exception) -> str:

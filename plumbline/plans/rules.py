@@ -110,7 +110,8 @@ class Rule:
             kwargs.setdefault("column", raw.get("column_name"))
             outer: Mapping[str, Any] = raw
         elif raw.get("kwargs") is not None:
-            kwargs, outer = dict(raw["kwargs"]), raw
+            given = raw["kwargs"]
+            kwargs, outer = dict(json.loads(given) if isinstance(given, str) else given), raw
         else:
             kwargs, outer = {k: v for k, v in raw.items() if k not in META_KEYS}, raw
         if kwargs.get("column", "") is None:
@@ -186,6 +187,16 @@ def rules_to_frame(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:
     return spark.createDataFrame(rows, RULE_SCHEMA).withColumn("expectation_id", expectation_id())
 
 
+# Other names that rule tables have for the same columns.
+_COLUMN_NAMES = {
+    "ExpectationType": "expectation_type",
+    "ColumnName": "column_name",
+    "Parameters": "rule_params",
+    "ExpectationName": "rule_name",
+    "kwargs": "rule_params",
+}
+
+
 def normalise_rule_table(table: DataFrame, suite: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Turn a rule table into suite rows; returns (accepted, rejected).
 
@@ -194,6 +205,7 @@ def normalise_rule_table(table: DataFrame, suite: str | None = None) -> tuple[Da
     is absent. A row whose parameters are not a JSON object, or which names no rule, is rejected
     with a reason and the rest go on.
     """
+    table = table.withColumnsRenamed({old: new for old, new in _COLUMN_NAMES.items() if new not in table.columns})
     have = set(table.columns)
 
     def optional(name: str, default: str | None = None) -> Column:

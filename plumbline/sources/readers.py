@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.plans import sqltext as sql
+from plumbline import sqltext as sql
 from plumbline.session import scratch_dir
 
 # The size of one fetch of the date-sliced extract, and the rows of a limited batch.

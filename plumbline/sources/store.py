@@ -7,7 +7,7 @@ appended again.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -86,15 +86,86 @@ def store_rows(results: DataFrame, batch: str, timestamp: str) -> dict[str, Data
     }
 
 
+# The compact layout: four tables, verdicts as a status word, parameters and outcome as JSON text.
+COMPACT_TABLES = {
+    "ExpectationSuites": "id string, SuiteName string, SuiteDescription string",
+    "Expectations": (
+        "id string, SuiteID string, ExpectationName string, ExpectationType string, ColumnName string, Parameters string"
+    ),
+    "Validations": "id string, SuiteID string, DatasetName string, ValidationTimestamp string, Status string",
+    "ValidationResults": "id string, ValidationID string, ExpectationID string, Status string, ObservedValue string",
+}
+
+COMPACT_LINKS = (
+    ("Expectations", "SuiteID", "ExpectationSuites"),
+    ("Validations", "SuiteID", "ExpectationSuites"),
+    ("ValidationResults", "ValidationID", "Validations"),
+    ("ValidationResults", "ExpectationID", "Expectations"),
+)
+
+_STATUS = "if(success, 'Success', 'Failed')"
+
+# What was observed, by rule: the total, and how many values are as the rule wants or are missing.
+_OBSERVED = """
+CASE expectation_type
+  WHEN 'expect_column_values_to_be_unique' THEN
+    to_json(named_struct('total', element_count, 'unique', element_count - missing_count - unexpected_count))
+  WHEN 'expect_column_values_to_not_be_null' THEN
+    to_json(named_struct('total', element_count, 'missing', missing_count))
+  ELSE to_json(named_struct('total', element_count, 'expected', element_count - missing_count - unexpected_count,
+                            'missing', missing_count, 'observed', observed_value, 'group', group_key, 'error', exception))
+END
+"""
+
+
+def compact_store_rows(results: DataFrame, batch: str, timestamp: str) -> dict[str, DataFrame]:
+    """The rows of the compact layout for the verdicts of one run."""
+    keyed = results.select(
+        "*",
+        digest("suite").alias("suite_id"),
+        digest("source", F.lit(batch), "suite").alias("validation_id"),
+        digest("suite", "expectation_type", "kwargs", "row_condition", "group_by").alias("expectation_id"),
+    )
+    validations = keyed.groupBy("validation_id", "suite_id", "source").agg(F.bool_and("success").alias("success"))
+    rules = keyed.groupBy("expectation_id", "suite_id", "expectation_type", "column_name", "kwargs").agg(
+        F.min("rule_name").alias("rule_name")
+    )
+    return {
+        "ExpectationSuites": keyed.selectExpr("suite_id AS id", "suite AS SuiteName", "'' AS SuiteDescription").distinct(),
+        "Expectations": rules.selectExpr(
+            "expectation_id AS id",
+            "suite_id AS SuiteID",
+            "rule_name AS ExpectationName",
+            "expectation_type AS ExpectationType",
+            "column_name AS ColumnName",
+            "kwargs AS Parameters",
+        ),
+        "Validations": validations.select(
+            F.col("validation_id").alias("id"),
+            F.col("suite_id").alias("SuiteID"),
+            F.concat_ws(" ", "source", F.lit(batch)).alias("DatasetName"),
+            F.lit(timestamp).alias("ValidationTimestamp"),
+            F.expr(_STATUS).alias("Status"),
+        ),
+        "ValidationResults": keyed.select(
+            digest("validation_id", "expectation_id", F.col("seq").cast("string"), "group_key").alias("id"),
+            F.col("validation_id").alias("ValidationID"),
+            F.col("expectation_id").alias("ExpectationID"),
+            F.expr(_STATUS).alias("Status"),
+            F.expr(_OBSERVED).alias("ObservedValue"),
+        ),
+    }
+
+
 def only_new(existing: DataFrame, rows: DataFrame) -> DataFrame:
     """The rows whose key the table does not have yet."""
     return rows.join(existing.select("id"), "id", "left_anti")
 
 
-def read_store(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+def read_store(spark: SparkSession, path: str, layout: Mapping[str, str] = TABLES) -> dict[str, DataFrame]:
     """The tables of a store; a table that was never written is empty."""
     tables = {}
-    for name, schema in TABLES.items():
+    for name, schema in layout.items():
         try:
             tables[name] = spark.read.schema(schema).parquet(f"{path}/{name}")
         except AnalysisException as error:
@@ -104,15 +175,24 @@ def read_store(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return tables
 
 
+def _append(spark: SparkSession, path: str, layout: Mapping[str, str], rows: Mapping[str, DataFrame]) -> None:
+    """Append what is new, parents before children."""
+    existing = read_store(spark, path, layout)
+    for name in layout:
+        only_new(existing[name], rows[name]).write.mode("append").parquet(f"{path}/{name}")
+
+
 def append_to_store(results: DataFrame, path: str, batch: str, timestamp: str) -> None:
-    """Store the verdicts of one run, parents before children. A run that is stored again adds nothing.
+    """Store the verdicts of one run. A run that is stored again adds nothing.
 
     The verdicts are written once before the tables are made from them, so the data is checked once.
     """
-    rows = store_rows(staged(results), batch, timestamp)
-    existing = read_store(results.sparkSession, path)
-    for name in TABLES:
-        only_new(existing[name], rows[name]).write.mode("append").parquet(f"{path}/{name}")
+    _append(results.sparkSession, path, TABLES, store_rows(staged(results), batch, timestamp))
+
+
+def append_to_compact_store(results: DataFrame, path: str, batch: str, timestamp: str) -> None:
+    """The same in the compact layout."""
+    _append(results.sparkSession, path, COMPACT_TABLES, compact_store_rows(staged(results), batch, timestamp))
 
 
 def store_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -121,13 +201,15 @@ def store_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-def check_store(tables: Mapping[str, DataFrame]) -> DataFrame:
+def check_store(
+    tables: Mapping[str, DataFrame], links: Sequence[tuple[str, str, str]] = LINKS
+) -> DataFrame:
     """Referential integrity of the store itself: one row per link."""
     checks = [
         reference_check(
             tables[child].select(F.col(column).alias("key")), tables[parent].select(F.col("id").alias("key")), ["key"]
         ).select(F.lit(child).alias("table_name"), F.lit(column).alias("column_name"), F.lit(parent).alias("reference"), "*")
-        for child, column, parent in LINKS
+        for child, column, parent in links
     ]
     return reduce(DataFrame.unionByName, checks)
 

@@ -39,6 +39,16 @@ def melted(records: Sequence[Mapping[str, str]]) -> str:
     return "inline(array(" + ", ".join(structs) + "))"
 
 
+# Stands for the table a statement reads. Everything else in the statement is literal text.
+SOURCE = "__source_table__"
+
+
+def over(df: DataFrame, statement: str, params: Mapping[str, Any] | None = None) -> DataFrame:
+    """Run a statement over a DataFrame named `SOURCE` in it. Braces in conditions and names stay as they are."""
+    literal = statement.replace("{", "{{").replace("}", "}}").replace(SOURCE, "{src}")
+    return df.sparkSession.sql(literal, args=dict(params or {}), src=df)
+
+
 def local_table(spark: SparkSession, rows: Sequence[Mapping[str, Any]], schema: str) -> DataFrame:
     """Metadata rows (rules, column facts) as a table that Spark folds into the plan."""
     return spark.sql(

@@ -6,6 +6,8 @@ import pytest
 
 from plumbline.operators.suite import alerts, fill_if_empty, merge_suites, records, statistics, validate
 from plumbline.operators.unexpected import unexpected_values
+from plumbline.operators.profile import profile
+from plumbline.operators.structure import primary_key_check, reference_check
 from plumbline.plans.registry import is_of_type, literal
 from plumbline.plans.rules import (
     Rule,
@@ -163,6 +165,30 @@ def test_rule_table_rejects_what_it_cannot_read(spark):
     assert {r["kwargs"] for r in accepted.collect()} == {'{"column":"c"}'}
 
 
+def test_rule_tables_of_result_stores(spark):
+    rows = [("Unique Customer IDs", UNIQUE, "customer_id", '{"mostly": 1.0}')]
+    table = spark.createDataFrame(rows, "ExpectationName string, ExpectationType string, ColumnName string, Parameters string")
+    rule = rules_from_frame(normalise_rule_table(table)[0])[0]
+    assert (rule.rule_name, rule.column, rule.mostly) == ("Unique Customer IDs", "customer_id", "1")
+    stored = spark.createDataFrame([(UNIQUE, '{"column": "email"}')], "expectation_type string, kwargs string")
+    assert rules_from_frame(normalise_rule_table(stored)[0]) == [
+        Rule.from_dict({"expectation_type": UNIQUE, "kwargs": '{"column": "email"}'})
+    ]
+
+
+def test_names_that_the_plans_use_themselves(spark):
+    names = ("n", "v", "rows", "missing", "seq", "a0", "{x}")
+    df = spark.createDataFrame([(1, 2, 3, 4, 5, 6, "q"), (1, 2, 3, 4, 5, 6, "{r}")], ", ".join(f"`{c}` {'string' if c == '{x}' else 'int'}" for c in names))
+    rules = [Rule.make(UNIQUE, column="{x}").by(*names[:-1]).where("`{x}` <> '{r}' OR n = 1 AND `{x}` RLIKE 'r{1}'")]
+    rules += [Rule.make(UNIQUE, column=c) for c in names] + [Rule.make(BETWEEN, column="n", max_value=0).by("a0")]
+    rows = verdicts(df, rules, samples=True)
+    assert [r["unexpected_count"] for r in rows] == [0] + [2] * 6 + [0, 2]
+    assert rows[0]["element_count"] == 2
+    assert primary_key_check(df, ["n", "v"]).first()["duplicate_count"] == 1
+    assert reference_check(df, df, ["n", "rows"]).first()["is_valid"]
+    assert profile(df).count() == len(names)
+
+
 def test_merge_and_fill(spark):
     old = rules_to_frame(spark, [Rule.make(NOT_NULL, column="a")])
     new = rules_to_frame(spark, [Rule.make(NOT_NULL, column="a"), Rule.make(NOT_NULL, column="b"), Rule.make(NOT_NULL, column="b")])

@@ -14,7 +14,15 @@ from plumbline.operators.suite import validate
 from plumbline.plans.rules import Rule
 from plumbline.session import scratch_dir
 from plumbline.sources.readers import between_days, day_predicates, jdbc_options, limited_batch, resolve_source, staged
-from plumbline.sources.store import append_to_store, check_store, read_store, results_with_rules
+from plumbline.sources.store import (
+    COMPACT_LINKS,
+    COMPACT_TABLES,
+    append_to_compact_store,
+    append_to_store,
+    check_store,
+    read_store,
+    results_with_rules,
+)
 from plumbline.sources.writers import read_suite_rows, rows_frame, summary, write_by_day, write_run
 from plumbline.streaming.microbatch import stream_results, validate_stream
 
@@ -183,6 +191,20 @@ def test_store_is_idempotent_and_linked(spark, sales):
     assert results_with_rules(tables).count() == 12
 
 
+def test_compact_store(spark):
+    path = scratch_dir(spark, "compact-test")
+    rule = Rule.make("expect_column_values_to_be_unique", column="id", mostly=1.0)
+    whole = spark.range(1000)
+    repeated = spark.range(1099).union(spark.range(1))
+    append_to_compact_store(validate(whole, [rule], source="customers"), path, "January", "2024-01-31 12:00:00")
+    append_to_compact_store(validate(repeated, [rule], source="customers"), path, "February", "2024-02-28 12:00:00")
+    tables = read_store(spark, path, COMPACT_TABLES)
+    got = {r["Status"]: r["ObservedValue"] for r in tables["ValidationResults"].collect()}
+    assert got == {"Success": '{"total":1000,"unique":1000}', "Failed": '{"total":1100,"unique":1098}'}
+    assert tables["Expectations"].count() == 1 and tables["Validations"].count() == 2
+    assert all(r["is_valid"] for r in check_store(tables, COMPACT_LINKS).collect())
+
+
 def test_sources_run(spark, tmp_path, sales):
     rules = {"sales": [Rule.make(NOT_NULL, column="customer_id")]}
     run = validate_sources(spark, {"sales": sales, "other": sales, "bad": "x.xlsx", "worse": 3}, rules, auto_suggest=True)
