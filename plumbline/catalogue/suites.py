@@ -675,6 +675,23 @@ def date_macros(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", *columns)
 
 
+@query(
+    """
+SELECT o_orderkey, strftime(d, '%d/%m/%Y') AS slashed, strftime(d, '%Y week of %b %d (%j)') AS worded,
+       strftime(last_day(d), '%A %B %y 100%%') AS month_end
+FROM (SELECT o_orderkey, o_orderdate::DATE AS d FROM orders)"""
+)
+def date_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Macros rendered in formats of the caller."""
+    anchor = F.col("o_orderdate").cast("date")
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        render(DATE_MACROS["today"](anchor), "%d/%m/%Y").alias("slashed"),
+        render(DATE_MACROS["today"](anchor), "%Y week of %b %d (%j)").alias("worded"),
+        render(DATE_MACROS["month_end"](anchor), "%A %B %y 100%%").alias("month_end"),
+    )
+
+
 _CONDITION = "'event_type = :kind_' || event_type || ' AND value > :min_value AND props <> '':not_'' AND user_id = :user_' || user_id"
 
 

@@ -8,12 +8,29 @@ anchored at a fixed day, so that a run gives the same answer when it is repeated
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-ISO_DATE = "yyyy-MM-dd"
+ISO_DATE = "%Y-%m-%d"
+
+# Strftime directives and the date patterns that mean the same.
+_PATTERNS = {
+    "%Y": "yyyy",
+    "%y": "yy",
+    "%m": "MM",
+    "%b": "MMM",
+    "%B": "MMMM",
+    "%d": "dd",
+    "%j": "DDD",
+    "%a": "EEE",
+    "%A": "EEEE",
+    "%H": "HH",
+    "%M": "mm",
+    "%S": "ss",
+}
 
 
 def today(anchor: Column) -> Column:
@@ -76,8 +93,29 @@ def year_minus(anchor: Column, years: int = 1) -> Column:
     return F.add_months(anchor, -12 * years)
 
 
+def date_pattern(fmt: str) -> str:
+    """The date pattern of a strftime format. Text between directives is quoted, so it stays as it is."""
+    pattern, plain = "", ""
+    for part in re.split(r"(%.)", fmt):
+        if part == "%%":
+            plain += "%"
+        elif not part.startswith("%"):
+            plain += part
+        elif part in _PATTERNS:
+            pattern += _quoted(plain) + _PATTERNS[part]
+            plain = ""
+        else:
+            raise ValueError(f"unsupported format directive {part!r}")
+    return pattern + _quoted(plain)
+
+
+def _quoted(plain: str) -> str:
+    return "'" + plain.replace("'", "''") + "'" if plain else ""
+
+
 def render(day: Column, fmt: str = ISO_DATE) -> Column:
-    return F.date_format(day, fmt)
+    """A date as text, in a strftime format."""
+    return F.date_format(day, date_pattern(fmt))
 
 
 DATE_MACROS: dict[str, Callable[..., Column]] = {

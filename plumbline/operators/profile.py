@@ -1,12 +1,15 @@
-"""Whole-table profile: one row per column from at most two passes over the data.
+"""Whole-table profile: one row per column, as a rule from two passes over the data.
 
 The first pass is one aggregate and leaves one row. The second counts the values of each column;
-distinct counts, value lists and quartiles come from those counts.
+distinct counts, value lists and quartiles come from those counts. Two kinds of column are read once
+or twice more: numeric ones with too many rows for one task to rank, and long texts, for which a
+sketch tells whether a value list is worth moving them.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -31,6 +34,8 @@ SAMPLE_SEED = 42
 # A wide table is aggregated in several passes; each reads only its own columns. A numeric column
 # takes 8 buffer fields, and Spark compiles no aggregate with more than 100.
 COLUMNS_PER_PASS = 12
+# The values of at most this many columns are counted in one job.
+COLUMNS_PER_JOB = 64
 
 NUMERIC, STRING, DATETIME, BOOLEAN, OTHER = "numeric", "string", "datetime", "boolean", "other"
 
@@ -252,7 +257,11 @@ def profile(
             branches.append(_distinct_branch(i, field))
     # One row per column of the table on both sides of the join.
     known = sql.local_table(df.sparkSession, _known(fields, facts, points), _KNOWN)
-    if branches:
+    if len(branches) > COLUMNS_PER_JOB:
+        # One plan for a thousand columns would take the driver longer than the data takes the cluster.
+        jobs = [branches[i : i + COLUMNS_PER_JOB] for i in range(0, len(branches), COLUMNS_PER_JOB)]
+        counted = reduce(DataFrame.unionByName, [staged(sql.over(df, " UNION ALL ".join(job))) for job in jobs])
+    elif branches:
         counted = sql.over(df, " UNION ALL ".join(branches))
     else:
         counted = known.selectExpr(

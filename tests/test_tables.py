@@ -70,6 +70,12 @@ def test_sketched_profile_agrees_roughly(spark):
     assert exact["s"]["value_counts"] == sketched["s"]["value_counts"]
 
 
+def test_wide_tables_are_profiled_in_several_jobs(spark):
+    df = spark.range(20).selectExpr(*[f"CAST(id % {i + 1} AS STRING) AS c{i}" for i in range(80)])
+    got = by_column(profile(df))
+    assert [got[f"c{i}"]["distinct_count"] for i in range(80)] == [min(i + 1, 20) for i in range(80)]
+
+
 def test_sample_is_capped(spark):
     got = by_column(profile(spark.range(20_000), max_sample_rows=1000))
     assert 500 < got["id"]["record_count"] < 1500

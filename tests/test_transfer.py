@@ -58,6 +58,14 @@ def test_date_macros(spark, macro, arguments, day, expected):
     assert built == called == expected
 
 
+def test_formats(spark):
+    day = F.lit("2024-02-03").cast("date")
+    row = spark.range(1).select(render(day, "%d.%m.%y o'clock %%"), render(day, "%j"), render(day)).first()
+    assert tuple(row) == ("03.02.24 o'clock %", "034", "2024-02-03")
+    with pytest.raises(ValueError):
+        render(day, "%Q")
+
+
 def test_parameters(spark):
     rows = [("a > :low AND b = :b_2 AND c <> ':quoted' AND d::int > :low",), ("x > 1",)]
     got = spark.createDataFrame(rows, "c string").select(condition_parameters(F.col("c"))).collect()
