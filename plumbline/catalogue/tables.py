@@ -492,6 +492,7 @@ FROM (SELECT count(*) AS n, count(*) FILTER (WHERE {column} IS NOT NULL AND {col
         _reference_oracle("orders-customer", "orders", "o_custkey", "customer", "c_custkey"),
         _reference_oracle("documents-labels", "documents", "doc_id", "labels", "doc_id"),
         _reference_oracle("nulled-orders", _NULLED_LINES, "l_orderkey", "orders", "o_orderkey"),
+        _reference_oracle("nulled-orders, large", _NULLED_LINES, "l_orderkey", "orders", "o_orderkey"),
     )
 )
 def ref_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -513,7 +514,9 @@ def ref_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = [
         reference_check(child, parent, ["key"]).select(F.lit(name).alias("link"), "*") for name, child, parent in links
     ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    name, child, parent = links[3]
+    large = reference_check(child, parent, ["key"], broadcast_rows=0).select(F.lit(f"{name}, large").alias("link"), "*")
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3]).unionByName(large)
 
 
 @query(
@@ -547,6 +550,40 @@ def rows_without_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_reference(lines, suppliers, ["l_suppkey", "l_returnflag"])
 
 
+@query(
+    """SELECT l_returnflag, l_orderkey, l_linenumber FROM
+         (SELECT CASE WHEN l_quantity > 25 THEN 7 WHEN l_quantity > 20 THEN NULL ELSE l_orderkey END AS l_orderkey,
+                 l_linenumber, l_returnflag FROM lineitem) l
+       WHERE l.l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' OR o_orderkey = 7)"""
+)
+def rows_with_large_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As a reference too large to broadcast takes it: half of the rows have one key, a tenth a null key."""
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
+        "CASE WHEN l_quantity > 25 THEN 7 WHEN l_quantity > 20 THEN NULL ELSE l_orderkey END AS l_orderkey",
+        "l_linenumber",
+        "l_returnflag",
+    )
+    orders = table(spark, sf_dir, "orders").where("o_orderstatus = 'F' OR o_orderkey = 7")
+    return with_reference(lines, orders.selectExpr("o_orderkey AS l_orderkey"), ["l_orderkey"], broadcast_rows=0)
+
+
+@query(
+    """SELECT l_orderkey, l_linenumber, l_returnflag FROM
+         (SELECT CASE WHEN l_quantity > 25 THEN 7 WHEN l_quantity > 20 THEN NULL ELSE l_orderkey END AS l_orderkey,
+                 l_linenumber, l_returnflag FROM lineitem) l
+       WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o_orderstatus = 'F' AND o.o_orderkey = l.l_orderkey AND o_orderkey <> 7)"""
+)
+def rows_without_large_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, where the key that half of the rows have is missing."""
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
+        "CASE WHEN l_quantity > 25 THEN 7 WHEN l_quantity > 20 THEN NULL ELSE l_orderkey END AS l_orderkey",
+        "l_linenumber",
+        "l_returnflag",
+    )
+    orders = table(spark, sf_dir, "orders").where("o_orderstatus = 'F' AND o_orderkey <> 7")
+    return without_reference(lines, orders.selectExpr("o_orderkey AS l_orderkey"), ["l_orderkey"], broadcast_rows=0)
+
+
 @query(
     union_all(
         """SELECT 'events' AS source, d <= 60 AS is_valid, 60::DOUBLE AS max_allowed_delay, round(d, 6) AS delay_minutes FROM

@@ -12,11 +12,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.scalars import minutes_between, parse_timestamp, percent
-from plumbline.operators.skew import any_key_null, attach_facts, key_counts
+from plumbline.operators.skew import any_key_null, attach_facts, keep_by_key, key_counts
 from plumbline import sqltext as sql
 
 EXAMPLES = 10
 
+# A reference with at most this many rows and bytes of text keys is broadcast.
+BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 * 1024 * 1024
+
 
 def declared_schema(spark: SparkSession, schema: T.StructType | Mapping[str, Any] | str) -> T.StructType:
     """A schema given as such, as its JSON form, or as the path of a file with that form."""
@@ -113,62 +117,81 @@ def _known_keys(reference: DataFrame, keys: Sequence[str]) -> DataFrame:
     return reference.select(*[F.col(f"`{k}`") for k in keys]).distinct()
 
 
-def reference_check(df: DataFrame, reference: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _fits_broadcast(reference: DataFrame, keys: Sequence[str], broadcast_rows: int) -> bool:
+    """Whether the keys of a reference are few and short enough to broadcast. Counts rows, for Parquet from its footers."""
+    if not broadcast_rows or reference.count() > broadcast_rows:
+        return False
+    texts = [k for k in keys if isinstance(reference.schema[k].dataType, (T.StringType, T.BinaryType))]
+    if not texts:
+        return True
+    length = reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(f"`{k}`"), F.lit(0)) for k in texts])
+    return (reference.agg(F.sum(length)).first()[0] or 0) <= BROADCAST_BYTES
+
+
+def _reference_outcome(total: Column, matched: Column) -> list[Column]:
+    share = F.when(total > 0, F.round(percent(total - matched, total), 2)).otherwise(0.0)
+    return [
+        (total == matched).alias("is_valid"),
+        total.alias("total_count"),
+        matched.alias("matched_count"),
+        (total - matched).alias("missing_count"),
+        share.alias("missing_percentage"),
+    ]
+
+
+def reference_check(
+    df: DataFrame, reference: DataFrame, keys: Sequence[str], *, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
     """One row: rows, rows with and without a reference, share without, and the verdict.
 
-    Rows are counted per key before the join, so both sides have one row per key and a hot key
-    weighs no more than any other. A null key has no reference.
+    A reference of at most `broadcast_rows` rows is broadcast, after its size is checked, and the
+    rows are read once without a shuffle. Otherwise rows are counted per key before the join, so
+    that both sides have one row per key and a hot key weighs no more than any other. A null key has
+    no reference.
     """
     known = _known_keys(reference, keys).withColumn("__known", F.lit(True))
+    if _fits_broadcast(reference, keys, broadcast_rows):
+        looked_up = df.select(*[F.col(f"`{k}`") for k in keys]).join(F.broadcast(known), list(keys), "left")
+        return looked_up.agg(*_reference_outcome(F.count(F.lit(1)), F.count("__known")))
+    counted = key_counts(df, keys).join(known, list(keys), "left")
     total = F.coalesce(F.sum("__n"), F.lit(0))
     matched = F.coalesce(F.sum(F.when(F.col("__known"), F.col("__n"))), F.lit(0))
-    share = F.when(total > 0, F.round(percent(total - matched, total), 2)).otherwise(0.0)
-    return (
-        key_counts(df, keys)
-        .join(known, list(keys), "left")
-        .agg(
-            (total == matched).alias("is_valid"),
-            total.alias("total_count"),
-            matched.alias("matched_count"),
-            (total - matched).alias("missing_count"),
-            share.alias("missing_percentage"),
-        )
-    )
+    return counted.agg(*_reference_outcome(total, matched))
 
 
-def _with_flag(df: DataFrame, reference: DataFrame, keys: Sequence[str], found: bool) -> DataFrame:
-    known = _known_keys(reference, keys).withColumn("__known", F.lit(True))
-    facts = key_counts(df, keys, "__rows").join(known, list(keys), "left")
-    facts = facts.where(F.col("__known").isNotNull() if found else F.col("__known").isNull())
-    return attach_facts(df, facts.drop("__known"), keys, "__rows").drop("__rows")
+def _kept(df: DataFrame, reference: DataFrame, keys: Sequence[str], how: str, broadcast_rows: int) -> DataFrame:
+    known = _known_keys(reference, keys)
+    if _fits_broadcast(reference, keys, broadcast_rows):
+        return df.join(F.broadcast(known), list(keys), how).select(df.columns)
+    return keep_by_key(df, known, keys, how)
 
 
-def with_reference(df: DataFrame, reference: DataFrame, keys: Sequence[str]) -> DataFrame:
+def with_reference(
+    df: DataFrame, reference: DataFrame, keys: Sequence[str], *, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
     """The rows whose key the reference has."""
-    return _with_flag(df, reference, keys, True)
+    return _kept(df, reference, keys, "left_semi", broadcast_rows)
 
 
-def without_reference(df: DataFrame, reference: DataFrame, keys: Sequence[str]) -> DataFrame:
+def without_reference(
+    df: DataFrame, reference: DataFrame, keys: Sequence[str], *, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
     """The rows whose key the reference lacks; a null key is never matched."""
-    return _with_flag(df, reference, keys, False)
+    return _kept(df, reference, keys, "left_anti", broadcast_rows)
 
 
 def missing_examples(
-    df: DataFrame, reference: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (), limit: int = EXAMPLES
+    df: DataFrame,
+    reference: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str] = (),
+    limit: int = EXAMPLES,
+    *,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """The first rows without a reference, in key order and then in `order_by` order.
-
-    Only the first `limit` missing keys can hold the first `limit` rows, so only their rows are read
-    back: the join is a broadcast of at most `limit` keys.
-    """
-    keyed = [F.col(f"`{k}`") for k in keys]
-    first_keys = key_counts(df, keys).join(_known_keys(reference, keys), list(keys), "left_anti")
-    first_keys = first_keys.select(*keyed).orderBy(*keyed).limit(limit)
-    # Renamed, because both sides of the join derive from `df`.
-    side = F.broadcast(first_keys.toDF(*[f"__key_{i}" for i in range(len(keys))]))
-    same = reduce(lambda a, b: a & b, [key.eqNullSafe(F.col(f"__key_{i}")) for i, key in enumerate(keyed)])
-    rest = [F.col(f"`{c}`") for c in order_by]
-    return df.join(side, same, "left_semi").orderBy(*keyed, *rest).limit(limit)
+    """The first rows without a reference, in key order and then in `order_by` order."""
+    order = [F.col(f"`{c}`") for c in (*keys, *order_by)]
+    return without_reference(df, reference, keys, broadcast_rows=broadcast_rows).orderBy(*order).limit(limit)
 
 
 def freshness(

@@ -13,6 +13,7 @@ from plumbline.operators.custom import custom_check
 from plumbline.operators.outliers import detect_anomalies
 from plumbline.operators.profile import profile
 from plumbline.operators.quantiles import exact_quantiles
+from plumbline.operators import structure
 from plumbline.operators.skew import attach_facts, key_counts
 from plumbline.operators.structure import (
     duplicate_keys,
@@ -194,19 +195,31 @@ def test_key_check_counts_null_keys(spark):
     assert primary_key_check(df.limit(0), ["k"]).first()["is_valid"]
 
 
-def test_references_with_null_and_hot_keys(spark):
+@pytest.mark.parametrize("broadcast_rows", [0, 1_000_000])
+def test_references_with_null_and_hot_keys(spark, broadcast_rows):
+    how = {"broadcast_rows": broadcast_rows}
     df = spark.range(3000).selectExpr("CASE WHEN id < 1000 THEN 7 WHEN id < 1100 THEN NULL ELSE id END AS k", "id")
     ref = spark.range(0, 3000, 2).selectExpr("id AS k").union(spark.range(10).selectExpr("id AS k"))
-    row = reference_check(df, ref, ["k"]).first()
-    found = with_reference(df, ref, ["k"])
-    lost = without_reference(df, ref, ["k"])
+    row = reference_check(df, ref, ["k"], **how).first()
+    found = with_reference(df, ref, ["k"], **how)
+    lost = without_reference(df, ref, ["k"], **how)
     assert row["matched_count"] == found.count() == 1000 + 950
     assert row["missing_count"] == lost.count() == 100 + 950
-    assert found.join(lost, "id").isEmpty()
-    first = missing_examples(df, ref, ["k"], order_by=["id"])
+    assert found.join(lost, "id").isEmpty() and found.columns == df.columns
+    first = missing_examples(df, ref, ["k"], order_by=["id"], **how)
     assert [r["id"] for r in first.collect()] == list(range(1000, 1010))
-    assert reference_check(df, ref.limit(0), ["k"]).first()["missing_percentage"] == 100.0
-    assert reference_check(df.limit(0), ref, ["k"]).first()["is_valid"]
+    assert reference_check(df, ref.limit(0), ["k"], **how).first()["missing_percentage"] == 100.0
+    assert reference_check(df.limit(0), ref, ["k"], **how).first()["is_valid"]
+    texts = df.selectExpr("CAST(k AS STRING) AS k", "id")
+    assert with_reference(texts, ref.selectExpr("CAST(k AS STRING) AS k"), ["k"], **how).count() == 1950
+
+
+def test_only_checked_references_are_broadcast(spark, monkeypatch):
+    df, ref = spark.range(100).toDF("k"), spark.range(50).selectExpr("CAST(id AS STRING) AS k")
+    assert structure._fits_broadcast(df, ["k"], 100) and not structure._fits_broadcast(df, ["k"], 99)
+    assert structure._fits_broadcast(ref, ["k"], 100)
+    monkeypatch.setattr(structure, "BROADCAST_BYTES", 50)
+    assert not structure._fits_broadcast(ref, ["k"], 100)
 
 
 def test_hot_rows_are_not_shuffled(spark):
