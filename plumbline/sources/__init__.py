@@ -10,12 +10,13 @@ from plumbline.sources.readers import (
     resolve_source,
     staged,
 )
-from plumbline.sources.suites import read_rule_table, read_suite
+from plumbline.sources.suites import load_rules, read_rule_table, read_suite
 
 __all__ = [
     "day_predicates",
     "jdbc_options",
     "limited_batch",
+    "load_rules",
     "read_csv",
     "read_csv_as_text",
     "read_jdbc",

@@ -11,7 +11,7 @@ from plumbline.functions.params import bind_conditions, condition_parameters
 from plumbline.functions.scalars import canonical_json, slug, split_list
 from plumbline.operators.sources_run import validate_sources
 from plumbline.operators.suite import validate
-from plumbline.plans.rules import Rule
+from plumbline.plans.rules import Rule, rules_from_config, rules_to_frame
 from plumbline.session import scratch_dir
 from plumbline.sources.readers import between_days, day_predicates, jdbc_options, limited_batch, resolve_source, staged
 from plumbline.sources.store import (
@@ -23,7 +23,8 @@ from plumbline.sources.store import (
     read_store,
     results_with_rules,
 )
-from plumbline.sources.writers import read_suite_rows, rows_frame, summary, write_by_day, write_run
+from plumbline.sources.writers import read_suite_rows, rows_frame, summary, write_by_day, write_run, write_suite
+from plumbline.sources.suites import load_rules
 from plumbline.streaming.microbatch import stream_results, validate_stream
 
 NOT_NULL = "expect_column_values_to_not_be_null"
@@ -199,6 +200,17 @@ def test_store_is_idempotent_and_linked(spark, sales):
     assert results_with_rules(tables).count() == 12
 
 
+def test_suites_are_saved_and_applied_by_name(spark, tmp_path, sales):
+    document = {"expectation_suite_name": "a", "expectations": [{"type": NOT_NULL, "column": "customer_id", "row_condition": "total_amount > 1"}]}
+    rows = rules_to_frame(spark, rules_from_config(document) + rules_from_config([{"type": NOT_NULL, "column": "x"}], "b"))
+    write_suite(rows, str(tmp_path / "suites"))
+    saved = read_suite_rows(spark, str(tmp_path / "suites"))
+    assert load_rules(saved, "a") == rules_from_config(document)
+    assert validate(sales, load_rules(saved, "a")).first()["unexpected_count"] == 1
+    with pytest.raises(LookupError):
+        load_rules(saved, "c")
+
+
 def test_compact_store(spark):
     path = scratch_dir(spark, "compact-test")
     rule = Rule.make("expect_column_values_to_be_unique", column="id", mostly=1.0)
