@@ -60,6 +60,8 @@ def test_profile_of_nothing(spark):
 
 
 def test_profile_without_text(spark):
+    nothing = by_column(profile(spark.range(10).selectExpr("id", "CAST(NULL AS DOUBLE) AS d"), exact=False))
+    assert nothing["d"]["p50"] is None and nothing["d"]["distinct_count"] == 0
     got = by_column(profile(spark.range(10), exact=False))
     assert got["id"]["distinct_count"] in range(8, 13) and got["id"]["min"] == 0.0
 
