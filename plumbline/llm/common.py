@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.session import scratch_dir
@@ -104,5 +106,31 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def partitions_for(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+SLICES = 32
+
+
+def vector_rows(vector: np.ndarray) -> pa.RecordBatch:
+    """A vector of doubles as SLICES rows (slice, data), to be added up by `vector_sum`."""
+    parts = [p.tobytes() for p in np.array_split(vector.astype(np.float64), SLICES)]
+    return pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())], ["slice", "data"])
+
+
+def vector_sum(parts: DataFrame, size: int) -> np.ndarray:
+    """The sum of all vectors of `size` doubles in `parts`. Tasks add them up in two rounds, so that none of them reads
+    a slice of every input task; the driver gets one vector."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, part in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                found = np.frombuffer(part.as_buffer(), np.float64)
+                total[k] = total[k] + found if k in total else found
+        rows = [pa.array(list(total), pa.int32()), pa.array([t.tobytes() for t in total.values()], pa.binary())]
+        yield pa.RecordBatch.from_arrays(rows, ["slice", "data"])
+
+    for key in (["slice", F.pmod(F.spark_partition_id(), F.lit(64))], ["slice"]):
+        parts = parts.repartition(*key).mapInArrow(add, "slice int, data binary")
+    out = np.array_split(np.zeros(size), SLICES)
+    for r in parts.collect():
+        out[r.slice] = np.frombuffer(r.data, np.float64)
+    return np.concatenate(out)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import langid
+from plumbline.llm import decontaminate, hmm, jaccard, langid, linededup, pieces, quality, toxicity
 from plumbline.llm.common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +32,68 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = langid.identify(table(spark, sf_dir, "documents"))
     return found.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+LINE_DEDUP = r"""
+WITH lines AS (
+  SELECT coalesce(doc_id, -9223372036854775808) AS did, doc_id, i, list[i] AS line,
+         translate(trim(list[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, list, unnest(range(1, len(list) + 1)) AS i
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS list FROM documents))
+), shared AS (
+  SELECT key, max(did) AS last FROM lines WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT did) >= 3
+), marked AS (
+  SELECT l.*, s.key IS NOT NULL AND l.did <> s.last AS gone FROM lines l LEFT JOIN shared s ON l.key = s.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
+@query(LINE_DEDUP)
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = linededup.dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
+
+
+@query()
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select(
+        "doc_id",
+        (fold("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("passages").alias("n_passages"),
+    )
+
+
+@query()
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return found.select("doc_id", *base, "base_failed", "kept")
+
+
+@query()
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.similar_documents(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+@query()
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pieces.encode_samples(table(spark, sf_dir, "documents"), keep_ids=False)
+    return found.drop("ids")
+
+
+@query()
+def op6_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score_texts(table(spark, sf_dir, "documents"))
