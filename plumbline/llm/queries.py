@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import decontaminate, hmm, jaccard, langid, linededup, pieces, quality, toxicity
+from plumbline.llm import decontaminate, extract, hmm, jaccard, langid, linededup, pieces, quality, repeats, toxicity
 from plumbline.llm.common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,16 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score_texts(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract.extract(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query()
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.without_repeats(table(spark, sf_dir, "documents"))
+    kept = F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256")
+    return found.select("doc_id", "n_words", "n_removed", kept)
