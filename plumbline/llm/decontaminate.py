@@ -26,12 +26,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from plumbline.llm.common import texts
 
 K1, B = 1.2, 0.75
 PASSAGE, STRIDE = 64, 32
-BLOCK = 8
+BLOCK = 4
 RATIO = 0.5
 OVERLAP = 0.5
 SHARD_ITEMS = 4096
@@ -59,80 +61,121 @@ def pieces_of(words: list[bytes]) -> set:
     return set(zip(words, words[1:], words[2:], strict=False)) if len(words) >= 3 else set(words)
 
 
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of all entries of the lists that begin at `starts` and have `sizes` entries."""
+    return np.arange(int(sizes.sum())) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+
+
+def summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order and the sum of the weights of each."""
+    if not len(keys):
+        return keys, weights
+    order = np.argsort(keys, kind="stable")
+    keys, weights = keys[order], weights[order]
+    edges = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[edges], np.add.reduceat(weights, edges)
+
+
+def distinct(keys: np.ndarray) -> np.ndarray:
+    """The distinct keys in order; sorting is quicker here than hashing."""
+    keys = np.sort(keys)
+    return keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
+
+
+class Lists:
+    """For every term a list of (place, weight), end to end."""
+
+    def __init__(self, lists: list[list[tuple[int, float]]]):
+        self.sizes = np.array([len(x) for x in lists], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.places = np.array([p for x in lists for p, _ in x], np.int64)
+        self.weights = np.array([w for x in lists for _, w in x], float)
+
+    def of(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(which of the given terms, place, weight) of all entries of the terms' lists."""
+        sizes = self.sizes[terms]
+        at = spread(self.starts[terms], sizes)
+        return np.repeat(np.arange(len(terms)), sizes), self.places[at], self.weights[at]
+
+
 class Index:
-    """Terms, impacts, block maxima and thresholds of a shard of items; statistics are those of all items."""
+    """Terms, impacts, block maxima and thresholds of a shard of items; statistics are those of all items.
+
+    Items are sorted by threshold before they are cut into blocks, so that a block's least threshold is close to all.
+    """
 
     def __init__(self, items: list[tuple[object, str]], df: dict[bytes, int], n_items: int, mean_length: float, ratio: float):
-        items = [(key, text, words_of(text)) for key, text in items]
-        items = [x for x in items if x[2]]
-        self.keys = [key for key, _, _ in items]
-        self.parts = [tuple((pieces_of(p), p) for p in question_and_answer(text)) for _, text, _ in items]
-        self.lengths = [len(words) for _, _, words in items]
-        self.terms: dict[bytes, int] = {}
-        postings: list[dict[int, float]] = []
-        for i, (_, _, words) in enumerate(items):
+        found = []
+        for key, text in items:
+            words = words_of(text)
+            if not words:
+                continue
             norm = K1 * (1 - B + B * len(words) / mean_length)
-            for term, tf in Counter(words).items():
-                idf = np.log(1 + (n_items - df[term] + 0.5) / (df[term] + 0.5))
+            impacts = {
+                t: float(np.log(1 + (n_items - df[t] + 0.5) / (df[t] + 0.5)) * tf * (K1 + 1) / (tf + norm))
+                for t, tf in Counter(words).items()
+            }
+            found.append((ratio * sum(impacts.values()) * min(1.0, STRIDE / len(words)), str(key), key, text, words, impacts))
+        found.sort(key=lambda x: (x[0], x[1], x[3]))
+        self.thresholds = np.array([x[0] for x in found])
+        self.keys = [x[2] for x in found]
+        self.parts = [tuple((pieces_of(p), p) for p in question_and_answer(x[3])) for x in found]
+        self.lengths = [len(x[4]) for x in found]
+        self.n_blocks = -(-len(found) // BLOCK)
+        self.block_least = np.array([self.thresholds[b * BLOCK] for b in range(self.n_blocks)])
+        self.terms: dict[bytes, int] = {}
+        postings: list[list[tuple[int, float]]] = []
+        for i, x in enumerate(found):
+            for term, impact in x[5].items():
                 t = self.terms.setdefault(term, len(self.terms))
                 if t == len(postings):
-                    postings.append({})
-                postings[t][i] = float(idf * tf * (K1 + 1) / (tf + norm))
-        self.postings = postings
-        own = [sum(postings[self.terms[t]][i] for t in set(words)) for i, (_, _, words) in enumerate(items)]
-        self.thresholds = np.array([ratio * s * min(1.0, STRIDE / n) for s, n in zip(own, self.lengths, strict=True)])
-        self.n_blocks = -(-len(items) // BLOCK)
-        self.block_least = np.array([self.thresholds[b * BLOCK : (b + 1) * BLOCK].min() for b in range(self.n_blocks)])
+                    postings.append([])
+                postings[t].append((i, impact))
         maxima: list[dict[int, float]] = []
         for posting in postings:
             best: dict[int, float] = {}
-            for i, impact in posting.items():
+            for i, impact in posting:
                 best[i // BLOCK] = max(best.get(i // BLOCK, 0.0), impact)
             maxima.append(best)
         # Terms in at least half of the blocks (and four or more) count through one bound for all blocks.
         common = [len(m) >= max(4, self.n_blocks / 2) for m in maxima]
         self.common = np.array([max(m.values()) if c else 0.0 for m, c in zip(maxima, common, strict=True)])
-        rare = [[] if c else sorted(m.items()) for m, c in zip(maxima, common, strict=True)]
-        self.sizes = np.array([len(r) for r in rare], np.int64)
-        self.starts = np.concatenate([[0], np.cumsum(self.sizes)])[:-1].astype(np.int64)
-        self.rare_block = np.array([b for r in rare for b, _ in r], np.int64)
-        self.rare_max = np.array([w for r in rare for _, w in r], float)
+        self.blocks = Lists([[] if c else sorted(m.items()) for m, c in zip(maxima, common, strict=True)])
+        self.items = Lists(postings)
 
-    def opened(self, ids: np.ndarray, cell: np.ndarray, n_cells: int, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(first cell, block) of each passage and block whose bound reaches the block's least threshold.
+    def opened(self, passage: np.ndarray, terms: np.ndarray, n_passages: int) -> np.ndarray:
+        """passage * n_blocks + block, in order, where the bound reaches the block's least threshold.
 
-        ids are terms, cell the stretch of STRIDE words that each lies in; a passage is a cell and its successor, or a
-        cell alone where it is the last one of its text (`last`).
+        (passage, term) are the distinct terms of each passage.
         """
-        shared = np.bincount(cell, weights=self.common[ids], minlength=n_cells)
-        shared[:-1] += np.where(last[:-1], 0.0, shared[1:])
-        size = self.sizes[ids]
-        owner = np.repeat(cell, size)
-        at = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(self.starts[ids], size)
-        block, weight = self.rare_block[at], self.rare_max[at]
-        back = (owner > 0) & ~last[np.maximum(owner - 1, 0)]
-        keys = np.concatenate([owner * self.n_blocks + block, (owner[back] - 1) * self.n_blocks + block[back]])
-        weights = np.concatenate([weight, weight[back]])
-        order = np.argsort(keys, kind="stable")
-        keys, weights = keys[order], weights[order]
-        if len(keys):
-            edges = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-            keys, bound = keys[edges], np.add.reduceat(weights, edges)
-            good = bound + shared[keys // self.n_blocks] >= self.block_least[keys % self.n_blocks] - 1e-9
-            keys = keys[good]
+        shared = np.bincount(passage, weights=self.common[terms], minlength=n_passages)
+        which, block, weight = self.blocks.of(terms)
+        keys, bound = summed(passage[which] * self.n_blocks + block, weight)
+        keys = keys[bound + shared[keys // self.n_blocks] >= self.block_least[keys % self.n_blocks] - 1e-9]
         # Passages whose common terms alone reach a threshold open every such block.
-        heavy = np.flatnonzero(shared >= self.block_least.min() - 1e-9)
+        heavy = np.flatnonzero(shared >= self.block_least[0] - 1e-9)
         if len(heavy):
             pairs = (heavy[:, None] * self.n_blocks + np.arange(self.n_blocks))[shared[heavy][:, None] >= self.block_least - 1e-9]
-            keys = np.unique(np.concatenate([keys, pairs]))
-        return keys // self.n_blocks, keys % self.n_blocks
-
-    def scores(self, terms: set[int], block: int) -> dict[int, float]:
-        """Exact scores of the items of a block for a passage with these terms."""
-        out: dict[int, float] = {}
-        for i in range(block * BLOCK, min((block + 1) * BLOCK, len(self.keys))):
-            out[i] = sum(self.postings[t].get(i, 0.0) for t in terms)
-        return out
+            keys = distinct(np.concatenate([keys, pairs]))
+        return keys
+
+    def retrieved(self, passage: np.ndarray, terms: np.ndarray, n_passages: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(passage, item, score) of all items in opened blocks that reach their threshold; scores are exact."""
+        keys = self.opened(passage, terms, n_passages)
+        wanted = np.zeros(n_passages, bool)
+        wanted[keys // self.n_blocks] = True
+        own = np.flatnonzero(wanted[passage])
+        # A bitmap of the opened blocks, over the passages that have any.
+        row = np.cumsum(wanted) - 1
+        bitmap = np.zeros((int(wanted.sum()), self.n_blocks), bool)
+        bitmap[row[keys // self.n_blocks], keys % self.n_blocks] = True
+        which, item, weight = self.items.of(terms[own])
+        at = passage[own][which]
+        inside = np.flatnonzero(bitmap[row[at], item // BLOCK])
+        n = len(self.keys)
+        pairs, scores = summed(at[inside] * n + item[inside], weight[inside])
+        good = scores >= self.thresholds[pairs % n] - 1e-9
+        return pairs[good] // n, pairs[good] % n, scores[good]
 
     def overlaps(self, item: int, words: list[bytes]) -> tuple[float, float]:
         """The shares of the question's and of the answer's pieces that the words hold."""
@@ -158,38 +201,37 @@ class Index:
         return found
 
     def _search_words(self, texts_words: list[list[bytes]], overlap: float):
-        get = self.terms.get
-        cells, total = [], 0
-        parts, owners = [], []
+        get, n_terms = self.terms.get, len(self.terms)
+        cells, total, parts = [], 0, []
         for words in texts_words:
             ids = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
             at = np.flatnonzero(ids >= 0)
-            parts.append(ids[at])
-            owners.append(total + at // STRIDE)
+            # The distinct terms of each stretch of STRIDE words.
+            parts.append((total + at // STRIDE) * n_terms + ids[at])
             cells.append(total)
             total += max(1, -(-len(words) // STRIDE))
-        ids, owner = np.concatenate(parts), np.concatenate(owners)
-        if not len(ids):
+        found = distinct(np.concatenate(parts))
+        if not len(found):
             return
         starts = np.array([*cells, total])
-        last = np.zeros(total, bool)
-        last[starts[1:] - 1] = True
-        opened, blocks = self.opened(ids, owner, total, last)
-        of = np.searchsorted(starts, opened, side="right") - 1
+        opens = np.zeros(total + 1, bool)
+        opens[starts] = True
+        # A passage is a stretch and its successor; a text's last stretch is one of its own. Passages have their first's number.
+        later = found[~opens[found // n_terms]] - n_terms
+        found = distinct(np.concatenate([found, later]))
+        cell, item, score = self.retrieved(found // n_terms, found % n_terms, total)
+        of = np.searchsorted(starts, cell, side="right") - 1
         best: dict[tuple[int, int], tuple[float, float, float, int]] = {}
-        for cell, block, k in zip(opened.tolist(), blocks.tolist(), of.tolist(), strict=True):
-            words = texts_words[k]
-            at = (cell - cells[k]) * STRIDE
-            terms = {t for w in words[at : at + PASSAGE] if (t := get(w, -1)) >= 0}
-            for item, score in self.scores(terms, block).items():
-                if score < self.thresholds[item] - 1e-9:
-                    continue
-                around = words[max(0, at - self.lengths[item]) : at + PASSAGE + self.lengths[item]]
-                question, answer = self.overlaps(item, around)
-                if question >= overlap and answer >= overlap and score > best.get((k, item), (-1.0,))[0]:
-                    best[k, item] = (score, question, answer, at)
-        for (k, item), rest in sorted(best.items()):
-            yield k, item, *rest
+        for c, i, value, k in zip(cell.tolist(), item.tolist(), score.tolist(), of.tolist(), strict=True):
+            if value <= best.get((k, i), (-1.0,))[0]:
+                continue
+            words, at = texts_words[k], (c - cells[k]) * STRIDE
+            around = words[max(0, at - self.lengths[i]) : at + PASSAGE + self.lengths[i]]
+            question, answer = self.overlaps(i, around)
+            if question >= overlap and answer >= overlap:
+                best[k, i] = (value, question, answer, at)
+        for (k, i), rest in sorted(best.items()):
+            yield k, i, *rest
 
 
 def indexes(items: DataFrame, ratio: float) -> Iterator[Index]:
@@ -226,6 +268,7 @@ def matches(docs: DataFrame, items: DataFrame, ratio: float = RATIO, overlap: fl
     spark = docs.sparkSession
     kind = items.schema["item_id"].dataType.simpleString()
     schema = f"doc_id long, item_id {kind}, score double, question_overlap double, answer_overlap double, first_word long"
+    sent_schema = to_arrow_schema(StructType.fromDDL(schema))
     parts = []
     for index in indexes(items, ratio):
         sent = spark.sparkContext.broadcast(index)  # bounded by SHARD_ITEMS and SHARD_BYTES
@@ -242,10 +285,6 @@ def matches(docs: DataFrame, items: DataFrame, ratio: float = RATIO, overlap: fl
                     schema=sent_schema,
                 )
 
-        from pyspark.sql.pandas.types import to_arrow_schema
-        from pyspark.sql.types import StructType
-
-        sent_schema = to_arrow_schema(StructType.fromDDL(schema))
         parts.append(texts(docs).mapInArrow(search, schema))
     if not parts:
         return spark.createDataFrame([], schema)
