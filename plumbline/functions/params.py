@@ -46,7 +46,15 @@ def bind_conditions(
     params = params or {}
     names: dict[str, str] = {}
     errors: dict[str, str] = {}
-    for condition in dict.fromkeys(conditions):
+    distinct = list(dict.fromkeys(conditions))
+    if not distinct:
+        return df, names, errors
+    try:
+        # One analysis for all. Only if it fails is the bad condition looked for.
+        return _bound(df, {c: f"__live_{i}" for i, c in enumerate(distinct)}, params)
+    except PySparkException:
+        pass
+    for condition in distinct:
         error = _check(df, condition, params)
         if error:
             errors[condition] = error
@@ -54,6 +62,13 @@ def bind_conditions(
             names[condition] = f"__live_{len(names)}"
     if not names:
         return df, names, errors
+    bound, names, _ = _bound(df, names, params)
+    return bound, names, errors
+
+
+def _bound(df: DataFrame, names: dict[str, str], params: Mapping[str, Any]) -> tuple[DataFrame, dict[str, str], dict[str, str]]:
     flags = ", ".join(f"CAST(({c}) AS BOOLEAN) AS {n}" for c, n in names.items())
     bound = sql.over(df, f"SELECT *, {flags} FROM {sql.SOURCE}", params)
-    return bound, names, errors
+    bound.schema  # noqa: B018  analyses it
+    return bound, dict(names), {}
+

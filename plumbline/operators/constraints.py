@@ -14,14 +14,17 @@ from typing import Any
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline import sqltext as sql
 from plumbline.plans.frequency import countable, key_tally
+from plumbline.plans.isolate import run_isolated
+from plumbline.sources.readers import columnar
 
 
 @dataclass(frozen=True)
 class Constraint:
-    type: str
+    type: str | None = None
     column: str | None = None
     min: float | None = None
     max: float | None = None
@@ -36,6 +39,7 @@ class Constraint:
 
 SUCCESS, FAILURE, UNKNOWN = "Success", "Failure", "Unknown"
 
+# Constraint names.
 # Constraint names and their metrics over all rows. {c} is the column, {o} the other column, {p} the
 # predicate. A share is null on an empty table.
 _PLAIN = {
@@ -48,7 +52,7 @@ _PLAIN = {
     "hasMin": "min({c})",
     "hasStandardDeviation": "stddev_pop({c})",
     "hasMean": "avg({c})",
-    "hasSum": "sum({c})",
+    "hasSum": "{sum}",
     "hasCorrelation": "corr({c}, {o})",
 }
 
@@ -85,6 +89,17 @@ END
 """
 
 
+def _sum(column: str, data_type: T.DataType) -> str:
+    """A sum that no table overflows: integers as decimals of 38 digits, floating numbers as doubles."""
+    if isinstance(data_type, T.IntegralType):
+        return f"try_sum(CAST({column} AS DECIMAL(28, 0)))"
+    return f"try_sum({column})"
+
+
+def _number(value: Any) -> float | None:
+    return None if value is None else float(value)
+
+
 def _range(c: Constraint) -> tuple[float | None, float | None]:
     if c.type in ALL_ROWS:
         return 1.0, None
@@ -95,9 +110,10 @@ def _range(c: Constraint) -> tuple[float | None, float | None]:
     return c.min, 1.0 if c.max is None and c.type in RATIOS else c.max
 
 
-def _fill(template: str, c: Constraint) -> str:
+def _fill(template: str, c: Constraint, types: Mapping[str, T.DataType]) -> str:
+    column = sql.name(c.column or "")
     build = template.format(
-        c=sql.name(c.column or ""), o=sql.name(c.other_column or ""), p=f"({c.constraint})"
+        c=column, o=sql.name(c.other_column or ""), p=f"({c.constraint})", sum=_sum(column, types.get(c.column))
     )
     return f"CAST({build} AS DOUBLE)"
 
@@ -112,11 +128,17 @@ def check_constraints(
     asked = [c if isinstance(c, Constraint) else Constraint.from_dict(c) for c in constraints]
     if not asked:
         raise ValueError("no constraints given")
+    df = columnar(df)
     types = {f.name: f.dataType for f in df.schema.fields}
     plain: dict[int, str] = {}
     by_column: dict[str, dict[int, str]] = {}
     messages: dict[int, str] = {}
     for seq, c in enumerate(asked):
+        try:
+            _number(c.min), _number(c.max)
+        except (TypeError, ValueError):
+            messages[seq] = f"bounds {c.min!r}, {c.max!r} are not numbers"
+            continue
         if c.type not in _PLAIN and c.type not in _BY_FREQUENCY:
             messages[seq] = "unknown constraint type"
         elif c.type == "satisfies" and not c.constraint:
@@ -124,20 +146,29 @@ def check_constraints(
         elif c.type != "satisfies" and c.column not in types:
             messages[seq] = f"no column {c.column}"
         elif c.type == "hasNumberOfDistinctValues" and approximate_distinct:
-            plain[seq] = _fill("approx_count_distinct({c})", c)
+            plain[seq] = _fill("approx_count_distinct({c})", c, types)
         elif c.type in _PLAIN:
-            plain[seq] = _fill(_PLAIN[c.type], c)
+            plain[seq] = _fill(_PLAIN[c.type], c, types)
         elif countable(types[c.column]):
-            by_column.setdefault(c.column, {})[seq] = _fill(_BY_FREQUENCY[c.type], c)
+            by_column.setdefault(c.column, {})[seq] = _fill(_BY_FREQUENCY[c.type], c, types)
         else:
             messages[seq] = f"values of type {types[c.column].simpleString()} cannot be counted"
     for seq in _unplannable(df, plain, messages):
         del plain[seq]
 
+    def counted(seqs: Sequence[int]) -> DataFrame:
+        wide = df.selectExpr(*[f"{plain[seq]} AS m{seq}" for seq in seqs])
+        return wide.selectExpr(sql.melted([{"seq": str(seq), "metric": f"m{seq}"} for seq in seqs]))
+
     metrics = []
-    if plain:
-        wide = df.selectExpr(*[f"{build} AS m{seq}" for seq, build in plain.items()])
-        metrics.append(wide.selectExpr(sql.melted([{"seq": str(seq), "metric": f"m{seq}"} for seq in plain])))
+    # A predicate is text of the user's and may fail on some row; that must not end the others.
+    risky = [seq for seq in plain if asked[seq].type == "satisfies"]
+    tried, failures = run_isolated(risky, counted)
+    metrics += tried
+    messages |= failures
+    safe = [seq for seq in plain if seq not in risky]
+    if safe:
+        metrics.append(counted(safe))
     if by_column:
         branches = [
             f"SELECT {sql.melted([{'seq': str(s), 'metric': f'm{s}'} for s in wanted])} FROM ("
@@ -151,7 +182,7 @@ def check_constraints(
         metrics.append(sql.local_table(df.sparkSession, failed, "seq int, metric double"))
     rows = []
     for seq, c in enumerate(asked):
-        low, high = _range(c)
+        low, high = (None, None) if seq in messages else _range(c)
         rows.append(
             {
                 "seq": seq,

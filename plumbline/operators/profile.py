@@ -9,7 +9,6 @@ sketch tells whether a value list is worth moving them.
 from __future__ import annotations
 
 import math
-from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -19,7 +18,7 @@ from pyspark.sql import types as T
 from plumbline.operators.quantiles import RANKED_ROWS, exact_quantiles
 from plumbline import sqltext as sql
 from plumbline.plans.frequency import KEY_LENGTH, countable, key_tally, tally
-from plumbline.sources.readers import staged
+from plumbline.sources.readers import columnar, staged
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -32,8 +31,8 @@ CATEGORY_VALUES = 10
 SAMPLE_SEED = 42
 
 # A wide table is aggregated in several passes; each reads only its own columns. A numeric column
-# takes 8 buffer fields, and Spark compiles no aggregate with more than 100.
-COLUMNS_PER_PASS = 12
+# takes 9 buffer fields, and Spark compiles no aggregate with more than 100.
+COLUMNS_PER_PASS = 10
 # Size of the quantile sketches: ranks within about 0.05 %.
 SKETCH_SIZE = 8000
 # The values of at most this many columns are counted in one job.
@@ -69,6 +68,8 @@ _FACTS = {
     NUMERIC: {
         "min": "min(CAST({c} AS DOUBLE))",
         "max": "max(CAST({c} AS DOUBLE))",
+        "exact_min": "CAST(min({c}) AS STRING)",
+        "exact_max": "CAST(max({c}) AS STRING)",
         "mean": "avg(CAST({c} AS DOUBLE))",
         "stddev": "stddev_samp(CAST({c} AS DOUBLE))",
     },
@@ -157,14 +158,14 @@ def _ranked_branch(position: int, column: str, count: int) -> str:
 
 _KNOWN = (
     "position int, column_name string, data_type string, kind string, record_count bigint, count bigint, "
-    "min double, max double, mean double, stddev double, min_length int, max_length int, avg_length double, "
+    "min double, max double, exact_min string, exact_max string, mean double, stddev double, min_length int, max_length int, avg_length double, "
     "min_time string, max_time string, sketch bigint, known_quartiles array<double>"
 )
 
 
 def _known(fields: list[tuple[int, T.StructField]], facts: dict[str, Any], points: dict[str, list[float]]) -> list[dict]:
     rows = []
-    names = ("count", "min", "max", "mean", "stddev", "min_length", "max_length", "avg_length", "min_time", "max_time")
+    names = ("count", "min", "max", "exact_min", "exact_max", "mean", "stddev", "min_length", "max_length", "avg_length", "min_time", "max_time")
     for i, field in fields:
         row = {
             "position": i,
@@ -207,6 +208,8 @@ _PROFILE = (
     "avg_length",
     "min_time",
     "max_time",
+    "exact_min",
+    "exact_max",
     "map_from_entries(listed) AS value_counts",
     "is_category AS probable_category",
     f"CASE WHEN is_category THEN slice(listed, 1, {CATEGORY_VALUES}) END AS top_values",
@@ -222,14 +225,13 @@ def profile(
 ) -> DataFrame:
     """Profile every column; one row per column.
 
-    The first pass runs at once, the second when the result is used. With `exact`, distinct counts
+    Both passes run at once; the result is a small table that reads no data. With `exact`, distinct counts
     and quartiles are exact; a numeric column with more than `ranked_rows` values takes narrowing
     rounds for its quartiles. Without `exact` they come from sketches, and only text columns with few
     values are counted. `max_sample_rows` profiles a sample of about that size instead of the whole table.
     Columns of nested types get null counts only, so no column can make the profile fail.
     """
-    if max_sample_rows is not None:
-        df = sample_capped(df, max_sample_rows)
+    df = sample_capped(df, max_sample_rows) if max_sample_rows is not None else columnar(df)
     fields = list(enumerate(df.schema.fields))
     facts: dict[str, Any] = {}
     for start in range(0, len(fields), COLUMNS_PER_PASS):
@@ -262,16 +264,15 @@ def profile(
             branches.append(_distinct_branch(i, field))
     # One row per column of the table on both sides of the join.
     known = sql.local_table(df.sparkSession, _known(fields, facts, points), _KNOWN)
-    if len(branches) > COLUMNS_PER_JOB:
-        # One plan for a thousand columns would take the driver longer than the data takes the cluster.
-        jobs = [branches[i : i + COLUMNS_PER_JOB] for i in range(0, len(branches), COLUMNS_PER_JOB)]
-        counted = reduce(DataFrame.unionByName, [staged(sql.over(df, " UNION ALL ".join(job))) for job in jobs])
-    elif branches:
-        counted = sql.over(df, " UNION ALL ".join(branches))
-    else:
-        counted = known.selectExpr(
-            "position", "CAST(NULL AS BIGINT) AS counted", "known_quartiles AS exact_quartiles", f"CAST(NULL AS {_LIST}) AS listed"
-        )
+    # One plan for a thousand columns would take the driver longer than the data takes the cluster. Each
+    # job gives one row per column, with at most LISTED_VALUES values.
+    rows: list[dict] = []
+    for start in range(0, len(branches), COLUMNS_PER_JOB):
+        job = sql.over(df, " UNION ALL ".join(branches[start : start + COLUMNS_PER_JOB]))
+        rows += [row.asDict(recursive=True) for row in job.collect()]
+    counted = sql.local_table(
+        df.sparkSession, rows, f"position int, counted bigint, exact_quartiles array<double>, listed {_LIST}"
+    )
     return (
         known.join(F.broadcast(counted), "position", "left")
         .selectExpr(

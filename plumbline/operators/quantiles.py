@@ -17,11 +17,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plumbline.sources.readers import staged
+
 # A bracket with at most this many rows is ranked directly.
 RANKED_ROWS = 1_000_000
 PARTS = 4096
 SKETCH_ACCURACY = 10_000
 MAX_ROUNDS = 40
+# A wide table is searched in several plans.
+COLUMNS_PER_JOB = 32
 
 
 @dataclass(frozen=True)
@@ -52,36 +56,84 @@ class _Span:
 _Target = tuple[str, int]  # column and rank from 0
 
 
+def _members(spans: list[tuple[int, _Span]], *fields) -> tuple[Column, Column]:
+    """(rows that lie in any of a column's spans, a row per span they lie in). One scan serves all spans of a column."""
+    inside = reduce(lambda a, b: a | b, [span.holds() for _, span in spans])
+    entries = [
+        F.when(span.holds(), F.struct(F.lit(slot).alias("slot"), span.value().alias("v"), *[f(span) for f in fields]))
+        for slot, span in spans
+    ]
+    return inside, F.inline(F.filter(F.array(*entries), lambda entry: entry.isNotNull()))
+
+
+def _by_column(spans: Mapping[_Span, list[int]]) -> dict[str, list[tuple[int, _Span]]]:
+    found: dict[str, list[tuple[int, _Span]]] = {}
+    for slot, span in enumerate(spans):
+        found.setdefault(span.column, []).append((slot, span))
+    return found
+
+
+def _part(span: _Span) -> Column:
+    share = (span.value() - span.low) / (span.high - span.low)
+    return F.least(F.floor(share * PARTS), F.lit(PARTS - 1)).alias("part")
+
+
 def _by_parts(df: DataFrame, spans: Mapping[_Span, list[int]]) -> dict[_Target, _Span]:
-    """For each span and its wanted ranks: the part of the span that holds the rank."""
+    """For each span and its wanted ranks: the part of the span that holds the rank. One scan per column."""
+    listed = list(spans)
     searches = []
-    for i, (span, ranks) in enumerate(spans.items()):
-        share = (span.value() - span.low) / (span.high - span.low)
-        part = F.least(F.floor(share * PARTS), F.lit(PARTS - 1))
+    for own in _by_column(spans).values():
+        inside, rows = _members(own, _part)
         counted = (
-            df.where(span.holds())
-            .groupBy(part.alias("part"))
-            .agg(F.count(F.lit(1)).alias("n"), F.min(span.value()).alias("low"), F.max(span.value()).alias("high"))
+            df.where(inside)
+            .select(rows)
+            .groupBy("slot", "part")
+            .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
         )
-        # At most 4096 rows are ordered here.
-        before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
-        wanted = F.array(*[F.lit(rank - span.below) for rank in ranks])
+        # At most 4096 rows per span are ordered here.
+        order = Window.partitionBy("slot").orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
+        wanted = [F.struct(F.lit(slot).alias("slot"), F.lit(r - span.below).alias("rank")) for slot, span in own for r in spans[span]]
+        ranks = F.transform(F.filter(F.array(*wanted), lambda w: w["slot"] == F.col("slot")), lambda w: w["rank"])
         searches.append(
-            counted.withColumn("before", before)
-            .withColumn("rank", F.explode(wanted))
+            counted.withColumn("before", F.sum("n").over(order) - F.col("n"))
+            .withColumn("rank", F.explode(ranks))
             .where((F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("before") + F.col("n")))
-            .select(F.lit(i).alias("span"), "rank", "before", "n", "low", "high")
+            .select("slot", "rank", "before", "n", "low", "high")
         )
-    listed = list(spans)
     found = {}
     for row in reduce(DataFrame.unionByName, searches).collect():  # one row per wanted rank
-        span = listed[row["span"]]
+        span = listed[row["slot"]]
         found[(span.column, row["rank"] + span.below)] = _Span(
             span.column, row["low"], row["high"], span.below + row["before"], row["n"]
         )
     return found
 
 
+def _by_sorting(df: DataFrame, spans: Mapping[_Span, list[int]]) -> dict[_Target, float]:
+    """The values at ranks of spans that no round could narrow: their values are counted and sorted by range.
+
+    The sorted counts are written part by part; the part with a rank is known from the parts' sums, and only
+    that part is ordered by a window.
+    """
+    values = {}
+    for span, ranks in spans.items():
+        counted = df.where(span.holds()).groupBy(span.value().alias("v")).agg(F.count(F.lit(1)).alias("n"))
+        parts = staged(counted.orderBy("v").withColumn("part", F.spark_partition_id()))
+        sums = parts.groupBy("part").agg(F.sum("n").alias("n"), F.min("v").alias("low")).collect()  # one row per task
+        before = 0
+        for row in sorted(sums, key=lambda r: (math.isnan(r["low"]), r["low"])):
+            inside = [r for r in ranks if before <= r - span.below < before + row["n"]]
+            if inside:
+                upto = F.sum("n").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+                own = parts.where(F.col("part") == row["part"]).withColumn("upto", upto)
+                found = own.agg(
+                    *[F.min(F.when(F.col("upto") > r - span.below - before, F.col("v"))).alias(f"r{r}") for r in inside]
+                ).first()
+                values |= {(span.column, r): found[f"r{r}"] for r in inside}
+            before += row["n"]
+    return values
+
+
 def _by_sketch(df: DataFrame, spans: Mapping[_Span, list[int]], slack: float) -> dict[_Target, _Span]:
     """The same, for spans that equal parts do not divide well. A refused proposal leaves the span as it is."""
     asked, owners = [], []
@@ -121,27 +173,14 @@ def _grouped(targets: Mapping[_Target, _Span]) -> dict[_Span, list[int]]:
 
 def _order_statistics(df: DataFrame, spans: Mapping[_Span, list[int]]) -> dict[_Target, float]:
     """The value at each wanted rank of spans that are small enough to rank. Reads each column once."""
-    by_column: dict[str, list[tuple[_Span, list[int]]]] = {}
-    for span, ranks in spans.items():
-        by_column.setdefault(span.column, []).append((span, ranks))
-    searches, listed = [], []
-    for pairs in by_column.values():
-        members, inside, wanted = [], [], []
-        for span, ranks in pairs:
-            slot = len(listed)
-            listed.append(span)
-            inside.append(span.holds())
-            members.append(F.when(span.holds(), F.struct(F.lit(slot).alias("slot"), span.value().alias("v"))))
-            wanted += [F.struct(F.lit(slot).alias("slot"), F.lit(rank - span.below).alias("rank")) for rank in ranks]
-        counted = (
-            df.where(reduce(lambda a, b: a | b, inside))
-            .select(F.inline(F.array(*members)))
-            .where("slot IS NOT NULL")
-            .groupBy("slot", "v")
-            .agg(F.count(F.lit(1)).alias("n"))
-        )
+    listed = list(spans)
+    searches = []
+    for own in _by_column(spans).values():
+        inside, rows = _members(own)
+        counted = df.where(inside).select(rows).groupBy("slot", "v").agg(F.count(F.lit(1)).alias("n"))
         # A span has at most `ranked_rows` rows or a single value.
         upto = F.sum("n").over(Window.partitionBy("slot").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+        wanted = [F.struct(F.lit(slot).alias("slot"), F.lit(r - span.below).alias("rank")) for slot, span in own for r in spans[span]]
         ranks = F.filter(F.array(*wanted), lambda w: (w["slot"] == F.col("slot")))
         searches.append(
             counted.withColumn("upto", upto)
@@ -174,9 +213,12 @@ def exact_quantiles(
 ) -> dict[str, list[float]]:
     """The quantiles of numeric columns, with linear interpolation between ranks.
 
-    A column without values is left out. Each round reads the columns that are still open once.
+    A column without values is left out. Each round reads a column that is still open once, all its brackets together.
     `facts` gives the (count, min, max) of each column where they are known already.
     """
+    if len(columns) > COLUMNS_PER_JOB:
+        parts = [columns[i : i + COLUMNS_PER_JOB] for i in range(0, len(columns), COLUMNS_PER_JOB)]
+        return {k: v for part in parts for k, v in exact_quantiles(df, part, probabilities, ranked_rows, facts).items()}
     facts = facts or _facts(df, columns)
     wanted: dict[str, list[float]] = {}
     targets: dict[_Target, _Span] = {}
@@ -206,10 +248,9 @@ def exact_quantiles(
                 slack *= 8
             found |= narrowed
         targets |= found
-    else:
-        raise RuntimeError("the values around a quantile could not be separated")
-
-    values = {t: s.low for t, s in targets.items() if s.low == s.high}
+    stuck = {t: s for t, s in targets.items() if not s.settled(ranked_rows)}
+    values = _by_sorting(df, _grouped(stuck)) if stuck else {}
+    values |= {t: s.low for t, s in targets.items() if s.low == s.high}
     rest = {t: s for t, s in targets.items() if t not in values}
     if rest:
         values |= _order_statistics(df, _grouped(rest))

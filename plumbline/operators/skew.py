@@ -8,9 +8,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot if it holds at least this share of the rows, so there are at most HOT_KEYS hot keys
-# and broadcasting their facts is bounded whatever the table's size.
+# A key is hot if it holds at least this share of the rows, so there are at most HOT_KEYS hot keys.
+# Keys longer than HOT_KEY_BYTES (as JSON, which any type has) are never hot, so broadcasting hot keys
+# and their facts is bounded by the product, whatever the table's size. Long keys take the ordinary join.
 HOT_KEYS = 1000
+HOT_KEY_BYTES = 16 * 1024
+
+
+def key_bytes(keys: Sequence[str]) -> Column:
+    """How long a key is, for keys of any type."""
+    return F.octet_length(F.to_json(F.struct(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)])))
 
 
 def key_counts(df: DataFrame, keys: Sequence[str], name: str = "__n") -> DataFrame:
@@ -39,7 +46,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The keys that hold at least one row in `HOT_KEYS`; so there are at most that many."""
     counts = key_counts(df, keys, "__rows")
     total = counts.agg(F.sum("__rows")).scalar()
-    return counts.where(F.col("__rows") * HOT_KEYS >= total).drop("__rows")
+    return counts.where((F.col("__rows") * HOT_KEYS >= total) & (key_bytes(keys) <= HOT_KEY_BYTES)).drop("__rows")
 
 
 def attach_facts(rows: DataFrame, facts: DataFrame, keys: Sequence[str], count: str = "__n") -> DataFrame:
@@ -51,7 +58,7 @@ def attach_facts(rows: DataFrame, facts: DataFrame, keys: Sequence[str], count:
     """
     facts, same, sides = _beside(facts, keys)
     total = facts.agg(F.sum(count)).scalar()
-    is_hot = F.col(count) * HOT_KEYS >= total
+    is_hot = (F.col(count) * HOT_KEYS >= total) & (key_bytes(sides) <= HOT_KEY_BYTES)
     hot, rest = F.broadcast(facts.where(is_hot)), facts.where(~is_hot)
     cold_rows = rows.join(hot, same, "left_anti")
     return rows.join(hot, same).unionByName(cold_rows.join(rest, same)).drop(*sides)

@@ -13,7 +13,7 @@ from plumbline.operators.profile import profile
 from plumbline.operators.suggest import suggest_rules
 from plumbline.operators.suite import statistics, validate
 from plumbline.plans.rules import Rule, rules_from_frame
-from plumbline.sources.readers import resolve_source, staged
+from plumbline.sources.readers import columnar, resolve_source, staged
 from plumbline.sources.writers import write_reports, write_suite
 
 log = logging.getLogger(__name__)
@@ -62,13 +62,14 @@ def validate_sources(
 ) -> SourceRun:
     """Apply each source's rules. A source without rules is profiled, and rules are proposed if asked.
 
-    Proposed rules are returned for review; with `apply_suggested` they also run. A source that
+    A text or database source is copied to the shared folder first, so that it is read once however
+    many passes the checks take. Proposed rules are returned for review; with `apply_suggested` they also run. A source that
     cannot be resolved is logged and left out.
     """
     results, profiles, suggested = [], {}, {}
     for name, config in sources.items():
         try:
-            table = resolve_source(spark, config)
+            table = columnar(resolve_source(spark, config))
         except (ValueError, TypeError, AttributeError, FileNotFoundError) as error:
             log.error("source %s is left out: %s", name, error)
             continue

@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.scalars import minutes_between, parse_timestamp, percent
-from plumbline.operators.skew import any_key_null, attach_facts, keep_by_key, key_counts
+from plumbline.operators.skew import any_key_null, attach_facts, keep_by_key, key_bytes, key_counts
 from plumbline import sqltext as sql
 
 EXAMPLES = 10
 
-# A reference with at most this many rows and bytes of text keys is broadcast.
+# A reference with at most this many distinct keys and bytes of keys is broadcast.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -117,15 +117,12 @@ def _known_keys(reference: DataFrame, keys: Sequence[str]) -> DataFrame:
     return reference.select(*[F.col(f"`{k}`") for k in keys]).distinct()
 
 
-def _fits_broadcast(reference: DataFrame, keys: Sequence[str], broadcast_rows: int) -> bool:
-    """Whether the keys of a reference are few and short enough to broadcast. Counts rows, for Parquet from its footers."""
-    if not broadcast_rows or reference.count() > broadcast_rows:
+def _fits_broadcast(known: DataFrame, keys: Sequence[str], broadcast_rows: int) -> bool:
+    """Whether the distinct keys of a reference are few and short enough to broadcast: one aggregate over them."""
+    if not broadcast_rows:
         return False
-    texts = [k for k in keys if isinstance(reference.schema[k].dataType, (T.StringType, T.BinaryType))]
-    if not texts:
-        return True
-    length = reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(f"`{k}`"), F.lit(0)) for k in texts])
-    return (reference.agg(F.sum(length)).first()[0] or 0) <= BROADCAST_BYTES
+    size = known.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(key_bytes(keys)), F.lit(0)).alias("bytes")).first()
+    return size["rows"] <= broadcast_rows and size["bytes"] <= BROADCAST_BYTES
 
 
 def _reference_outcome(total: Column, matched: Column) -> list[Column]:
@@ -144,13 +141,15 @@ def reference_check(
 ) -> DataFrame:
     """One row: rows, rows with and without a reference, share without, and the verdict.
 
-    A reference of at most `broadcast_rows` rows is broadcast, after its size is checked, and the
-    rows are read once without a shuffle. Otherwise rows are counted per key before the join, so
+    A reference of at most `broadcast_rows` distinct keys is broadcast, after their size is checked, and
+    the rows are read once without a shuffle. Otherwise rows are counted per key before the join, so
     that both sides have one row per key and a hot key weighs no more than any other. A null key has
     no reference.
     """
-    known = _known_keys(reference, keys).withColumn("__known", F.lit(True))
-    if _fits_broadcast(reference, keys, broadcast_rows):
+    known = _known_keys(reference, keys)
+    small = _fits_broadcast(known, keys, broadcast_rows)
+    known = known.withColumn("__known", F.lit(True))
+    if small:
         looked_up = df.select(*[F.col(f"`{k}`") for k in keys]).join(F.broadcast(known), list(keys), "left")
         return looked_up.agg(*_reference_outcome(F.count(F.lit(1)), F.count("__known")))
     counted = key_counts(df, keys).join(known, list(keys), "left")
@@ -161,7 +160,7 @@ def reference_check(
 
 def _kept(df: DataFrame, reference: DataFrame, keys: Sequence[str], how: str, broadcast_rows: int) -> DataFrame:
     known = _known_keys(reference, keys)
-    if _fits_broadcast(reference, keys, broadcast_rows):
+    if _fits_broadcast(known, keys, broadcast_rows):
         return df.join(F.broadcast(known), list(keys), how).select(df.columns)
     return keep_by_key(df, known, keys, how)
 

@@ -20,6 +20,13 @@ UNIQUE_NULL_PERCENT = 5
 
 _LOGICAL_TYPE = "CASE kind WHEN 'numeric' THEN 'number' WHEN 'string' THEN 'string' WHEN 'datetime' THEN 'datetime' END"
 _MARGIN = f"greatest({RANGE_MARGIN}D * (max - min), {LEAST_MARGIN}D)"
+# Whole numbers that doubles cannot tell apart are taken as decimals.
+_EXACT_MIN, _EXACT_MAX = ("try_cast(exact_%s AS DECIMAL(30, 0))" % end for end in ("min", "max"))
+_BEYOND_DOUBLE = (
+    "((data_type IN ('bigint', 'int', 'smallint', 'tinyint') OR data_type LIKE 'decimal%,0)')"
+    " AND coalesce(greatest(abs(min), abs(max)) > 9007199254740992D, false))"
+)
+_EXACT_MARGIN = f"greatest(ceil({RANGE_MARGIN}BD * ({_EXACT_MAX} - {_EXACT_MIN})), {LEAST_MARGIN}BD)"
 
 
 def _json(**fields: str) -> str:
@@ -49,7 +56,7 @@ _PROPOSALS = (
         {"column": "column_name", "mostly": f"CAST({TOLERANT_MOSTLY} AS DECIMAL(2, 1))"},
     ),
     (
-        "kind = 'numeric' AND count > 0",
+        f"kind = 'numeric' AND count > 0 AND NOT isnan(min) AND NOT isnan(max) AND NOT {_BEYOND_DOUBLE}",
         "expect_column_values_to_be_between",
         {
             "column": "column_name",
@@ -57,6 +64,11 @@ _PROPOSALS = (
             "min_value": f"CASE WHEN min = 0 THEN 0D ELSE min - {_MARGIN} END",
         },
     ),
+    (
+        f"kind = 'numeric' AND count > 0 AND {_BEYOND_DOUBLE}",
+        "expect_column_values_to_be_between",
+        {"column": "column_name", "max_value": f"{_EXACT_MAX} + {_EXACT_MARGIN}", "min_value": f"{_EXACT_MIN} - {_EXACT_MARGIN}"},
+    ),
     (
         "kind = 'string' AND max_length > 0",
         "expect_column_value_lengths_to_be_between",

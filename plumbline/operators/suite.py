@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.scalars import percent
 from plumbline.operators.unexpected import unexpected_lists
 from plumbline.plans.fuse import evaluate
+from plumbline.plans.registry import may_fail
 from plumbline.plans.rules import Rule
 from plumbline.sources.readers import staged
 
@@ -27,7 +28,10 @@ def validate(
     """Apply a suite to a table. `samples` adds the list of unexpected values, at the cost of a second pass."""
     results = evaluate(df, rules, params=params, nan_as_missing=nan_as_missing)
     if samples:
-        lists = unexpected_lists(df, rules, params=params, nan_as_missing=nan_as_missing)
+        # Rules with an error are settled by now, and have no values.
+        risky = any(r.row_condition or may_fail(r.expectation_type) for r in rules)
+        bad = {r["seq"] for r in results.where("exception IS NOT NULL").select("seq").collect()} if risky else ()
+        lists = unexpected_lists(df, rules, params=params, nan_as_missing=nan_as_missing, skip=bad)
         if lists is None:
             results = results.withColumn("unexpected_list", F.lit(None).cast("string"))
         else:
@@ -38,14 +42,18 @@ def validate(
 
 
 def records(results: DataFrame) -> DataFrame:
-    """The flat result record: text verdict, `N/A` for no column, 0 and `[]` for nothing unexpected."""
+    """The flat result record: text verdict, `N/A` for no column, 0 for nothing unexpected.
+
+    The list is `[]` where nothing is unexpected, and null where unexpected values were not sampled.
+    """
     listed = F.col("unexpected_list") if "unexpected_list" in results.columns else F.lit(None).cast("string")
+    nothing = F.coalesce(F.col("unexpected_count"), F.lit(0)) == 0
     return results.select(
         "expectation_type",
         F.coalesce("column_name", F.lit("N/A")).alias("column_name"),
         F.when(F.col("success"), "True").otherwise("False").alias("success"),
         F.coalesce("unexpected_count", F.lit(0).cast("bigint")).alias("unexpected_count"),
-        F.coalesce(listed, F.lit("[]")).alias("unexpected_list"),
+        F.coalesce(listed, F.when(nothing, F.lit("[]"))).alias("unexpected_list"),
     )
 
 

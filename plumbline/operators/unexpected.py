@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -15,6 +16,9 @@ from plumbline.plans.fuse import Planned, group_key_text, plan_rules, with_predi
 from plumbline.plans.rules import Rule
 
 SAMPLE_SIZE = 20
+# Tasks whose first values are put together in the first step, and rules whose values one pass finds.
+BUCKETS = 256
+RULES_PER_PASS = 64
 
 
 def _entry(item: Planned, column: str) -> str:
@@ -33,22 +37,25 @@ def unexpected_values(
     params: Mapping[str, Any] | None = None,
     nan_as_missing: bool = False,
     limit: int = SAMPLE_SIZE,
+    skip: Collection[int] = (),
 ) -> DataFrame | None:
     """Rows (seq, group_key, rank, value): the first `limit` unexpected values of each rule, repeats included.
 
-    All row rules share one pass, and Spark keeps only the first `limit` per rule of each partition
+    Row rules share one pass, and Spark keeps only the first `limit` per rule of each partition
     before the shuffle, so a rule that half of the table breaks moves no more rows than one that few
-    rows break. A uniqueness rule shows the values that occur more than once. None if no rule has
-    values to show.
+    rows break. A uniqueness rule shows the values that occur more than once. The rules whose places are
+    in `skip` are left out. None if no rule has values to show.
     """
     bound, planned, _ = plan_rules(df, rules, params, nan_as_missing)
+    planned = [item for item in planned if item.seq not in skip]
     row_rules = [item for item in planned if item.kind == "row"]
     unique_rules = [item for item in planned if item.kind == "unique"]
     parts = []
-    if row_rules:
-        hits = [f"CASE WHEN {i.unexpected} THEN {_entry(i, sql.name(i.rule.column))} END" for i in row_rules]
-        rows = with_predicates(bound, row_rules).selectExpr(f"inline(array({', '.join(hits)}))")
-        parts.append(rows.where("seq IS NOT NULL"))
+    for start in range(0, len(row_rules), RULES_PER_PASS):
+        some = row_rules[start : start + RULES_PER_PASS]
+        hits = [f"CASE WHEN {i.unexpected} THEN {_entry(i, sql.name(i.rule.column))} END" for i in some]
+        # Only the rules that a row breaks become rows.
+        parts.append(with_predicates(bound, some).selectExpr(f"inline(filter(array({', '.join(hits)}), e -> e IS NOT NULL))"))
     if unique_rules:
         repeated = [
             f"SELECT inline(array_repeat({_entry(item, '__v')}, CAST(least(__n, {limit}) AS INT))) FROM "
@@ -58,16 +65,12 @@ def unexpected_values(
         parts.append(sql.over(bound, " UNION ALL ".join(repeated)))
     if not parts:
         return None
-    found = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return (
-        found.selectExpr(
-            "seq",
-            "group_key",
-            "row_number() OVER (PARTITION BY seq, group_key ORDER BY order_number, value) AS rank",
-            "value",
-        )
-        .where(f"rank <= {limit}")
-    )
+    found = reduce(DataFrame.unionByName, parts).selectExpr("*", f"pmod(spark_partition_id(), {BUCKETS}) AS bucket")
+    # Two steps: the first of each bucket of tasks, then the first of those, so that no task gets a
+    # list from every task of the scan.
+    ranked = "row_number() OVER (PARTITION BY {} ORDER BY order_number, value)"
+    near = found.selectExpr("*", f"{ranked.format('seq, group_key, bucket')} AS place").where(f"place <= {limit}")
+    return near.selectExpr("seq", "group_key", f"{ranked.format('seq, group_key')} AS rank", "value").where(f"rank <= {limit}")
 
 
 def unexpected_lists(
@@ -77,9 +80,10 @@ def unexpected_lists(
     params: Mapping[str, Any] | None = None,
     nan_as_missing: bool = False,
     limit: int = SAMPLE_SIZE,
+    skip: Collection[int] = (),
 ) -> DataFrame | None:
     """Rows (seq, group_key, unexpected_list): the first `limit` unexpected values as JSON text."""
-    values = unexpected_values(df, rules, params=params, nan_as_missing=nan_as_missing, limit=limit)
+    values = unexpected_values(df, rules, params=params, nan_as_missing=nan_as_missing, limit=limit, skip=skip)
     if values is None:
         return None
     # At most `limit` values are gathered per rule and group.

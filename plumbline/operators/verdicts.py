@@ -22,32 +22,18 @@ from plumbline import sqltext as sql
 from plumbline.plans.rules import Rule
 from plumbline.sources.readers import staged
 
-# What went wrong, per check type, in terms of the columns of the check's row.
+# What was seen, per check type, in terms of the columns of the check's row.
 _MESSAGES = {
-    "schema_validation": "format_string('Found %d schema differences', difference_count)",
-    "pk_check": "format_string('Duplicates: %d, Nulls: %d', duplicate_count, null_key_count)",
-    "ref_integrity_check": "format_string('Missing references: %d (%.2f%%)', missing_count, missing_percentage)",
-    "freshness_check": (
-        "format_string('Data is %s minutes old (max allowed: %.0f)', "
-        "if(delay_minutes IS NULL, 'N/A', format_string('%.1f', delay_minutes)), max_allowed_delay)"
-    ),
-    "constraints": "format_string('Failed rules: %d', failed + unknown)",
-    "expectations": "format_string('Failed expectations: %d', unsuccessful_expectations)",
-    "anomaly_check": "format_string('Anomalies: %d', anomaly_count)",
+    "schema_validation": "concat(missing_fields, ' fields absent, ', type_mismatches, ' of another type, ', unexpected_fields, ' not declared')",
+    "pk_check": "concat(distinct_key_count, ' keys in ', total_count, ' rows, ', null_key_count, ' rows without a full key')",
+    "ref_integrity_check": "concat(matched_count, ' of ', total_count, ' rows have a reference')",
+    "freshness_check": "if(delay_minutes IS NULL, 'no row has a time', format_string('newest row is %.1f min old', delay_minutes))",
+    "constraints": "concat(succeeded, ' of ', constraints, ' constraints hold')",
+    "expectations": "concat(successful_expectations, ' of ', evaluated_expectations, ' rules hold')",
+    "anomaly_check": "concat(anomaly_count, ' values stand out')",
     "custom": "coalesce(error, details, '')",
 }
 
-_TITLES = {
-    "schema_validation": "Schema validation",
-    "pk_check": "Primary key check",
-    "ref_integrity_check": "Referential integrity check",
-    "freshness_check": "Data freshness check",
-    "constraints": "Constraint validation",
-    "expectations": "Expectation validation",
-    "anomaly_check": "Anomaly check",
-    "custom": "Custom validation",
-}
-
 
 def verdict(row: DataFrame, check_type: str, name: str) -> DataFrame:
     """The one-row outcome of a check in the common form. `is_valid` or `success` is its verdict."""
@@ -66,10 +52,7 @@ def verdict(row: DataFrame, check_type: str, name: str) -> DataFrame:
 
 def verdict_alerts(verdicts: DataFrame, *handlers: Callable[[DataFrame], Any]) -> DataFrame:
     """One alert per failed check. Each handler gets the alerts."""
-    titles = " ".join(f"WHEN {sql.text(kind)} THEN {sql.text(title)}" for kind, title in _TITLES.items())
-    rows = verdicts.where("NOT is_valid").selectExpr(
-        f"concat(CASE check_type {titles} END, ' failed for ', check_name) AS title", "message", "check_type"
-    )
+    rows = verdicts.where("NOT is_valid").selectExpr("concat(check_name, ' [', check_type, ']') AS title", "message", "check_type")
     if handlers:
         rows = staged(rows)  # handlers must not run the checks again
     for handler in handlers:
@@ -80,7 +63,7 @@ def verdict_alerts(verdicts: DataFrame, *handlers: Callable[[DataFrame], Any]) -
 class Checks:
     """Run checks under names and keep their outcomes.
 
-    Every method runs one check at once, and its outcome is kept as a small written table: reading
+    Every method runs one check at once, and its one-row outcome is kept as a local table: reading
     it, or `verdicts` and `notify`, never runs a check again. A check that is run again under the
     same name replaces its outcome. Handlers get the alerts when `notify` is called.
     """
@@ -90,7 +73,7 @@ class Checks:
         self._verdicts: dict[str, DataFrame] = {}
 
     def _keep(self, row: DataFrame, check_type: str, name: str) -> DataFrame:
-        row = staged(row)
+        row = row.sparkSession.createDataFrame(row.collect(), row.schema)  # one row
         self._verdicts[name] = verdict(row, check_type, name)
         return row
 

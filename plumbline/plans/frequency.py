@@ -16,7 +16,8 @@ from pyspark.sql import types as T
 
 from plumbline import sqltext as sql
 
-# A text longer than this is counted by its digest, so that the shuffle moves keys and not texts.
+# A binary text longer than this is counted by its digest, so that the shuffle moves keys and not
+# texts. Equality is that of the bytes at every length. Texts of other collations are counted as they are.
 KEY_LENGTH = 64
 
 
@@ -24,6 +25,11 @@ def countable(data_type: T.DataType) -> bool:
     return not isinstance(data_type, (T.ArrayType, T.MapType, T.StructType, T.VariantType))
 
 
+def is_binary_text(data_type: T.DataType) -> bool:
+    """Whether equal values of a text column have equal bytes."""
+    return isinstance(data_type, T.StringType) and data_type.collation.upper() == "UTF8_BINARY"
+
+
 def text_key(column: str) -> str:
     """A key of bounded length that is equal for equal texts and differs for different ones.
 
@@ -43,7 +49,7 @@ def key_tally(
 ) -> str:
     """The same where only the counts matter: __v identifies the value but need not be it."""
     value = sql.name(column)
-    return _counted(text_key(value) if isinstance(data_type, T.StringType) else value, group_by, where)
+    return _counted(text_key(value) if is_binary_text(data_type) else value, group_by, where)
 
 
 def _counted(value: str, group_by: Sequence[str], where: str | None) -> str:

@@ -23,11 +23,14 @@ from plumbline.functions.params import bind_conditions
 from plumbline.plans import registry
 from plumbline import sqltext as sql
 from plumbline.plans.frequency import countable, key_tally
-from plumbline.plans.rules import MAX_RULES, Rule
+from plumbline.plans.isolate import run_isolated
+from plumbline.plans.rules import Rule
 
 # One aggregate carries at most this many counts, for Spark compiles no aggregate with more than 100
 # fields (spark.sql.codegen.maxFields). A larger suite takes several, each with its own columns.
 AGGREGATES_PER_PASS = 96
+# A longer suite is planned in slices of this many rules, and the verdicts are put together.
+RULES_PER_PLAN = 2_000
 
 RESULT_COLUMNS = (
     "seq",
@@ -141,16 +144,13 @@ def _row_pass(bound: DataFrame, planned: Sequence[Planned], group_by: tuple[str,
     aggregates, records = _Aggregates(), []
     key = group_key_text(group_by)
     for item in planned:
-        elements = aggregates.ask(_count_where(item.live))
+        elements, *others = map(aggregates.ask, _asks(item))
         if item.kind == "count":
             records.append(_counts(item.seq, key, elements))
-            continue
-        missing = aggregates.ask(_count_where(item.live, f"{sql.name(item.rule.column)} IS NULL"))
-        if item.kind == "null":
-            records.append(_counts(item.seq, key, elements, missing, missing, elements))
-            continue
-        unexpected = aggregates.ask(f"count_if({item.unexpected})")
-        records.append(_counts(item.seq, key, elements, missing, unexpected, f"{elements} - {missing}"))
+        elif item.kind == "null":
+            records.append(_counts(item.seq, key, elements, others[0], others[0], elements))
+        else:
+            records.append(_counts(item.seq, key, elements, *others, f"{elements} - {others[0]}"))
     rows = with_predicates(_narrowed(bound, planned, group_by), planned)
     groups = [sql.name(g) for g in group_by]
     columns = aggregates.columns()
@@ -263,8 +263,6 @@ def plan_rules(
     df: DataFrame, rules: Sequence[Rule], params: Mapping[str, Any] | None = None, nan_as_missing: bool = False
 ) -> tuple[DataFrame, list[Planned], list[Finished]]:
     """Bind conditions and parameters; returns the table, the rules to run and the finished ones."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"a suite may hold at most {MAX_RULES} rules")
     if not rules:
         raise ValueError("no rules given")
     table = nan_as_null(df) if nan_as_missing else df
@@ -272,8 +270,10 @@ def plan_rules(
     fields = {f.name: f.dataType for f in table.schema.fields}
     planned, finished = [], []
     for seq, rule in enumerate(rules):
-        if rule.row_condition in errors:
-            plan: Planned | Finished = Finished(seq, rule, exception=errors[rule.row_condition])
+        if rule.error:
+            plan: Planned | Finished = Finished(seq, rule, exception=rule.error)
+        elif rule.row_condition in errors:
+            plan = Finished(seq, rule, exception=errors[rule.row_condition])
         else:
             plan = _plan_rule(fields, seq, rule, flags.get(rule.row_condition))
         (planned if isinstance(plan, Planned) else finished).append(plan)
@@ -281,10 +281,29 @@ def plan_rules(
     return bound, planned, finished + rejected
 
 
-def _chunks(items: Sequence[Planned], size: int) -> Iterable[Sequence[Planned]]:
-    ordered = sorted(items, key=lambda item: (item.rule.column or "", item.seq))
-    for start in range(0, len(ordered), size):
-        yield ordered[start : start + size]
+def _asks(item: Planned) -> list[str]:
+    """The counts of a row, null or row-count rule, in the order that `_row_pass` uses them."""
+    asks = [_count_where(item.live)]
+    if item.kind != "count":
+        asks.append(_count_where(item.live, f"{sql.name(item.rule.column)} IS NULL"))
+    if item.kind == "row":
+        asks.append(f"count_if({item.unexpected})")
+    return asks
+
+
+def _slices(items: Sequence[Planned]) -> Iterable[Sequence[Planned]]:
+    """Rules for one aggregate each: as many as their distinct counts allow. Rules of a column stay together."""
+    now: list[Planned] = []
+    counts: set[str] = set()
+    for item in sorted(items, key=lambda item: (item.rule.column or "", item.seq)):
+        wider = counts.union(_asks(item))
+        if now and len(wider) > AGGREGATES_PER_PASS:
+            yield now
+            now, wider = [], set(_asks(item))
+        now.append(item)
+        counts = wider
+    if now:
+        yield now
 
 
 def nan_as_null(df: DataFrame) -> DataFrame:
@@ -369,6 +388,19 @@ def _verdicts(joined: DataFrame) -> DataFrame:
     )
 
 
+def _counted(bound: DataFrame, planned: Sequence[Planned]) -> list[DataFrame]:
+    """The counts of rules that can be planned: row rules by grouping and slice, then uniqueness rules."""
+    row_rules: dict[tuple[str, ...], list[Planned]] = defaultdict(list)
+    unique_rules = [item for item in planned if item.kind == "unique"]
+    for item in planned:
+        if item.kind != "unique":
+            row_rules[item.rule.group_by].append(item)
+    counts = [_row_pass(bound, part, group_by) for group_by, items in row_rules.items() for part in _slices(items)]
+    if unique_rules:
+        counts.append(_unique_rules(bound, unique_rules))
+    return counts
+
+
 def evaluate(
     df: DataFrame,
     rules: Sequence[Rule],
@@ -378,25 +410,28 @@ def evaluate(
 ) -> DataFrame:
     """Apply rules to a table; one row per rule, or per rule and group for a grouped rule.
 
-    `params` binds the `:name` parameters of row conditions. Nothing runs until the result is used.
+    `params` binds the `:name` parameters of row conditions. Rules that some row may make fail (with a
+    condition, a pattern, or a check that a user registered) are run at once, so that an error stays
+    with its own rule; nothing else runs until the result is used.
     """
+    if len(rules) > RULES_PER_PLAN:
+        starts = range(0, len(rules), RULES_PER_PLAN)
+        slices = [evaluate(df, rules[i : i + RULES_PER_PLAN], params=params, nan_as_missing=nan_as_missing) for i in starts]
+        shifted = [s.withColumn("seq", (F.col("seq") + i).cast("int")) for i, s in zip(starts, slices, strict=True)]
+        return reduce(DataFrame.unionByName, shifted)
     bound, planned, finished = plan_rules(df, rules, params, nan_as_missing)
-    row_rules: dict[tuple[str, ...], list[Planned]] = defaultdict(list)
-    unique_rules = [item for item in planned if item.kind == "unique"]
-    for item in planned:
-        if item.kind != "unique":
-            row_rules[item.rule.group_by].append(item)
-    counts = [
-        _row_pass(bound, chunk, group_by)
-        for group_by, items in row_rules.items()
-        for chunk in _chunks(items, AGGREGATES_PER_PASS // 3)
-    ]
-    if unique_rules:
-        counts.append(_unique_rules(bound, unique_rules))
+    risky = [item for item in planned if item.live is not None or registry.may_fail(item.rule.expectation_type)]
+    by_seq = {item.seq: item for item in risky}
+    tried, failures = run_isolated(
+        list(by_seq), lambda seqs: reduce(DataFrame.unionByName, _counted(bound, [by_seq[s] for s in seqs]))
+    )
+    counts = tried + _counted(bound, [item for item in planned if item.seq not in by_seq])
+    finished = finished + [Finished(seq, by_seq[seq].rule, exception=reason) for seq, reason in failures.items()]
+    planned = [item for item in planned if item.seq not in failures]
     spark = df.sparkSession
     parts = []
     if counts:
-        # The rules are the bounded side (MAX_RULES); a grouped rule may have any number of groups.
+        # The rules are the bounded side (RULES_PER_PLAN); a grouped rule may have any number of groups.
         declared = F.broadcast(_declared(spark, planned))
         parts.append(_verdicts(reduce(DataFrame.unionByName, counts).join(declared, "seq")))
     if finished:

@@ -75,7 +75,11 @@ def literal(value: Any, data_type: T.DataType) -> Column:
             return F.lit(str(value).lower() == "true")
         raise ValueError(f"{value!r} is not a truth value")
     if isinstance(data_type, T.DateType):
-        return F.lit(dt.date.fromisoformat(str(value)[:10]))
+        # A day, or a moment: Spark compares a date with a moment as the moment the day begins.
+        moment = dt.datetime.fromisoformat(str(value))
+        if moment.tzinfo is None and moment.time() == dt.time():
+            return F.lit(moment.date())
+        return F.lit(moment.isoformat(sep=" ")).cast("timestamp" if moment.tzinfo else "timestamp_ntz")
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
         moment = dt.datetime.fromisoformat(str(value))
         return F.lit(moment.isoformat(sep=" ")).cast(data_type)
@@ -133,6 +137,15 @@ def _greater_than(value: Column, data_type: T.DataType, kwargs: Mapping[str, Any
     return value > literal(kwargs["value"], data_type)
 
 
+# Checks whose predicate the engine builds from values it has parsed, so that no row can make them fail.
+_CANNOT_FAIL = frozenset(_ROW_CHECKS) - {"expect_column_values_to_match_regex"}
+
+
+def may_fail(name: str | None) -> bool:
+    """Whether a check may raise an error on some row: one with a pattern, or one that a user registered."""
+    return name in _ROW_CHECKS and name not in _CANNOT_FAIL
+
+
 def is_of_type(data_type: T.DataType, alias: str) -> bool:
     """Whether a column type answers to a type name used in rules.
 

@@ -18,9 +18,6 @@ DEFAULT_SUITE = "default_suite"
 DEFAULT_RULE_NAME = "N/A"
 DEFAULT_SEVERITY = "Medium"
 
-# A suite is compiled on the driver, so it must be a suite and not a data table.
-MAX_RULES = 20_000
-
 # Keys of a flat rule that describe the rule and are not parameters of the check.
 META_KEYS = (
     "expectation_type",
@@ -64,6 +61,17 @@ def kwargs_text(kwargs: Mapping[str, Any]) -> str:
     return json.dumps(_plain(kwargs), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
 
 
+def _object(given: Any, name: str) -> tuple[dict[str, Any], str | None]:
+    """Parameters as a dict; for what is no JSON object an empty one and the reason."""
+    try:
+        found = json.loads(given) if isinstance(given, str) else given
+        if isinstance(found, Mapping):
+            return dict(found), None
+    except ValueError:
+        pass
+    return {}, f"{name} is not a JSON object"
+
+
 def _names(value: str | Sequence[str] | None) -> tuple[str, ...]:
     if not value:
         return ()
@@ -83,6 +91,7 @@ class Rule:
     rule_id: str | None = None
     rule_name: str = DEFAULT_RULE_NAME
     severity: str = DEFAULT_SEVERITY
+    error: str | None = None  # why the declaration cannot be read; the rule then fails with it
 
     @property
     def kwargs(self) -> dict[str, Any]:
@@ -103,17 +112,18 @@ class Rule:
 
     @classmethod
     def from_dict(cls, raw: Mapping[str, Any], suite: str = DEFAULT_SUITE) -> Rule:
-        """Accept nested kwargs, flat kwargs, `type` in place of `expectation_type`, and table rows."""
+        """Accept nested kwargs, flat kwargs, `type` in place of `expectation_type`, and table rows.
+
+        Parameters that are no JSON object give a rule that fails with that reason.
+        """
+        outer, error = raw, None
         if "rule_params" in raw:
-            params = raw["rule_params"] or {}
-            kwargs = dict(json.loads(params) if isinstance(params, str) else params)
+            kwargs, error = _object(raw["rule_params"] or {}, "rule_params")
             kwargs.setdefault("column", raw.get("column_name"))
-            outer: Mapping[str, Any] = raw
         elif raw.get("kwargs") is not None:
-            given = raw["kwargs"]
-            kwargs, outer = dict(json.loads(given) if isinstance(given, str) else given), raw
+            kwargs, error = _object(raw["kwargs"], "kwargs")
         else:
-            kwargs, outer = {k: v for k, v in raw.items() if k not in META_KEYS}, raw
+            kwargs = {k: v for k, v in raw.items() if k not in META_KEYS}
         if kwargs.get("column", "") is None:
             kwargs.pop("column")
         meta = {**(raw.get("meta") or {}), **{k: v for k, v in outer.items() if v is not None}}
@@ -129,6 +139,7 @@ class Rule:
             rule_id=None if rule_id is None else str(rule_id),
             rule_name=meta.get("rule_name") or DEFAULT_RULE_NAME,
             severity=meta.get("severity") or DEFAULT_SEVERITY,
+            error=error,
         )
 
     def where(self, row_condition: str) -> Rule:
@@ -236,6 +247,11 @@ def normalise_rule_table(table: DataFrame, suite: str | None = None) -> tuple[Da
         ")), (x, y) -> CASE WHEN x.key < y.key THEN -1 WHEN x.key > y.key THEN 1 ELSE 0 END)))"
     )
     inner_condition = F.expr("try_variant_get(__variant, '$.row_condition', 'string')")
+    inner_groups = F.coalesce(
+        F.transform(F.expr("try_variant_get(__variant, '$.group_by', 'array<string>')"), lambda name: F.trim(name)),
+        split_list(F.expr("try_variant_get(__variant, '$.group_by', 'string')")),
+    )
+    groups = F.when(F.size(F.coalesce(groups, F.array().cast("array<string>"))) > 0, groups).otherwise(inner_groups)
     rows = (
         parsed.withColumn(
             "__column",
@@ -263,10 +279,8 @@ def normalise_rule_table(table: DataFrame, suite: str | None = None) -> tuple[Da
 
 
 def rules_from_frame(frame: DataFrame) -> list[Rule]:
-    """Read suite rows back as rules. Rows are rules, a bounded amount of metadata; the bound is checked."""
-    rows = frame.select([f.name for f in RULE_SCHEMA]).limit(MAX_RULES + 1).collect()
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"a suite may hold at most {MAX_RULES} rules")
+    """Read suite rows back as rules, partition by partition. Rows are rules: metadata, not data."""
+    rows = frame.select([f.name for f in RULE_SCHEMA]).toLocalIterator()
     return [
         Rule(
             expectation_type=r["expectation_type"],
@@ -319,7 +333,6 @@ def parse_suite_documents(raw: DataFrame, column: str = "value") -> DataFrame:
 
 __all__ = [
     "DEFAULT_SUITE",
-    "MAX_RULES",
     "RULE_SCHEMA",
     "Rule",
     "expectation_id",

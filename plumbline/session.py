@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -29,13 +28,24 @@ def build_session(app_name: str = "plumbline", master: str | None = None, **conf
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new, unused path under the shared folder the cluster names in `spark.checkpoint.dir`.
+    """A new, unused path under the shared folder that `spark.checkpoint.dir` names.
 
-    A machine-local folder is used only in local mode and only when that setting is absent.
+    Where the cluster names none, a session may name one with `setCheckpointDir`.
+
+    All paths of a session lie in one folder of that session, which `drop_staged` removes.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    return f"{_staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _staging_root(spark: SparkSession) -> str:
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="plumbline-")
-    return f"{base.rstrip('/')}/plumbline/{label}-{uuid.uuid4().hex}"
+        raise RuntimeError("spark.checkpoint.dir (or setCheckpointDir) must name a folder that all executors share")
+    return f"{base.rstrip('/')}/plumbline/{spark.sparkContext.applicationId}"
+
+
+def drop_staged(spark: SparkSession) -> bool:
+    """Remove everything that this application has staged. What reads a staged copy cannot be used afterwards."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_staging_root(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

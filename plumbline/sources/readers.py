@@ -119,6 +119,28 @@ def read_jdbc_by_day(
     )
 
 
+def _read_database(spark: SparkSession, database: Mapping[str, Any], config: Mapping[str, Any]) -> DataFrame:
+    """A configured table, read in parallel where the configuration says how.
+
+    `date_column`, `start_date` and `end_date` read a day per partition; `partition_column`,
+    `lower_bound`, `upper_bound` and `num_partitions` read ranges of a column. Without either one task
+    reads the table.
+    """
+    table = config.get("table_name") or database.get("table_name")
+    if config.get("date_column"):
+        start, end = (dt.date.fromisoformat(str(config[k])) for k in ("start_date", "end_date"))
+        return read_jdbc_by_day(spark, database, config["date_column"], start, end, table)
+    return read_jdbc(
+        spark,
+        database,
+        table,
+        partition_column=config.get("partition_column"),
+        lower=config.get("lower_bound"),
+        upper=config.get("upper_bound"),
+        partitions=config.get("num_partitions"),
+    )
+
+
 def resolve_source(spark: SparkSession, config: Mapping[str, Any] | DataFrame | str) -> DataFrame:
     """The table a source configuration names. A DataFrame is itself; a text is a path by its ending."""
     if isinstance(config, DataFrame):
@@ -154,10 +176,10 @@ def resolve_source(spark: SparkSession, config: Mapping[str, Any] | DataFrame |
         database = config.get("database")
         if not database:
             raise ValueError("database configuration is missing")
-        return read_jdbc(spark, {"type": kind, **database})
+        return _read_database(spark, {"type": kind, **database}, config)
     if kind in ("database_table", "table"):
         if config.get("connection_string"):
-            return read_jdbc(spark, {"url": config["connection_string"], **config}, config["table_name"])
+            return _read_database(spark, {"url": config["connection_string"], **config}, config)
         if not config.get("table_name"):
             raise ValueError("table_name is missing")
         return spark.table(config["table_name"])
@@ -169,6 +191,20 @@ def limited_batch(df: DataFrame, rows: int = BATCH_ROWS) -> DataFrame:
     return staged(df.limit(rows))
 
 
+_ROW_FORMATS = ("FileScan csv", "FileScan json", "FileScan text", "Scan JDBCRelation")
+
+
+def reads_whole_rows(df: DataFrame) -> bool:
+    """Whether a plan reads text files or a database, where every pass parses or fetches whole rows again."""
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    return any(scan in plan for scan in _ROW_FORMATS)
+
+
+def columnar(df: DataFrame) -> DataFrame:
+    """The table itself, or a staged copy if its source cannot skip columns. For checks that read it several times."""
+    return staged(df) if reads_whole_rows(df) else df
+
+
 def staged(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """A columnar copy of a source that cannot skip columns (text files, databases, join results).
 

@@ -18,6 +18,7 @@ from plumbline.operators.structure import reference_check
 from plumbline.plans.rules import digest
 from plumbline.sources.readers import staged
 
+# Table and column names. Each table's first column is its key.
 TABLES = {
     "datasources": "id string, name string, connection_string string",
     "expectation_suites": "id string, name string, description string",
@@ -56,7 +57,8 @@ def store_rows(results: DataFrame, batch: str, timestamp: str) -> dict[str, Data
         digest("source").alias("datasource_id"),
         digest("suite").alias("suite_id"),
         digest("source", F.lit(batch)).alias("batch_id"),
-        digest("source", F.lit(batch), "suite").alias("validation_id"),
+        # A validation is one run: a batch that is checked again, say after a repair, has another one.
+        digest("source", F.lit(batch), "suite", F.lit(timestamp)).alias("validation_id"),
         # The same as the key of the rule's own row.
         digest("suite", "expectation_type", "kwargs", "row_condition", "group_by").alias("expectation_id"),
     )
@@ -86,14 +88,15 @@ def store_rows(results: DataFrame, batch: str, timestamp: str) -> dict[str, Data
     }
 
 
+# Table and column names of the compact layout. Its first column is each table's key.
 # The compact layout: four tables, verdicts as a status word, parameters and outcome as JSON text.
 COMPACT_TABLES = {
-    "ExpectationSuites": "id string, SuiteName string, SuiteDescription string",
+    "ExpectationSuites": "SuiteID string, SuiteName string, SuiteDescription string",
     "Expectations": (
-        "id string, SuiteID string, ExpectationName string, ExpectationType string, ColumnName string, Parameters string"
+        "ExpectationID string, SuiteID string, ExpectationName string, ExpectationType string, ColumnName string, Parameters string"
     ),
-    "Validations": "id string, SuiteID string, DatasetName string, ValidationTimestamp string, Status string",
-    "ValidationResults": "id string, ValidationID string, ExpectationID string, Status string, ObservedValue string",
+    "Validations": "ValidationID string, SuiteID string, DatasetName string, ValidationTimestamp string, Status string",
+    "ValidationResults": "ValidationResultID string, ValidationID string, ExpectationID string, Status string, ObservedValue string",
 }
 
 COMPACT_LINKS = (
@@ -123,7 +126,7 @@ def compact_store_rows(results: DataFrame, batch: str, timestamp: str) -> dict[s
     keyed = results.select(
         "*",
         digest("suite").alias("suite_id"),
-        digest("source", F.lit(batch), "suite").alias("validation_id"),
+        digest("source", F.lit(batch), "suite", F.lit(timestamp)).alias("validation_id"),
         digest("suite", "expectation_type", "kwargs", "row_condition", "group_by").alias("expectation_id"),
     )
     validations = keyed.groupBy("validation_id", "suite_id", "source").agg(F.bool_and("success").alias("success"))
@@ -131,9 +134,9 @@ def compact_store_rows(results: DataFrame, batch: str, timestamp: str) -> dict[s
         F.min("rule_name").alias("rule_name")
     )
     return {
-        "ExpectationSuites": keyed.selectExpr("suite_id AS id", "suite AS SuiteName", "'' AS SuiteDescription").distinct(),
+        "ExpectationSuites": keyed.selectExpr("suite_id AS SuiteID", "suite AS SuiteName", "'' AS SuiteDescription").distinct(),
         "Expectations": rules.selectExpr(
-            "expectation_id AS id",
+            "expectation_id AS ExpectationID",
             "suite_id AS SuiteID",
             "rule_name AS ExpectationName",
             "expectation_type AS ExpectationType",
@@ -141,14 +144,14 @@ def compact_store_rows(results: DataFrame, batch: str, timestamp: str) -> dict[s
             "kwargs AS Parameters",
         ),
         "Validations": validations.select(
-            F.col("validation_id").alias("id"),
+            F.col("validation_id").alias("ValidationID"),
             F.col("suite_id").alias("SuiteID"),
             F.concat_ws(" ", "source", F.lit(batch)).alias("DatasetName"),
             F.lit(timestamp).alias("ValidationTimestamp"),
             F.expr(_STATUS).alias("Status"),
         ),
         "ValidationResults": keyed.select(
-            digest("validation_id", "expectation_id", F.col("seq").cast("string"), "group_key").alias("id"),
+            digest("validation_id", "expectation_id", F.col("seq").cast("string"), "group_key").alias("ValidationResultID"),
             F.col("validation_id").alias("ValidationID"),
             F.col("expectation_id").alias("ExpectationID"),
             F.expr(_STATUS).alias("Status"),
@@ -158,8 +161,9 @@ def compact_store_rows(results: DataFrame, batch: str, timestamp: str) -> dict[s
 
 
 def only_new(existing: DataFrame, rows: DataFrame) -> DataFrame:
-    """The rows whose key the table does not have yet."""
-    return rows.join(existing.select("id"), "id", "left_anti")
+    """The rows whose key, the first column, the table does not have yet."""
+    key = rows.columns[0]
+    return rows.join(existing.select(key), key, "left_anti")
 
 
 def read_store(spark: SparkSession, path: str, layout: Mapping[str, str] = TABLES) -> dict[str, DataFrame]:
@@ -176,10 +180,19 @@ def read_store(spark: SparkSession, path: str, layout: Mapping[str, str] = TABLE
 
 
 def _append(spark: SparkSession, path: str, layout: Mapping[str, str], rows: Mapping[str, DataFrame]) -> None:
-    """Append what is new, parents before children."""
+    """Append what is new, parents before children.
+
+    A verdict's key holds its validation's. Verdicts, which can be many, are therefore compared only with
+    those of the validations at hand, which their writer sorts by, so that Parquet skips the others.
+    """
     existing = read_store(spark, path, layout)
     for name in layout:
-        only_new(existing[name], rows[name]).write.mode("append").parquet(f"{path}/{name}")
+        known, new = existing[name], rows[name]
+        link = next((c for c in layout[name].split() if c.lower().strip(",") in ("validation_id", "validationid")), None)
+        if link and new.columns[0] != link:
+            runs = [r[0] for r in new.select(link).distinct().collect()]  # one per suite of the run
+            known, new = known.where(F.col(link).isin(runs)), new.sortWithinPartitions(link)
+        only_new(known, new).write.mode("append").parquet(f"{path}/{name}")
 
 
 def append_to_store(results: DataFrame, path: str, batch: str, timestamp: str) -> None:
@@ -207,7 +220,9 @@ def check_store(
     """Referential integrity of the store itself: one row per link."""
     checks = [
         reference_check(
-            tables[child].select(F.col(column).alias("key")), tables[parent].select(F.col("id").alias("key")), ["key"]
+            tables[child].select(F.col(column).alias("key")),
+            tables[parent].select(F.col(tables[parent].columns[0]).alias("key")),
+            ["key"],
         ).select(F.lit(child).alias("table_name"), F.lit(column).alias("column_name"), F.lit(parent).alias("reference"), "*")
         for child, column, parent in links
     ]

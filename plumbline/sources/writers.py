@@ -42,15 +42,17 @@ def write_run(results: DataFrame, folder: str, run_time: str) -> tuple[str, str]
 def summary_record(results: DataFrame, timestamp: str) -> DataFrame:
     """The row of the central summary table: statistics, and the verdicts as JSON text.
 
-    One row per rule is gathered, so the JSON is as long as the suite, not as the data. Grouped
-    verdicts have no such bound and are left to the detail table.
+    The cells list the same verdicts that the statistics count: one per rule, and for a grouped rule one
+    per group, so they are as long as the suite and its groups. Where groups are as many as rows, keep
+    to the detail table.
     """
     results = settled(results)
-    ungrouped = results.where("group_by IS NULL")
-    flat = records(ungrouped.orderBy("seq"))
+    flat = records(results)
     details = flat.agg(F.to_json(F.array_sort(F.collect_list(F.struct(*flat.columns)))).alias("details_record"))
-    full_columns = ("seq", "expectation_type", "kwargs", "success", "element_count", "unexpected_count", "exception")
-    full = ungrouped.agg(F.to_json(F.array_sort(F.collect_list(F.struct(*full_columns)))).alias("summary"))
+    full_columns = (
+        "seq", "expectation_type", "kwargs", "group_key", "success", "element_count", "unexpected_count", "exception"
+    )
+    full = results.agg(F.to_json(F.array_sort(F.collect_list(F.struct(*full_columns)))).alias("summary"))
     stats = statistics(results)
     return stats.select(
         F.lit(timestamp).alias("timestamp"),

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from plumbline.operators.suite import validate
 from plumbline.plans.rules import Rule
+from plumbline.sources.readers import staged
 
 
 def validate_stream(
@@ -31,7 +32,8 @@ def validate_stream(
     """
 
     def check(batch: DataFrame, batch_id: int) -> None:
-        results = validate(batch, rules, source=source, params=params)
+        # A batch is computed again by every pass over it; the copy is computed once.
+        results = validate(staged(batch), rules, source=source, params=params)
         folder = f"{path}/batch_identifier={batch_id}"
         results.write.mode("overwrite").parquet(folder)
         if on_batch:
