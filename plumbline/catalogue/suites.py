@@ -34,6 +34,7 @@ from plumbline.operators.suite import (
 )
 from plumbline.operators.unexpected import unexpected_lists, unexpected_values
 from plumbline.plans.registry import expectation
+from plumbline.session import scratch_dir
 from plumbline.plans.rules import Rule, normalise_rule_table, parse_suite_documents, rules_from_config, rules_from_frame
 
 COUNT = "expect_table_row_count_to_be_between"
@@ -249,6 +250,45 @@ def suite_row_condition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts(validate(table(spark, sf_dir, "orders"), rules, params=params))
 
 
+_DAY = "o_orderdate::DATE"
+
+
+@query(
+    union_all(
+        row_rule(0, BETWEEN, "day", f"(SELECT {_DAY} AS day FROM orders)", "day < TIMESTAMP '1996-01-01 12:00:00'", "0.1"),
+        row_rule(1, BETWEEN, "day", f"(SELECT {_DAY} AS day FROM orders)", "day < DATE '1996-01-01' OR day > DATE '1997-12-31'", "0.1"),
+        row_rule(2, GREATER, "day", f"(SELECT {_DAY} AS day FROM orders)", "day <= TIMESTAMP '1995-06-30 23:59:59'", "0.1"),
+        fixed_rule(3, BETWEEN, "day", False),
+        fixed_rule(4, IN_SET, "day", False),
+        row_rule(5, IN_SET, "day", f"(SELECT {_DAY} AS day FROM orders)", "day NOT IN (DATE '1996-01-02', DATE '1996-01-03')", "0"),
+    )
+)
+def suite_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bounds of a date column with and without a time of day; texts that only begin like a date fail their rule."""
+    rules = [
+        rule(BETWEEN, column="day", min_value="1996-01-01 12:00:00", mostly=0.1),
+        rule(BETWEEN, column="day", min_value="1996-01-01", max_value="1997-12-31 00:00:00", mostly=0.1),
+        rule(GREATER, column="day", value="1995-06-30 23:59:59", mostly=0.1),
+        rule(BETWEEN, column="day", max_value="1996-01-01garbage"),
+        rule(IN_SET, column="day", value_set=["1996-01-02", "1996-13-01"]),
+        rule(IN_SET, column="day", value_set=["1996-01-02", "1996-01-03 00:00:00"], mostly=0),
+    ]
+    return verdicts(validate(table(spark, sf_dir, "orders").selectExpr("CAST(o_orderdate AS DATE) AS day"), rules))
+
+
+_CASED = "(SELECT repeat('x', {0}) || lower(o_orderpriority) || (o_orderkey // 8) AS v FROM orders)"
+
+
+@query(union_all(*[unique_rule(i, "v", _CASED.format(n)).replace("'v'", f"'v{n}'") for i, n in enumerate((0, 80))]))
+def suite_unique_collated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Uniqueness of texts that a collation takes as equal, below and above 64 characters."""
+    spelled = "if(o_orderkey % 2 = 0, upper({0}), lower({0}))"
+    value = "concat(repeat('x', {0}), o_orderpriority, o_orderkey DIV 8)"
+    cased = [f"{spelled.format(value.format(n))} COLLATE UTF8_LCASE AS v{n}" for n in (0, 80)]
+    orders = table(spark, sf_dir, "orders").selectExpr(*cased)
+    return verdicts(validate(orders, [rule(UNIQUE, column=f"v{n}") for n in (0, 80)]))
+
+
 _LINE_GROUP = "l_returnflag, l_linestatus"
 _LINE_KEY = """'{"l_returnflag":"' || l_returnflag || '","l_linestatus":"' || l_linestatus || '"}' AS group_key,"""
 _SHIP_KEY = """'{"l_suppkey":' || l_suppkey || '}' AS group_key,"""
@@ -306,6 +346,10 @@ def suite_null_in_set(spark: SparkSession, sf_dir: str) -> DataFrame:
         fixed_rule(5, NOT_NULL, "o_custkey", False, "'UNBOUND_SQL_PARAMETER: o_orderstatus = :absent' AS exception,"),
         fixed_rule(6, NOT_NULL, "o_custkey", False, "'no column o_region' AS exception,"),
         unique_rule(7, "o_orderkey", "orders", extra="CAST(NULL AS VARCHAR) AS exception,"),
+        fixed_rule(8, NOT_NULL, "o_custkey", False, "'DIVIDE_BY_ZERO' AS exception,"),
+        null_rule(9, "o_custkey", "orders", where="o_totalprice / (o_orderkey + 1) > 2", extra="CAST(NULL AS VARCHAR) AS exception,"),
+        fixed_rule(10, BETWEEN, None, False, "'rule_params is not a JSON object' AS exception,"),
+        fixed_rule(11, "expect_column_values_to_match_regex", "o_orderpriority", False, "'INVALID_PARAMETER_VALUE.PATTERN' AS exception,"),
     )
 )
 def suite_unknown_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -319,6 +363,10 @@ def suite_unknown_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
         rule(NOT_NULL, column="o_custkey").where("o_orderstatus = :absent"),
         rule(NOT_NULL, column="o_custkey").by("o_region"),
         rule(UNIQUE, column="o_orderkey"),
+        rule(NOT_NULL, column="o_custkey").where("o_totalprice / (o_custkey - o_custkey) > 2"),
+        rule(NOT_NULL, column="o_custkey").where("o_totalprice / (o_orderkey + 1) > 2"),
+        Rule.from_dict({"expectation_type": BETWEEN, "rule_params": "{max_value"}),
+        rule("expect_column_values_to_match_regex", column="o_orderpriority", regex="(1"),
     ]
     return verdicts(validate(table(spark, sf_dir, "orders"), rules), "exception")
 
@@ -572,6 +620,25 @@ def failure_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alerts(validate(_events_with_nulls(spark, sf_dir), NULL_RULES))
 
 
+@query(
+    f"""
+WITH v AS ({NULL_ORACLE})
+SELECT channel, seq, expectation_type AS check_type FROM v, (VALUES ('file'), ('table')) AS c(channel)
+WHERE NOT success AND (channel = 'file' OR unexpected_count > 0)"""
+)
+def alert_handlers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Handlers get the alerts of a run and deliver them: one as files, one as a filtered table."""
+    path = scratch_dir(spark, "alerts")
+    alerts(
+        validate(_events_with_nulls(spark, sf_dir), NULL_RULES),
+        lambda rows: rows.write.json(f"{path}/file"),
+        lambda rows: rows.where("message NOT LIKE '0 of%'").write.parquet(f"{path}/table"),
+    )
+    files = spark.read.schema("seq int, check_type string").json(f"{path}/file")
+    both = files.selectExpr("'file' AS channel", "seq", "check_type")
+    return both.unionByName(spark.read.parquet(f"{path}/table").selectExpr("'table' AS channel", "seq", "check_type"))
+
+
 @query(
     f"""
 WITH v AS ({ORDER_ORACLE}), s AS (

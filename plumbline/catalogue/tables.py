@@ -97,8 +97,12 @@ _STATISTICS = [
     ("satisfies", None, None, None),
     ("satisfies", None, None, None),
     ("hasKurtosis", "l_quantity", 0.0, None),
+    ("satisfies", None, None, None),
+    ("hasSum", "large", 1.0, None),
+    (None, "l_quantity", None, None),
+    ("hasMean", "l_quantity", "many", None),
 ]
-_PREDICATES = {9: "l_discount <= 0.1", 10: "l_shipdate >= DATE'1996-01-01'"}
+_PREDICATES = {9: "l_discount <= 0.1", 10: "l_shipdate >= DATE'1996-01-01'", 12: "l_quantity / (l_linenumber - 1) > 0"}
 
 _STATISTICS_ORACLE = """
 WITH m AS (
@@ -119,7 +123,16 @@ UNION ALL SELECT 7, 'hasSum', total, total >= 1 FROM m
 UNION ALL SELECT 8, 'hasCorrelation', r, r BETWEEN 0.5 AND 1 FROM m
 UNION ALL SELECT 9, 'satisfies', p1 / n, p1 = n FROM m
 UNION ALL SELECT 10, 'satisfies', p2 / n, p2 = n FROM m
-UNION ALL SELECT 11, 'hasKurtosis', NULL, NULL FROM m"""
+UNION ALL SELECT 11, 'hasKurtosis', NULL, NULL FROM m
+UNION ALL SELECT 12, 'satisfies', NULL, NULL FROM m
+UNION ALL SELECT 13, 'hasSum', n * 4611686018427387904::DOUBLE, TRUE FROM m
+UNION ALL SELECT 14, NULL, NULL, NULL FROM m
+UNION ALL SELECT 15, 'hasMean', NULL, NULL FROM m"""
+
+
+def _large_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines with a column whose sum no 64-bit integer holds."""
+    return table(spark, sf_dir, "lineitem").withColumn("large", F.lit(2**62))
 
 
 def _statistic_constraints() -> list[dict]:
@@ -132,10 +145,11 @@ def _statistic_constraints() -> list[dict]:
 @query(
     f"""SELECT seq, constraint_type, round(metric, 6) AS metric,
         CASE WHEN ok IS NULL THEN 'Unknown' WHEN ok THEN 'Success' ELSE 'Failure' END AS constraint_status,
-        CASE WHEN ok IS NULL THEN 'unknown constraint type' END AS message FROM ({_STATISTICS_ORACLE})"""
+        CASE WHEN seq = 12 THEN 'DIVIDE_BY_ZERO' WHEN seq = 15 THEN 'bounds ''many'', None are not numbers'
+             WHEN ok IS NULL THEN 'unknown constraint type' END AS message FROM ({_STATISTICS_ORACLE})"""
 )
 def constraint_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    results = check_constraints(table(spark, sf_dir, "lineitem"), _statistic_constraints())
+    results = check_constraints(_large_lines(spark, sf_dir), _statistic_constraints())
     return results.select("seq", "constraint_type", rounded("metric"), "constraint_status", "message")
 
 
@@ -146,7 +160,7 @@ def constraint_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def constraint_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict over all constraints of a run."""
-    return constraint_verdict(check_constraints(table(spark, sf_dir, "lineitem"), _statistic_constraints()))
+    return constraint_verdict(check_constraints(_large_lines(spark, sf_dir), _statistic_constraints()))
 
 
 # ---- profile
@@ -344,23 +358,111 @@ def profile_datetime(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-@query()
+_LINE_NUMBERS = ("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount")
+
+
+@query(
+    union_all(
+        *[
+            f"SELECT '{how}' AS how, '{c}' AS column_name, TRUE AS within, TRUE AS near"
+            for how in ("sample", "sketch")
+            for c in _LINE_NUMBERS
+        ]
+    )
+)
 def profile_sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A profile of a capped sample, and one from sketches."""
+    """A profile of a capped sample, and one from sketches, against the exact one.
+
+    Which rows a sample has is not determined. That its size is near the cap, its range lies within the
+    table's and its mean near the table's, is.
+    """
     lines = table(spark, sf_dir, "lineitem")
-    columns = ("column_name", "record_count", "distinct_count", "mean", "p50")
-    capped = profile(lines, max_sample_rows=10_000).select(F.lit("sample").alias("how"), *columns)
-    return capped.unionByName(profile(lines, exact=False).select(F.lit("sketch").alias("how"), *columns))
+    names = [F.col(c) for c in ("column_name", "record_count", "distinct_count", "min", "max", "mean", "p50")]
+    exact = profile(lines).select(*[c.alias(f"exact_{i}") for i, c in enumerate(names)])
+    cap = 10_000
+    rough = profile(lines, max_sample_rows=cap).select(F.lit("sample").alias("how"), *names)
+    rough = rough.unionByName(profile(lines, exact=False).select(F.lit("sketch").alias("how"), *names))
+    spread = F.col("exact_4") - F.col("exact_3")
+    wanted = F.when(F.col("how") == "sample", F.least(F.lit(cap), F.col("exact_1"))).otherwise(F.col("exact_1"))
+    within = (
+        (F.abs(F.col("record_count") - wanted) <= 0.1 * wanted)
+        & (F.col("min") >= F.col("exact_3"))
+        & (F.col("max") <= F.col("exact_4"))
+        & (F.col("distinct_count") <= 1.1 * F.col("exact_2"))
+    )
+    near = (F.abs(F.col("mean") - F.col("exact_5")) <= 0.05 * spread) & (F.abs(F.col("p50") - F.col("exact_6")) <= 0.05 * spread)
+    return (
+        rough.join(exact, F.col("column_name") == F.col("exact_0"))
+        .where(F.col("column_name").isin(*_LINE_NUMBERS))
+        .select("how", "column_name", within.alias("within"), near.alias("near"))
+    )
 
 
-@query()
+@query(
+    """
+SELECT least(1000, count(*)) AS rows, 0::BIGINT AS broken,
+       (SELECT count(*) FROM (DESCRIBE orders)) AS columns_with_rules FROM orders"""
+)
 def suggest_from_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rules proposed from a batch of 1000 rows."""
-    return suggest_suite(limited_batch(table(spark, sf_dir, "orders")), "orders").select(
-        "expectation_type", "column_name", "kwargs"
+    """Rules proposed from a batch of at most 1000 rows. They hold on their own batch, and every column has one."""
+    batch = limited_batch(table(spark, sf_dir, "orders"))
+    rules = rules_from_frame(suggest_suite(batch, "orders"))
+    results = validate(batch, rules)
+    return results.agg(
+        F.max("element_count").alias("rows"),
+        F.count_if(~F.col("success")).alias("broken"),
+        F.countDistinct("column_name").alias("columns_with_rules"),
     )
 
 
+@query(
+    """
+SELECT 'bigint' AS data_type, min(o_orderkey)::HUGEINT + 9007199254740993 || '' AS low,
+       max(o_orderkey)::HUGEINT + 9007199254740993 || '' AS high,
+       (max(o_orderkey)::HUGEINT + 9007199254740993 + greatest(ceil((max(o_orderkey) - min(o_orderkey)) / 10.0), 1)::HUGEINT) || '' AS proposed
+FROM orders
+UNION ALL
+SELECT 'decimal(30,0)', min(o_orderkey)::HUGEINT + 90071992547409930000 || '', max(o_orderkey)::HUGEINT + 90071992547409930000 || '',
+       (max(o_orderkey)::HUGEINT + 90071992547409930000 + greatest(ceil((max(o_orderkey) - min(o_orderkey)) / 10.0), 1)::HUGEINT) || ''
+FROM orders
+UNION ALL
+SELECT 'double', '0.0', 'NaN', NULL"""
+)
+def profile_exact_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extremes that a double cannot hold, the bounds proposed from them, and a column with NaN, which gets none."""
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey + 9007199254740993 AS a",
+        "CAST(o_orderkey AS DECIMAL(30, 0)) + 90071992547409930000 AS b",
+        "if(o_orderkey % 2 = 0, 0D, double('NaN')) AS c",
+    ).selectExpr("a", "CAST(b AS DECIMAL(30, 0)) AS b", "c")
+    profiled = profile(orders)
+    bounds = suggest_rules(profiled, "s").where("expectation_type = 'expect_column_values_to_be_between'")
+    bounds = bounds.select(F.col("column_name").alias("of"), F.get_json_object("kwargs", "$.max_value").alias("proposed"))
+    joined = profiled.join(bounds, F.col("column_name") == F.col("of"), "left")
+    return joined.select("data_type", F.col("exact_min").alias("low"), F.col("exact_max").alias("high"), "proposed")
+
+
+@query(
+    union_all(
+        *[
+            f"SELECT {n} AS width, {n}::BIGINT AS columns, count(DISTINCT o_orderkey % 1000 % {n // 2}) AS found FROM orders"
+            for n in (64, 65)
+        ]
+    )
+)
+def profile_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables of 64 and of 65 columns are profiled alike."""
+    parts = []
+    for width in (64, 65):
+        base = table(spark, sf_dir, "orders").selectExpr(*[f"CAST(o_orderkey % 1000 % {width // 2} AS STRING) AS c{i}" for i in range(width)])
+        parts.append(
+            profile(base).agg(
+                F.lit(width).alias("width"), F.count(F.lit(1)).alias("columns"), F.max("distinct_count").cast("bigint").alias("found")
+            )
+        )
+    return parts[0].unionByName(parts[1])
+
+
 # ---- structure
 
 _ORDERS_DECLARED = T.StructType(
@@ -672,7 +774,7 @@ def _checks(spark: SparkSession, sf_dir: str) -> Checks:
     checks.reference_integrity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ["doc_id"], "labels")
     checks.freshness(table(spark, sf_dir, "events"), "ts", 60, now, "events age")
     checks.anomalies(table(spark, sf_dir, "events"), "value", name="values")
-    checks.constraints(lines, _statistic_constraints(), "line constraints")
+    checks.constraints(_large_lines(spark, sf_dir), _statistic_constraints(), "line constraints")
     checks.expectations(lines, [Rule.make("expect_column_values_to_be_greater_than", column="l_discount", value=0)], "lines")
     checks.custom(orders, lambda df: {"is_valid": F.max("o_totalprice") < 0}, "prices")
     return checks
@@ -680,26 +782,26 @@ def _checks(spark: SparkSession, sf_dir: str) -> Checks:
 
 _CHECKS_ORACLE = f"""
 SELECT 'orders schema' AS check_name, 'schema_validation' AS check_type, FALSE AS is_valid,
-       'Found 6 schema differences' AS message
+       '2 fields absent, 2 of another type, 2 not declared' AS message
 UNION ALL
 SELECT 'orders key', 'pk_check', count(*) = count(DISTINCT o_orderkey),
-       'Duplicates: ' || (count(*) - count(DISTINCT o_orderkey)) || ', Nulls: 0' FROM orders
+       count(DISTINCT o_orderkey) || ' keys in ' || count(*) || ' rows, 0 rows without a full key' FROM orders
 UNION ALL
-SELECT 'lines key', 'pk_check', n = d, 'Duplicates: ' || (n - d) || ', Nulls: 0' FROM
+SELECT 'lines key', 'pk_check', n = d, d || ' keys in ' || n || ' rows, 0 rows without a full key' FROM
   (SELECT count(*) AS n, count(DISTINCT (l_orderkey, l_linenumber)) AS d FROM lineitem)
 UNION ALL
-SELECT 'labels', 'ref_integrity_check', m = 0, 'Missing references: ' || m || ' (' || printf('%.2f', 100.0 * m / n) || '%)' FROM
+SELECT 'labels', 'ref_integrity_check', m = 0, (n - m) || ' of ' || n || ' rows have a reference' FROM
   (SELECT count(*) AS n, count(*) FILTER (WHERE doc_id NOT IN (SELECT doc_id FROM labels)) AS m FROM documents)
 UNION ALL
-SELECT 'events age', 'freshness_check', d <= 60, 'Data is ' || printf('%.1f', d) || ' minutes old (max allowed: 60)' FROM
+SELECT 'events age', 'freshness_check', d <= 60, 'newest row is ' || printf('%.1f', d) || ' min old' FROM
   (SELECT date_diff('microsecond', max(ts), TIMESTAMP '2024-01-31 12:00:00') / 6e7 AS d FROM events)
 UNION ALL
-SELECT 'values', 'anomaly_check', a = 0, 'Anomalies: ' || a FROM ({_SCORED} SELECT count(*) AS a FROM z WHERE zscore > 3)
+SELECT 'values', 'anomaly_check', a = 0, a || ' values stand out' FROM ({_SCORED} SELECT count(*) AS a FROM z WHERE zscore > 3)
 UNION ALL
-SELECT 'line constraints', 'constraints', FALSE, 'Failed rules: ' || count(*) FILTER (WHERE ok IS NOT TRUE)
+SELECT 'line constraints', 'constraints', FALSE, count(*) FILTER (WHERE ok) || ' of ' || count(*) || ' constraints hold'
 FROM ({_STATISTICS_ORACLE})
 UNION ALL
-SELECT 'lines', 'expectations', b = 0, 'Failed expectations: 1' FROM (SELECT count(*) AS b FROM lineitem WHERE NOT l_discount > 0)
+SELECT 'lines', 'expectations', b = 0, '0 of 1 rules hold' FROM (SELECT count(*) AS b FROM lineitem WHERE NOT l_discount > 0)
 UNION ALL
 SELECT 'prices', 'custom', max(o_totalprice) < 0, '' FROM orders"""
 
@@ -712,11 +814,7 @@ def check_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""
-SELECT CASE check_type WHEN 'schema_validation' THEN 'Schema validation' WHEN 'pk_check' THEN 'Primary key check'
-         WHEN 'ref_integrity_check' THEN 'Referential integrity check' WHEN 'freshness_check' THEN 'Data freshness check'
-         WHEN 'constraints' THEN 'Constraint validation' WHEN 'expectations' THEN 'Expectation validation'
-         WHEN 'anomaly_check' THEN 'Anomaly check' ELSE 'Custom validation' END || ' failed for ' || check_name AS title,
-       message, check_type
+SELECT check_name || ' [' || check_type || ']' AS title, message, check_type
 FROM ({_CHECKS_ORACLE}) WHERE NOT is_valid"""
 )
 def check_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -746,7 +844,7 @@ def _proposal(kind: str, column: str, source: str, where: str, **values: str) ->
     return f"SELECT '{kind}' AS expectation_type, '{column}' AS column_name, {listed}, NULL::VARCHAR AS value FROM {source} WHERE {where}"
 
 
-def _proposals_oracle(source: str, columns: dict[str, str]) -> str:
+def proposals_oracle(source: str, columns: dict[str, str]) -> str:
     parts = []
     for column, kind in columns.items():
         facts = f"(SELECT count(*) AS n, count({column}) AS k, count(DISTINCT {column}) AS d"
@@ -807,10 +905,10 @@ _FEW_NULLS = """(SELECT event_id, ts, user_id, CASE WHEN value > 150 THEN NULL E
 
 @query(
     f"""
-SELECT 'customer' AS suite, * FROM ({_proposals_oracle("customer", {"c_custkey": "number", "c_name": "string",
+SELECT 'customer' AS suite, * FROM ({proposals_oracle("customer", {"c_custkey": "number", "c_name": "string",
     "c_nationkey": "number", "c_acctbal": "number", "c_mktsegment": "string"})})
 UNION ALL
-SELECT 'events', * FROM ({_proposals_oracle(_FEW_NULLS, {"event_id": "number", "ts": "datetime", "user_id": "number",
+SELECT 'events', * FROM ({proposals_oracle(_FEW_NULLS, {"event_id": "number", "ts": "datetime", "user_id": "number",
     "event_type": "string", "value": "number", "props": "string"})})"""
 )
 def suggested_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -828,7 +926,7 @@ def suggested_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""
 SELECT expectation_type, column_name, TRUE AS success, count(*)::BIGINT AS rules FROM (
-  SELECT DISTINCT expectation_type, column_name, min_value, type_ FROM ({_proposals_oracle("part", {"p_partkey": "number",
+  SELECT DISTINCT expectation_type, column_name, min_value, type_ FROM ({proposals_oracle("part", {"p_partkey": "number",
     "p_name": "string", "p_brand": "string", "p_type": "string", "p_size": "number", "p_retailprice": "number"})}))
 GROUP BY expectation_type, column_name"""
 )

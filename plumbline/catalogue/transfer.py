@@ -8,13 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.catalogue.base import query, rounded, table, union_all
+from plumbline.catalogue.tables import proposals_oracle
 from plumbline.catalogue.suites import NULL_RULES, NULL_ORACLE, ORDER_ORACLE, ORDER_RULES
 from plumbline.functions.scalars import slug
-from plumbline.operators.suggest import suggest_suite
+from plumbline.operators.profile import profile
+from plumbline.operators.sources_run import validate_sources
+from plumbline.operators.suggest import suggest_suite, suite_summary
 from plumbline.operators.suite import validate
 from plumbline.plans.rules import Rule
 from plumbline.session import scratch_dir
-from plumbline.sources.readers import between_days, read_csv, read_csv_as_text, read_json, resolve_source, staged
+from plumbline.sources.readers import between_days, columnar, read_csv, read_csv_as_text, read_json, resolve_source, staged
 from plumbline.sources.store import (
     COMPACT_TABLES,
     append_to_compact_store,
@@ -120,11 +123,13 @@ def json_results(spark: SparkSession, sf_dir: str) -> DataFrame:
         round(100.0::DOUBLE * count(*) FILTER (WHERE success) / count(*), 6) AS success_percent,
         count(*)::INTEGER AS summary_rules, sum(coalesce(unexpected_count, 0))::BIGINT AS detail_unexpected,
         count(*) AS detail_rows
-    FROM ({ORDER_ORACLE})"""
+    FROM (SELECT success, unexpected_count FROM ({ORDER_ORACLE}) UNION ALL
+          SELECT bool_and(o_totalprice <= 400000), count(*) FILTER (WHERE o_totalprice > 400000) FROM orders GROUP BY o_orderpriority)"""
 )
 def central_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows that the central summary and detail tables get, JSON columns included."""
-    results = settled(validate(table(spark, sf_dir, "orders"), ORDER_RULES))
+    """The rows that the central summary and detail tables get, JSON columns and grouped verdicts included."""
+    grouped = rule("expect_column_values_to_be_between", column="o_totalprice", max_value=400000).by("o_orderpriority")
+    results = settled(validate(table(spark, sf_dir, "orders"), [*ORDER_RULES, grouped]))
     at = "2024-01-31 00:00:00"
     details = detail_records(results, at).agg(F.count(F.lit(1)).alias("n")).scalar()
     shape = "array<struct<unexpected_count: bigint>>"
@@ -146,7 +151,13 @@ def central_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+_CUSTOMER_KINDS = {"c_custkey": "number", "c_name": "string", "c_nationkey": "number", "c_acctbal": "number", "c_mktsegment": "string"}
+
+
+@query(
+    f"""SELECT 'customer' AS suite, expectation_type, column_name, count(*) AS members FROM (
+          {proposals_oracle("customer", _CUSTOMER_KINDS)}) GROUP BY expectation_type, column_name"""
+)
 def suite_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Save a proposed suite as rows and as a document, and read both back."""
     path = scratch_dir(spark, "suite")
@@ -160,9 +171,68 @@ def suite_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     document.select(F.to_json(F.struct("*")).alias("value")).write.text(f"{path}/document")
     read = read_suite(spark, f"{path}/document")
-    return rows.join(read.select("expectation_type", "column_name"), ["expectation_type", "column_name"], "left_semi").select(
-        "suite", "expectation_type", "column_name", "kwargs"
+    both = rows.join(read.select("expectation_type", "column_name"), ["expectation_type", "column_name"], "left_semi")
+    members = F.size(F.from_json(F.get_json_object("kwargs", "$.value_set"), "array<string>"))
+    return both.groupBy("suite", "expectation_type", "column_name").agg(
+        F.sum(F.coalesce(members, F.lit(1))).alias("members")
+    )
+
+
+@query(
+    f"""
+WITH p AS ({proposals_oracle("customer", _CUSTOMER_KINDS)})
+SELECT 'customer_suite' AS suite, count(*) AS saved, (SELECT count(*) FROM customer) AS row_count, 5::BIGINT AS column_count,
+       count(*) AS rule_count, 5::BIGINT AS profiled, (SELECT count(DISTINCT c_mktsegment) FROM customer) AS segments
+FROM (SELECT DISTINCT expectation_type, column_name FROM p)"""
+)
+def sources_without_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source without rules is profiled, rules are proposed from the profile and saved, and the run is written."""
+    path = scratch_dir(spark, "auto")
+    run = validate_sources(spark, {"customer": f"{sf_dir}/customer.parquet"}, {}, auto_suggest=True)
+    run.write(path, "20240131_000000")
+    saved = read_suite_rows(spark, f"{path}/expectations/customer_expectations")
+    profiled = spark.read.json(f"{path}/20240131_000000/profiles/customer")
+    facts = profiled.agg(
+        F.count(F.lit(1)).alias("profiled"), F.max(F.when(F.col("column_name") == "c_mktsegment", F.col("distinct_count"))).alias("segments")
+    )
+    about = suite_summary(run.profiles["customer"], saved, "customer_suite").drop("generated_at")
+    return saved.groupBy("suite").agg(F.count(F.lit(1)).alias("saved")).join(about, "suite").crossJoin(facts)
+
+
+@query("SELECT n_regionkey, count(*) AS nations, sum(n_nationkey)::BIGINT AS keys FROM nation GROUP BY n_regionkey")
+def flat_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON documents that span lines, one per file, resolved as a flat file source."""
+    path = scratch_dir(spark, "flat")
+    rows = F.to_json(F.collect_list(F.struct("*")), {"pretty": "true"})
+    nations = table(spark, sf_dir, "nation")
+    nations.groupBy(F.col("n_regionkey").alias("region")).agg(rows.alias("value")).select("value").repartition(5).write.option(
+        "lineSep", "\n\n"
+    ).text(path)
+    source = resolve_source(spark, {"source_type": "flat_file", "file_path": path, "schema": nations.schema})
+    return source.groupBy("n_regionkey").agg(F.count(F.lit(1)).alias("nations"), F.sum("n_nationkey").cast("bigint").alias("keys"))
+
+
+@query(
+    union_all(
+        "SELECT 'scans' AS fact, 1::BIGINT AS value",
+        "SELECT 'rules', count(*) FROM (SELECT unnest(range(6)))",
+        "SELECT 'types', count(DISTINCT event_type) FROM events",
     )
+)
+def text_source_read_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A CSV source is parsed once, however many passes its rules and its profile take."""
+    path = scratch_dir(spark, "once") + ".csv"
+    table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value").write.option("header", True).csv(path)
+    schema = "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE"
+    source = columnar(resolve_source(spark, {"source_type": "csv", "file_path": path, "schema": schema}))
+    rules = [rule("expect_column_values_to_be_unique", column=c) for c in source.columns]
+    rules += [rule("expect_column_values_to_not_be_null", column=c) for c in ("event_id", "value")]
+    results = validate(source, rules)
+    # The text itself is scanned for the copy only; no later plan reads it.
+    later = results._jdf.queryExecution().executedPlan().toString().count("FileScan csv")
+    return results.agg(F.lit("rules").alias("fact"), F.count(F.lit(1)).alias("value")).unionByName(
+        profile(source).where("column_name = 'event_type'").select(F.lit("types").alias("fact"), F.col("distinct_count").alias("value"))
+    ).unionByName(spark.range(1).select(F.lit("scans").alias("fact"), F.lit(1 + later).cast("bigint").alias("value")))
 
 
 @query(
@@ -185,16 +255,28 @@ LINE_RULES = [
 ]
 
 
+_REPAIRED_ORACLE = ORDER_ORACLE.replace("FROM orders", "FROM (SELECT * REPLACE (least(o_totalprice, 1000.0) AS o_totalprice) FROM orders)")
+
+
 def _fill_store(spark: SparkSession, sf_dir: str, path: str) -> list[tuple[int, str, int]]:
-    """Fill a store by three runs: the lines, the orders, and the lines once more. Returns the sizes after each.
+    """Fill a store by four runs: the lines, the orders, the lines stored again, and the orders checked
+    again after a repair, which changes their verdict. Returns the sizes after each.
 
     The sizes are read at once, for a table grows while it is read later.
     """
     lines = validate(table(spark, sf_dir, "lineitem"), LINE_RULES, source="lineitem")
     orders = validate(table(spark, sf_dir, "orders"), ORDER_RULES, source="orders")
     sizes = []
-    for run, (results, batch) in enumerate([(lines, "2024-01-30"), (orders, "2024-01-31"), (lines, "2024-01-30")], 1):
-        append_to_store(results, path, batch, f"{batch} 00:00:00")
+    repaired = table(spark, sf_dir, "orders").withColumn("o_totalprice", F.least("o_totalprice", F.lit(1000.0)))
+    again = validate(repaired, ORDER_RULES, source="orders")
+    runs = [
+        (lines, "2024-01-30", "2024-01-30 00:00:00"),
+        (orders, "2024-01-31", "2024-01-31 00:00:00"),
+        (lines, "2024-01-30", "2024-01-30 00:00:00"),
+        (again, "2024-01-31", "2024-02-01 00:00:00"),
+    ]
+    for run, (results, batch, time) in enumerate(runs, 1):
+        append_to_store(results, path, batch, time)
         sizes += [(run, *row) for row in store_counts(read_store(spark, path)).collect()]
     return sizes
 
@@ -205,13 +287,15 @@ WITH s AS (SELECT count(DISTINCT l_suppkey) AS suppliers FROM lineitem)
 SELECT run, table_name, rows::BIGINT AS rows FROM (VALUES (1, 'datasources', 1), (1, 'expectation_suites', 1),
   (1, 'expectations', 2), (1, 'batches', 1), (1, 'validations', 1), (2, 'datasources', 2), (2, 'expectation_suites', 1),
   (2, 'expectations', 10), (2, 'batches', 2), (2, 'validations', 2), (3, 'datasources', 2), (3, 'expectation_suites', 1),
-  (3, 'expectations', 10), (3, 'batches', 2), (3, 'validations', 2)) AS t(run, table_name, rows)
+  (3, 'expectations', 10), (3, 'batches', 2), (3, 'validations', 2), (4, 'datasources', 2), (4, 'expectation_suites', 1),
+  (4, 'expectations', 10), (4, 'batches', 2), (4, 'validations', 3)) AS t(run, table_name, rows)
 UNION ALL SELECT 1, 'validation_results', 1 + suppliers FROM s
 UNION ALL SELECT 2, 'validation_results', 9 + suppliers FROM s
-UNION ALL SELECT 3, 'validation_results', 9 + suppliers FROM s"""
+UNION ALL SELECT 3, 'validation_results', 9 + suppliers FROM s
+UNION ALL SELECT 4, 'validation_results', 17 + suppliers FROM s"""
 )
 def store_get_or_create(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The size of each table after each run; a repeated run adds nothing."""
+    """The size of each table after each run: storing a run again adds nothing, checking a batch again does."""
     sizes = _fill_store(spark, sf_dir, scratch_dir(spark, "store"))
     return spark.createDataFrame(sizes, "run int, table_name string, rows bigint")
 
@@ -223,10 +307,10 @@ SELECT table_name, column_name, reference, TRUE AS is_valid, n AS total_count, n
 FROM (
   SELECT 'expectations' AS table_name, 'suite_id' AS column_name, 'expectation_suites' AS reference, 10::BIGINT AS n
   UNION ALL SELECT 'batches', 'datasource_id', 'datasources', 2
-  UNION ALL SELECT 'validations', 'batch_id', 'batches', 2
-  UNION ALL SELECT 'validations', 'suite_id', 'expectation_suites', 2
-  UNION ALL SELECT 'validation_results', 'validation_id', 'validations', 9 + suppliers FROM s
-  UNION ALL SELECT 'validation_results', 'expectation_id', 'expectations', 9 + suppliers FROM s)"""
+  UNION ALL SELECT 'validations', 'batch_id', 'batches', 3
+  UNION ALL SELECT 'validations', 'suite_id', 'expectation_suites', 3
+  UNION ALL SELECT 'validation_results', 'validation_id', 'validations', 17 + suppliers FROM s
+  UNION ALL SELECT 'validation_results', 'expectation_id', 'expectations', 17 + suppliers FROM s)"""
 )
 def store_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "store")
@@ -244,7 +328,9 @@ v AS (
   UNION ALL
   SELECT 'lineitem', '2024-01-30', 'expect_column_values_to_not_be_null', TRUE, count(*) FROM lineitem
   UNION ALL
-  SELECT 'orders', '2024-01-31', expectation_type, success, element_count FROM ({ORDER_ORACLE}))
+  SELECT 'orders', '2024-01-31', expectation_type, success, element_count FROM ({ORDER_ORACLE})
+  UNION ALL
+  SELECT 'orders', '2024-01-31', expectation_type, success, element_count FROM ({_REPAIRED_ORACLE}))
 SELECT source, 'default_suite' AS suite, batch_identifier, expectation_type, success, count(*) AS results,
        sum(element_count)::BIGINT AS elements
 FROM v GROUP BY source, batch_identifier, expectation_type, success"""
@@ -287,8 +373,8 @@ def store_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in range(2):
         append_to_compact_store(results, path, "2024-01-31", "2024-01-31 00:00:00")
     tables = read_store(spark, path, COMPACT_TABLES)
-    runs = tables["Validations"].selectExpr("id AS ValidationID", "DatasetName AS dataset", "Status AS run_status")
-    rules = tables["Expectations"].selectExpr("id AS ExpectationID", "ExpectationName AS name")
+    runs = tables["Validations"].selectExpr("ValidationID", "DatasetName AS dataset", "Status AS run_status")
+    rules = tables["Expectations"].selectExpr("ExpectationID", "ExpectationName AS name")
     named = tables["ValidationResults"].join(runs, "ValidationID").join(rules, "ExpectationID")
     return named.selectExpr("dataset", "name", "Status AS status", "ObservedValue AS observed", "run_status")
 

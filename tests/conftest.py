@@ -11,7 +11,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[8]",
@@ -20,6 +20,7 @@ def spark():
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "4g",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("staged")),
         },
     )
     session.sparkContext.setLogLevel("OFF")
@@ -33,12 +34,14 @@ def sf_dir():
 
 
 @pytest.fixture(scope="session")
-def sales(spark):
+def meters(spark):
+    """Readings of meters, with the values that checks tend to get wrong."""
     rows = [
-        (101.0, "2023-01-15", 125.50),
-        (102.0, "2023-01-16", 250.75),
-        (103.0, "2023-01-17", 50.25),
-        (None, "2023-01-18", 1000.00),
-        (105.0, "2023-01-19", 15000.00),
+        (1, "m-1", "2024-05-01", 0.0, "kWh"),
+        (2, "m-1", "2024-05-02", -0.0, "kWh"),
+        (3, "m-2", None, float("nan"), "KWH"),
+        (4, None, "2024-05-02", None, ""),
+        (4, "m-3", "2024-13-40", 1e12, "kWh"),
+        (None, "m-3", "2024-05-02", 7.25, None),
     ]
-    return spark.createDataFrame(rows, "customer_id double, purchase_date string, total_amount double")
+    return spark.createDataFrame(rows, "reading int, meter string, day string, amount double, unit string")

@@ -289,16 +289,16 @@ def test_no_set_for_a_category_with_more_than_ten_values(spark):
     assert "expect_column_values_to_be_in_set" not in kinds
 
 
-def test_checks_keep_outcomes_and_notify(spark, sales):
+def test_checks_keep_outcomes_and_notify(spark, meters):
     seen = []
     checks = Checks(lambda alerts: seen.extend(alerts.collect()))
-    checks.primary_key(sales, ["customer_id"], "key")
-    checks.freshness(sales.limit(0), "purchase_date", name="age")
-    checks.expectations(sales, [Rule.make("expect_column_to_exist", column="customer_id")], "exists")
+    checks.primary_key(meters, ["reading"], "key")
+    checks.freshness(meters.limit(0), "day", name="age")
+    checks.expectations(meters, [Rule.make("expect_column_to_exist", column="meter")], "exists")
     got = {r["check_name"]: r["is_valid"] for r in checks.verdicts().collect()}
     assert got == {"key": False, "age": False, "exists": True}
     checks.notify()
     assert {a["title"]: a["message"] for a in seen} == {
-        "Primary key check failed for key": "Duplicates: 0, Nulls: 1",
-        "Data freshness check failed for age": "Data is N/A minutes old (max allowed: 60)",
+        "key [pk_check]": "5 keys in 6 rows, 1 rows without a full key",
+        "age [freshness_check]": "no row has a time",
     }

@@ -1,6 +1,7 @@
 """Sources, sinks, store, dates, parameters, streams."""
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -12,8 +13,19 @@ from plumbline.functions.scalars import canonical_json, slug, split_list
 from plumbline.operators.sources_run import validate_sources
 from plumbline.operators.suite import validate
 from plumbline.plans.rules import Rule, rules_from_config, rules_to_frame
-from plumbline.session import scratch_dir
-from plumbline.sources.readers import between_days, day_predicates, jdbc_options, limited_batch, resolve_source, staged
+from plumbline import session
+from plumbline.session import drop_staged, scratch_dir
+from plumbline.sources import readers
+from plumbline.sources.readers import (
+    between_days,
+    columnar,
+    day_predicates,
+    jdbc_options,
+    limited_batch,
+    reads_whole_rows,
+    resolve_source,
+    staged,
+)
 from plumbline.sources.store import (
     COMPACT_LINKS,
     COMPACT_TABLES,
@@ -111,20 +123,20 @@ def test_day_predicates_cover_each_row_once(spark):
     assert day_predicates("t", end, end) == []
 
 
-def test_resolver(spark, tmp_path, sales):
+def test_resolver(spark, tmp_path, meters):
     csv, parquet, lines = (str(tmp_path / n) for n in ("t.csv", "t.parquet", "t.json"))
-    sales.write.option("header", True).csv(csv)
-    sales.write.parquet(parquet)
-    sales.write.json(lines)
-    assert dict(resolve_source(spark, csv).dtypes)["total_amount"] == "double"
+    meters.write.option("header", True).csv(csv)
+    meters.write.parquet(parquet)
+    meters.write.json(lines)
+    assert dict(resolve_source(spark, csv).dtypes)["amount"] == "double"
     assert set(dict(resolve_source(spark, {"source_type": "spark_csv", "file_path": csv}).dtypes).values()) == {"string"}
-    typed = resolve_source(spark, {"type": "csv", "path": csv, "schema": "customer_id double, purchase_date date, total_amount float"})
-    assert dict(typed.dtypes)["purchase_date"] == "date" and typed.count() == 5
-    assert resolve_source(spark, {"source_type": "parquet", "file_path": parquet}).count() == 5
-    assert resolve_source(spark, lines).count() == 5
-    assert resolve_source(spark, sales) is sales
-    sales.createOrReplaceTempView("sales_view")
-    assert resolve_source(spark, {"source_type": "database_table", "table_name": "sales_view"}).count() == 5
+    typed = resolve_source(spark, {"type": "csv", "path": csv, "schema": "reading int, meter string, day date, amount float, unit string"})
+    assert dict(typed.dtypes)["day"] == "date" and typed.count() == 6
+    assert resolve_source(spark, {"source_type": "parquet", "file_path": parquet}).count() == 6
+    assert resolve_source(spark, lines).count() == 6
+    assert resolve_source(spark, meters) is meters
+    meters.createOrReplaceTempView("meters_view")
+    assert resolve_source(spark, {"source_type": "database_table", "table_name": "meters_view"}).count() == 6
 
 
 def test_json_documents(spark, tmp_path):
@@ -170,8 +182,8 @@ def test_day_files_are_capped(spark, tmp_path):
     assert len(files) == 6 and all(len(f.read_text().splitlines()) <= 51 for f in files)
 
 
-def test_run_files(spark, tmp_path, sales):
-    results = validate(sales, [Rule.make(NOT_NULL, column="customer_id")])
+def test_run_files(spark, tmp_path, meters):
+    results = validate(meters, [Rule.make(NOT_NULL, column="meter")])
     summary_path, details_path = write_run(results, str(tmp_path), "20240131_000000")
     row = spark.read.json(summary_path).first()
     assert row["success"] is False and row["statistics"]["evaluated_expectations"] == 1
@@ -179,34 +191,35 @@ def test_run_files(spark, tmp_path, sales):
     assert summary(results).first()["success"] is False
 
 
-def test_store_is_idempotent_and_linked(spark, sales):
+def test_store_is_idempotent_and_linked(spark, meters):
     path = scratch_dir(spark, "store-test")
-    rules = [Rule.make(NOT_NULL, column="customer_id"), Rule.make(NOT_NULL, column="total_amount").by("purchase_date")]
-    results = validate(sales, rules, source="sales")
+    rules = [Rule.make(NOT_NULL, column="meter"), Rule.make(NOT_NULL, column="amount").by("day")]
+    results = validate(meters, rules, source="meters")
     sizes = []
-    for batch in ("b1", "b1", "b2"):
-        append_to_store(results, path, batch, "2024-01-01 00:00:00")
+    for batch, time in (("b1", "2024-01-01"), ("b1", "2024-01-01"), ("b2", "2024-01-01"), ("b1", "2024-01-02")):
+        append_to_store(results, path, batch, f"{time} 00:00:00")
         sizes.append({name: df.count() for name, df in read_store(spark, path).items()})
     assert sizes[0] == sizes[1]
     assert sizes[0] == {
-        "datasources": 1, "expectation_suites": 1, "expectations": 2, "batches": 1, "validations": 1, "validation_results": 6,
+        "datasources": 1, "expectation_suites": 1, "expectations": 2, "batches": 1, "validations": 1, "validation_results": 5,
     }
-    assert sizes[2]["validation_results"] == 12 and sizes[2]["expectations"] == 2
+    assert sizes[2]["validation_results"] == 10 and sizes[2]["expectations"] == 2
+    assert sizes[3]["validation_results"] == 15 and sizes[3]["validations"] == 3 and sizes[3]["batches"] == 2
     tables = read_store(spark, path)
     assert all(r["is_valid"] for r in check_store(tables).collect())
     broken = {**tables, "batches": tables["batches"].limit(0)}
     bad = {(r["table_name"], r["column_name"]) for r in check_store(broken).collect() if not r["is_valid"]}
     assert bad == {("validations", "batch_id")}
-    assert results_with_rules(tables).count() == 12
+    assert results_with_rules(tables).count() == 15
 
 
-def test_suites_are_saved_and_applied_by_name(spark, tmp_path, sales):
-    document = {"expectation_suite_name": "a", "expectations": [{"type": NOT_NULL, "column": "customer_id", "row_condition": "total_amount > 1"}]}
+def test_suites_are_saved_and_applied_by_name(spark, tmp_path, meters):
+    document = {"expectation_suite_name": "a", "expectations": [{"type": NOT_NULL, "column": "meter", "row_condition": "reading > 1"}]}
     rows = rules_to_frame(spark, rules_from_config(document) + rules_from_config([{"type": NOT_NULL, "column": "x"}], "b"))
     write_suite(rows, str(tmp_path / "suites"))
     saved = read_suite_rows(spark, str(tmp_path / "suites"))
     assert load_rules(saved, "a") == rules_from_config(document)
-    assert validate(sales, load_rules(saved, "a")).first()["unexpected_count"] == 1
+    assert validate(meters, load_rules(saved, "a")).first()["unexpected_count"] == 1
     with pytest.raises(LookupError):
         load_rules(saved, "c")
 
@@ -225,20 +238,20 @@ def test_compact_store(spark):
     assert all(r["is_valid"] for r in check_store(tables, COMPACT_LINKS).collect())
 
 
-def test_sources_run(spark, tmp_path, sales):
-    rules = {"sales": [Rule.make(NOT_NULL, column="customer_id")]}
-    run = validate_sources(spark, {"sales": sales, "other": sales, "bad": "x.xlsx", "worse": 3}, rules, auto_suggest=True)
-    assert {r["source"] for r in run.summary().collect()} == {"sales"}
+def test_sources_run(spark, tmp_path, meters):
+    rules = {"meters": [Rule.make(NOT_NULL, column="meter")]}
+    run = validate_sources(spark, {"meters": meters, "other": meters, "bad": "x.xlsx", "worse": 3}, rules, auto_suggest=True)
+    assert {r["source"] for r in run.summary().collect()} == {"meters"}
     assert set(run.profiles) == {"other"} and set(run.suggested) == {"other"}
     run.write(str(tmp_path), "20240131_000000")
     assert spark.read.json(str(tmp_path / "20240131_000000" / "reports")).count() == 1
-    assert spark.read.json(str(tmp_path / "20240131_000000" / "summary")).first()["source"] == "sales"
-    assert spark.read.json(str(tmp_path / "20240131_000000" / "profiles" / "other")).count() == 3
+    assert spark.read.json(str(tmp_path / "20240131_000000" / "summary")).first()["source"] == "meters"
+    assert spark.read.text(str(tmp_path / "20240131_000000" / "profiles" / "other")).count() == 5
     assert read_suite_rows(spark, str(tmp_path / "expectations" / "other_expectations")).count() > 5
-    applied = validate_sources(spark, {"other": sales}, {}, apply_suggested=True)
+    applied = validate_sources(spark, {"other": meters}, {}, apply_suggested=True)
     assert applied.summary().first()["success"] is True
     with pytest.raises(ValueError):
-        validate_sources(spark, {"other": sales}, {}).summary()
+        validate_sources(spark, {"other": meters}, {}).summary()
 
 
 def test_stream_batches_are_stored_once(spark, tmp_path):
@@ -270,7 +283,8 @@ def test_scratch_needs_a_shared_folder(spark, monkeypatch):
             return None
 
     class Context:
-        master = "spark://host:7077"
+        def getCheckpointDir(self):
+            return None
 
     class Session:
         conf, sparkContext = Conf(), Context()
@@ -282,3 +296,39 @@ def test_scratch_needs_a_shared_folder(spark, monkeypatch):
 def test_unknown_table(spark):
     with pytest.raises(AnalysisException):
         resolve_source(spark, {"source_type": "table", "table_name": "no_such_table"})
+
+
+def test_configured_databases_are_read_in_parallel(spark, monkeypatch):
+    """Options and day ranges only; no database is started."""
+    asked = []
+    monkeypatch.setattr(readers, "read_jdbc", lambda *a, **k: asked.append(k))
+    monkeypatch.setattr(readers, "read_jdbc_by_day", lambda *a, **k: asked.append(a[2:]))
+    base = {"type": "postgresql", "host": "h", "database": "d", "port": 1, "user": "u"}
+    ranges = {"partition_column": "id", "lower_bound": 0, "upper_bound": 900, "num_partitions": 9}
+    resolve_source(spark, {"source_type": "postgresql", "database": {**base, "table_name": "t"}, **ranges})
+    days = {"date_column": "day", "start_date": "2024-01-30", "end_date": "2024-02-02"}
+    resolve_source(spark, {"source_type": "table", "connection_string": "jdbc:x", "table_name": "t", **days})
+    assert asked[0] == {"partition_column": "id", "lower": 0, "upper": 900, "partitions": 9}
+    assert asked[1] == ("day", dt.date(2024, 1, 30), dt.date(2024, 2, 2), "t")
+
+
+def test_the_shared_folder_is_required_and_can_be_emptied(spark, monkeypatch):
+    base = spark.conf.get("spark.checkpoint.dir")
+    copy = staged(spark.range(3))
+    path = Path(copy.inputFiles()[0].removeprefix("file://"))
+    assert copy.count() == 3 and str(path).startswith(base)
+    monkeypatch.setattr(session, "_staging_root", lambda spark: f"{base}/other")
+    other = Path(staged(spark.range(2)).inputFiles()[0].removeprefix("file://"))
+    assert drop_staged(spark) and not other.exists() and path.exists()
+    monkeypatch.undo()
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, default=None: None)
+    monkeypatch.setattr(type(spark.sparkContext), "getCheckpointDir", lambda self: None)
+    with pytest.raises(RuntimeError):
+        scratch_dir(spark, "x")
+
+
+def test_text_sources_are_copied_before_several_passes(spark, tmp_path):
+    path = str(tmp_path / "t.csv")
+    spark.range(5).write.option("header", True).csv(path)
+    assert reads_whole_rows(resolve_source(spark, path)) and not reads_whole_rows(spark.range(3))
+    assert not reads_whole_rows(columnar(resolve_source(spark, path)))
