@@ -193,10 +193,10 @@ def sources_without_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     saved = read_suite_rows(spark, f"{path}/expectations/customer_expectations")
     profiled = spark.read.json(f"{path}/20240131_000000/profiles/customer")
     facts = profiled.agg(
-        F.count(F.lit(1)).alias("profiled"), F.max(F.when(F.col("column_name") == "c_mktsegment", F.col("distinct_count"))).alias("segments")
+        F.lit("customer_suite").alias("suite"), F.count(F.lit(1)).alias("profiled"), F.max(F.when(F.col("column_name") == "c_mktsegment", F.col("distinct_count"))).alias("segments")
     )
     about = suite_summary(run.profiles["customer"], saved, "customer_suite").drop("generated_at")
-    return saved.groupBy("suite").agg(F.count(F.lit(1)).alias("saved")).join(about, "suite").crossJoin(facts)
+    return saved.groupBy("suite").agg(F.count(F.lit(1)).alias("saved")).join(about, "suite").join(facts, "suite")
 
 
 @query("SELECT n_regionkey, count(*) AS nations, sum(n_nationkey)::BIGINT AS keys FROM nation GROUP BY n_regionkey")
