@@ -35,10 +35,28 @@ def fold(doc_id: str, parts: int) -> Column:
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read back: the lineage ends there and a lost executor costs nothing."""
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Rows of a few longs that are sent to every task at most; more are joined by a shuffle.
+BROADCAST_ROWS = 2_000_000
+
+
+def bounded(small: DataFrame, label: str) -> DataFrame:
+    """A written table of keys, marked for broadcast if it has at most BROADCAST_ROWS rows."""
+    small = stage(small, label)
+    return F.broadcast(small) if small.count() <= BROADCAST_ROWS else small
+
+
+def without_keys(docs: DataFrame, gone: DataFrame, by_text: bool = False) -> DataFrame:
+    """The rows of docs whose id is not in `gone` (did: null ids as LOWEST_ID); `by_text`: id and text hash (did, th)."""
+    key = F.coalesce(docs["doc_id"].cast("long"), F.lit(LOWEST_ID)) == gone["did"]
+    if by_text:
+        key &= F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == gone["th"]
+    return docs.join(gone, key, "left_anti")
+
+
 def fresh_name(label: str) -> str:
     return f"{label}_{uuid.uuid4().hex}"
 
@@ -107,29 +125,36 @@ def signed(x: np.ndarray) -> np.ndarray:
 
 
 SLICES = 32
+SALTS = 8
 
 
 def vector_rows(vector: np.ndarray) -> pa.RecordBatch:
-    """A vector of doubles as SLICES rows (slice, data), to be added up by `vector_sum`."""
-    parts = [p.tobytes() for p in np.array_split(vector.astype(np.float64), SLICES)]
+    """A vector as SLICES rows (slice, data as single precision), to be added up by `vector_sum`."""
+    parts = [p.tobytes() for p in np.array_split(vector.astype(np.float32), SLICES)]
     return pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())], ["slice", "data"])
 
 
 def vector_sum(parts: DataFrame, size: int) -> np.ndarray:
-    """The sum of all vectors of `size` doubles in `parts`. Tasks add them up in two rounds, so that none of them reads
-    a slice of every input task; the driver gets one vector."""
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for k, part in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                found = np.frombuffer(part.as_buffer(), np.float64)
-                total[k] = total[k] + found if k in total else found
-        rows = [pa.array(list(total), pa.int32()), pa.array([t.tobytes() for t in total.values()], pa.binary())]
-        yield pa.RecordBatch.from_arrays(rows, ["slice", "data"])
-
-    for key in (["slice", F.pmod(F.spark_partition_id(), F.lit(64))], ["slice"]):
-        parts = parts.repartition(*key).mapInArrow(add, "slice int, data binary")
+    """The sum of all vectors of `size` numbers in `parts`, in doubles. Tasks add them up as they stream by, in two
+    rounds, so that none of them reads a slice of every input task; the driver gets one vector."""
+
+    def adding(kind):
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total: dict[int, np.ndarray] = {}
+            for batch in batches:
+                for k, part in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    found = np.frombuffer(part.as_buffer(), kind)
+                    if k not in total:
+                        total[k] = np.zeros(len(found))
+                    total[k] += found
+            rows = [pa.array(list(total), pa.int32()), pa.array([t.tobytes() for t in total.values()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(rows, ["slice", "data"])
+
+        return add
+
+    salt = F.pmod(F.spark_partition_id(), F.lit(SALTS))
+    parts = parts.repartition("slice", salt).mapInArrow(adding(np.float32), "slice int, data binary")
+    parts = parts.repartition("slice").mapInArrow(adding(np.float64), "slice int, data binary")
     out = np.array_split(np.zeros(size), SLICES)
     for r in parts.collect():
         out[r.slice] = np.frombuffer(r.data, np.float64)

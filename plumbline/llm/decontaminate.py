@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from plumbline.llm.common import texts
+from plumbline.llm.common import LOWEST_ID, bounded, texts, without_keys
 
 K1, B = 1.2, 0.75
 PASSAGE, STRIDE = 64, 32
@@ -297,5 +297,5 @@ def matches(docs: DataFrame, items: DataFrame, ratio: float = RATIO, overlap: fl
 
 def without_benchmark(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of docs in which no item was found; all columns are kept."""
-    hit = matches(docs, items).select(F.col("doc_id").alias("hit_id")).distinct()
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("hit_id")), "left_anti")
+    hit = matches(docs, items).select(F.coalesce("doc_id", F.lit(LOWEST_ID)).alias("did")).distinct()
+    return without_keys(docs, bounded(hit, "contaminated"))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import fold, texts
+from plumbline.llm.common import LOWEST_ID, bounded, fold, texts, without_keys
 
 UNDETERMINED = "und"
 WINDOW = 256
@@ -156,8 +156,11 @@ def train(docs: DataFrame, docs_per_lang: int = 512) -> ByteConvNet | None:
     return ByteConvNet(labels).fit(x, y)
 
 
-def predict(docs: DataFrame, model: ByteConvNet | None) -> DataFrame:
-    """doc_id, lang_pred, score of every row of docs. The network is a few hundred kilobytes and travels with the task."""
+def predict(docs: DataFrame, model: ByteConvNet | None, *also: str) -> DataFrame:
+    """doc_id, lang_pred, score of every row of docs, and columns of longs that are to go along.
+
+    The network is a few hundred kilobytes and travels with the task.
+    """
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -192,11 +195,16 @@ def predict(docs: DataFrame, model: ByteConvNet | None) -> DataFrame:
             known = count > 0
             labels = [model.labels[b] if k else UNDETERMINED for b, k in zip(best, known, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(labels, pa.string()), pa.array(np.clip(mean.max(axis=1), 0, 1) * known)],
-                ["doc_id", "lang_pred", "score"],
+                [
+                    batch.column(0),
+                    pa.array(labels, pa.string()),
+                    pa.array(np.clip(mean.max(axis=1), 0, 1) * known),
+                    *(batch.column(2 + k) for k in range(len(also))),
+                ],
+                ["doc_id", "lang_pred", "score", *also],
             )
 
-    return texts(docs).mapInArrow(score, "doc_id long, lang_pred string, score double")
+    return texts(docs, *also).mapInArrow(score, ", ".join(["doc_id long, lang_pred string, score double", *(f"{c} long" for c in also)]))
 
 
 def identify(docs: DataFrame, docs_per_lang: int = 512) -> DataFrame:
@@ -206,6 +214,8 @@ def identify(docs: DataFrame, docs_per_lang: int = 512) -> DataFrame:
 
 def with_language(docs: DataFrame, docs_per_lang: int = 512, least_score: float = 0.5) -> DataFrame:
     """The rows of docs whose language is determined with at least `least_score`; all columns are kept."""
-    good = identify(docs, docs_per_lang).where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least_score))
-    key = good.select(F.col("doc_id").alias("good_id")).distinct()
-    return docs.join(key, F.col("doc_id").eqNullSafe(F.col("good_id")), "left_semi")
+    model = train(docs, docs_per_lang)
+    rows = docs.select("doc_id", "text", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("th"))
+    poor = (F.col("lang_pred") == UNDETERMINED) | (F.col("score") < least_score)
+    gone = predict(rows, model, "th").where(poor).select(F.coalesce("doc_id", F.lit(LOWEST_ID)).alias("did"), "th").distinct()
+    return without_keys(docs, bounded(gone, "poor-language"), by_text=True)

@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import LOWEST_ID, SPACES, UPPER, stage, texts
+from plumbline.llm.common import LOWEST_ID, SPACES, UPPER, stage
 
 LEAST_LENGTH = 20
 LEAST_DOCS = 3
@@ -34,13 +34,12 @@ def line_key(line: Column) -> Column:
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """docs with did (null counts as the smallest id), th (a hash of the text) and the text's lines."""
-    return texts(docs).select(
-        "doc_id",
-        "text",
-        F.coalesce("doc_id", F.lit(LOWEST_ID)).alias("did"),
-        F.xxhash64("text").alias("th"),
+    """The rows as a struct `row`, with doc_id, text, did (null counts as the smallest id) and th (a hash of the text)."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    own = docs.select(
+        F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")
     )
+    return own.select("row", "doc_id", "text", F.coalesce("doc_id", F.lit(LOWEST_ID)).alias("did"), F.xxhash64("text").alias("th"))
 
 
 def line_hashes(docs: DataFrame, least_length: int) -> DataFrame:
@@ -107,57 +106,48 @@ def count_lines(spark: SparkSession, lines: DataFrame, batches: int = BATCHES) -
     return runs.counts()
 
 
-def dedup_lines(
-    docs: DataFrame, least_length: int = LEAST_LENGTH, least_docs: int = LEAST_DOCS, batches: int = BATCHES
-) -> DataFrame:
-    """doc_id, n_lines, n_dropped and kept (the text that is left) of every row.
-
-    A key held by `least_docs` or more documents stays only in the document with the largest id.
-    """
-    spark = docs.sparkSession
+def cut(docs: DataFrame, least_length: int, least_docs: int, batches: int) -> DataFrame:
+    """The rows of `numbered` with the number of lines, the places of the lines that go, and the text that is left."""
     lines = stage(line_hashes(docs, least_length), "lines")
-    shared = count_lines(spark, lines, batches).where(F.col("n_docs") >= least_docs).select(*KEY, "last_did")
-    # array_sort of a set: rows that repeat a document and its text would otherwise list a place twice.
+    shared = count_lines(docs.sparkSession, lines, batches).where(F.col("n_docs") >= least_docs).select(*KEY, "last_did")
+    # A sorted set: rows that repeat a document and its text would otherwise list a place twice.
     dropped = (
         lines.join(shared, KEY)
         .where(F.col("did") != F.col("last_did"))
         .groupBy("did", "th")
         .agg(F.array_sort(F.collect_set("pos")).alias("gone"))
     )
-    rows = numbered(docs).join(dropped, ["did", "th"], "left")
-    all_lines = F.split("text", "\n", -1)
+    rows = numbered(docs).join(dropped, ["did", "th"], "left").withColumn("all_lines", F.split("text", "\n", -1))
     edges = F.concat(F.array(F.lit(-1)), F.col("gone"), F.array(F.size("all_lines")))
+    # The lines between two that go, stretch by stretch, so that the work is linear in the lines.
     between = F.transform(
         F.sequence(F.lit(0), F.size("edges") - 2),
         lambda i: F.slice("all_lines", F.get("edges", i) + 2, F.get("edges", i + 1) - F.get("edges", i) - 1),
     )
-    return (
-        rows.withColumn("all_lines", all_lines)
-        .withColumn("edges", F.when(F.col("gone").isNotNull(), edges))
-        .select(
-            "doc_id",
-            F.size("all_lines").cast("long").alias("n_lines"),
-            F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"),
-            F.when(F.col("gone").isNull(), F.col("text"))
-            .otherwise(F.array_join(F.flatten(between), "\n"))
-            .alias("kept"),
-            "did",
-            "th",
-        )
+    kept = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.flatten(between), "\n"))
+    return rows.withColumn("edges", F.when(F.col("gone").isNotNull(), edges)).withColumn("kept", kept)
+
+
+def dedup_lines(
+    docs: DataFrame, least_length: int = LEAST_LENGTH, least_docs: int = LEAST_DOCS, batches: int = BATCHES
+) -> DataFrame:
+    """doc_id, n_lines, n_dropped and kept (the text that is left) of every row.
+
+    A key held by `least_docs` or more documents stays only in the document with the largest id.
+    """
+    return cut(docs.select("doc_id", "text"), least_length, least_docs, batches).select(
+        "doc_id",
+        F.size("all_lines").cast("long").alias("n_lines"),
+        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"),
+        "kept",
     )
 
 
 def without_shared_lines(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     """All rows and columns of docs, with `text` cut to the lines that stay; n_chars follows where docs has it."""
-    result = dedup_lines(docs, batches=batches)
-    kept = result.select(F.col("did").alias("_did"), F.col("th").alias("_th"), F.col("kept").alias("_kept"))
-    kept = kept.where(result["n_dropped"] > 0).dropDuplicates(["_did", "_th"])
-    id_match = F.coalesce(docs["doc_id"].cast("long"), F.lit(LOWEST_ID)) == F.col("_did")
-    text_match = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == F.col("_th")
-    joined = docs.join(kept, id_match & text_match, "left")
-    new = {"text": F.coalesce("_kept", "text")}
+    rows = cut(docs, LEAST_LENGTH, LEAST_DOCS, batches)
+    new = {"text": F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(F.col("kept"))}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(F.length("_kept")).cast(
-            docs.schema["n_chars"].dataType
-        )
-    return joined.select(*[new[c].alias(c) if c in new else docs[c] for c in docs.columns])
+        length = F.length("kept").cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.when(F.col("gone").isNull(), F.col("row.n_chars")).otherwise(length)
+    return rows.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])

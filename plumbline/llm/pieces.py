@@ -120,21 +120,22 @@ def stretches(text: str) -> list[bytes]:
 
 
 class Lattice:
-    """The lattices of distinct stretches laid end to end. Edges are sorted by the node where they begin.
+    """The lattices of distinct stretches laid end to end. Edges are sorted by the node where they begin, likely ones first.
 
     `edge_id`, `edge_to` and `edge_log` are an edge's piece, the node it leads to and its conditional log-probability;
-    `below` is the node's number plus the probability of its edges up to this one, so one sorted search draws an edge.
+    `upto` is the probability of the node's edges up to this one.
     """
 
     def __init__(self, vocabulary: Vocabulary, distinct: list[bytes]):
         sizes = np.fromiter(map(len, distinct), np.int64, len(distinct))
         x = np.frombuffer(bytes([STOP]).join(distinct) + bytes([STOP]), np.uint8)
-        self.first = np.concatenate([[0], np.cumsum(sizes + 1)])[:-1]
+        self.first = (np.cumsum(sizes + 1) - sizes - 1).astype(np.int32)  # a chunk has far fewer bytes than 2^31
+        sizes = sizes.astype(np.int32)
         self.stop = self.first + sizes
         n = len(x)
         inside = np.ones(n, bool)
         inside[self.stop] = False
-        at = np.flatnonzero(inside)
+        at = np.flatnonzero(inside).astype(np.int32)
         state = np.zeros(len(at), np.int32)
         begins, ends, ids = [], [], []
         length = 0
@@ -195,25 +196,25 @@ class Lattice:
                 total[source[edge]] = top_safe + np.log(np.add.reduceat(np.exp(value - spread), edge))
         with np.errstate(invalid="ignore"):
             log = weight + total[end] - total[begin]
-        good = np.isfinite(log)
+        good = np.flatnonzero(np.isfinite(log))
+        share = np.exp(np.minimum(log[good], 0.0))
+        good = good[np.argsort(begin[good] + (1.0 - share) * 0.999)]
         self.edge_from, self.edge_to, self.edge_id, self.edge_log = begin[good], end[good], piece[good], np.minimum(log[good], 0.0)
         share = np.exp(self.edge_log)
-        starts = np.concatenate([[True], self.edge_from[1:] != self.edge_from[:-1]])
-        heads = np.flatnonzero(starts)
+        heads = np.flatnonzero(np.concatenate([[True], self.edge_from[1:] != self.edge_from[:-1]])) if len(share) else np.empty(0, np.int64)
         run = np.cumsum(share)
-        before = np.repeat(run[heads] - share[heads], np.diff(np.concatenate([heads, [len(share)]])))
-        upto = run - before
-        lasts = np.concatenate([heads[1:] - 1, [len(share) - 1]]) if len(share) else heads
-        upto[lasts] = 1.0  # rounding must leave no gap
-        self.below = self.edge_from + np.minimum(upto, 1.0)
-        self.edge_begin = np.zeros(n + 1, np.int64)
-        np.add.at(self.edge_begin, self.edge_from + 1, 1)
-        self.edge_begin = np.cumsum(self.edge_begin)
+        self.upto = run - np.repeat(run[heads] - share[heads], np.diff(np.concatenate([heads, [len(share)]])))
+        self.upto[np.concatenate([heads[1:] - 1, [len(share) - 1]]) if len(share) else heads] = 2.0  # rounding must leave no gap
+        self.edge_begin = np.concatenate([[0], np.cumsum(np.bincount(self.edge_from, minlength=n))])
 
     def draw(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
         """An edge for each node, in proportion to probability."""
-        at = np.searchsorted(self.below, node + u, side="right")
-        return np.minimum(np.maximum(at, self.edge_begin[node]), self.edge_begin[node + 1] - 1)
+        at = self.edge_begin[node]
+        beyond = np.flatnonzero(u >= self.upto[at])
+        while len(beyond):
+            at[beyond] += 1
+            beyond = beyond[u[beyond] >= self.upto[at[beyond]]]
+        return at
 
 
 def uniform(key: np.ndarray, *counters) -> np.ndarray:
@@ -236,15 +237,14 @@ class Sampler:
 
     def __init__(self, vocabulary: Vocabulary, chunk: list[str], keys: np.ndarray, samples: int):
         lists = [stretches(t) for t in chunk]
-        numbers: dict[bytes, int] = {}
-        flat = [numbers.setdefault(s, len(numbers)) for parts in lists for s in parts]
+        coded = pa.array([s for parts in lists for s in parts], pa.large_binary()).dictionary_encode()
         self.vocabulary, self.keys, self.samples = vocabulary, keys, samples
-        self.lattice = Lattice(vocabulary, list(numbers))
-        self.kind = np.array(flat, np.int64)
+        self.lattice = Lattice(vocabulary, coded.dictionary.to_pylist())
+        self.kind = coded.indices.to_numpy()
         sizes = np.array([len(p) for p in lists], np.int64)
         self.text_first = np.concatenate([[0], np.cumsum(sizes)])  # of its stretches
         self.owner = np.repeat(np.arange(len(chunk)), sizes)
-        self.place = np.arange(len(flat)) - np.repeat(self.text_first[:-1], sizes)
+        self.place = np.arange(len(self.kind)) - np.repeat(self.text_first[:-1], sizes)
 
     def draw_all(self, sample: int) -> tuple[np.ndarray, np.ndarray]:
         """A path for every stretch: all edges in order, and where each stretch's edges begin."""

@@ -77,7 +77,33 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *base, "base_failed", "kept")
 
 
-@query()
+_WORDS = r"list_filter(string_split_regex({0}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+JACCARD_JOIN = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, {_WORDS.format(_LOWER)} AS ws FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS shingle
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), k AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM k JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * k >= 75 * (a.n + b.n - k)
+), reach AS (
+  SELECT DISTINCT x AS node, x AS root FROM links
+  UNION
+  SELECT links.y, reach.root FROM reach JOIN links ON links.x = reach.node
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(root, doc_id) AS component_id
+FROM documents LEFT JOIN n USING (doc_id)
+LEFT JOIN (SELECT node AS doc_id, min(root) AS root FROM reach GROUP BY node) USING (doc_id)
+"""
+
+
+@query(JACCARD_JOIN)
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard.similar_documents(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
@@ -105,7 +131,28 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
-@query()
+SUBSTRING_DEDUP = f"""
+WITH w AS (
+  SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS ws FROM documents
+), windows AS (
+  SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS h
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w WHERE len(ws) >= 50)
+), firsts AS (
+  SELECT h, min(doc_id) AS least FROM windows GROUP BY h
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM windows JOIN firsts USING (h) WHERE least < doc_id
+), words AS (
+  SELECT doc_id, p, ws[p] AS word FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS p FROM w)
+), kept AS (
+  SELECT doc_id, count(gone.p) AS n_removed, string_agg(word, ' ' ORDER BY words.p) FILTER (gone.p IS NULL) AS kept
+  FROM words LEFT JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query(SUBSTRING_DEDUP)
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.without_repeats(table(spark, sf_dir, "documents"))
     kept = F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256")
