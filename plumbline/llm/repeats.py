@@ -201,41 +201,59 @@ def covered(words: list[bytes], did: int, automaton, window: int) -> np.ndarray:
     begins = np.cumsum(np.fromiter((len(w) + 1 for w in words), np.int64, len(words)))
     begins = np.concatenate([[0], begins])  # of the blank before each word
     until: dict[int, int] = {}
-    for end, (length, passages) in automaton.iter(joined.decode("latin-1")):
+    for end, (length, shapes) in automaton.iter(joined.decode("latin-1")):
         at = int(np.searchsorted(begins, end + 1 - length))
-        for source, place, passage in passages:
-            if source >= did:
+        for (lead, size), cores in shapes.items():
+            low = at - lead
+            if low < 0 or low + size > len(words):
                 continue
-            shift = at - place
-            if until.get((id(passage), shift), -1) >= at:
-                continue
-            first, last = equal_stretch(words, at, passage, place)
-            until[id(passage), shift] = last
-            if last - first >= window:
-                edge[first] += 1
-                edge[last] -= 1
+            for source, place, passage in cores.get(tuple(words[low : low + size]), ()):
+                if source >= did:
+                    break  # sorted by id
+                shift = at - place
+                if until.get((id(passage), shift), -1) >= at:
+                    continue
+                if shift >= 0 and words[shift : shift + len(passage)] == passage:
+                    first, last = shift, shift + len(passage)
+                else:
+                    first, last = equal_stretch(words, at, passage, place)
+                until[id(passage), shift] = last
+                if last - first >= window:
+                    edge[first] += 1
+                    edge[last] -= 1
     return np.cumsum(edge[:-1]) > 0
 
 
-def compiled(passages: pa.Table):
-    """The automaton of a bucket's phrases; each has its passages as (id, place of the phrase, words)."""
-    found: dict[bytes, list[tuple[int, int, list[bytes]]]] = {}
+def compiled(passages: pa.Table, window: int):
+    """The automaton of a bucket's phrases. Each has its passages as (id, place of the phrase, words), by their core.
+
+    The core is what all windows of a passage share. A stretch of equal words of a window or more holds it, so a look-up by
+    the words around an occurrence finds the passages that can match, however many have the phrase. Cores are grouped by
+    shape: how many words stand before the phrase, and how many there are.
+    """
+    found: dict[bytes, dict[tuple[int, int], dict[tuple[bytes, ...], list[tuple[int, int, list[bytes]]]]]] = {}
     for did, text, place in zip(*(passages.column(c).to_pylist() for c in ("did", "words", "place")), strict=True):
         words = text.split(b" ")
-        found.setdefault(b" ".join(words[place : place + PHRASE]), []).append((did, place, words))
+        first = len(words) - window
+        shapes = found.setdefault(b" ".join(words[place : place + PHRASE]), {})
+        cores = shapes.setdefault((place - first, window - first), {})
+        cores.setdefault(tuple(words[first:window]), []).append((did, place, words))
     if not found:
         return None
     automaton = ahocorasick.Automaton()
-    for phrase, held in found.items():
+    for phrase, shapes in found.items():
         key = (b" " + phrase + b" ").decode("latin-1")
-        automaton.add_word(key, (len(key), sorted(held, key=lambda x: x[:2])))
+        for cores in shapes.values():
+            for held in cores.values():
+                held.sort(key=lambda x: x[:2])
+        automaton.add_word(key, (len(key), shapes))
     automaton.make_automaton()
     return automaton
 
 
 def kept_rows(table: DataFrame, passages: DataFrame, window: int) -> DataFrame:
     def strip(left: pa.Table, right: pa.Table) -> pa.Table:
-        automaton = compiled(right)
+        automaton = compiled(right, window)
         counts, removed, kept = [], [], []
         columns = (left.column(c).to_pylist() for c in ("did", "text", "phrases"))
         for did, text, phrases in zip(*columns, strict=True):
