@@ -39,7 +39,7 @@ from plumbline.llm.common import LOWEST_ID, mix, texts
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 SEED = 17
-CHUNK_BYTES = 6_000_000
+CHUNK_BYTES = 1_000_000
 SPACE = b"\xfe"  # stands for the piece mark; no UTF-8 text has this byte
 STOP = 0xFD  # parts the stretches of a chunk; neither texts nor pieces have it
 STRETCH = re.compile(rb"\xfe+[^\xfe\n]*|\n|[^\xfe\n]+")
@@ -120,7 +120,7 @@ def stretches(text: str) -> list[bytes]:
 
 
 class Lattice:
-    """The lattices of distinct stretches laid end to end. Edges are sorted by the node where they begin, likely ones first.
+    """The lattices of distinct stretches laid end to end. The edges of a node lie together, long pieces first.
 
     `edge_id`, `edge_to` and `edge_log` are an edge's piece, the node it leads to and its conditional log-probability;
     `upto` is the probability of the node's edges up to this one.
@@ -144,6 +144,7 @@ class Lattice:
         width[x >= 0xC0] = 2
         width[x >= 0xE0] = 3
         width[(x >= 0xF0) & (x < 0xF8)] = 4
+        width[x == SPACE[0]] = 1
         where = at
         while len(where):
             state = vocabulary.next[state, x[where + length]]
@@ -171,41 +172,50 @@ class Lattice:
         begins.append(spelled)
         ends.append(spelled + 1)
         ids.append(vocabulary.byte_id[x[spelled]])
-        begin, end, piece = np.concatenate(begins), np.concatenate(ends), np.concatenate(ids)
-        order = np.argsort(begin, kind="stable")
-        begin, end, piece = begin[order], end[order], piece[order]
-        weight = vocabulary.log_weight[piece]
-        # Backward sums, from the last node of every stretch to the first, all stretches at once.
+        begin, end, piece = np.concatenate(begins), np.concatenate(ends).astype(np.int32), np.concatenate(ids)
+        del begins, ends, ids
+        # Backward sums, from the last node of every stretch to the first, all stretches at once: edges are
+        # sorted by how far their node is from the end of its stretch, then by node.
         total = np.full(n, -np.inf)
         total[self.stop] = 0.0
-        stop_of = np.repeat(self.stop, sizes + 1)
-        to_go = stop_of[begin] - begin
-        by_distance = np.argsort(to_go, kind="stable")
-        cuts = np.searchsorted(to_go[by_distance], np.arange(1, (int(sizes.max()) if len(sizes) else 0) + 2))
+        to_go = np.repeat(self.stop, sizes + 1)[begin] - begin
+        # Longer pieces, which are likelier as a rule, come first.
+        order = np.argsort((to_go.astype(np.int64) * n + begin) * 64 + (63 - np.minimum(end - begin, 63)))
+        begin, end, piece, to_go = begin[order], end[order], piece[order], to_go[order]
+        weight = vocabulary.log_weight[piece]
+        cuts = np.searchsorted(to_go, np.arange(1, (int(sizes.max()) if len(sizes) else 0) + 2))
         for low, high in zip(cuts[:-1], cuts[1:], strict=True):
             if low == high:
                 continue
-            e = by_distance[low:high]
-            value = weight[e] + total[end[e]]
-            source = begin[e]
+            value = weight[low:high] + total[end[low:high]]
+            source = begin[low:high]
             edge = np.flatnonzero(np.concatenate([[True], source[1:] != source[:-1]]))
             top = np.maximum.reduceat(value, edge)
             top_safe = np.where(np.isfinite(top), top, 0.0)
-            spread = np.repeat(top_safe, np.diff(np.concatenate([edge, [len(e)]])))
+            spread = np.repeat(top_safe, np.diff(np.concatenate([edge, [high - low]])))
             with np.errstate(divide="ignore"):
                 total[source[edge]] = top_safe + np.log(np.add.reduceat(np.exp(value - spread), edge))
         with np.errstate(invalid="ignore"):
-            log = weight + total[end] - total[begin]
-        good = np.flatnonzero(np.isfinite(log))
-        share = np.exp(np.minimum(log[good], 0.0))
-        good = good[np.argsort(begin[good] + (1.0 - share) * 0.999)]
-        self.edge_from, self.edge_to, self.edge_id, self.edge_log = begin[good], end[good], piece[good], np.minimum(log[good], 0.0)
-        share = np.exp(self.edge_log)
-        heads = np.flatnonzero(np.concatenate([[True], self.edge_from[1:] != self.edge_from[:-1]])) if len(share) else np.empty(0, np.int64)
-        run = np.cumsum(share)
-        self.upto = run - np.repeat(run[heads] - share[heads], np.diff(np.concatenate([heads, [len(share)]])))
-        self.upto[np.concatenate([heads[1:] - 1, [len(share) - 1]]) if len(share) else heads] = 2.0  # rounding must leave no gap
-        self.edge_begin = np.concatenate([[0], np.cumsum(np.bincount(self.edge_from, minlength=n))])
+            log = np.minimum(weight + total[end] - total[begin], 0.0)
+        good = np.isfinite(log)
+        if not good.all():
+            begin, end, piece, log = begin[good], end[good], piece[good], log[good]
+        self.edge_from, self.edge_to, self.edge_id, self.edge_log = begin, end, piece, log
+        share = np.exp(log)
+        heads = np.flatnonzero(np.concatenate([[True], begin[1:] != begin[:-1]])) if len(share) else np.empty(0, np.int64)
+        lasts = np.concatenate([heads[1:], [len(share)]]) if len(share) else heads
+        # Added up node by node, so that rounding does not depend on what else is in the chunk.
+        self.upto = share.copy()
+        more = heads[lasts - heads > 1] + 1
+        ends_of = lasts[lasts - heads > 1]
+        while len(more):
+            self.upto[more] += self.upto[more - 1]
+            more, ends_of = more[more + 1 < ends_of] + 1, ends_of[more + 1 < ends_of]
+        self.upto[lasts - 1] = 2.0  # rounding must leave no gap
+        # The edges of a node lie from edge_begin to edge_end.
+        self.edge_begin, self.edge_end = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        self.edge_begin[begin[heads]] = heads
+        self.edge_end[begin[heads]] = lasts
 
     def draw(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
         """An edge for each node, in proportion to probability."""
@@ -273,7 +283,7 @@ class Sampler:
         out, step = list(prefix), 0
         key = self.keys[text : text + 1]
         while node < stop:
-            low, high = lattice.edge_begin[node], lattice.edge_begin[node + 1]
+            low, high = lattice.edge_begin[node], lattice.edge_end[node]
             share = np.exp(lattice.edge_log[low:high])
             if step == 0:
                 share[[e - low for e in excluded]] = 0.0
@@ -303,11 +313,14 @@ class Sampler:
         serial = 0
         for sample in range(self.samples):
             logs = lattice.edge_log[edges]
-            run = np.concatenate([[0.0], np.cumsum(logs)])
             text_begin = begin[self.text_first]
             counts = np.diff(text_begin)
-            upto = run[:-1] - np.repeat(run[text_begin[:-1]], counts)
-            total = run[text_begin[1:]] - run[text_begin[:-1]]
+            upto, total = np.empty(len(logs)), np.zeros(n)
+            for i, (low, high) in enumerate(zip(text_begin[:-1], text_begin[1:], strict=True)):
+                run = np.cumsum(logs[low:high])  # text by text: rounding must not depend on the chunk
+                upto[low] = 0.0
+                upto[low + 1 : high] = run[:-1]
+                total[i] = run[-1]
             found.append((edges, text_begin, np.where(alive, total, np.nan), value.copy()))
             paths.append((edges, begin, upto))
             # Split what is left of each text's set at every edge of its path.
