@@ -11,8 +11,9 @@ A document is the set of its distinct 5-word shingles (64-bit hashes). Two sets
 3. The token-group matrix has a row for each token of the first part of a set and each group, with the least and
    largest set and the most that can still be shared from that token on. A class queries the groups of other components;
    a group is a candidate if a token's bounds on size and place allow a link.
-4. A candidate group's union of tokens bounds the overlap with the query; if the bound allows a link, the group is opened and each of
-   its members compared exactly. Links inside a component need no second look: they cannot change the result.
+4. A group's token union is stored as COUNTERS counts of hash buckets, the largest of its members. The sum of the
+   lesser counts bounds the overlap with the query; only a group whose bound allows a link is opened, and each of its
+   members compared exactly. Links inside a component need no second look: they cannot change the result.
 
 Defined cases: words are `[^\\x20\\x09-\\x0D]+` with A-Z lower-cased; fewer than five words are one shingle; null, empty and
 blank texts have the empty set, which links with nothing; rows that repeat an id or a text are rows of their own; a null
@@ -32,15 +33,19 @@ from pyspark.sql import functions as F
 from plumbline.llm.common import (
     LOWEST_ID,
     WordHashes,
+    bounded,
     gram_hashes,
     lower_words_of,
+    mark,
     mix,
     signed,
     stage,
     texts,
+    tidy,
     vector_rows,
     vector_sum,
     whole_hash,
+    without_keys,
 )
 from plumbline.llm.components import components
 
@@ -49,6 +54,7 @@ PERCENT = 75
 GROUP = 64
 BUCKET_BITS = 20
 MINIMA = 8
+COUNTERS = 512
 
 
 def shingles(text: str, hashes: WordHashes, words: int = WORDS) -> np.ndarray:
@@ -145,8 +151,11 @@ def set_index(rows: DataFrame, percent: int, words: int) -> DataFrame:
 
 
 def with_text(nodes: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
-    """nodes (with cid) and the text of each class's representative."""
-    wanted = nodes.join(classes.select("cid", "did", "th"), "cid")
+    """nodes (with cid) and the text of each class's representative.
+
+    Up to a bound the nodes (three longs each) are sent to the texts; more are joined by a shuffle.
+    """
+    wanted = bounded(nodes.join(classes.select("cid", "did", "th"), "cid"), "wanted-texts")
     return wanted.join(rows.select("did", "th", "text"), ["did", "th"]).drop("did", "th").dropDuplicates(["cid"])
 
 
@@ -222,6 +231,51 @@ def group_pairs(postings: DataFrame, percent: int) -> DataFrame:
     return found.select("cid", F.col("g_comp").alias("comp"), F.col("g_chunk").alias("chunk")).distinct()
 
 
+def bucket_counts(tokens: np.ndarray) -> np.ndarray:
+    """How many tokens fall into each of COUNTERS buckets, at most 255."""
+    return np.minimum(np.bincount((tokens % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS), 255).astype(np.uint8)
+
+
+def overlap_bound(a: np.ndarray, b: np.ndarray, n: int) -> int:
+    """At least the intersection of sets with these counts, of which one has n tokens."""
+    least = np.minimum(a, b)
+    return n if least.max() == 255 else int(least.sum(dtype=np.int64))
+
+
+def within_bounds(candidates: DataFrame, of_group: DataFrame, known: DataFrame, percent: int, words: int) -> DataFrame:
+    """The candidates (cid, comp, chunk) whose group's token union allows a link with the query."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            sets = [shingles(t, hashes, words) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([bucket_counts(s).tobytes() for s in sets], pa.binary()),
+                ],
+                ["cid", "n", "counts"],
+            )
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, low = (batch.column(k).to_pylist() for k in (3, 5))
+            good = []
+            for size, counts, least, union in zip(n, batch.column(4).to_pylist(), low, batch.column(6).to_pylist(), strict=True):
+                most = np.max([np.frombuffer(u, np.uint8) for u in union], axis=0)
+                smallest = max(least, -(-percent * size // 100))
+                shared = overlap_bound(np.frombuffer(counts, np.uint8), most, size)
+                good.append((100 + percent) * shared >= percent * (size + smallest))
+            yield pa.RecordBatch.from_arrays([batch.column(k) for k in range(3)], ["cid", "comp", "chunk"]).filter(pa.array(good, pa.bool_()))
+
+    counted = stage(known.select("cid", "text").mapInArrow(count, "cid long, n long, counts binary"), "bucket-counts")
+    # A chunk has about GROUP classes, so a union is gathered from that many counts.
+    unions = of_group.join(counted, "cid").groupBy("comp", "chunk").agg(F.min("n").alias("low"), F.collect_list("counts").alias("union"))
+    asked = candidates.join(counted, "cid").join(unions, ["comp", "chunk"])
+    return asked.select("cid", "comp", "chunk", "n", "counts", "low", "union").mapInArrow(bound, "cid long, comp long, chunk int")
+
+
 def opened_links(
     candidates: DataFrame, members: DataFrame, classes: DataFrame, rows: DataFrame, percent: int, words: int
 ) -> DataFrame:
@@ -230,6 +284,8 @@ def opened_links(
     of_group = members.join(groups, ["comp", "chunk"]).select("cid", "comp", "chunk")
     ends = of_group.select("cid").union(candidates.select("cid")).distinct()
     known = stage(with_text(ends, classes, rows), "group-texts")
+    candidates = stage(within_bounds(candidates, of_group, known, percent, words), "opened-groups")
+    of_group = of_group.join(candidates.select("comp", "chunk").distinct(), ["comp", "chunk"], "left_semi")
     packed = (
         of_group.join(known, "cid")
         .groupBy("comp", "chunk")
@@ -259,6 +315,7 @@ def similar_documents(docs: DataFrame, percent: int = PERCENT, words: int = WORD
 
     n_links counts the verified links of the row's class that were needed to connect its component.
     """
+    begun = mark()
     rows = texts(docs).select(
         F.coalesce("doc_id", F.lit(LOWEST_ID)).alias("did"), F.xxhash64("text").alias("th"), "text"
     )
@@ -273,7 +330,9 @@ def similar_documents(docs: DataFrame, percent: int = PERCENT, words: int = WORD
         ).select("cid", "rep.did", "rep.th", "n", "central", "minima"),
         "shingle-classes",
     )
+    since = mark()
     seeds = stage(verified_pairs(stage(seed_pairs(classes, percent), "seed-pairs"), classes, rows, percent, words), "seed-links")
+    tidy(docs.sparkSession, since)
     found = stage(components(seeds), "seed-components")
     sizes = found.groupBy("component").agg(F.count("*").alias("size"))
     chunk = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / group)).cast("int")
@@ -287,11 +346,13 @@ def similar_documents(docs: DataFrame, percent: int = PERCENT, words: int = WORD
     )
     same = Window.partitionBy("token")
     shared = grouped.withColumns({"c0": F.min("comp").over(same), "c1": F.max("comp").over(same)}).where("c0 <> c1").drop("c0", "c1")
+    since = mark()
     postings = stage(shared, "matrix-postings")
     candidates = stage(group_pairs(postings, percent), "group-candidates")
     alone = candidates.select("comp", "chunk").distinct().join(chunks.select("comp").distinct(), "comp", "left_anti")
     members = chunks.union(alone.select(F.col("comp").alias("cid"), "comp", "chunk"))
     extra = stage(opened_links(candidates, members, classes, rows, percent, words), "group-links")
+    tidy(docs.sparkSession, since)
     links = seeds.union(extra)
     joined = components(seeds.union(extra)) if extra.limit(1).count() else found
     degree = links.select(F.col("a").alias("cid")).union(links.select(F.col("b").alias("cid"))).groupBy("cid").agg(F.count("*").alias("n_links"))
@@ -301,7 +362,7 @@ def similar_documents(docs: DataFrame, percent: int = PERCENT, words: int = WORD
     per_class = labelled.join(least, "component").join(degree, "cid", "left").select("cid", "least", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     out = index.select("did", "th", "n", F.when(F.col("n") > 0, F.col("cid")).alias("cid")).join(per_class, "cid", "left")
     real = lambda c: F.when(c != LOWEST_ID, c)
-    return out.select(
+    out = out.select(
         real(F.col("did")).alias("doc_id"),
         F.col("n").alias("n_shingles"),
         real(F.coalesce("least", "did")).alias("component_id"),
@@ -309,13 +370,13 @@ def similar_documents(docs: DataFrame, percent: int = PERCENT, words: int = WORD
         "did",
         "th",
     )
+    out = stage(out, "similar-documents")  # a few longs per row
+    tidy(docs.sparkSession, begun)
+    return out
 
 
 def one_of_each_group(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of docs with the smallest id of their component; all columns are kept."""
     found = similar_documents(docs, percent)
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("did", "th").distinct()
-    match = (F.coalesce(docs["doc_id"].cast("long"), F.lit(LOWEST_ID)) == keep["did"]) & (
-        F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == keep["th"]
-    )
-    return docs.join(keep, match, "left_semi")
+    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("did", "th").distinct()
+    return without_keys(docs, bounded(gone, "similar"), by_text=True)

@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import LOWEST_ID, SPACES, UPPER, stage
+from plumbline.llm.common import LOWEST_ID, SPACES, UPPER, mark, stage, tidy
 
 LEAST_LENGTH = 20
 LEAST_DOCS = 3
@@ -108,6 +108,7 @@ def count_lines(spark: SparkSession, lines: DataFrame, batches: int = BATCHES) -
 
 def cut(docs: DataFrame, least_length: int, least_docs: int, batches: int) -> DataFrame:
     """The rows of `numbered` with the number of lines, the places of the lines that go, and the text that is left."""
+    since = mark()
     lines = stage(line_hashes(docs, least_length), "lines")
     shared = count_lines(docs.sparkSession, lines, batches).where(F.col("n_docs") >= least_docs).select(*KEY, "last_did")
     # A sorted set: rows that repeat a document and its text would otherwise list a place twice.
@@ -117,6 +118,8 @@ def cut(docs: DataFrame, least_length: int, least_docs: int, batches: int) -> Da
         .groupBy("did", "th")
         .agg(F.array_sort(F.collect_set("pos")).alias("gone"))
     )
+    dropped = stage(dropped, "dropped-lines")
+    tidy(docs.sparkSession, since)
     rows = numbered(docs).join(dropped, ["did", "th"], "left").withColumn("all_lines", F.split("text", "\n", -1))
     edges = F.concat(F.array(F.lit(-1)), F.col("gone"), F.array(F.size("all_lines")))
     # The lines between two that go, stretch by stretch, so that the work is linear in the lines.
