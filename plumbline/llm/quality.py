@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import gram_hashes, texts, words_of
+from plumbline.llm.common import gram_hashes, stage, texts, words_of
 
 LABELLED = 20_000
 SYMBOLS = "#*$%&|<>"
@@ -238,7 +238,6 @@ def verdict(rules: list[Rule]) -> Column:
 
 def judge(docs: DataFrame, labels: DataFrame, bound: int = LABELLED) -> DataFrame:
     """The statistics of every row, base_failed and kept."""
-    chosen = labels.select(F.col("doc_id").alias("labelled")).distinct()
-    known = docs.join(chosen, F.col("doc_id") == F.col("labelled"), "left_semi")
-    rules = train(statistics(known), labels, bound)
-    return statistics(docs).withColumn("base_failed", base_failed()).withColumn("kept", verdict(rules))
+    stats = stage(statistics(docs), "quality-statistics")  # a few numbers per row; the texts are read once
+    rules = train(stats, labels, bound)
+    return stats.withColumn("base_failed", base_failed()).withColumn("kept", verdict(rules))
