@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import fold, stage, texts
+from plumbline.llm.common import bounded, fold, stage, texts
 
 LEXICON = 200_000
 LEAST_Z = 4.0
@@ -70,14 +70,17 @@ class Weights(dict):
 
 
 def marked(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, text and toxic of the labelled rows outside the held-out fold."""
+    """doc_id, text and toxic of the labelled rows outside the held-out fold.
+
+    Up to a bound the labels (a long and an int each) are sent to the texts; more are joined by a shuffle.
+    """
     marks = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
         .where("doc_id IS NOT NULL AND toxic IS NOT NULL")
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
     )
-    return texts(docs).join(marks, "doc_id").where(fold("doc_id", 5) != 0).select("doc_id", "text", "toxic")
+    return texts(docs).join(bounded(marks, "toxicity-labels"), "doc_id").where(fold("doc_id", 5) != 0).select("doc_id", "text", "toxic")
 
 
 def count_tokens(rows: DataFrame) -> DataFrame:
@@ -243,7 +246,7 @@ def calibrate(rows: DataFrame, model: Model) -> Model:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
-    rows = stage(marked(docs, labels), "toxicity-train")
+    rows = marked(docs, labels)
     scores, shares = lexicon(stage(count_tokens(rows), "toxicity-counts"))
     drift = -0.5
     model = Model(scores, drift)
