@@ -38,7 +38,7 @@ START = 1000
 START_ROUNDS = 12
 ROUNDS = 2
 HELD = 300_000
-GROUP_TOKENS = 400_000
+GROUP_TOKENS = 200_000
 ADD = 0.1
 BACKGROUND = 0.1
 END = b""
@@ -249,7 +249,7 @@ def full_round(model: Model, rows: DataFrame) -> Model:
         totals = np.zeros(k), np.zeros((k, k)), np.zeros((v, k))
         seen = False
         for batch in batches:
-            parts = [symbols.of([*lower_words_of(t), END]) for t in batch.column(0).to_pylist()]
+            parts = [symbols.of([*lower_words_of(t.as_py()), END]) for t in batch.column(0)]
             for _, flat, first, sizes in sequences(parts):
                 expected(model, flat, first, sizes, totals)
                 seen = True
@@ -281,25 +281,29 @@ def scored_parts(rows: DataFrame, model: Model) -> DataFrame:
         names = ["rid", "doc_id", "word", "tf", "n_tokens", "n_frequent", "base", "chain"]
         for batch in batches:
             rids, ids = batch.column(0), batch.column(1)
-            lists = [[*lower_words_of(t), END] for t in batch.column(2).to_pylist()]
-            parts = [symbols.of(x) for x in lists]
-            chain, base, known = np.zeros(len(parts)), np.zeros(len(parts)), np.zeros(len(parts), np.int64)
-            for take, flat, first, sizes in sequences(parts):
-                chain[take] = forward(model, flat, first, sizes)[0]
+            size = batch.num_rows
+            shares, base, known = np.zeros(size), np.zeros(size), np.zeros(size, np.int64)
+            parts: list[np.ndarray] = []
             owner: list[int] = []
             words: list[bytes] = []
             tfs: list[int] = []
-            for i, (part, tokens) in enumerate(zip(parts, lists, strict=True)):
+            for i in range(size):  # of a text's words only its symbols and the rare ones are kept
+                tokens = [*lower_words_of(batch.column(2)[i].as_py()), END]
+                part = symbols.of(tokens)
                 own = part < n
                 known[i] = own.sum()
                 base[i] = frequent_log[part[own]].sum()
-                chain[i] -= model.log_share[part[~own] - n].sum()
+                shares[i] = model.log_share[part[~own] - n].sum()
                 rare = Counter(tokens[j] for j in np.flatnonzero(~own))
                 owner += [i] * len(rare)
                 words += rare.keys()
                 tfs += rare.values()
-            sizes = pa.array([len(x) for x in lists], pa.int64())
-            none = lambda kind: pa.nulls(len(lists), kind)
+                parts.append(part)
+            chain = -shares
+            for take, flat, first, lengths in sequences(parts):
+                chain[take] += forward(model, flat, first, lengths)[0]
+            sizes = pa.array([len(x) for x in parts], pa.int64())
+            none = lambda kind: pa.nulls(size, kind)
             yield pa.RecordBatch.from_arrays(
                 [rids, ids, none(pa.binary()), none(pa.int64()), sizes, pa.array(known), pa.array(base), pa.array(chain)], names
             )
