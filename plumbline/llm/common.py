@@ -153,11 +153,12 @@ def vector_rows(vector: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())], ["slice", "data"])
 
 
-def vector_sum(parts: DataFrame, size: int) -> np.ndarray:
+def vector_sum(parts: DataFrame, size: int, finish=None, kind=np.float64) -> np.ndarray:
     """The sum of all vectors of `size` numbers in `parts`, in doubles. Tasks add them up as they stream by, in two
-    rounds, so that none of them reads a slice of every input task; the driver gets one vector."""
+    rounds, so that none of them reads a slice of every input task; the driver gets one vector. `finish` turns the
+    sums into numbers of `kind` before they are sent."""
 
-    def adding(kind):
+    def adding(kind, finish=None):
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total: dict[int, np.ndarray] = {}
             for batch in batches:
@@ -166,15 +167,16 @@ def vector_sum(parts: DataFrame, size: int) -> np.ndarray:
                     if k not in total:
                         total[k] = np.zeros(len(found))
                     total[k] += found
-            rows = [pa.array(list(total), pa.int32()), pa.array([t.tobytes() for t in total.values()], pa.binary())]
+            sums = [finish(t) if finish else t for t in total.values()]
+            rows = [pa.array(list(total), pa.int32()), pa.array([t.tobytes() for t in sums], pa.binary())]
             yield pa.RecordBatch.from_arrays(rows, ["slice", "data"])
 
         return add
 
     salt = F.pmod(F.spark_partition_id(), F.lit(SALTS))
     parts = parts.repartition("slice", salt).mapInArrow(adding(np.float32), "slice int, data binary")
-    parts = parts.repartition("slice").mapInArrow(adding(np.float64), "slice int, data binary")
-    out = np.array_split(np.zeros(size), SLICES)
+    parts = parts.repartition("slice").mapInArrow(adding(np.float64, finish), "slice int, data binary")
+    out = np.array_split(np.zeros(size, kind), SLICES)
     for r in parts.collect():
-        out[r.slice] = np.frombuffer(r.data, np.float64)
+        out[r.slice] = np.frombuffer(r.data, kind)
     return np.concatenate(out)

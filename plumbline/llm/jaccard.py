@@ -3,7 +3,7 @@
 A document is the set of its distinct 5-word shingles (64-bit hashes). Two sets link when
 100 * |intersection| >= percent * |union|. Links are found exactly, in these steps:
 
-1. A fixed table of counts (2^20 buckets of hashes) orders tokens from rare to frequent. It only orders; no token is
+1. A fixed table of counts (2^21 buckets of hashes) orders tokens from rare to frequent. It only orders; no token is
    left out. In that order two linked sets share a token among their first n - ceil(percent * n / 100) + 1.
 2. Equal sets are one class. Classes that share one of eight minima of their hashes are compared with the most central
    class that has it (the one whose tokens are most frequent on average): copies find their original in linear work.
@@ -52,7 +52,7 @@ from plumbline.llm.components import components
 WORDS = 5
 PERCENT = 75
 GROUP = 64
-BUCKET_BITS = 20
+BUCKET_BITS = 21
 MINIMA = 8
 COUNTERS = 512
 
@@ -76,15 +76,17 @@ def token_levels(rows: DataFrame) -> np.ndarray:
     size = 1 << BUCKET_BITS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, hashes = np.zeros(size, np.int64), WordHashes()
+        total, hashes = np.zeros(size, np.int32), WordHashes()
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 np.add.at(total, bucket_of(shingles(text, hashes)), 1)
         if total.any():
             yield vector_rows(total)
 
-    found = vector_sum(rows.select("text").mapInArrow(count, "slice int, data binary"), size)
-    return np.floor(2 * np.log2(found + 1)).astype(np.uint8)
+    def level(counts: np.ndarray) -> np.ndarray:
+        return np.floor(2 * np.log2(counts + 1)).astype(np.uint8)
+
+    return vector_sum(rows.select("text").mapInArrow(count, "slice int, data binary"), size, level, np.uint8)
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -151,12 +153,12 @@ def set_index(rows: DataFrame, percent: int, words: int) -> DataFrame:
 
 
 def with_text(nodes: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
-    """nodes (with cid) and the text of each class's representative.
+    """nodes (with cid) and the text of each class's representative, once for every row that repeats it.
 
     Up to a bound the nodes (three longs each) are sent to the texts; more are joined by a shuffle.
     """
     wanted = bounded(nodes.join(classes.select("cid", "did", "th"), "cid"), "wanted-texts")
-    return wanted.join(rows.select("did", "th", "text"), ["did", "th"]).drop("did", "th").dropDuplicates(["cid"])
+    return wanted.join(rows.select("did", "th", "text"), ["did", "th"]).drop("did", "th")
 
 
 class _Sets:
@@ -198,7 +200,7 @@ def verified_pairs(pairs: DataFrame, classes: DataFrame, rows: DataFrame, percen
             good = [linked(sets.of(p, x), sets.of(q, y), percent) for p, q, x, y in zip(a, b, ta, tb, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return joined.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long")
+    return joined.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long").distinct()
 
 
 def seed_pairs(classes: DataFrame, percent: int) -> DataFrame:
@@ -273,7 +275,7 @@ def within_bounds(candidates: DataFrame, of_group: DataFrame, known: DataFrame,
     # A chunk has about GROUP classes, so a union is gathered from that many counts.
     unions = of_group.join(counted, "cid").groupBy("comp", "chunk").agg(F.min("n").alias("low"), F.collect_list("counts").alias("union"))
     asked = candidates.join(counted, "cid").join(unions, ["comp", "chunk"])
-    return asked.select("cid", "comp", "chunk", "n", "counts", "low", "union").mapInArrow(bound, "cid long, comp long, chunk int")
+    return asked.select("cid", "comp", "chunk", "n", "counts", "low", "union").mapInArrow(bound, "cid long, comp long, chunk int").distinct()
 
 
 def opened_links(
@@ -307,7 +309,7 @@ def opened_links(
                 found = [b for b, s in own if linked(query, s, percent)]
                 yield pa.RecordBatch.from_arrays([pa.array([cid] * len(found), pa.int64()), pa.array(found, pa.int64())], ["a", "b"])
 
-    return asked.mapInArrow(open_groups, "a long, b long")
+    return asked.mapInArrow(open_groups, "a long, b long").distinct()
 
 
 def similar_documents(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, group: int = GROUP) -> DataFrame:
