@@ -1,17 +1,19 @@
-"""Main text of web pages: the blocks of the article, less what the pages of a host repeat.
+"""Main text of web pages: the text of their blocks, less chrome and what the pages of a host repeat.
 
 A page is read as blocks of text with the marks around them. Three facts are kept of a block: whether it lies in the
 article (the longest `article`, else `main`, else an element named as content), and whether it lies in an element that is chrome
 by its tag, role, class or id (menus, headers, footers, sidebars, notices, adverts, forms, comments).
 
-The blocks that are not article text, and all blocks of pages without an article, go into the page's token stream, block tags
-included. The streams of a host's pages are concatenated, and a suffix array over them (prefix doubling to DEPTH
-tokens) finds the substrings of DEPTH tokens or more that distinct pages share. Hosts with many pages are dealt to shards of about
-SHARD pages by the page's id; each shard has a suffix array of its own, and the shards' substrings are then counted per
-host, so a substring that is repeated only across shards is found as well.
+All blocks that are not chrome go into the page's token stream, block tags included. The streams of a host's pages are
+concatenated, and a suffix array over them (prefix doubling to DEPTH tokens) finds the substrings of DEPTH tokens that distinct
+pages share. Hosts with many pages are dealt to shards of about SHARD pages by the page's id; each shard has a suffix array of
+its own, and the shards' substrings are then counted per host, so a substring that is repeated only across shards is found as well.
 
-A block stays if it is not chrome, is article text where the page has an article, and else is not covered: at least half of its tokens lie
-outside of repeated substrings. Copies of whole articles thus stay whole.
+A page has content of its own if at least OWN of its tokens lie in no repeated substring; else it is a copy. A substring is
+boilerplate if two pages with content of their own hold it, so copies alone make none and keep their text. Article text needs more: three
+such pages that are ARTICLE_SHARE of the host's pages. What is covered by boilerplate goes, whole blocks or runs
+of DEPTH tokens and more inside of a block; all other text stays, also outside of the article. Only where the text that is left between two
+parts of the article has fewer than DEPTH words, too few for a substring, the tags decide and it goes.
 
 Defined cases: null and empty html give the empty text; unclosed, crossed and cut tags are taken as they come; a null url
 is a host of its own name (the empty one); rows that repeat an id are one page as to repetition and are reported each; an
@@ -35,6 +37,10 @@ from plumbline.llm.common import signed, stage
 
 DEPTH = 8
 SHARD = 256
+OWN = 0.2
+LEAST_PAGES = 2
+ARTICLE_PAGES = 3
+ARTICLE_SHARE = 0.5
 
 TOKENS = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|template|noscript|textarea|svg|iframe|object|select|title)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
@@ -178,11 +184,10 @@ def read_page(source: str) -> Page:
 
 def stream_of(page: Page) -> tuple[list[str], list[tuple[int, int, int]]]:
     """The tokens that are compared with other pages, and (block, first, last + 1) of the blocks in them."""
-    article = page.article()
     tokens: list[str] = []
     places = []
     for k, block in enumerate(page.blocks):
-        if article >= 0 and block.region == article and not block.chrome:
+        if block.chrome:
             continue
         tokens.append(f"<{block.tag}>")
         first = len(tokens)
@@ -225,65 +230,126 @@ def substring_hashes(tokens: list[str], depth: int) -> np.ndarray:
     return out
 
 
+def covered_by(hit: np.ndarray, n_tokens: int) -> np.ndarray:
+    """Which tokens lie in the substrings that begin at the places `hit`."""
+    edge = np.zeros(n_tokens + 1, np.int64)
+    np.add.at(edge, hit, 1)
+    np.add.at(edge, hit + DEPTH, -1)
+    return np.cumsum(edge[:-1]) > 0
+
+
+def page_numbers(ids: list) -> np.ndarray:
+    """A number for each row; rows that repeat an id are one page."""
+    return np.unique([str(i) for i in ids], return_inverse=True)[1].astype(np.int64)
+
+
+def holders(keys: np.ndarray, pages: np.ndarray, n_keys: int) -> np.ndarray:
+    """How many distinct pages hold each of the keys 0 to n_keys - 1."""
+    width = int(pages.max()) + 1 if len(pages) else 1
+    return np.bincount(np.unique(keys * width + pages) // width, minlength=n_keys)
+
+
+SUBSTRINGS = "host string, shard int, h long, n long"
+
+
+def _substring_rows(host: str, shard: int, h: np.ndarray, n: np.ndarray) -> pa.Table:
+    size = len(h)
+    columns = [pa.array([host] * size, pa.string()), pa.array([shard] * size, pa.int32()), pa.array(signed(h), pa.int64()), pa.array(n, pa.int64())]
+    return pa.table(columns, ["host", "shard", "h", "n"])
+
+
 def shard_substrings(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """host, shard, h, repeated: the substrings of a shard, and whether distinct pages of the shard share them."""
+    """host, shard, h, n: the substrings of a shard, and how many pages hold each. A host's only shard tells those of several pages."""
+    host, shard = key[0].as_py(), key[1].as_py()
     _, streams, _ = _streams(table.column("html").to_pylist())
-    ids = table.column("page_id").to_pylist()
     # Pages are parted by tokens of their own, so no substring reaches over an edge.
     numbers: dict[str, int] = {}
-    flat, page_of, hashes, begins = [], [], [], []
+    flat, hashes, begins = [], [], []
     for k, tokens in enumerate(streams):
         begins.append(len(flat))
         flat += [numbers.setdefault(t, len(numbers)) for t in tokens]
         flat.append(-k - 1)
-        page_of += [k] * (len(tokens) + 1)
         hashes.append(substring_hashes(tokens, DEPTH))
-    starts = np.concatenate([np.arange(len(h)) + b for h, b in zip(hashes, begins, strict=True)]) if hashes else np.empty(0, np.int64)
-    if not len(starts):
-        return pa.table({"host": pa.array([], pa.string()), "shard": pa.array([], pa.int32()), "h": pa.array([], pa.int64()), "repeated": pa.array([], pa.bool_())})
-    order, rank = suffix_ranks(np.array(flat, np.int64), DEPTH)
-    number = np.unique([str(i) for i in ids], return_inverse=True)[1]
-    owner = number[np.array(page_of)]
-    # Neighbours in the suffix array with the same rank and another page make a repeated substring.
-    ranked, owners = rank[order], owner[order]
-    edge = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-    shared = np.minimum.reduceat(owners, edge) != np.maximum.reduceat(owners, edge)
-    repeated = shared[rank]
     every = np.concatenate(hashes)
-    h, first = np.unique(every, return_index=True)
-    n = len(h)
-    return pa.table(
-        {
-            "host": pa.array([key[0].as_py()] * n, pa.string()),
-            "shard": pa.array([key[1].as_py()] * n, pa.int32()),
-            "h": pa.array(signed(h), pa.int64()),
-            "repeated": pa.array(repeated[starts[first]], pa.bool_()),
-        }
-    )
+    if not len(every):
+        return _substring_rows(host, shard, every, np.empty(0, np.int64))
+    starts = np.concatenate([np.arange(len(h)) + b for h, b in zip(hashes, begins, strict=True)])
+    # Suffixes with the same rank, neighbours in the suffix array, begin with the same substring.
+    rank = suffix_ranks(np.array(flat, np.int64), DEPTH)[1][starts]
+    _, first, group = np.unique(rank, return_index=True, return_inverse=True)
+    owner = np.repeat(page_numbers(table.column("page_id").to_pylist()), [len(h) for h in hashes])
+    n = holders(group, owner, len(first))
+    told = np.flatnonzero(n >= (1 if table.column("shards")[0].as_py() > 1 else 2))
+    return _substring_rows(host, shard, every[first[told]], n[told])
+
+
+def own_substrings(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
+    """host, shard, h, n: the repeated substrings that a shard's pages hold, and how many pages with content of their own hold each."""
+    known = np.sort(np.array(right.column("h").to_numpy(), np.int64).view(np.uint64))
+    keys, pages = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    if len(known):
+        _, streams, _ = _streams(left.column("html").to_pylist())
+        for number, tokens in zip(page_numbers(left.column("page_id").to_pylist()), streams, strict=True):
+            hashes = substring_hashes(tokens, DEPTH)
+            hit = np.flatnonzero(np.isin(hashes, known))
+            if len(hit) and np.count_nonzero(~covered_by(hit, len(tokens))) >= OWN * len(tokens):
+                keys.append(np.searchsorted(known, np.unique(hashes[hit])))
+                pages.append(np.full(len(keys[-1]), number))
+    n = holders(np.concatenate(keys), np.concatenate(pages), len(known))
+    return _substring_rows(key[0].as_py(), key[1].as_py(), known, n)
+
+
+def kept_words(words: list[str], covered: np.ndarray) -> list[str]:
+    """The words of a block less its covered runs, given what is covered of its tag and its words.
+
+    A shorter run at an end is a word or two that happen to stand beside boilerplate; it stays.
+    """
+    if covered[1:].all():
+        return []
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], covered.astype(np.int8), [0]])))
+    stays = np.ones(len(covered), bool)
+    for first, last in zip(edges[::2], edges[1::2], strict=True):
+        if last - first >= DEPTH:
+            stays[first:last] = False
+    return [w for w, s in zip(words, stays[1:], strict=True) if s]
+
+
+def text_of(page: Page, tokens: list[str], places: list[tuple[int, int, int]], covered: np.ndarray, in_article: np.ndarray) -> str:
+    """The text of a page's blocks, given which tokens boilerplate covers by the measure for article text and by the other."""
+    article = page.article()
+    out: list[str] = []
+    aside: list[str] = []
+    for k, first, last in places:
+        inside = article >= 0 and page.blocks[k].region == article
+        words = kept_words(tokens[first:last], (in_article if inside else covered)[first - 1 : last])
+        if article >= 0 and not inside:
+            aside += words
+            continue
+        out += (aside if len(aside) >= DEPTH else []) + words
+        aside = []
+    return " ".join(out + (aside if len(aside) >= DEPTH else []))
 
 
 def main_texts(left: pa.Table, right: pa.Table) -> pa.Table:
-    """page_id, url, text of a shard's pages, given the repeated substrings that they hold."""
+    """page_id, url, text of a shard's pages, given the boilerplate that they hold and how many pages hold it."""
     pages, streams, places = _streams(left.column("html").to_pylist())
-    known = np.array(right.column("h").to_pylist(), np.int64).view(np.uint64)
+    known = np.array(right.column("h").to_numpy(), np.int64).view(np.uint64)
+    least = max(ARTICLE_PAGES, ARTICLE_SHARE * left.column("pages")[0].as_py()) if left.num_rows else 0
+    common = known[np.array(right.column("n").to_numpy()) >= least]
     texts = []
     for page, tokens, where in zip(pages, streams, places, strict=True):
-        article = page.article()
-        hit = np.flatnonzero(np.isin(substring_hashes(tokens, DEPTH), known))
-        edge = np.zeros(len(tokens) + 1, np.int64)
-        np.add.at(edge, hit, 1)
-        np.add.at(edge, hit + DEPTH, -1)
-        covered = np.cumsum(edge[:-1]) > 0
-        gone = {k for k, first, last in where if 2 * int(covered[first:last].sum()) > last - first}
-        kept = [
-            block.text
-            for k, block in enumerate(page.blocks)
-            if not block.chrome and (block.region == article if article >= 0 else k not in gone)
-        ]
-        texts.append(" ".join(kept))
+        hashes = substring_hashes(tokens, DEPTH)
+        covered, in_article = (covered_by(np.flatnonzero(np.isin(hashes, x)), len(tokens)) for x in (known, common))
+        texts.append(text_of(page, tokens, where, covered, in_article))
     return pa.table({"page_id": left.column("page_id"), "url": left.column("url"), "text": pa.array(texts, pa.string())})
 
 
+def held_by(found: DataFrame, least: int) -> DataFrame:
+    """The substrings that at least so many pages of the host hold, for every shard that has them, with that number."""
+    counted = found.groupBy("host", "h").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    return found.select("host", "shard", "h").join(counted, ["host", "h"])
+
+
 def extract(pages: DataFrame, shard: int = SHARD) -> DataFrame:
     """page_id, url and text of every row."""
     rows = pages.select(
@@ -291,17 +357,15 @@ def extract(pages: DataFrame, shard: int = SHARD) -> DataFrame:
     )
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
     rows = rows.withColumn("host", host)
-    sizes = stage(rows.groupBy("host").agg(F.count("*").alias("n")), "host-sizes")
+    distinct = rows.groupBy("host", "page_id").agg(F.count("*").alias("n"))
+    sizes = stage(distinct.groupBy("host").agg(F.sum("n").alias("n"), F.count("*").alias("pages")), "host-sizes")
+    shards = F.ceil(F.col("n") / shard)
     dealt = rows.join(sizes, "host").select(
-        "page_id", "url", "html", "host", F.pmod(F.xxhash64("page_id"), F.ceil(F.col("n") / shard)).cast("int").alias("shard")
-    )
-    found = dealt.groupBy("host", "shard").applyInArrow(shard_substrings, "host string, shard int, h long, repeated boolean")
-    found = stage(found, "page-substrings")
-    counted = found.groupBy("host", "h").agg(F.count("*").alias("n"), F.max("repeated").alias("any"))
-    repeated = counted.where("n > 1 OR any").select("host", "h")
-    known = found.select("host", "shard", "h").join(repeated, ["host", "h"])
-    return (
-        dealt.groupBy("host", "shard")
-        .cogroup(known.groupBy("host", "shard"))
-        .applyInArrow(main_texts, "page_id long, url string, text string")
+        "page_id", "url", "html", "host", "pages", shards.alias("shards"), F.pmod(F.xxhash64("page_id"), shards).cast("int").alias("shard")
     )
+    groups = dealt.groupBy("host", "shard")
+    found = stage(groups.applyInArrow(shard_substrings, SUBSTRINGS), "page-substrings")
+    repeated = held_by(found, 2).groupBy("host", "shard")
+    own = stage(groups.cogroup(repeated).applyInArrow(own_substrings, SUBSTRINGS), "own-substrings")
+    boilerplate = held_by(own, LEAST_PAGES).groupBy("host", "shard")
+    return groups.cogroup(boilerplate).applyInArrow(main_texts, "page_id long, url string, text string")

@@ -530,6 +530,17 @@ def test_substrings_repeated_across_shards_only(spark):
     assert all(line not in r.text and r.text for r in got.collect())
 
 
+def test_repeated_substrings_decide_on_every_page(spark):
+    """Boilerplate inside of articles goes, and unique text outside of them stays."""
+    line = "Read all our offers of this week in the shop around the corner"
+    inside, outside = ([f"{name}{i} " + prose(30, ENGLISH) + f" end{i}" for i in range(6)] for name in ("inside", "outside"))
+    rows = [(i, "http://a.example/x", f"<article><p>{inside[i]}</p><p>{line}</p></article><div>{outside[i]}</div><div>{line}</div>") for i in range(6)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for shard in (256, 1):
+        got = {r.page_id: r.text for r in extract.extract(frame, shard=shard).collect()}
+        assert all(got[i] == f"{inside[i]} {outside[i]}" for i in range(6))
+
+
 def test_suffix_ranks():
     tokens = np.array([3, 1, 2, 3, 1, 2, 9, 3, 1])
     order, rank = extract.suffix_ranks(tokens, 4)
