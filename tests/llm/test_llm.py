@@ -541,6 +541,20 @@ def test_repeated_substrings_decide_on_every_page(spark):
         assert all(got[i] == f"{inside[i]} {outside[i]}" for i in range(6))
 
 
+def test_runs_around_boilerplate_and_copies_stay(spark):
+    line = "Read all our offers of this week in the shop around the corner"
+    bare = prose(40, ENGLISH)
+    around = [f"around{i} " + prose(30, ENGLISH) + f" end{i}" for i in range(6)]
+    rows = [(i, "http://b.example/x", f"<p>{around[i]} {line} after{i}</p>") for i in range(6)]
+    rows += [(20 + i, "http://c.example/x", f"<p>{bare}</p>") for i in range(2)]
+    rows += [(30 + i, "http://d.example/x", f"<p>{bare} changed{i} {bare}</p>") for i in range(3)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for shard in (256, 1):
+        got = {r.page_id: r.text for r in extract.extract(frame, shard=shard).collect()}
+        assert all(got[i] == f"{around[i]} after{i}" for i in range(6))
+        assert got[20] == got[21] == bare and all(got[30 + i] == f"{bare} changed{i} {bare}" for i in range(3))
+
+
 def test_suffix_ranks():
     tokens = np.array([3, 1, 2, 3, 1, 2, 9, 3, 1])
     order, rank = extract.suffix_ranks(tokens, 4)
