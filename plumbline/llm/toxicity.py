@@ -2,8 +2,9 @@
 
 Tokens are lower-cased runs of letters and digits. A token's features are itself and its first 4, 5 and 6
 letters, so that inflected words share what is known of their stem. Each feature weighs the log-odds of toxic against
-other training documents that hold it, with an informative Dirichlet prior (PRIOR times its share of all training
-documents). Features whose log-odds are less than LEAST_Z deviations from zero are neutral; a token takes its most
+other training documents that hold it, with an informative Dirichlet prior (PRIOR documents, toxic and other as all
+are). Its significance is the signed root of the log-likelihood ratio of its counts, which stays finite where one kind has none.
+Features with less than LEAST_Z are neutral; a token takes its most
 significant feature's weight, and a token without one costs the drift. A linear scan then finds all disjoint maximal
 segments of a text. A segment's score is judged by extreme-value statistics: the chance that a text of this length
 without toxic passages holds a segment as good is 1 - exp(-K n exp(-lambda S)); lambda solves E[exp(lambda s)] = 1 over the
@@ -12,7 +13,8 @@ scores of other training text. Segments with a chance below `significance` are t
 A document's evidence is its segments' joint surplus over that extreme-value distribution; a logistic curve through
 the evidence of all training documents, kept as a histogram of bounded size, turns it into a score from 0 to 1.
 
-The lexicon holds significant features only, at most LEXICON of them (the most significant). Counts cover all training text.
+The lexicon is sent to every task and holds at most LEXICON features, the most significant. What is significant beyond them stays a
+table that is joined to the texts by their features; a bitmap keeps features out that it cannot have. Counts cover all training text.
 
 Defined cases: null and empty texts have no tokens and no segment; labels that are null, or whose document is absent,
 teach nothing; ids that repeat in labels count once, with the highest label; with labels of one kind only every score is
@@ -29,18 +31,20 @@ from math import exp, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import bounded, fold, stage, texts
 
 LEXICON = 200_000
 LEAST_Z = 4.0
-PRIOR = 0.01
+PRIOR = 1.0
 SIGNIFICANCE = 0.01
 HELD = 300_000
 BIN = 0.25
 TOP_BIN = 400
+BITS = 1 << 27
 
 TOKEN = re.compile(r"[^\W_]+")
 
@@ -57,14 +61,14 @@ def features_of(token: str) -> tuple[str, ...]:
 class Weights(dict):
     """Weight by token (None: neutral), worked out on first sight. Emptied when full, so it is bounded."""
 
-    def __init__(self, lexicon: dict[str, tuple[float, float]]):
+    def __init__(self, lexicon: dict[str, tuple[float, float]], below: dict[str, tuple[float, float]] | None = None):
         super().__init__()
-        self.lexicon = lexicon
+        self.lexicon, self.below = lexicon, below or {}
 
     def __missing__(self, token: str) -> float | None:
         if len(self) >= HELD:
             self.clear()
-        known = [self.lexicon[f] for f in features_of(token) if f in self.lexicon]
+        known = [at[f] for at in (self.lexicon, self.below) for f in features_of(token) if f in at]
         value = self[token] = max(known, key=lambda x: abs(x[1]))[0] if known else None
         return value
 
@@ -164,33 +168,104 @@ def segments(tokens: list[str], weights: Weights, drift: float) -> list[tuple[fl
     return [(after - before, first, last) for before, after, first, last, _ in stack]
 
 
-def lexicon(counts: DataFrame, least_z: float = LEAST_Z, size: int = LEXICON) -> tuple[dict[str, tuple[float, float]], dict[str, float]]:
-    """(log-odds, z) of the significant features, and how much of other text each makes up; the totals come as one row."""
+def significant(counts: DataFrame, least_z: float = LEAST_Z) -> DataFrame:
+    """token, odds, z of the significant features, and the share of other text that each makes up; the totals come as one row."""
     total = counts.agg(
         F.coalesce(F.sum("n_toxic"), F.lit(0)).alias("t"), F.coalesce(F.sum("n_other"), F.lit(0)).alias("o")
     ).first()
-    if not total.t or not total.o:
-        return {}, {}
-    share = PRIOR * (F.col("n_toxic") + F.col("n_other"))
-    weight = PRIOR * (total.t + total.o)
-    a, b = F.col("n_toxic") + share, F.col("n_other") + share
-    odds = F.log(a / (total.t + weight - a)) - F.log(b / (total.o + weight - b))
-    rows = (
-        counts.withColumn("odds", odds)
-        .withColumn("z", F.col("odds") / F.sqrt(1 / a + 1 / b))
+    t, o = float(total.t), float(total.o)
+    whole = max(t + o, 1.0)
+    toxic, other = F.col("n_toxic"), F.col("n_other")
+    a, b = toxic + PRIOR * t / whole, other + PRIOR * o / whole
+
+    def part(n: Column, expected: Column) -> Column:
+        return F.when(n > 0, n * F.log(n / expected)).otherwise(0.0)
+
+    held, rest = toxic + other, F.lit(whole) - (toxic + other)
+    ratio = part(toxic, held * t / whole) + part(other, held * o / whole) + part(t - toxic, rest * t / whole) + part(o - other, rest * o / whole)
+    return (
+        counts.where(F.lit(bool(t and o)))
+        .withColumn("odds", F.log(a / (t + PRIOR - a)) - F.log(b / (o + PRIOR - b)))
+        .withColumn("z", F.signum("odds") * F.sqrt(2 * F.greatest(ratio, F.lit(0.0))))
         .where(F.abs("z") >= least_z)
-        .orderBy(F.desc(F.abs("z")), "token")
-        .limit(size)
-        .select("token", "odds", "z", ((F.col("n_other") + share) / (total.o + weight)).alias("share"))
-        .collect()
+        .select("token", "odds", "z", (b / (o + PRIOR)).alias("share"))
     )
-    return {r.token: (r.odds, r.z) for r in rows}, {r.token: r.share for r in rows}
 
 
-def karlin(scores: dict[str, tuple[float, float]], shares: dict[str, float], drift: float) -> tuple[float, float]:
-    """lambda from E[exp(lambda s)] = 1 by bisection, and a K that bounds the chance: the share of rising tokens."""
-    s = np.array([*(scores[t][0] for t in scores), drift])
-    p = np.array([*(shares[t] for t in scores), 0.0])
+def lexicon(found: DataFrame, size: int) -> tuple[dict[str, tuple[float, float]], dict[str, float], DataFrame | None]:
+    """(log-odds, z) and share of the `size` most significant features, and the table of the others, if there are any."""
+    rows = found.orderBy(F.desc(F.abs("z")), "token").limit(size + 1).collect()
+    others = None
+    if len(rows) > size:
+        last = rows.pop()
+        others = found.where((F.abs("z") < abs(last.z)) | ((F.abs("z") == abs(last.z)) & (F.col("token") >= last.token)))
+    return {r.token: (r.odds, r.z) for r in rows}, {r.token: r.share for r in rows}, others
+
+
+def bit_of(token: str) -> int:
+    return xxhash.xxh3_64_intdigest(token.encode("utf-8", "surrogatepass")) % BITS
+
+
+def bitmap(others: DataFrame) -> np.ndarray:
+    """A bit for the hash of every feature, of a fixed size."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.unique(np.fromiter(map(bit_of, batch.column(0).to_pylist()), np.int64, batch.num_rows))
+            yield pa.RecordBatch.from_arrays([pa.array(at // 32768), pa.array(at % 32768)], ["part", "bit"])
+
+    bits = np.zeros(BITS // 8, np.uint8)
+    parts = others.select("token").mapInArrow(mark, "part long, bit long").groupBy("part").agg(F.collect_set("bit").alias("bits"))
+    for r in parts.toLocalIterator():
+        at = r.part * 32768 + np.array(r.bits, np.int64)
+        np.bitwise_or.at(bits, at // 8, (1 << (at % 8)).astype(np.uint8))
+    return bits
+
+
+def with_others(rows: DataFrame, others: DataFrame | None) -> DataFrame:
+    """The rows, and beside them `known`: the features of the text that the table beyond the lexicon holds (null: none)."""
+    kind = "array<struct<token:string,odds:double,z:double>>"
+    if others is None:
+        return rows.withColumn("known", F.lit(None).cast(kind))
+    sent = rows.sparkSession.sparkContext.broadcast(bitmap(others))  # BITS / 8 bytes
+    rows = rows.withColumn("th", F.xxhash64("text"))
+
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = sent.value
+        has: dict[str, bool] = {}
+        for batch in batches:
+            ids, hashes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for i, h, text in zip(ids, hashes, batch.column(2).to_pylist(), strict=True):
+                held = []
+                for f in {f for t in set(tokens_of(text)) for f in features_of(t)}:
+                    if f not in has:
+                        if len(has) >= HELD:
+                            has.clear()
+                        at = bit_of(f)
+                        has[f] = bool(bits[at // 8] >> (at % 8) & 1)
+                    if has[f]:
+                        held.append(f)
+                n = len(held)
+                yield pa.RecordBatch.from_arrays([pa.array([i] * n, pa.int64()), pa.array([h] * n, pa.int64()), pa.array(held, pa.string())], ["did", "hash", "token"])
+
+    held = rows.select("doc_id", "th", "text").mapInArrow(features, "did long, hash long, token string").distinct()
+    known = held.join(others, "token").groupBy("did", "hash").agg(F.collect_list(F.struct("token", "odds", "z")).alias("known"))
+    return rows.join(known, F.col("doc_id").eqNullSafe(F.col("did")) & (F.col("th") == F.col("hash")), "left").drop("th", "did", "hash")
+
+
+def weights_of(weights: Weights, known: list[dict] | None) -> Weights:
+    """The weights for one text: those of the lexicon, or with what is known beyond it."""
+    return Weights({x["token"]: (x["odds"], x["z"]) for x in known}, weights.lexicon) if known else weights
+
+
+def karlin(scores: dict[str, tuple[float, float]], shares: dict[str, float], drift: float, others: DataFrame | None = None) -> tuple[float, float]:
+    """lambda from E[exp(lambda s)] = 1 by bisection, and a K that bounds the chance: the share of rising tokens.
+
+    Features beyond the lexicon come as sums of their shares by weight, in steps of 0.0001, so there are no more than some 400,000.
+    """
+    more = [] if others is None else others.groupBy(F.round("odds", 4).alias("odds")).agg(F.sum("share").alias("share")).collect()
+    s = np.array([*(scores[t][0] for t in scores), *(r.odds for r in more), drift])
+    p = np.array([*(shares[t] for t in scores), *(r.share for r in more), 0.0])
     p[-1] = max(0.0, 1.0 - p.sum())
     p = np.maximum(p, 1e-12)
     p /= p.sum()
@@ -206,7 +281,7 @@ def karlin(scores: dict[str, tuple[float, float]], shares: dict[str, float], dri
     return max(low, 1e-3), float(np.clip(p[s > 0].sum(), 1e-9, 1.0))
 
 
-def calibrate(rows: DataFrame, model: Model) -> Model:
+def calibrate(rows: DataFrame, model: Model, others: DataFrame | None = None) -> Model:
     """A logistic curve through the evidence of all training documents, from a histogram of at most TOP_BIN bins."""
     sent = rows.sparkSession.sparkContext.broadcast(model)  # at most LEXICON features
 
@@ -215,11 +290,12 @@ def calibrate(rows: DataFrame, model: Model) -> Model:
         weights = Weights(model.lexicon)
         for batch in batches:
             lists = [tokens_of(t) for t in batch.column(1).to_pylist()]
-            at = [model.evidence(segments(x, weights, model.drift), len(x)) for x in lists]
+            more = batch.column(3).to_pylist()
+            at = [model.evidence(segments(x, weights_of(weights, k), model.drift), len(x)) for x, k in zip(lists, more, strict=True)]
             bins = pa.array([min(TOP_BIN, int(e / BIN)) for e in at], pa.int32())
             yield pa.RecordBatch.from_arrays([bins, batch.column(2)], ["bin", "toxic"])
 
-    at = rows.mapInArrow(weigh, "bin int, toxic int")
+    at = with_others(rows, others).mapInArrow(weigh, "bin int, toxic int")
     bins = at.groupBy("bin").agg(F.count_if(F.col("toxic") == 1).alias("p"), F.count_if(F.col("toxic") != 1).alias("n")).collect()
     if not bins:
         model.constant = 0.0
@@ -229,6 +305,10 @@ def calibrate(rows: DataFrame, model: Model) -> Model:
     if not p.sum() or not n.sum():
         model.constant = 1.0 if p.sum() else 0.0
         return model
+    def loss(slope: float, shift: float) -> float:
+        z = slope * x + shift
+        return float(((p + n) * np.logaddexp(0.0, z) - p * z).sum() + 0.005 * slope * slope)
+
     slope, shift = 0.5, -1.0
     for _ in range(200):
         q = 1 / (1 + np.exp(-np.clip(slope * x + shift, -50, 50)))
@@ -237,7 +317,11 @@ def calibrate(rows: DataFrame, model: Model) -> Model:
         grad = np.array([(g * x).sum() - 0.01 * slope, g.sum()])
         hess = np.array([[(h * x * x).sum() + 0.01, (h * x).sum()], [(h * x).sum(), h.sum() + 1e-6]])
         step = np.linalg.solve(hess, grad)
-        slope, shift = slope + np.clip(step[0], -1, 1), shift + np.clip(step[1], -2, 2)
+        step = np.array([np.clip(step[0], -1, 1), np.clip(step[1], -2, 2)])
+        # Kinds that evidence parts well make full steps overshoot.
+        while np.abs(step).max() >= 1e-9 and loss(slope + step[0], shift + step[1]) > loss(slope, shift):
+            step /= 2
+        slope, shift = slope + step[0], shift + step[1]
         if np.abs(step).max() < 1e-9:
             break
     model.slope = float(max(slope, 1e-3))
@@ -245,16 +329,18 @@ def calibrate(rows: DataFrame, model: Model) -> Model:
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame) -> Model:
+def train(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame | None]:
+    """The model, and the table of significant features beyond its lexicon, if there are any."""
     rows = marked(docs, labels)
-    scores, shares = lexicon(stage(count_tokens(rows), "toxicity-counts"))
+    found = stage(significant(stage(count_tokens(rows), "toxicity-counts")), "toxicity-features")
+    scores, shares, others = lexicon(found, LEXICON)
     drift = -0.5
     model = Model(scores, drift)
-    model.lam, model.k = karlin(scores, shares, drift)
-    return calibrate(rows, model)
+    model.lam, model.k = karlin(scores, shares, drift, others)
+    return calibrate(rows, model, others), others
 
 
-def passages(docs: DataFrame, model: Model, significance: float = SIGNIFICANCE) -> DataFrame:
+def passages(docs: DataFrame, model: Model, others: DataFrame | None = None, significance: float = SIGNIFICANCE) -> DataFrame:
     """doc_id, score, and the significant passages (first and last token, segment score, chance) of every row."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # at most LEXICON features
 
@@ -264,18 +350,18 @@ def passages(docs: DataFrame, model: Model, significance: float = SIGNIFICANCE)
         kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("score", pa.float64()), ("chance", pa.float64())]))
         for batch in batches:
             scored, found = [], []
-            for text in batch.column(1).to_pylist():
+            for text, known in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 tokens = tokens_of(text)
-                parts = segments(tokens, weights, model.drift)
+                parts = segments(tokens, weights_of(weights, known), model.drift)
                 scored.append(model.score(model.evidence(parts, len(tokens))))
                 tried = ((s, a, b, model.chance(s, len(tokens))) for s, a, b in parts)
                 found.append([{"first": a, "last": b, "score": s, "chance": c} for s, a, b, c in tried if c < significance])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scored, pa.float64()), pa.array(found, kind)], ["doc_id", "score", "passages"])
 
-    return texts(docs).mapInArrow(
+    return with_others(texts(docs), others).mapInArrow(
         scan, "doc_id long, score double, passages array<struct<first:int,last:int,score:double,chance:double>>"
     )
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    return passages(docs, train(docs, labels))
+    return passages(docs, *train(docs, labels))

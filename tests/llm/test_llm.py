@@ -415,6 +415,27 @@ def test_toxicity_without_labels_and_with_one_kind(spark, docs, empty):
     assert toxicity.score_toxicity(empty, none).count() == 0
 
 
+def test_words_of_toxic_documents_alone_are_significant(spark):
+    """From a handful of documents on, in small tables and in large ones."""
+    for t, o in ((20_000, 150_000), (20_000_000, 150_000_000)):
+        rows = [("insult", 6, 0), ("slur", 18, 0), ("once", 1, 0), ("even", t // 1000, o // 1000), ("harmless", 0, 200), ("rest", 0, 0)]
+        rows[-1] = ("rest", t - sum(r[1] for r in rows), o - sum(r[2] for r in rows))
+        found = {r.token: r for r in toxicity.significant(spark.createDataFrame(rows, "token string, n_toxic long, n_other long")).collect()}
+        assert {"insult", "slur", "harmless"} <= set(found) and not {"once", "even"} & set(found)
+        assert found["slur"].odds > found["insult"].odds > 0 > found["harmless"].odds
+
+
+def test_features_beyond_the_lexicon_are_joined(spark, monkeypatch):
+    rows, marks = toxic_table()
+    frame = spark.createDataFrame([*rows, (None, "vermin"), (700, "another filthy text"), (700, "a text of no harm")], "doc_id long, text string")
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int")
+    whole = sorted((r.doc_id or -1, r.score, str(r.passages)) for r in toxicity.score_toxicity(frame, labels).collect())
+    monkeypatch.setattr(toxicity, "LEXICON", 1)
+    split = sorted((r.doc_id or -1, r.score, str(r.passages)) for r in toxicity.score_toxicity(frame, labels).collect())
+    assert [x[0] for x in whole] == [x[0] for x in split]
+    assert np.allclose([x[1] for x in whole], [x[1] for x in split], atol=0.02)
+
+
 # ---- 6: hidden Markov model
 
 
