@@ -5,8 +5,9 @@ BLOCK, and each term has the largest impact per block. A passage is PASSAGE word
 block-max WAND, a block of items is opened for a passage only if the sum of its terms' block maxima reaches the lowest
 threshold in the block; terms that occur in most blocks enter through one bound for all blocks. In opened blocks the exact score of each
 item is computed, and all items above their threshold are retrieved; there is no top-k. An item is found in a document
-if, around the passage, the item's question (all but its last sentence) and its answer (the last sentence) both overlap
-with the text: at least `overlap` of their word triples (single words, where there are fewer than three) occur there.
+if, around the passage, the whole item overlaps with the text: at least `overlap` of its word triples (single words, where there
+are fewer than three) occur there. Items have no separate answers; the shares of the question (all but the last
+sentence) and of the answer (the last sentence) are reported beside it and decide nothing.
 
 An item's threshold is `ratio` of its score for itself, or for the part of it that fits into STRIDE words. The index is held by every
 task, so items are taken in shards of at most SHARD_ITEMS items and SHARD_BYTES of text; each shard is one pass.
@@ -119,7 +120,7 @@ class Index:
         found.sort(key=lambda x: (x[0], x[1], x[3]))
         self.thresholds = np.array([x[0] for x in found])
         self.keys = [x[2] for x in found]
-        self.parts = [tuple((pieces_of(p), p) for p in question_and_answer(x[3])) for x in found]
+        self.parts = [tuple((pieces_of(p), p) for p in (x[4], *question_and_answer(x[3]))) for x in found]
         self.lengths = [len(x[4]) for x in found]
         self.n_blocks = -(-len(found) // BLOCK)
         self.block_least = np.array([self.thresholds[b * BLOCK] for b in range(self.n_blocks)])
@@ -177,17 +178,17 @@ class Index:
         good = scores >= self.thresholds[pairs % n] - 1e-9
         return pairs[good] // n, pairs[good] % n, scores[good]
 
-    def overlaps(self, item: int, words: list[bytes]) -> tuple[float, float]:
-        """The shares of the question's and of the answer's pieces that the words hold."""
+    def overlaps(self, item: int, words: list[bytes]) -> tuple[float, float, float]:
+        """The shares of the item's, of its question's and of its answer's pieces that the words hold."""
         triples, single = pieces_of(words), set(words)
         shares = []
         for pieces, part in self.parts[item]:
             held = triples if len(part) >= 3 and len(words) >= 3 else single
             shares.append(len(pieces & held) / len(pieces) if len(part) >= 3 or not pieces else len(pieces & single) / len(pieces))
-        return shares[0], shares[1]
+        return shares[0], shares[1], shares[2]
 
-    def search(self, batch: list[str], overlap: float) -> list[tuple[int, int, float, float, float, int]]:
-        """(text, item, score, question share, answer share, first word) of every item found in each text."""
+    def search(self, batch: list[str], overlap: float) -> list[tuple[int, int, float, float, float, float, int]]:
+        """(text, item, score, share, question share, answer share, first word) of every item found in each text."""
         found = []
         first = 0
         while first < len(batch):
@@ -221,15 +222,15 @@ class Index:
         found = distinct(np.concatenate([found, later]))
         cell, item, score = self.retrieved(found // n_terms, found % n_terms, total)
         of = np.searchsorted(starts, cell, side="right") - 1
-        best: dict[tuple[int, int], tuple[float, float, float, int]] = {}
+        best: dict[tuple[int, int], tuple[float, float, float, float, int]] = {}
         for c, i, value, k in zip(cell.tolist(), item.tolist(), score.tolist(), of.tolist(), strict=True):
             if value <= best.get((k, i), (-1.0,))[0]:
                 continue
             words, at = texts_words[k], (c - cells[k]) * STRIDE
             around = words[max(0, at - self.lengths[i]) : at + PASSAGE + self.lengths[i]]
-            question, answer = self.overlaps(i, around)
-            if question >= overlap and answer >= overlap:
-                best[k, i] = (value, question, answer, at)
+            whole, question, answer = self.overlaps(i, around)
+            if whole >= overlap:
+                best[k, i] = (value, whole, question, answer, at)
         for (k, i), rest in sorted(best.items()):
             yield k, i, *rest
 
@@ -264,10 +265,10 @@ def indexes(items: DataFrame, ratio: float) -> Iterator[Index]:
 
 
 def matches(docs: DataFrame, items: DataFrame, ratio: float = RATIO, overlap: float = OVERLAP) -> DataFrame:
-    """doc_id, item_id, score, question_overlap, answer_overlap, first_word of every item found in every document."""
+    """doc_id, item_id, score, overlap, question_overlap, answer_overlap, first_word of every item found in every document."""
     spark = docs.sparkSession
     kind = items.schema["item_id"].dataType.simpleString()
-    schema = f"doc_id long, item_id {kind}, score double, question_overlap double, answer_overlap double, first_word long"
+    schema = f"doc_id long, item_id {kind}, score double, overlap double, question_overlap double, answer_overlap double, first_word long"
     sent_schema = to_arrow_schema(StructType.fromDDL(schema))
     parts = []
     for index in indexes(items, ratio):
@@ -279,8 +280,8 @@ def matches(docs: DataFrame, items: DataFrame, ratio: float = RATIO, overlap: fl
                 found = index.search(batch.column(1).to_pylist(), overlap)
                 yield pa.RecordBatch.from_pylist(
                     [
-                        {"doc_id": ids[k], "item_id": index.keys[i], "score": s, "question_overlap": q, "answer_overlap": a, "first_word": at}
-                        for k, i, s, q, a, at in found
+                        {"doc_id": ids[k], "item_id": index.keys[i], "score": s, "overlap": w, "question_overlap": q, "answer_overlap": a, "first_word": at}
+                        for k, i, s, w, q, a, at in found
                     ],
                     schema=sent_schema,
                 )
@@ -291,7 +292,7 @@ def matches(docs: DataFrame, items: DataFrame, ratio: float = RATIO, overlap: fl
     out = parts[0]
     for part in parts[1:]:
         out = out.union(part)
-    best = F.max(F.struct("score", "question_overlap", "answer_overlap", "first_word")).alias("best")
+    best = F.max(F.struct("score", "overlap", "question_overlap", "answer_overlap", "first_word")).alias("best")
     return out.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")
 
 

@@ -317,6 +317,19 @@ def test_decontamination_finds_items_only_where_they_are(spark, docs, empty):
     assert decontaminate.matches(docs, items.limit(0)).count() == 0
 
 
+def test_decontamination_needs_no_answer(spark):
+    """Near copies of an item whose last sentence is short, changed or left out."""
+    question = prose(30, ENGLISH)
+    items = spark.createDataFrame([(1, f"{question}. Quite short it ends.")], "item_id long, text string")
+    texts = [f"{question}. Quite short it ends.", f"{question}. Quite changed it ends.", question, " ".join(question.split()[:12]), prose(40, ENGLISH)]
+    frame = spark.createDataFrame([(i, f"Before it. {t} After it.") for i, t in enumerate(texts)], "doc_id long, text string")
+    found = {r.doc_id: r for r in decontaminate.matches(frame, items).collect()}
+    assert sorted(found) == [0, 1, 2]
+    assert found[0].overlap == found[0].question_overlap == found[0].answer_overlap == 1
+    assert found[2].overlap > 0.8 and found[2].question_overlap == 1 and found[2].answer_overlap == 0
+    assert [r.doc_id for r in decontaminate.without_benchmark(frame, items).orderBy("doc_id").collect()] == [3, 4]
+
+
 def test_decontamination_does_not_depend_on_shards(spark, docs, monkeypatch):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     whole = by_row(decontaminate.matches(docs, items), "doc_id", "item_id", "score")
