@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Iterator
 
@@ -32,30 +33,37 @@ def fold(doc_id: str, parts: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))), F.lit(parts))
 
 
-_staged: list[str] = []
+class _Staged(threading.local):
+    """The copies that a thread has staged, so queries that run at once don't remove each other's."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+
+_staged = _Staged()
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read back: the lineage ends there and a lost executor costs nothing."""
     path = scratch_dir(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
-    _staged.append(path)
+    _staged.paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def mark() -> int:
     """A point in the sequence of staged copies, for `tidy`."""
-    return len(_staged)
+    return len(_staged.paths)
 
 
 def tidy(spark: SparkSession, since: int, keep: int = 1) -> None:
     """Remove the copies staged since a point, but for the last `keep`. Nothing still to be computed may read them."""
     jvm = spark.sparkContext._jvm
-    last = len(_staged) - keep
-    for name in _staged[since:last]:
+    last = len(_staged.paths) - keep
+    for name in _staged.paths[since:last]:
         path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-    del _staged[since:last]
+    del _staged.paths[since:last]
 
 
 # Rows of a few longs that are sent to every task at most; more are joined by a shuffle.

@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import decontaminate, extract, hmm, jaccard, langid, linededup, pieces, quality, repeats, toxicity
+from plumbline.llm import (
+    decontaminate,
+    exactdedup,
+    extract,
+    hmm,
+    jaccard,
+    langid,
+    linededup,
+    pieces,
+    quality,
+    repeats,
+    toxicity,
+)
 from plumbline.llm.common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -157,3 +169,18 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.without_repeats(table(spark, sf_dir, "documents"))
     kept = F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256")
     return found.select("doc_id", "n_words", "n_removed", kept)
+
+
+EXACT_DEDUP = f"""
+WITH t AS (
+  SELECT doc_id, {_LOWER} AS norm FROM documents
+)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
+       row_number() OVER (PARTITION BY norm ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(norm) AS text_sha256
+FROM t
+"""
+
+
+@query(EXACT_DEDUP)
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exactdedup.mark_copies(table(spark, sf_dir, "documents"), every_digest=True)

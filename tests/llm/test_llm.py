@@ -715,7 +715,7 @@ def test_gradient_of_the_network():
 
 # ---- the queries and the pipeline
 
-TABLES = ("documents", "pages", "benchmark", "labels")
+TABLES = ("documents", "pages", "benchmark", "labels", "embeddings")
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
