@@ -19,6 +19,8 @@ from plumbline.llm import (
     quality,
     repeats,
     toxicity,
+    vectorcodes,
+    whitening,
 )
 from plumbline.llm.common import fold
 
@@ -184,3 +186,54 @@ FROM t
 @query(EXACT_DEDUP)
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdedup.mark_copies(table(spark, sf_dir, "documents"), every_digest=True)
+
+
+@query()
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+_ROUND = """
+, a{r} AS MATERIALIZED (
+  SELECT r, p, sub, arg_min(k, struct_pack(d := d, k := k)) AS k, min(d) AS d
+  FROM (SELECT s.r, s.p, s.sub, c.k,
+               CAST(list_sum(list_transform(range(1, len(s.sub) + 1), lambda i: (s.sub[i] - c.e[i]) * (s.sub[i] - c.e[i]))) AS BIGINT) AS d
+        FROM s JOIN c{r} c ON s.p = c.p)
+  GROUP BY r, p, sub
+), m{r} AS MATERIALIZED (
+  SELECT p, k, list(CAST((t - ((t % n) + n) % n) // n AS BIGINT) ORDER BY i) AS e
+  FROM (SELECT p, k, i, sum(sub[i]) AS t, count(*) AS n FROM a{r}, range(1, {width} + 1) AS x(i) GROUP BY p, k, i)
+  GROUP BY p, k
+), c{next} AS MATERIALIZED (
+  SELECT c.p, c.k, coalesce(m.e, c.e) AS e FROM c{r} c LEFT JOIN m{r} m ON c.p = m.p AND c.k = m.k
+)"""
+
+# For vectors of 64 components, as the table has them.
+VECTOR_CODES = (
+    """
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label,
+         list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), s AS MATERIALIZED (
+  SELECT r, p, v[8 * p + 1:8 * p + 8] AS sub FROM v, range(0, 8) AS x(p)
+), c0 AS MATERIALIZED (
+  SELECT p, r - 1 AS k, sub AS e FROM s WHERE r <= 16
+)"""
+    + "".join(_ROUND.format(r=r, next=r + 1, width=8) for r in range(7))
+    + """
+, coded AS (
+  SELECT r, string_agg(printf('%02x', k), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM a6 GROUP BY r
+), book AS (
+  SELECT sha256(string_agg(CAST(e[i] AS VARCHAR), ',' ORDER BY p, k, i)) AS h FROM c6, range(1, 9) AS x(i)
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, book.h AS codebooks_sha256
+FROM v JOIN coded USING (r), book
+"""
+)
+
+
+@query(VECTOR_CODES)
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcodes.compress(table(spark, sf_dir, "embeddings")).drop("label")
