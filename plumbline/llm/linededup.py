@@ -1,9 +1,12 @@
 """Lines that several documents share, found with levelled sorted runs of line hashes. DataFrame operations only.
 
-A run is a table of line hashes in sorted order: how many documents hold the line and the largest of their ids. Batches
-of documents come one after the other. A batch counts its own lines, is merge-anti-joined with the runs (lines that no
-run knows are fresh) and adds a run of its own at level 0. When a level holds FAN_IN runs they are merged into one run
-of the next level. Documents are dealt to batches by a hash of their id, so the counts of batches add up.
+A run is a table of line hashes in sorted order: how many documents of a batch hold the line, and the largest of their ids.
+Batches of documents come one after the other. A batch counts its own lines and is merge-anti-joined with the runs: lines
+that no run knows become a run of level 0, so that each line is in exactly one run, that of the batch that brought it. Lines
+that a run knows become an increment. When a level holds FAN_IN runs they are compacted into one of the next level, which is
+a merge of different keys and no count. A line is shared if its run or its increments say so; lines that no later batch
+brought again are never brought together with anything. Documents are dealt to batches by a hash of their id, so the counts
+of batches add up. Runs can be written and loaded, and take in further batches later.
 
 A line's key is the line without `[\\x20\\x09-\\x0D]` at both ends and with A-Z lower-cased. Keys are compared by 128 bits
 of two differently seeded 64-bit hashes.
@@ -52,65 +55,97 @@ def line_hashes(docs: DataFrame, least_length: int) -> DataFrame:
     )
 
 
+COUNTS = "h1 long, h2 long, n_docs long, last_did long"
+
+
+def counted(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(KEY).agg(F.sum("n_docs").alias("n_docs"), F.max("last_did").alias("last_did"))
+
+
 class Runs:
-    """The levelled runs. Each is a Parquet folder in the shared folder: h1, h2, n_docs, last_did, fresh."""
+    """The levelled runs and the increments. Each is a Parquet folder in the shared folder: h1, h2, n_docs, last_did."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.levels: dict[int, list[DataFrame]] = {}
+        self.increments: list[DataFrame] = []
 
-    def all(self) -> list[DataFrame]:
-        return [run for level in sorted(self.levels) for run in self.levels[level]]
+    def _together(self, runs: list[DataFrame]) -> DataFrame:
+        return reduce(DataFrame.unionByName, runs) if runs else self.spark.createDataFrame([], COUNTS)
 
-    def _merged(self, runs: list[DataFrame]) -> DataFrame:
-        return (
-            reduce(DataFrame.unionByName, runs)
-            .groupBy(KEY)
-            .agg(F.sum("n_docs").alias("n_docs"), F.max("last_did").alias("last_did"), F.max("fresh").alias("fresh"))
-        )
-
-    def _sorted(self, run: DataFrame, label: str) -> DataFrame:
-        return stage(run.sortWithinPartitions(KEY), label)
+    def known(self) -> DataFrame:
+        """Every line that a run holds, once."""
+        return self._together([run for level in sorted(self.levels) for run in self.levels[level]])
 
     def add(self, lines: DataFrame) -> None:
-        """Count the batch's lines, part them into fresh and known ones, and add them as a run."""
+        """Take in a batch of lines (h1, h2, did): the fresh ones as a run, the known ones as an increment."""
         own = lines.groupBy(KEY).agg(F.countDistinct("did").alias("n_docs"), F.max("did").alias("last_did"))
-        runs = self.all()
-        if runs:
-            own = stage(own, "line-batch")
-            known = reduce(DataFrame.union, [run.where("fresh").select(KEY) for run in runs])
-            fresh = own.join(known, KEY, "left_anti").withColumn("fresh", F.lit(True))
-            own = fresh.union(own.join(known, KEY, "left_semi").withColumn("fresh", F.lit(False)))
-        else:
-            own = own.withColumn("fresh", F.lit(True))
-        self.levels.setdefault(0, []).append(self._sorted(own, "line-run-0"))
+        if self.levels:
+            own, known = stage(own, "line-batch"), self.known().select(KEY)
+            self.increments.append(stage(own.join(known, KEY, "left_semi"), "line-increment"))
+            own = own.join(known, KEY, "left_anti")
+        self.levels.setdefault(0, []).append(stage(own.sortWithinPartitions(KEY), "line-run-0"))
         self._compact()
 
     def _compact(self) -> None:
         level = 0
         while len(self.levels.get(level, [])) >= FAN_IN:
-            merged = self._sorted(self._merged(self.levels.pop(level)), f"line-run-{level + 1}")
-            self.levels.setdefault(level + 1, []).append(merged)
+            runs = self._together(self.levels.pop(level)).repartition(*KEY).sortWithinPartitions(KEY)
+            self.levels.setdefault(level + 1, []).append(stage(runs, f"line-run-{level + 1}"))
             level += 1
 
-    def counts(self) -> DataFrame:
-        """h1, h2, n_docs, last_did of every line that any run holds."""
-        runs = self.all()
-        return (runs[0] if len(runs) == 1 else self._merged(runs)).select(*KEY, "n_docs", "last_did")
-
-
-def count_lines(spark: SparkSession, lines: DataFrame, batches: int = BATCHES) -> DataFrame:
+    def shared(self, least_docs: int) -> DataFrame:
+        """h1, h2, n_docs, last_did of the lines that `least_docs` documents or more hold."""
+        enough = F.col("n_docs") >= least_docs
+        if not self.increments:
+            return self.known().where(enough)
+        # Lines without an increment are decided by their run; only the others are counted together.
+        again = stage(counted(self._together(self.increments)), "line-increments")
+        known = self.known()
+        alone = known.where(enough).join(again.select(KEY), KEY, "left_anti")
+        both = counted(known.join(again.select(KEY), KEY, "left_semi").unionByName(again)).where(enough)
+        return alone.unionByName(both)
+
+    def write(self, folder: str) -> None:
+        """Every run and increment, by level (-1: increments), into one folder."""
+        parts = [(level, run) for level, runs in self.levels.items() for run in runs] + [(-1, i) for i in self.increments]
+        marked = [part.withColumn("level", F.lit(level)).withColumn("run", F.lit(k)) for k, (level, part) in enumerate(parts)]
+        if marked:
+            self._together(marked).write.partitionBy("level", "run").parquet(folder)
+
+    @classmethod
+    def load(cls, spark: SparkSession, folder: str) -> Runs:
+        """What `write` has written."""
+        own = cls(spark)
+        table = spark.read.schema(COUNTS + ", level int, run int").parquet(folder)
+        for level, run in sorted(tuple(r) for r in table.select("level", "run").distinct().collect()):
+            part = table.where((F.col("level") == level) & (F.col("run") == run)).drop("level", "run")
+            own.increments.append(part) if level < 0 else own.levels.setdefault(level, []).append(part)
+        return own
+
+
+def batch_of(did: str, batches: int):
+    return F.pmod(F.xxhash64(did), F.lit(batches)).cast("int")
+
+
+def staged_lines(docs: DataFrame, least_length: int, batches: int) -> DataFrame:
+    """The rows of `line_hashes`, written by batch, so that a batch reads its own files alone."""
+    lines = line_hashes(docs, least_length).withColumn("batch", batch_of("did", batches))
+    return stage(lines, "lines", by="batch")
+
+
+def runs_of(spark: SparkSession, lines: DataFrame, batches: int) -> Runs:
     runs = Runs(spark)
     for batch in range(batches):
-        runs.add(lines.where(F.pmod(F.xxhash64("did"), F.lit(batches)) == batch))
-    return runs.counts()
+        runs.add(lines.where(F.col("batch") == batch))
+    return runs
 
 
 def cut(docs: DataFrame, least_length: int, least_docs: int, batches: int) -> DataFrame:
     """The rows of `numbered` with the number of lines, the places of the lines that go, and the text that is left."""
     since = mark()
-    lines = stage(line_hashes(docs, least_length), "lines")
-    shared = count_lines(docs.sparkSession, lines, batches).where(F.col("n_docs") >= least_docs).select(*KEY, "last_did")
+    lines = staged_lines(docs, least_length, batches)
+    shared = runs_of(docs.sparkSession, lines, batches).shared(least_docs).select(*KEY, "last_did")
     # A sorted set: rows that repeat a document and its text would otherwise list a place twice.
     dropped = (
         lines.join(shared, KEY)
@@ -120,7 +155,8 @@ def cut(docs: DataFrame, least_length: int, least_docs: int, batches: int) -> Da
     )
     dropped = stage(dropped, "dropped-lines")
     tidy(docs.sparkSession, since)
-    rows = numbered(docs).join(dropped, ["did", "th"], "left").withColumn("all_lines", F.split("text", "\n", -1))
+    # Sorted and merged at every size: whether the places are few enough to send around depends on the lines, not on a bound.
+    rows = numbered(docs).join(dropped.hint("merge"), ["did", "th"], "left").withColumn("all_lines", F.split("text", "\n", -1))
     edges = F.concat(F.array(F.lit(-1)), F.col("gone"), F.array(F.size("all_lines")))
     # The lines between two that go, stretch by stretch, so that the work is linear in the lines.
     between = F.transform(

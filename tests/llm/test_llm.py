@@ -291,6 +291,26 @@ def test_line_dedup(spark, batches):
     assert got == brute_lines(LINES)
 
 
+def test_batches_added_to_stored_runs(spark, tmp_path):
+    """A batch that comes later meets the runs that were written, and the verdicts are those of all lines at once."""
+    frame = spark.createDataFrame(LINES, "doc_id long, text string")
+    lines = linededup.line_hashes(frame, 20)
+    parts = [lines.where(F.pmod(F.xxhash64("did"), F.lit(5)) == k) for k in range(5)]
+    once = linededup.Runs(spark)
+    once.add(lines)
+    want = sorted(tuple(r) for r in once.shared(3).collect())
+    assert want and not once.increments
+    for k, part in enumerate(parts):
+        runs = linededup.Runs.load(spark, str(tmp_path / str(k - 1))) if k else linededup.Runs(spark)
+        runs.add(part)
+        runs.write(str(tmp_path / str(k)))
+    loaded = linededup.Runs.load(spark, str(tmp_path / "4"))
+    assert sorted(tuple(r) for r in loaded.shared(3).collect()) == want
+    held = loaded.known().groupBy("h1", "h2").count().where("count > 1")
+    assert held.count() == 0 and loaded.known().count() == once.known().count()
+    assert max(len(r) for r in loaded.levels.values()) < linededup.FAN_IN and loaded.increments
+
+
 def test_line_dedup_stage(docs, empty, spark):
     frame = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in LINES], "doc_id long, text string, lang string, source string, n_chars long")
     out = linededup.without_shared_lines(frame)
