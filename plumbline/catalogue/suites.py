@@ -21,7 +21,7 @@ from plumbline.catalogue.base import (
 )
 from plumbline.functions.dates import DATE_MACROS, register_date_macros, render
 from plumbline.functions.params import condition_parameters, register_filter
-from plumbline.operators.sources_run import validate_sources
+from plumbline.operators.sources_run import SourceRun, validate_sources
 from plumbline.operators.suite import (
     alerts,
     fill_if_empty,
@@ -371,6 +371,51 @@ def suite_unknown_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts(validate(table(spark, sf_dir, "orders"), rules), "exception")
 
 
+_DIVISION_BY_3 = "l_quantity / (l_linenumber - 3) > 2"
+_LINES_PER_GROUP = """
+SELECT 5 AS seq, '{"l_linenumber":' || l_linenumber || '}' AS group_key,
+       CASE WHEN l_linenumber <> 3 THEN count(*) FILTER (WHERE %s) END AS element_count,
+       CASE WHEN l_linenumber <> 3 THEN 0 END AS unexpected_count,
+       l_linenumber <> 3 AS success, CASE WHEN l_linenumber = 3 THEN 'DIVIDE_BY_ZERO' END AS exception
+FROM (SELECT * FROM lineitem) GROUP BY l_linenumber
+""" % "l_linenumber <> 3 AND l_quantity / nullif(l_linenumber - 3, 0) > 2"
+
+
+@query(
+    f"""
+SELECT 0 AS seq, NULL AS group_key, NULL AS element_count, NULL AS unexpected_count, FALSE AS success, 'DIVIDE_BY_ZERO' AS exception
+UNION ALL SELECT 1, NULL, count(*), count(*) FILTER (WHERE l_quantity > 45), count(*) FILTER (WHERE l_quantity > 45) = 0, NULL
+FROM lineitem WHERE l_linenumber > 3 AND l_quantity / nullif(l_linenumber - 3, 0) > 2
+UNION ALL SELECT 2, NULL, NULL, NULL, FALSE, 'CAST_INVALID_INPUT'
+UNION ALL SELECT 3, NULL, count(*), 0, TRUE, NULL FROM lineitem WHERE l_orderkey % 7 = 3
+UNION ALL SELECT 4, NULL, NULL, NULL, FALSE, 'REMAINDER_BY_ZERO'
+UNION ALL {_LINES_PER_GROUP}
+UNION ALL SELECT 6, NULL, NULL, NULL, FALSE, 'DIVIDE_BY_ZERO'
+UNION ALL SELECT 7, NULL, (SELECT count(*) FROM lineitem WHERE l_orderkey % 7 = 3),
+  (SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM lineitem WHERE l_orderkey % 7 = 3 GROUP BY l_orderkey HAVING count(*) > 1)),
+  (SELECT count(*) FROM (SELECT l_orderkey FROM lineitem WHERE l_orderkey % 7 = 3 GROUP BY l_orderkey HAVING count(*) > 1)) = 0, NULL
+UNION ALL SELECT 8, NULL, NULL, NULL, FALSE, 'INVALID_ARRAY_INDEX'
+UNION ALL SELECT 9, NULL, count(*), 0, TRUE, NULL FROM lineitem
+"""
+)
+def suite_row_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conditions that some row makes fail, in one pass with those that none does, grouped and over uniqueness too."""
+    rules = [
+        rule(NOT_NULL, column="l_orderkey").where(_DIVISION_BY_3),
+        rule(BETWEEN, column="l_quantity", max_value=45).where(f"l_linenumber > 3 AND {_DIVISION_BY_3}"),
+        rule(NOT_NULL, column="l_orderkey").where("CAST(l_returnflag AS INT) > 0"),
+        rule(NOT_NULL, column="l_orderkey").where("l_orderkey % :seven = 3"),
+        rule(NOT_NULL, column="l_orderkey").where("l_orderkey % (l_linenumber - 2) = 1"),
+        rule(NOT_NULL, column="l_orderkey").by("l_linenumber").where(_DIVISION_BY_3),
+        rule(UNIQUE, column="l_orderkey").where(_DIVISION_BY_3),
+        rule(UNIQUE, column="l_orderkey").where("l_orderkey % :seven = 3"),
+        rule(NOT_NULL, column="l_orderkey").where("array(1, 2)[l_linenumber] = 1"),
+        rule("expect_column_values_to_match_regex", column="l_returnflag", regex="^[A-Z]$"),
+    ]
+    found = validate(table(spark, sf_dir, "lineitem"), rules, params={"seven": 7})
+    return found.select("seq", "group_key", "element_count", "unexpected_count", "success", "exception")
+
+
 @query(
     union_all(
         row_rule(0, "expect_column_values_to_be_lower_case", "lang", "documents", "lang <> lower(lang)"),
@@ -687,7 +732,28 @@ def result_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 )
 def multi_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Several sources in one run: a path, a configuration, a DataFrame, and one that cannot be read."""
+    """Several sources in one run: a path, a configuration, a DataFrame, and some that cannot be read."""
+    return _multi_source(spark, sf_dir).summary().select("source", "success", "evaluated_expectations", "successful_expectations")
+
+
+@query(
+    union_all(
+        "SELECT 'orders' AS source, 'validated' AS outcome, NULL AS reason",
+        "SELECT 'customer', 'validated', NULL",
+        "SELECT 'events', 'validated', NULL",
+        "SELECT 'suppliers', 'profiled', NULL",
+        "SELECT 'nowhere', 'failed', 'file does not exist'",
+        "SELECT 'unsupported', 'failed', 'unsupported source'",
+        "SELECT 'absent', 'failed', 'TABLE_OR_VIEW_NOT_FOUND'",
+    )
+)
+def multi_source_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of each source of a run; the paths are taken out of the reasons."""
+    reason = F.regexp_replace("reason", r" '?[^ ]*\.(xlsx|parquet)'?", "")
+    return _multi_source(spark, sf_dir).outcomes().withColumn("reason", reason)
+
+
+def _multi_source(spark: SparkSession, sf_dir: str) -> SourceRun:
     config = {
         "orders": [
             {"expectation_type": r.expectation_type, "kwargs": r.kwargs} for r in ORDER_RULES
@@ -704,9 +770,10 @@ def multi_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         "events": _events_with_nulls(spark, sf_dir),
         "nowhere": {"source_type": "parquet", "file_path": f"{sf_dir}/nowhere.parquet"},
         "unsupported": f"{sf_dir}/orders.xlsx",
+        "absent": {"source_type": "table", "table_name": "no_such_table_of_checks"},
+        "suppliers": f"{sf_dir}/supplier.parquet",
     }
-    run = validate_sources(spark, sources, {**rules, "events": NULL_RULES})
-    return run.summary().select("source", "success", "evaluated_expectations", "successful_expectations")
+    return validate_sources(spark, sources, {**rules, "events": NULL_RULES})
 
 
 _ANCHOR = "o_orderdate::DATE"

@@ -101,6 +101,10 @@ _STATISTICS = [
     ("hasSum", "large", 1.0, None),
     (None, "l_quantity", None, None),
     ("hasMean", "l_quantity", "many", None),
+    ("isNonNegative", "l_returnflag", None, None),
+    ("hasMean", "l_returnflag", 0.0, None),
+    ("hasCorrelation", "l_returnflag", None, None),
+    ("isComplete", "l_returnflag", None, None),
 ]
 _PREDICATES = {9: "l_discount <= 0.1", 10: "l_shipdate >= DATE'1996-01-01'", 12: "l_quantity / (l_linenumber - 1) > 0"}
 
@@ -127,7 +131,11 @@ UNION ALL SELECT 11, 'hasKurtosis', NULL, NULL FROM m
 UNION ALL SELECT 12, 'satisfies', NULL, NULL FROM m
 UNION ALL SELECT 13, 'hasSum', n * 4611686018427387904::DOUBLE, TRUE FROM m
 UNION ALL SELECT 14, NULL, NULL, NULL FROM m
-UNION ALL SELECT 15, 'hasMean', NULL, NULL FROM m"""
+UNION ALL SELECT 15, 'hasMean', NULL, NULL FROM m
+UNION ALL SELECT 16, 'isNonNegative', NULL, NULL FROM m
+UNION ALL SELECT 17, 'hasMean', NULL, NULL FROM m
+UNION ALL SELECT 18, 'hasCorrelation', NULL, NULL FROM m
+UNION ALL SELECT 19, 'isComplete', 1, TRUE FROM m"""
 
 
 def _large_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,6 +154,7 @@ def _statistic_constraints() -> list[dict]:
     f"""SELECT seq, constraint_type, round(metric, 6) AS metric,
         CASE WHEN ok IS NULL THEN 'Unknown' WHEN ok THEN 'Success' ELSE 'Failure' END AS constraint_status,
         CASE WHEN seq = 12 THEN 'DIVIDE_BY_ZERO' WHEN seq = 15 THEN 'bounds ''many'', None are not numbers'
+             WHEN seq IN (16, 17, 18) THEN 'column l_returnflag is string, not a number'
              WHEN ok IS NULL THEN 'unknown constraint type' END AS message FROM ({_STATISTICS_ORACLE})"""
 )
 def constraint_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -725,6 +734,19 @@ def anomalies_zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("event_id", "value", rounded("zscore"))
 
 
+@query(
+    """
+WITH s AS (SELECT avg(value) AS mean, stddev_samp(value) AS spread FROM events WHERE event_id % 50 <> 0)
+SELECT event_id, round(abs(value - mean) / spread, 6) AS zscore FROM events, s
+WHERE event_id % 50 <> 0 AND abs(value - mean) / spread > 2.5"""
+)
+def anomalies_with_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values that are NaN are missing: they are no anomalies, and hide none."""
+    value = F.when(F.col("event_id") % 50 == 0, float("nan")).otherwise(F.col("value"))
+    events = table(spark, sf_dir, "events").select("event_id", value.alias("value"))
+    return detect_anomalies(events, "value", threshold=2.5).select("event_id", rounded("zscore"))
+
+
 @query(
     _SCORED
     + """ SELECT count(*) = 0 AS is_valid, count(*) AS anomaly_count, min(value) AS lowest, max(value) AS highest,

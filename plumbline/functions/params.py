@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.errors import PySparkException
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline import sqltext as sql
+from plumbline.plans.errors import guarded
 
 _PARAMETER = r"(?<!:):([A-Za-z_][A-Za-z0-9_]*)"
 _QUOTED = r"'[^']*'"
@@ -35,40 +37,42 @@ def _check(df: DataFrame, condition: str, params: Mapping[str, Any]) -> str | No
     return None
 
 
-def bind_conditions(
-    df: DataFrame, conditions: Sequence[str], params: Mapping[str, Any] | None = None
-) -> tuple[DataFrame, dict[str, str], dict[str, str]]:
+@dataclass
+class Bound:
+    """A table with a boolean column per condition, and what is known of each condition."""
+
+    table: DataFrame
+    flags: dict[str, str] = field(default_factory=dict)  # the column that says where a usable condition holds
+    codes: dict[str, str] = field(default_factory=dict)  # the column with the code of a row's error, if rows can have one
+    errors: dict[str, str] = field(default_factory=dict)  # why a condition is unusable
+    risky: set[str] = field(default_factory=set)  # conditions that a row may make fail
+
+    def __iter__(self):
+        return iter((self.table, self.flags, self.errors))
+
+
+def bind_conditions(df: DataFrame, conditions: Sequence[str], params: Mapping[str, Any] | None = None) -> Bound:
     """Add one boolean column per distinct condition, with parameters bound by Spark itself.
 
-    Returns the wider DataFrame, the column name of each usable condition, and the error text of
-    each unusable one. A condition that is null for a row leaves that row out.
+    A condition that is null for a row leaves that row out. Where a row could make a condition fail, it is put in a form
+    that yields null there, and a second column holds the code of the error (`plumbline.plans.errors`).
     """
     params = params or {}
-    names: dict[str, str] = {}
-    errors: dict[str, str] = {}
-    distinct = list(dict.fromkeys(conditions))
-    if not distinct:
-        return df, names, errors
-    try:
-        # One analysis for all. Only if it fails is the bad condition looked for.
-        return _bound(df, {c: f"__live_{i}" for i, c in enumerate(distinct)}, params)
-    except PySparkException:
-        pass
-    for condition in distinct:
+    bound = Bound(df)
+    columns = []
+    for i, condition in enumerate(dict.fromkeys(conditions)):
         error = _check(df, condition, params)
         if error:
-            errors[condition] = error
-        else:
-            names[condition] = f"__live_{len(names)}"
-    if not names:
-        return df, names, errors
-    bound, names, _ = _bound(df, names, params)
-    return bound, names, errors
-
-
-def _bound(df: DataFrame, names: dict[str, str], params: Mapping[str, Any]) -> tuple[DataFrame, dict[str, str], dict[str, str]]:
-    flags = ", ".join(f"CAST(({c}) AS BOOLEAN) AS {n}" for c, n in names.items())
-    bound = sql.over(df, f"SELECT *, {flags} FROM {sql.SOURCE}", params)
-    bound.schema  # noqa: B018  analyses it
-    return bound, dict(names), {}
-
+            bound.errors[condition] = error
+            continue
+        safe = guarded(df, condition, params)
+        if safe is None:
+            bound.risky.add(condition)
+        bound.flags[condition] = f"__live_{i}"
+        columns.append(f"CAST(({safe.value if safe else condition}) AS BOOLEAN) AS __live_{i}")
+        if safe and safe.code:
+            bound.codes[condition] = f"__why_{i}"
+            columns.append(f"({safe.code}) AS __why_{i}")
+    if columns:
+        bound.table = sql.over(df, f"SELECT *, {', '.join(columns)} FROM {sql.SOURCE}", params)
+    return bound

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline import sqltext as sql
+from plumbline.plans.errors import guarded, reason
 from plumbline.plans.frequency import countable, key_tally
 from plumbline.plans.isolate import run_isolated
 from plumbline.sources.readers import columnar
@@ -69,6 +70,14 @@ _BY_FREQUENCY = {
     ),
 }
 
+# These reckon with numbers: of another type their columns have no metric.
+_NUMERIC = {
+    "isNonNegative", "isPositive", "hasMax", "hasMin", "hasStandardDeviation", "hasMean", "hasSum", "hasCorrelation",
+}
+
+# Constraints that one aggregate answers at most: two fields each, of the 100 for which Spark compiles one.
+CONSTRAINTS_PER_PASS = 48
+
 # These must hold for every row, and hold for an empty table; the others have a range.
 ALL_ROWS = {"isComplete", "isNonNegative", "isPositive", "satisfies"}
 # Ratios with no upper bound given end at 1.
@@ -96,6 +105,14 @@ def _sum(column: str, data_type: T.DataType) -> str:
     return f"try_sum({column})"
 
 
+def _no_number(c: Constraint, types: Mapping[str, T.DataType]) -> str | None:
+    """Why a constraint that reckons with numbers has no metric, or None."""
+    for column in (c.column, c.other_column) if c.type == "hasCorrelation" else (c.column,):
+        if column in types and not isinstance(types[column], T.NumericType):
+            return f"column {column} is {types[column].simpleString()}, not a number"
+    return None
+
+
 def _number(value: Any) -> float | None:
     return None if value is None else float(value)
 
@@ -110,10 +127,10 @@ def _range(c: Constraint) -> tuple[float | None, float | None]:
     return c.min, 1.0 if c.max is None and c.type in RATIOS else c.max
 
 
-def _fill(template: str, c: Constraint, types: Mapping[str, T.DataType]) -> str:
+def _fill(template: str, c: Constraint, types: Mapping[str, T.DataType], predicate: str | None = None) -> str:
     column = sql.name(c.column or "")
     build = template.format(
-        c=column, o=sql.name(c.other_column or ""), p=f"({c.constraint})", sum=_sum(column, types.get(c.column))
+        c=column, o=sql.name(c.other_column or ""), p=f"({predicate or c.constraint})", sum=_sum(column, types.get(c.column))
     )
     return f"CAST({build} AS DOUBLE)"
 
@@ -131,6 +148,7 @@ def check_constraints(
     df = columnar(df)
     types = {f.name: f.dataType for f in df.schema.fields}
     plain: dict[int, str] = {}
+    codes: dict[int, str] = {}
     by_column: dict[str, dict[int, str]] = {}
     messages: dict[int, str] = {}
     for seq, c in enumerate(asked):
@@ -145,6 +163,8 @@ def check_constraints(
             messages[seq] = "no predicate given"
         elif c.type != "satisfies" and c.column not in types:
             messages[seq] = f"no column {c.column}"
+        elif c.type in _NUMERIC and (wrong := _no_number(c, types)):
+            messages[seq] = wrong
         elif c.type == "hasNumberOfDistinctValues" and approximate_distinct:
             plain[seq] = _fill("approx_count_distinct({c})", c, types)
         elif c.type in _PLAIN:
@@ -155,31 +175,43 @@ def check_constraints(
             messages[seq] = f"values of type {types[c.column].simpleString()} cannot be counted"
     for seq in _unplannable(df, plain, messages):
         del plain[seq]
+    # A predicate is text of the user's and may fail on some row; that must not end the others.
+    risky = []
+    for seq in plain:
+        if asked[seq].type == "satisfies":
+            safe = guarded(df, asked[seq].constraint)
+            if safe is None:
+                risky.append(seq)
+            else:
+                plain[seq] = _fill(_PLAIN["satisfies"], asked[seq], types, safe.value)
+                if safe.code:
+                    codes[seq] = f"max({safe.code})"
 
     def counted(seqs: Sequence[int]) -> DataFrame:
-        wide = df.selectExpr(*[f"{plain[seq]} AS m{seq}" for seq in seqs])
-        return wide.selectExpr(sql.melted([{"seq": str(seq), "metric": f"m{seq}"} for seq in seqs]))
+        whys = [f"{codes[seq]} AS w{seq}" for seq in seqs if seq in codes]
+        wide = df.selectExpr(*[f"{plain[seq]} AS m{seq}" for seq in seqs], *whys)
+        records = [
+            {"seq": str(seq), "metric": f"m{seq}", "why": f"CAST({f'w{seq}' if seq in codes else 'NULL'} AS INT)"} for seq in seqs
+        ]
+        return wide.selectExpr(sql.melted(records))
 
-    metrics = []
-    # A predicate is text of the user's and may fail on some row; that must not end the others.
-    risky = [seq for seq in plain if asked[seq].type == "satisfies"]
-    tried, failures = run_isolated(risky, counted)
-    metrics += tried
+    metrics, failures = run_isolated(risky, counted)
     messages |= failures
-    safe = [seq for seq in plain if seq not in risky]
-    if safe:
-        metrics.append(counted(safe))
+    # Sorted, so that an aggregate reads few columns.
+    order = sorted((seq for seq in plain if seq not in risky), key=lambda seq: (asked[seq].column or "", seq))
+    slices = [order[i : i + CONSTRAINTS_PER_PASS] for i in range(0, len(order), CONSTRAINTS_PER_PASS)]
+    metrics = metrics + [counted(part) for part in slices]
     if by_column:
         branches = [
-            f"SELECT {sql.melted([{'seq': str(s), 'metric': f'm{s}'} for s in wanted])} FROM ("
+            f"SELECT {sql.melted([{'seq': str(s), 'metric': f'm{s}', 'why': 'CAST(NULL AS INT)'} for s in wanted])} FROM ("
             f"SELECT {', '.join(f'{build} AS m{s}' for s, build in wanted.items())}"
             f" FROM {key_tally(column, types[column])})"
             for column, wanted in by_column.items()
         ]
         metrics.append(sql.over(df, " UNION ALL ".join(branches)))
     if messages:
-        failed = [{"seq": seq, "metric": None} for seq in messages]
-        metrics.append(sql.local_table(df.sparkSession, failed, "seq int, metric double"))
+        failed = [{"seq": seq, "metric": None, "why": None} for seq in messages]
+        metrics.append(sql.local_table(df.sparkSession, failed, "seq int, metric double, why int"))
     rows = []
     for seq, c in enumerate(asked):
         low, high = (None, None) if seq in messages else _range(c)
@@ -197,7 +229,12 @@ def check_constraints(
         )
     # One row per constraint on both sides.
     declared = F.broadcast(sql.local_table(df.sparkSession, rows, _DECLARED))
-    return reduce(DataFrame.unionByName, metrics).join(declared, "seq").selectExpr(
+    joined = reduce(DataFrame.unionByName, metrics).join(declared, "seq").selectExpr(
+        "* EXCEPT (metric, message)",
+        "CASE WHEN coalesce(why, 0) = 0 THEN metric END AS metric",
+        f"coalesce(message, {reason('why')}) AS message",
+    )
+    return joined.selectExpr(
         "seq",
         "constraint_type",
         "column_name",

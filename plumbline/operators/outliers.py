@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_THRESHOLD = 3.0
 
@@ -13,11 +14,13 @@ def detect_anomalies(
 ) -> DataFrame:
     """The rows more than `threshold` sample standard deviations from the mean, with their score.
 
-    The mean and deviation are one row, read by the scan as a scalar; the rows are not shuffled.
+    NaN is a missing value here: it is neither scored nor part of the mean and deviation, and so is no anomaly. The mean and deviation are one row, read by the scan as a scalar; the rows are not shuffled.
     """
     if method != "zscore":
         raise ValueError(f"unknown method {method!r}")
     value = F.col(f"`{column}`")
+    if isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType)):
+        value = F.nanvl(value, F.lit(None))
     stats = df.agg(F.struct(F.avg(value).alias("mean"), F.nullif(F.stddev(value), F.lit(0.0)).alias("spread")).alias("stats"))
     known = stats.select("stats").scalar()
     score = F.abs(value - known["mean"]) / known["spread"]

@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.scalars import percent
 from plumbline.operators.unexpected import unexpected_lists
-from plumbline.plans.fuse import evaluate
-from plumbline.plans.registry import may_fail
+from plumbline.plans.fuse import evaluated
 from plumbline.plans.rules import Rule
 from plumbline.sources.readers import staged
 
@@ -26,18 +25,17 @@ def validate(
     nan_as_missing: bool = False,
 ) -> DataFrame:
     """Apply a suite to a table. `samples` adds the list of unexpected values, at the cost of a second pass."""
-    results = evaluate(df, rules, params=params, nan_as_missing=nan_as_missing)
+    results, bad = evaluated(df, rules, params=params, nan_as_missing=nan_as_missing)
     if samples:
-        # Rules with an error are settled by now, and have no values.
-        risky = any(r.row_condition or may_fail(r.expectation_type) for r in rules)
-        bad = {r["seq"] for r in results.where("exception IS NOT NULL").select("seq").collect()} if risky else ()
         lists = unexpected_lists(df, rules, params=params, nan_as_missing=nan_as_missing, skip=bad)
         if lists is None:
             results = results.withColumn("unexpected_list", F.lit(None).cast("string"))
         else:
             lists = lists.withColumnRenamed("seq", "__seq").withColumnRenamed("group_key", "__key")
             same = (F.col("seq") == F.col("__seq")) & F.col("group_key").eqNullSafe(F.col("__key"))
-            results = results.join(lists, same, "left").drop("__seq", "__key")
+            # Rules with an error have no values.
+            listed = F.when(F.col("exception").isNull(), F.col("unexpected_list"))
+            results = results.join(lists, same, "left").drop("__seq", "__key").withColumn("unexpected_list", listed)
     return results.select(F.lit(source).cast("string").alias("source"), "*")
 
 

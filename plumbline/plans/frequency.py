@@ -45,11 +45,21 @@ def tally(column: str, group_by: Sequence[str] = (), where: str | None = None) -
 
 
 def key_tally(
-    column: str, data_type: T.DataType, group_by: Sequence[str] = (), where: str | None = None
+    column: str, data_type: T.DataType, group_by: Sequence[str] = (), where: str | None = None, why: str | None = None
 ) -> str:
-    """The same where only the counts matter: __v identifies the value but need not be it."""
+    """The same where only the counts matter: __v identifies the value but need not be it.
+
+    `why` names a column with codes of errors: rows outside of `where` then stay, uncounted, and __w is the largest code.
+    """
     value = sql.name(column)
-    return _counted(text_key(value) if is_binary_text(data_type) else value, group_by, where)
+    value = text_key(value) if is_binary_text(data_type) else value
+    if not why:
+        return _counted(value, group_by, where)
+    groups = "".join(f"{sql.name(g)}, " for g in group_by)
+    return (
+        f"(SELECT {groups}{value} AS __v, count_if({where or 'true'}) AS __n, max({why}) AS __w"
+        f" FROM {sql.SOURCE} GROUP BY {groups}{value})"
+    )
 
 
 def _counted(value: str, group_by: Sequence[str], where: str | None) -> str:

@@ -3,14 +3,15 @@
 Row, null and row-count rules of one grouping become one aggregate; `row_condition` is a flag
 inside that aggregate, not a filter of its own. Each uniqueness rule counts the values of its own
 column in the same job. Schema rules read no data. A rule that cannot be planned yields a failed row that
-names the reason, and the other rules go on.
+names the reason, and the other rules go on. An error that some row provokes is counted in the same aggregate
+(`plumbline.plans.errors`), so it costs no run of its own.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 from typing import Any
 
@@ -22,6 +23,7 @@ from pyspark.sql import types as T
 from plumbline.functions.params import bind_conditions
 from plumbline.plans import registry
 from plumbline import sqltext as sql
+from plumbline.plans.errors import cannot_fail, pattern_error, reason
 from plumbline.plans.frequency import countable, key_tally
 from plumbline.plans.isolate import run_isolated
 from plumbline.plans.rules import Rule
@@ -64,6 +66,8 @@ class Planned:
     live: str | None = None
     predicate: Column | None = None
     data_type: T.DataType | None = None
+    why: str | None = None  # the column with the code of a row's error
+    risky: bool = False  # a row may make it fail, and no form is known that does not
 
     @property
     def passes(self) -> str:
@@ -112,7 +116,15 @@ def group_key_text(group_by: Sequence[str]) -> str:
     return f"to_json(struct({fields}), map('ignoreNullFields', 'false'))"
 
 
-def _counts(seq: int, key: str, elements: str, missing: str = "NULL", unexpected: str = "NULL", considered: str = "NULL"):
+def _counts(
+    seq: int,
+    key: str,
+    elements: str,
+    missing: str = "NULL",
+    unexpected: str = "NULL",
+    considered: str = "NULL",
+    why: str | None = None,
+):
     return {
         "seq": str(seq),
         "group_key": key,
@@ -120,6 +132,7 @@ def _counts(seq: int, key: str, elements: str, missing: str = "NULL", unexpected
         "missing_count": f"CAST({missing} AS BIGINT)",
         "unexpected_count": f"CAST({unexpected} AS BIGINT)",
         "considered": f"CAST({considered} AS BIGINT)",
+        "why": f"CAST({why or 'NULL'} AS INT)",
     }
 
 
@@ -129,7 +142,7 @@ def _narrowed(bound: DataFrame, planned: Sequence[Planned], group_by: tuple[str,
     A grouped pass keeps all rows, because a group without a live row still gets its verdict.
     """
     lives = {item.live for item in planned}
-    if group_by or len(lives) > 1 or None in lives:
+    if group_by or len(lives) > 1 or None in lives or any(item.why for item in planned):
         return bound
     return bound.where(lives.pop())
 
@@ -144,13 +157,15 @@ def _row_pass(bound: DataFrame, planned: Sequence[Planned], group_by: tuple[str,
     aggregates, records = _Aggregates(), []
     key = group_key_text(group_by)
     for item in planned:
-        elements, *others = map(aggregates.ask, _asks(item))
+        asks = _asks(item)
+        elements, *others = map(aggregates.ask, asks[:-1] if item.why else asks)
+        why = aggregates.ask(asks[-1]) if item.why else None
         if item.kind == "count":
-            records.append(_counts(item.seq, key, elements))
+            records.append(_counts(item.seq, key, elements, why=why))
         elif item.kind == "null":
-            records.append(_counts(item.seq, key, elements, others[0], others[0], elements))
+            records.append(_counts(item.seq, key, elements, others[0], others[0], elements, why))
         else:
-            records.append(_counts(item.seq, key, elements, *others, f"{elements} - {others[0]}"))
+            records.append(_counts(item.seq, key, elements, *others, f"{elements} - {others[0]}", why))
     rows = with_predicates(_narrowed(bound, planned, group_by), planned)
     groups = [sql.name(g) for g in group_by]
     columns = aggregates.columns()
@@ -169,19 +184,24 @@ def _unique_rules(bound: DataFrame, planned: Sequence[Planned]) -> DataFrame:
     """
     shared: dict[tuple, list[Planned]] = defaultdict(list)
     for item in planned:
-        shared[(item.rule.column, item.live, item.rule.group_by)].append(item)
+        shared[(item.rule.column, item.live, item.rule.group_by, item.why)].append(item)
     parts = []
-    for (column, live, group_by), items in shared.items():
+    for (column, live, group_by, why), items in shared.items():
         groups = [sql.name(g) for g in group_by]
         sums = (
             "coalesce(sum(__n), 0) AS __rows",
             "coalesce(sum(__n) FILTER (WHERE __v IS NULL), 0) AS __missing",
             "coalesce(sum(__n) FILTER (WHERE __v IS NOT NULL AND __n > 1), 0) AS __repeated",
         )
-        counted = key_tally(column, items[0].data_type, group_by, live)
+        counted = key_tally(column, items[0].data_type, group_by, live, why)
         grouped = f" GROUP BY {', '.join(groups)}" if groups else ""
+        if why:
+            # All rows are counted, the live ones by number; a group without a live row has no verdict, but for an error.
+            sums += ("max(__w) AS __why",)
+            grouped += " HAVING sum(__n) > 0 OR max(__w) > 0" if groups else ""
         key = group_key_text(group_by)
-        records = [_counts(i.seq, key, "__rows", "__missing", "__repeated", "__rows - __missing") for i in items]
+        measures = ("__rows", "__missing", "__repeated", "__rows - __missing", "__why" if why else None)
+        records = [_counts(i.seq, key, *measures) for i in items]
         parts.append(f"SELECT {sql.melted(records)} FROM (SELECT {', '.join([*groups, *sums])} FROM {counted}{grouped})")
     return sql.over(bound, " UNION ALL ".join(parts))
 
@@ -194,7 +214,9 @@ def _reason(error: Exception) -> str:
     return str(error) or type(error).__name__
 
 
-def _plan_rule(fields: Mapping[str, T.DataType], seq: int, rule: Rule, live: str | None) -> Planned | Finished:
+def _plan_rule(
+    spark: SparkSession, fields: Mapping[str, T.DataType], seq: int, rule: Rule, live: str | None, why: str | None, risky: bool
+) -> Planned | Finished:
     """What a rule needs, or its verdict when no data is needed for it."""
     name = rule.expectation_type
 
@@ -209,7 +231,7 @@ def _plan_rule(fields: Mapping[str, T.DataType], seq: int, rule: Rule, live: str
             registry.bounds(rule.kwargs)
         except ValueError as error:
             return failed(_reason(error))
-        return Planned(seq, rule, "count", live)
+        return Planned(seq, rule, "count", live, why=why, risky=risky)
     check = registry.row_check(name)
     if check is None and name not in registry.PLANNED_CHECKS:
         return failed(f"unknown expectation {name}")
@@ -229,15 +251,27 @@ def _plan_rule(fields: Mapping[str, T.DataType], seq: int, rule: Rule, live: str
         if not 0 <= float(rule.mostly) <= 1:
             return failed(f"mostly must lie in [0, 1], not {rule.mostly}")
         if name == registry.NOT_NULL:
-            return Planned(seq, rule, "null", live)
+            return Planned(seq, rule, "null", live, why=why, risky=risky)
         if name == registry.UNIQUE:
             if not countable(data_type):
                 return failed(f"values of type {data_type.simpleString()} cannot be counted")
-            return Planned(seq, rule, "unique", live, data_type=data_type)
+            return Planned(seq, rule, "unique", live, data_type=data_type, why=why, risky=risky)
         predicate = check(F.col(sql.name(rule.column)), data_type, rule.kwargs).cast("boolean")
+        wrong = pattern_error(spark, rule.kwargs["regex"]) if name == registry.MATCHES else None
+        if wrong:
+            return failed(wrong)
     except (PySparkException, ValueError, TypeError, KeyError) as error:
         return failed(_reason(error))
-    return Planned(seq, rule, "row", live, predicate, data_type)
+    return Planned(seq, rule, "row", live, predicate, data_type, why, risky)
+
+
+def _predicates_that_may_fail(bound: DataFrame, tests: Sequence[Planned]) -> set[int]:
+    """The rules whose own check Spark's analysis does not show to be safe."""
+    if not tests:
+        return set()
+    frame = bound.limit(0).select(*[item.predicate.alias(item.passes) for item in tests])
+    found = frame._jdf.queryExecution().analyzed().expressions()
+    return {item.seq for i, item in enumerate(tests) if not cannot_fail(found.apply(i), bound.sparkSession)}
 
 
 def _analysed(bound: DataFrame, planned: list[Planned]) -> tuple[list[Planned], list[Finished]]:
@@ -245,7 +279,9 @@ def _analysed(bound: DataFrame, planned: list[Planned]) -> tuple[list[Planned],
     tests = [item for item in planned if item.predicate is not None]
     try:
         bound.select(*[item.predicate.alias(item.passes) for item in tests])
-        return planned, []
+        foreign = [item for item in tests if registry.may_fail(item.rule.expectation_type)]
+        unsafe = _predicates_that_may_fail(bound, foreign)
+        return [replace(item, risky=True) if item.seq in unsafe else item for item in planned], []
     except PySparkException:
         pass
     good, bad = [], []
@@ -253,7 +289,8 @@ def _analysed(bound: DataFrame, planned: list[Planned]) -> tuple[list[Planned],
         try:
             if item.predicate is not None:
                 bound.select(item.predicate)
-            good.append(item)
+            unsafe = registry.may_fail(item.rule.expectation_type) and _predicates_that_may_fail(bound, [item])
+            good.append(replace(item, risky=True) if unsafe else item)
         except PySparkException as error:
             bad.append(Finished(item.seq, item.rule, exception=_reason(error)))
     return good, bad
@@ -266,19 +303,21 @@ def plan_rules(
     if not rules:
         raise ValueError("no rules given")
     table = nan_as_null(df) if nan_as_missing else df
-    bound, flags, errors = bind_conditions(table, [r.row_condition for r in rules if r.row_condition], params)
+    bound = bind_conditions(table, [r.row_condition for r in rules if r.row_condition], params)
     fields = {f.name: f.dataType for f in table.schema.fields}
     planned, finished = [], []
     for seq, rule in enumerate(rules):
         if rule.error:
             plan: Planned | Finished = Finished(seq, rule, exception=rule.error)
-        elif rule.row_condition in errors:
-            plan = Finished(seq, rule, exception=errors[rule.row_condition])
+        elif rule.row_condition in bound.errors:
+            plan = Finished(seq, rule, exception=bound.errors[rule.row_condition])
         else:
-            plan = _plan_rule(fields, seq, rule, flags.get(rule.row_condition))
+            condition = rule.row_condition
+            known = bound.flags.get(condition), bound.codes.get(condition), condition in bound.risky
+            plan = _plan_rule(df.sparkSession, fields, seq, rule, *known)
         (planned if isinstance(plan, Planned) else finished).append(plan)
-    planned, rejected = _analysed(bound, planned)
-    return bound, planned, finished + rejected
+    planned, rejected = _analysed(bound.table, planned)
+    return bound.table, planned, finished + rejected
 
 
 def _asks(item: Planned) -> list[str]:
@@ -288,6 +327,8 @@ def _asks(item: Planned) -> list[str]:
         asks.append(_count_where(item.live, f"{sql.name(item.rule.column)} IS NULL"))
     if item.kind == "row":
         asks.append(f"count_if({item.unexpected})")
+    if item.why:
+        asks.append(f"max({item.why})")
     return asks
 
 
@@ -353,6 +394,7 @@ def _declared(spark: SparkSession, items: Sequence[Planned | Finished]) -> DataF
 # with its tolerance, in decimals so that 0.07 of 100 is exactly 7.
 _SUCCESS = f"""
 CASE
+  WHEN why > 0 THEN false
   WHEN fixed_success IS NOT NULL THEN fixed_success
   WHEN expectation_type = '{registry.ROW_COUNT}' THEN
     (low IS NULL OR element_count >= CAST(low AS DECIMAL(38, 10)))
@@ -362,7 +404,7 @@ CASE
 END
 """
 
-_OBSERVED = f"CASE WHEN expectation_type = '{registry.ROW_COUNT}' THEN CAST(element_count AS STRING) ELSE fixed_observed END"
+_OBSERVED = f"CASE WHEN why > 0 THEN NULL WHEN expectation_type = '{registry.ROW_COUNT}' THEN CAST(element_count AS STRING) ELSE fixed_observed END"
 
 
 def _verdicts(joined: DataFrame) -> DataFrame:
@@ -378,13 +420,11 @@ def _verdicts(joined: DataFrame) -> DataFrame:
         "rule_id",
         "rule_name",
         "severity",
-        "element_count",
-        "missing_count",
-        "unexpected_count",
-        "CASE WHEN considered > 0 THEN 100.0D * unexpected_count / considered END AS unexpected_percent",
+        *[f"CASE WHEN why > 0 THEN NULL ELSE {c} END AS {c}" for c in ("element_count", "missing_count", "unexpected_count")],
+        "CASE WHEN considered > 0 AND coalesce(why, 0) = 0 THEN 100.0D * unexpected_count / considered END AS unexpected_percent",
         f"{_OBSERVED} AS observed_value",
         f"{_SUCCESS} AS success",
-        "exception",
+        f"coalesce(exception, {reason('why')}) AS exception",
     )
 
 
@@ -410,18 +450,30 @@ def evaluate(
 ) -> DataFrame:
     """Apply rules to a table; one row per rule, or per rule and group for a grouped rule.
 
-    `params` binds the `:name` parameters of row conditions. Rules that some row may make fail (with a
-    condition, a pattern, or a check that a user registered) are run at once, so that an error stays
-    with its own rule; nothing else runs until the result is used.
+    `params` binds the `:name` parameters of row conditions. A rule that some row makes fail is failed with the name of
+    the error; a grouped rule is failed in the groups of such rows. Nothing runs until the result is used, but for rules
+    with an operation that has no form without errors: those are run at once, so that an error stays with its own rule.
     """
+    return evaluated(df, rules, params=params, nan_as_missing=nan_as_missing)[0]
+
+
+def evaluated(
+    df: DataFrame,
+    rules: Sequence[Rule],
+    *,
+    params: Mapping[str, Any] | None = None,
+    nan_as_missing: bool = False,
+) -> tuple[DataFrame, set[int]]:
+    """The result of `evaluate`, and the places of rules that have failed already."""
     if len(rules) > RULES_PER_PLAN:
-        starts = range(0, len(rules), RULES_PER_PLAN)
-        slices = [evaluate(df, rules[i : i + RULES_PER_PLAN], params=params, nan_as_missing=nan_as_missing) for i in starts]
-        shifted = [s.withColumn("seq", (F.col("seq") + i).cast("int")) for i, s in zip(starts, slices, strict=True)]
-        return reduce(DataFrame.unionByName, shifted)
+        shifted, gone = [], set()
+        for i in range(0, len(rules), RULES_PER_PLAN):
+            part, bad = evaluated(df, rules[i : i + RULES_PER_PLAN], params=params, nan_as_missing=nan_as_missing)
+            shifted.append(part.withColumn("seq", (F.col("seq") + i).cast("int")))
+            gone |= {seq + i for seq in bad}
+        return reduce(DataFrame.unionByName, shifted), gone
     bound, planned, finished = plan_rules(df, rules, params, nan_as_missing)
-    risky = [item for item in planned if item.live is not None or registry.may_fail(item.rule.expectation_type)]
-    by_seq = {item.seq: item for item in risky}
+    by_seq = {item.seq: item for item in planned if item.risky}
     tried, failures = run_isolated(
         list(by_seq), lambda seqs: reduce(DataFrame.unionByName, _counted(bound, [by_seq[s] for s in seqs]))
     )
@@ -437,7 +489,7 @@ def evaluate(
     if finished:
         nothing = ("element_count", "missing_count", "unexpected_count", "considered")
         without = _declared(spark, finished).selectExpr(
-            "*", "CAST(NULL AS STRING) AS group_key", *[f"CAST(NULL AS BIGINT) AS {c}" for c in nothing]
+            "*", "CAST(NULL AS STRING) AS group_key", *[f"CAST(NULL AS BIGINT) AS {c}" for c in nothing], "CAST(NULL AS INT) AS why"
         )
         parts.append(_verdicts(without))
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts), set(failures)
