@@ -416,6 +416,46 @@ def suite_row_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("seq", "group_key", "element_count", "unexpected_count", "success", "exception")
 
 
+_SMALL_PARTS = "SELECT p_partkey FROM part WHERE p_size <= 20"
+_NO_GROUP = "CAST(NULL AS VARCHAR) AS group_key, CAST(NULL AS VARCHAR) AS exception,"
+_BY_FLAG = """'{"l_returnflag":"' || l_returnflag || '"}' AS group_key, CAST(NULL AS VARCHAR) AS exception,"""
+
+
+@query(
+    union_all(
+        row_rule(0, IN_SET, "l_partkey", "lineitem", "l_partkey NOT IN (SELECT p_partkey FROM part)", extra=_NO_GROUP),
+        row_rule(1, IN_SET, "l_partkey", "lineitem", f"l_partkey NOT IN ({_SMALL_PARTS})", "0.3", extra=_NO_GROUP),
+        row_rule(
+            2, IN_SET, "l_partkey", "lineitem", f"l_partkey NOT IN ({_SMALL_PARTS})", extra=_BY_FLAG, group_by="l_returnflag",
+            where="l_quantity > 45",
+        ),
+        row_rule(3, IN_SET, "l_suppkey", "lineitem", "l_suppkey NOT IN (SELECT s_suppkey FROM supplier)", extra=_NO_GROUP),
+        fixed_rule(4, IN_SET, "l_suppkey", False, "CAST(NULL AS VARCHAR) AS group_key, 'no reference table nowhere' AS exception,"),
+        row_rule(5, IN_SET, "l_returnflag", "lineitem", "l_returnflag NOT IN ('A', 'R')", extra=_NO_GROUP),
+    )
+)
+def suite_set_from_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Value sets that are tables: all keys of another table, a part of them, per group and under a condition."""
+    parts = table(spark, sf_dir, "part")
+    references = {
+        "parts": parts,
+        "small parts": parts.where("p_size <= 20"),
+        "suppliers": table(spark, sf_dir, "supplier"),
+        "flags": spark.createDataFrame([("A",), ("R",), (None,)], "l_returnflag string"),
+    }
+    by_part = {"column": "l_partkey", "value_column": "p_partkey"}
+    rules = [
+        rule(IN_SET, **by_part, value_table="parts"),
+        rule(IN_SET, **by_part, value_table="small parts", mostly=0.3),
+        rule(IN_SET, **by_part, value_table="small parts").by("l_returnflag").where("l_quantity > 45"),
+        rule(IN_SET, column="l_suppkey", value_column="s_suppkey", value_table="suppliers"),
+        rule(IN_SET, column="l_suppkey", value_table="nowhere"),
+        rule(IN_SET, column="l_returnflag", value_table="flags"),
+    ]
+    found = validate(table(spark, sf_dir, "lineitem"), rules, references=references)
+    return verdicts(found, "group_key", "exception")
+
+
 @query(
     union_all(
         row_rule(0, "expect_column_values_to_be_lower_case", "lang", "documents", "lang <> lower(lang)"),

@@ -80,6 +80,7 @@ def validate_sources(
     auto_suggest: bool = False,
     apply_suggested: bool = False,
     params: Mapping[str, Any] | None = None,
+    references: Mapping[str, DataFrame] | None = None,
 ) -> SourceRun:
     """Apply each source's rules. A source without rules is profiled, and rules are proposed if asked.
 
@@ -104,7 +105,7 @@ def validate_sources(
             if apply_suggested:
                 own = rules_from_frame(suggested[name])
         if own:
-            results[name] = validate(table, own, source=name, params=params)
+            results[name] = validate(table, own, source=name, params=params, references=references)
     together = reduce(DataFrame.unionByName, results.values()) if results else None
     return SourceRun(spark, together, profiles, suggested, failures, list(results))
 

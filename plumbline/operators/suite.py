@@ -23,11 +23,17 @@ def validate(
     params: Mapping[str, Any] | None = None,
     samples: bool = False,
     nan_as_missing: bool = False,
+    references: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """Apply a suite to a table. `samples` adds the list of unexpected values, at the cost of a second pass."""
-    results, bad = evaluated(df, rules, params=params, nan_as_missing=nan_as_missing)
+    """Apply a suite to a table. `samples` adds the list of unexpected values, at the cost of a second pass.
+
+    `references` are tables by the names under which rules have them as value sets (`value_table`, `value_column`).
+    """
+    results, bad = evaluated(df, rules, params=params, nan_as_missing=nan_as_missing, references=references)
     if samples:
-        lists = unexpected_lists(df, rules, params=params, nan_as_missing=nan_as_missing, skip=bad)
+        lists = unexpected_lists(
+            df, rules, params=params, nan_as_missing=nan_as_missing, skip=bad, references=references
+        )
         if lists is None:
             results = results.withColumn("unexpected_list", F.lit(None).cast("string"))
         else:

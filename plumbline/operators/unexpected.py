@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from plumbline import sqltext as sql
 from plumbline.plans.frequency import tally
 from plumbline.plans.fuse import Planned, group_key_text, plan_rules, with_predicates
+from plumbline.plans.members import strangers
 from plumbline.plans.rules import Rule
 
 SAMPLE_SIZE = 20
@@ -38,6 +39,7 @@ def unexpected_values(
     nan_as_missing: bool = False,
     limit: int = SAMPLE_SIZE,
     skip: Collection[int] = (),
+    references: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame | None:
     """Rows (seq, group_key, rank, value): the first `limit` unexpected values of each rule, repeats included.
 
@@ -46,7 +48,8 @@ def unexpected_values(
     rows break. A uniqueness rule shows the values that occur more than once. The rules whose places are
     in `skip` are left out. None if no rule has values to show.
     """
-    bound, planned, _ = plan_rules(df, rules, params, nan_as_missing)
+    references = dict(references or {})
+    bound, planned, _ = plan_rules(df, rules, params, nan_as_missing, references)
     planned = [item for item in planned if item.seq not in skip]
     row_rules = [item for item in planned if item.kind == "row"]
     unique_rules = [item for item in planned if item.kind == "unique"]
@@ -63,6 +66,10 @@ def unexpected_values(
             for item in unique_rules
         ]
         parts.append(sql.over(bound, " UNION ALL ".join(repeated)))
+    for item in planned:
+        if item.kind == "member":
+            entry = f"inline(array_repeat({_entry(item, '__v')}, CAST(least(__n, {limit}) AS INT)))"
+            parts.append(strangers(bound, item, references).selectExpr(entry))
     if not parts:
         return None
     found = reduce(DataFrame.unionByName, parts).selectExpr("*", f"pmod(spark_partition_id(), {BUCKETS}) AS bucket")
@@ -81,9 +88,12 @@ def unexpected_lists(
     nan_as_missing: bool = False,
     limit: int = SAMPLE_SIZE,
     skip: Collection[int] = (),
+    references: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame | None:
     """Rows (seq, group_key, unexpected_list): the first `limit` unexpected values as JSON text."""
-    values = unexpected_values(df, rules, params=params, nan_as_missing=nan_as_missing, limit=limit, skip=skip)
+    values = unexpected_values(
+        df, rules, params=params, nan_as_missing=nan_as_missing, limit=limit, skip=skip, references=references
+    )
     if values is None:
         return None
     # At most `limit` values are gathered per rule and group.

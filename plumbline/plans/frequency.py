@@ -39,6 +39,15 @@ def text_key(column: str) -> str:
     return f"if(length({column}) <= {KEY_LENGTH}, {column}, concat('#', sha2({column}, 256)))"
 
 
+def member_key(value: str, data_type: T.DataType) -> str:
+    """A text that is equal for equal values of a type, whatever the type, so that values of several columns share a table."""
+    if is_binary_text(data_type):
+        return text_key(value)
+    if isinstance(data_type, (T.FloatType, T.DoubleType)):
+        return f"CAST({value} + 0.0D AS STRING)"  # 0.0 and -0.0 are equal
+    return f"hex({value})" if isinstance(data_type, T.BinaryType) else f"CAST({value} AS STRING)"
+
+
 def tally(column: str, group_by: Sequence[str] = (), where: str | None = None) -> str:
     """A subquery of rows (group columns, __v, __n) over the source; the null value is a row too."""
     return _counted(sql.name(column), group_by, where)

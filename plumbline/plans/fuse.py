@@ -26,6 +26,7 @@ from plumbline import sqltext as sql
 from plumbline.plans.errors import cannot_fail, pattern_error, reason
 from plumbline.plans.frequency import countable, key_tally
 from plumbline.plans.isolate import run_isolated
+from plumbline.plans.members import TABLE, member_counts, unusable
 from plumbline.plans.rules import Rule
 
 # One aggregate carries at most this many counts, for Spark compiles no aggregate with more than 100
@@ -62,7 +63,7 @@ class Planned:
 
     seq: int
     rule: Rule
-    kind: str  # count | null | row | unique
+    kind: str  # count | null | row | unique | member
     live: str | None = None
     predicate: Column | None = None
     data_type: T.DataType | None = None
@@ -215,7 +216,14 @@ def _reason(error: Exception) -> str:
 
 
 def _plan_rule(
-    spark: SparkSession, fields: Mapping[str, T.DataType], seq: int, rule: Rule, live: str | None, why: str | None, risky: bool
+    spark: SparkSession,
+    fields: Mapping[str, T.DataType],
+    references: Mapping[str, DataFrame],
+    seq: int,
+    rule: Rule,
+    live: str | None,
+    why: str | None,
+    risky: bool,
 ) -> Planned | Finished:
     """What a rule needs, or its verdict when no data is needed for it."""
     name = rule.expectation_type
@@ -256,6 +264,9 @@ def _plan_rule(
             if not countable(data_type):
                 return failed(f"values of type {data_type.simpleString()} cannot be counted")
             return Planned(seq, rule, "unique", live, data_type=data_type, why=why, risky=risky)
+        if name == registry.IN_SET and TABLE in rule.kwargs:
+            wrong = unusable({**rule.kwargs, "column": rule.column}, data_type, references)
+            return failed(wrong) if wrong else Planned(seq, rule, "member", live, data_type=data_type, why=why, risky=risky)
         predicate = check(F.col(sql.name(rule.column)), data_type, rule.kwargs).cast("boolean")
         wrong = pattern_error(spark, rule.kwargs["regex"]) if name == registry.MATCHES else None
         if wrong:
@@ -297,7 +308,11 @@ def _analysed(bound: DataFrame, planned: list[Planned]) -> tuple[list[Planned],
 
 
 def plan_rules(
-    df: DataFrame, rules: Sequence[Rule], params: Mapping[str, Any] | None = None, nan_as_missing: bool = False
+    df: DataFrame,
+    rules: Sequence[Rule],
+    params: Mapping[str, Any] | None = None,
+    nan_as_missing: bool = False,
+    references: Mapping[str, DataFrame] | None = None,
 ) -> tuple[DataFrame, list[Planned], list[Finished]]:
     """Bind conditions and parameters; returns the table, the rules to run and the finished ones."""
     if not rules:
@@ -314,7 +329,7 @@ def plan_rules(
         else:
             condition = rule.row_condition
             known = bound.flags.get(condition), bound.codes.get(condition), condition in bound.risky
-            plan = _plan_rule(df.sparkSession, fields, seq, rule, *known)
+            plan = _plan_rule(df.sparkSession, fields, references or {}, seq, rule, *known)
         (planned if isinstance(plan, Planned) else finished).append(plan)
     planned, rejected = _analysed(bound.table, planned)
     return bound.table, planned, finished + rejected
@@ -428,16 +443,19 @@ def _verdicts(joined: DataFrame) -> DataFrame:
     )
 
 
-def _counted(bound: DataFrame, planned: Sequence[Planned]) -> list[DataFrame]:
-    """The counts of rules that can be planned: row rules by grouping and slice, then uniqueness rules."""
+def _counted(bound: DataFrame, planned: Sequence[Planned], references: Mapping[str, DataFrame]) -> list[DataFrame]:
+    """The counts of rules that can be planned: row rules by grouping and slice, then those that count values."""
     row_rules: dict[tuple[str, ...], list[Planned]] = defaultdict(list)
     unique_rules = [item for item in planned if item.kind == "unique"]
+    member_rules = [item for item in planned if item.kind == "member"]
     for item in planned:
-        if item.kind != "unique":
+        if item.kind not in ("unique", "member"):
             row_rules[item.rule.group_by].append(item)
     counts = [_row_pass(bound, part, group_by) for group_by, items in row_rules.items() for part in _slices(items)]
     if unique_rules:
         counts.append(_unique_rules(bound, unique_rules))
+    if member_rules:
+        counts.append(member_counts(bound, member_rules, references, group_key_text))
     return counts
 
 
@@ -447,14 +465,17 @@ def evaluate(
     *,
     params: Mapping[str, Any] | None = None,
     nan_as_missing: bool = False,
+    references: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Apply rules to a table; one row per rule, or per rule and group for a grouped rule.
 
+    `references` are the tables that rules name as their value sets.
+
     `params` binds the `:name` parameters of row conditions. A rule that some row makes fail is failed with the name of
     the error; a grouped rule is failed in the groups of such rows. Nothing runs until the result is used, but for rules
     with an operation that has no form without errors: those are run at once, so that an error stays with its own rule.
     """
-    return evaluated(df, rules, params=params, nan_as_missing=nan_as_missing)[0]
+    return evaluated(df, rules, params=params, nan_as_missing=nan_as_missing, references=references)[0]
 
 
 def evaluated(
@@ -463,21 +484,24 @@ def evaluated(
     *,
     params: Mapping[str, Any] | None = None,
     nan_as_missing: bool = False,
+    references: Mapping[str, DataFrame] | None = None,
 ) -> tuple[DataFrame, set[int]]:
     """The result of `evaluate`, and the places of rules that have failed already."""
     if len(rules) > RULES_PER_PLAN:
         shifted, gone = [], set()
         for i in range(0, len(rules), RULES_PER_PLAN):
-            part, bad = evaluated(df, rules[i : i + RULES_PER_PLAN], params=params, nan_as_missing=nan_as_missing)
+            some = rules[i : i + RULES_PER_PLAN]
+            part, bad = evaluated(df, some, params=params, nan_as_missing=nan_as_missing, references=references)
             shifted.append(part.withColumn("seq", (F.col("seq") + i).cast("int")))
             gone |= {seq + i for seq in bad}
         return reduce(DataFrame.unionByName, shifted), gone
-    bound, planned, finished = plan_rules(df, rules, params, nan_as_missing)
+    known = dict(references or {})
+    bound, planned, finished = plan_rules(df, rules, params, nan_as_missing, known)
     by_seq = {item.seq: item for item in planned if item.risky}
     tried, failures = run_isolated(
-        list(by_seq), lambda seqs: reduce(DataFrame.unionByName, _counted(bound, [by_seq[s] for s in seqs]))
+        list(by_seq), lambda seqs: reduce(DataFrame.unionByName, _counted(bound, [by_seq[s] for s in seqs], known))
     )
-    counts = tried + _counted(bound, [item for item in planned if item.seq not in by_seq])
+    counts = tried + _counted(bound, [item for item in planned if item.seq not in by_seq], known)
     finished = finished + [Finished(seq, by_seq[seq].rule, exception=reason) for seq, reason in failures.items()]
     planned = [item for item in planned if item.seq not in failures]
     spark = df.sparkSession

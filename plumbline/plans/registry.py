@@ -113,7 +113,8 @@ def within(value: Column, data_type: T.DataType, kwargs: Mapping[str, Any]) -> C
 
 @expectation(IN_SET)
 def _in_set(value: Column, data_type: T.DataType, kwargs: Mapping[str, Any]) -> Column:
-    # A null member would turn every non-member into null, and so hide it.
+    # A null member would turn every non-member into null, and so hide it. Sets that are tables (`value_table`) never
+    # get here: the evaluation joins them.
     members = [literal(v, data_type) for v in kwargs["value_set"] if v is not None]
     return value.isin(*members) if members else F.lit(False)
 
