@@ -29,6 +29,7 @@ from plumbline.operators import (
     without_reference,
 )
 from plumbline.operators.sources_run import validate_sources
+from plumbline.operators.states import check_states, column_states, merged_states, store_states, stored_states
 from plumbline.operators.verdicts import Checks
 from plumbline.plans import Rule, expectation, rules_from_config, rules_from_frame
 from plumbline.session import build_session
@@ -42,6 +43,8 @@ __all__ = [
     "alerts",
     "build_session",
     "check_constraints",
+    "check_states",
+    "column_states",
     "constraint_verdict",
     "custom_check",
     "detect_anomalies",
@@ -51,6 +54,7 @@ __all__ = [
     "flag_duplicates",
     "freshness",
     "merge_suites",
+    "merged_states",
     "missing_examples",
     "primary_key_check",
     "profile",
@@ -63,6 +67,8 @@ __all__ = [
     "schema_diff",
     "staged",
     "statistics",
+    "store_states",
+    "stored_states",
     "suggest_rules",
     "suggest_suite",
     "unexpected_lists",

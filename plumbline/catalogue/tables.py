@@ -12,6 +12,7 @@ from plumbline.operators.custom import custom_check
 from plumbline.operators.outliers import anomaly_summary, detect_anomalies
 from plumbline.operators.profile import profile
 from plumbline.operators.quantiles import exact_quantiles
+from plumbline.operators.states import check_states, column_states, merged_states, store_states, stored_states
 from plumbline.operators.structure import (
     diff_fields,
     duplicate_keys,
@@ -31,6 +32,7 @@ from plumbline.operators.suggest import suggest_rules, suggest_suite
 from plumbline.operators.suite import validate
 from plumbline.operators.verdicts import Checks
 from plumbline.plans.rules import Rule, rules_from_frame
+from plumbline.session import scratch_dir
 from plumbline.sources.readers import limited_batch
 
 # ---- constraints
@@ -747,6 +749,92 @@ def anomalies_with_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detect_anomalies(events, "value", threshold=2.5).select("event_id", rounded("zscore"))
 
 
+def _stored_days(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The events, and their states as they are stored in two runs, the second of which repeats days of the first."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "ts")
+    path = scratch_dir(spark, "states")
+    for days in ("day(ts) <= 20", "day(ts) > 15"):
+        store_states(column_states(events.where(days), "CAST(ts AS DATE)"), path)
+    return events, merged_states(stored_states(spark, path))
+
+
+def _merged_oracle(position: int, column: str, numeric: bool) -> str:
+    measure = f"{column}::DOUBLE" if numeric else "NULL::DOUBLE"
+    length = f"length({column})" if column == "event_type" else "NULL"
+    time = f"max(strftime({column}, '%Y-%m-%d %H:%M:%S'))" if column == "ts" else "NULL"
+    return f"""
+SELECT {position} AS position, '{column}' AS column_name, (SELECT count(DISTINCT ts::DATE) FROM events) AS parts,
+       count(*) AS record_count, count({column}) AS count, min({measure}) AS min, max({measure}) AS max,
+       round(avg({measure}), 6) AS mean, round(stddev_samp({measure}), 6) AS stddev, min({length}) AS min_length,
+       max({length}) AS max_length, round(avg({length}), 6) AS avg_length, {time} AS last_second,
+       TRUE AS distinct_near, TRUE AS quartiles_near FROM events"""
+
+
+@query(
+    union_all(
+        *[_merged_oracle(i, c, i in (0, 1, 3)) for i, c in enumerate(("event_id", "user_id", "event_type", "value", "ts"))]
+    )
+)
+def profile_by_day_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A profile merged from stored states of days; sketches are held against exact counts."""
+    events, merged = _stored_days(spark, sf_dir)
+    exact = profile(events).select("column_name", F.col("distinct_count").alias("exact_distinct"))
+    numbers = events.selectExpr("stack(3, 'event_id', double(event_id), 'user_id', double(user_id), 'value', value) AS (column_name, v)")
+    below = lambda p: F.count_if(F.col("v") <= F.col(p)) / F.count("v")
+    under = lambda p: F.count_if(F.col("v") < F.col(p)) / F.count("v")
+    near = [(below(p) >= share - 0.02) & (under(p) <= share + 0.02) for p, share in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))]
+    ranks = numbers.join(F.broadcast(merged.select("column_name", "p25", "p50", "p75")), "column_name")
+    ranks = ranks.groupBy("column_name").agg((near[0] & near[1] & near[2]).alias("quartiles_near"))
+    off = F.abs(F.col("distinct_estimate") - F.col("exact_distinct"))
+    return merged.join(exact, "column_name").join(ranks, "column_name", "left").select(
+        "position",
+        "column_name",
+        "parts",
+        "record_count",
+        "count",
+        "min",
+        "max",
+        rounded("mean"),
+        F.when(F.col("kind") == "numeric", F.round("stddev", 6)).alias("stddev"),
+        "min_length",
+        "max_length",
+        F.round("avg_length", 6).alias("avg_length"),
+        F.substring("max_time", 1, 19).alias("last_second"),
+        (off <= F.greatest(F.lit(1), 0.05 * F.col("exact_distinct"))).alias("distinct_near"),
+        F.coalesce("quartiles_near", F.lit(True)).alias("quartiles_near"),
+    )
+
+
+_OF_STATES = [
+    ("isComplete", "user_id", None, None),
+    ("hasMax", "value", None, 1e9),
+    ("hasMean", "value", 1e6, None),
+    ("hasStandardDeviation", "value", 0.0, 1e9),
+    ("hasMean", "event_type", 0.0, None),
+    ("hasEntropy", "event_type", 0.0, None),
+    ("hasMin", "nothing", 0.0, None),
+]
+
+
+@query(
+    union_all(
+        """SELECT 0 AS seq, 'isComplete' AS constraint_type, round(count(user_id) / count(*), 6) AS metric,
+           CASE WHEN count(user_id) = count(*) THEN 'Success' ELSE 'Failure' END AS constraint_status, NULL AS message FROM events""",
+        "SELECT 1, 'hasMax', round(max(value), 6), 'Success', NULL FROM events",
+        "SELECT 2, 'hasMean', round(avg(value), 6), 'Failure', NULL FROM events",
+        "SELECT 3, 'hasStandardDeviation', round(stddev_pop(value), 6), 'Success', NULL FROM events",
+        "SELECT 4, 'hasMean', NULL, 'Unknown', 'column event_type is string, not a number'",
+        "SELECT 5, 'hasEntropy', NULL, 'Unknown', 'not known from states'",
+        "SELECT 6, 'hasMin', NULL, 'Unknown', 'no column nothing'",
+    )
+)
+def constraints_from_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Constraints over all days, answered from stored states."""
+    asked = [{"type": t, "column": c, "min": low, "max": high} for t, c, low, high in _OF_STATES]
+    found = check_states(_stored_days(spark, sf_dir)[1], asked)
+    return found.select("seq", "constraint_type", rounded("metric"), "constraint_status", "message")
+
+
 @query(
     _SCORED
     + """ SELECT count(*) = 0 AS is_valid, count(*) AS anomaly_count, min(value) AS lowest, max(value) AS highest,

@@ -88,7 +88,7 @@ _DECLARED = (
     "min_value double, max_value double, message string"
 )
 
-_STATUS = f"""
+STATUS = f"""
 CASE
   WHEN message IS NOT NULL THEN '{UNKNOWN}'
   WHEN metric IS NULL AND constraint_type IN ({', '.join(map(sql.text, sorted(ALL_ROWS)))}) THEN '{SUCCESS}'
@@ -117,7 +117,7 @@ def _number(value: Any) -> float | None:
     return None if value is None else float(value)
 
 
-def _range(c: Constraint) -> tuple[float | None, float | None]:
+def constraint_range(c: Constraint) -> tuple[float | None, float | None]:
     if c.type in ALL_ROWS:
         return 1.0, None
     if c.type == "hasMax":
@@ -214,7 +214,7 @@ def check_constraints(
         metrics.append(sql.local_table(df.sparkSession, failed, "seq int, metric double, why int"))
     rows = []
     for seq, c in enumerate(asked):
-        low, high = (None, None) if seq in messages else _range(c)
+        low, high = (None, None) if seq in messages else constraint_range(c)
         rows.append(
             {
                 "seq": seq,
@@ -243,7 +243,7 @@ def check_constraints(
         "min_value",
         "max_value",
         "metric",
-        f"{_STATUS} AS constraint_status",
+        f"{STATUS} AS constraint_status",
         "message",
     )
 
