@@ -4,7 +4,8 @@ A condition may hold an operation that some row makes fail: a division by zero,
 the end of an array. `guarded` rewrites it into two expressions over the same row: the value, in which every such operation
 is replaced by its form that yields null, and a code that says whether an operation that the condition reaches has failed,
 and how. Both fit into the aggregate that counts everything else, so a bad rule costs no run of its own. What AND, OR, IF,
-CASE and coalesce do not reach is no error: `a <> 0 AND 6 / a > 1` has none.
+CASE and coalesce do not reach is no error: `a <> 0 AND 6 / a > 1` has none. A condition counts as it is written: an operation
+whose value decides nothing, as in `IF(6 / a > 1, b, b)`, is reached, though Spark's optimizer may take it away elsewhere.
 
 Spark parses the condition, and Spark's analysis of the rewritten form decides whether it is accepted: only if it holds
 nothing that can fail. Other conditions are left to `plumbline.plans.isolate`.
