@@ -1,44 +1,57 @@
 """Main text of web pages: the text of their blocks, less chrome and what the pages of a host repeat.
 
-A page is read as blocks of text with the marks around them. Three facts are kept of a block: whether it lies in the
-article (the longest `article`, else `main`, else an element named as content), and whether it lies in an element that is chrome
-by its tag, role, class or id (menus, headers, footers, sidebars, notices, adverts, forms, comments).
-
-All blocks that are not chrome go into the page's token stream, block tags included. The streams of a host's pages are
-concatenated, and a suffix array over them (prefix doubling to DEPTH tokens) finds the substrings of DEPTH tokens that distinct
-pages share. Hosts with many pages are dealt to shards of about SHARD pages by the page's id; each shard has a suffix array of
-its own, and the shards' substrings are then counted per host, so a substring that is repeated only across shards is found as well.
-
-A page has content of its own if at least OWN of its tokens lie in no repeated substring; else it is a copy. A substring is
-boilerplate if two pages with content of their own hold it, so copies alone make none and keep their text. Article text needs more: three
-such pages that are ARTICLE_SHARE of the host's pages. What is covered by boilerplate goes, whole blocks or runs
-of DEPTH tokens and more inside of a block; all other text stays, also outside of the article. Only where the text that is left between two
+A page is read as blocks of text. Each element has marks of its own: by its tag or role (menus, headers, footers, asides,
+forms, hidden parts), by the words of its class and id (adverts, notices, sidebars), or as a place of comments. Marks are
+weak evidence. None counts on an element that holds the article (the longest `article`, else `main`, else an element named as
+content), so a wrapper named "with-sidebar" loses nothing; a name counts neither beside a content name or a word such as "no",
+"has" or "with", nor on an element with more than half of the page's words. A marked inline element takes its text along.
+
+The blocks that are left are the page's token stream, block tags included. The streams of a host's pages are concatenated; a
+suffix array with the lengths of the common prefixes of neighbours gives the intervals of suffixes that begin with the same
+DEPTH tokens, so the substrings that distinct pages share. A block with fewer tokens is a substring of its own. Hosts of more than
+SHARD pages or SHARD_BYTES bytes are dealt to shards, each with a suffix array. A substring that a share of the host's pages
+holds is held by that share of the pages of some shard, so each shard tells only what it finds at that share, and these
+candidates are then counted in all shards: results do not depend on the shards.
+
+A substring is repeated if two pages and LEAST_SHARE of the host's pages hold it. A page has content of its own if at least OWN
+of its tokens lie in no repeated substring; else it is a copy. A repeated substring is boilerplate if as many pages with content
+of their own hold it, so copies alone make none and keep their text. Article text, and a block shorter than DEPTH, need more: three such
+pages that are ARTICLE_SHARE of the host's pages. What is covered by boilerplate goes, whole blocks or runs of DEPTH tokens
+and more inside of a block; all other text stays, also outside of the article. Only where the text that is left between two
 parts of the article has fewer than DEPTH words, too few for a substring, the tags decide and it goes.
 
-Defined cases: null and empty html give the empty text; unclosed, crossed and cut tags are taken as they come; a null url
-is a host of its own name (the empty one); rows that repeat an id are one page as to repetition and are reported each; an
-empty table gives no rows; other columns are not read.
+Pages are parsed once, into a table in the shared folder with one file per bucket of shards; all later steps read it without a
+shuffle.
+
+Defined cases: null and empty html give the empty text; unclosed, crossed and cut tags are taken as they come (an inline element
+ends with its block); a null url is a host of its own name (the empty one); of equally long articles the first counts; every row
+is a page, so rows that repeat an id are reported each and count as copies; a header inside of the article goes; an empty table
+gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
 import html as entities
+import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import signed, stage
+from plumbline.llm.common import WordHashes, bounded, fresh_name, gram_hashes, signed, stage, whole_hash
+from plumbline.session import scratch_dir
 
 DEPTH = 8
 SHARD = 256
+SHARD_BYTES = 1 << 24
+BUCKET_BYTES = 1 << 24
 OWN = 0.2
 LEAST_PAGES = 2
+LEAST_SHARE = 1 / 64
 ARTICLE_PAGES = 3
 ARTICLE_SHARE = 0.5
 
@@ -64,6 +77,8 @@ CHROME_NAMES = frozenset(
     "comment comments commentlist disqus reply replies respond widget widgets pagination pager toolbar copyright skip outbrain "
     "taboola paywall form search toc hidden teaser teasers trending".split()
 )
+COMMENT_NAMES = frozenset("comment comments commentlist disqus reply replies respond".split())
+NOT_A_NAME = frozenset("no not has have with without".split())
 CONTENT_NAMES = frozenset("article content main post entry story articlebody maincontent postcontent entrycontent".split())
 NAME_PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
@@ -78,124 +93,151 @@ def names_in(value: str) -> set[str]:
     return out
 
 
+TAG, NAME, COMMENT = 1, 2, 4  # what an element's own marks come from
+
+
 @dataclass
 class Element:
     tag: str
-    chrome: bool
-    region: int  # the article, main or content element that it lies in, or -1
+    parent: int
+    marks: int
+    kind: str  # article, main or content if it is such a region
+    words: int = 0  # in it and all that lies inside
+    holds: bool = False  # the article is it or lies inside
 
 
 @dataclass
 class Block:
     tag: str
-    chrome: bool
-    region: int
+    element: int
     text: str
 
 
 @dataclass
 class Page:
+    elements: list[Element] = field(default_factory=lambda: [Element("", -1, 0, "")])
     blocks: list[Block] = field(default_factory=list)
-    regions: list[str] = field(default_factory=list)  # the kind of each: article, main or content
+
+    def above(self, e: int) -> Iterator[Element]:
+        while e >= 0:
+            yield self.elements[e]
+            e = self.elements[e].parent
 
     def article(self) -> int:
-        """The region that holds the article: the one with most text of the best kind that has text; -1 if none."""
-        size = [0] * len(self.regions)
+        """The element that is the article: of the best kind that has text the one with most words; -1 if none.
+
+        One inside of a marked element counts only if no other has text and it has half of the page's words.
+        """
         for block in self.blocks:
-            if block.region >= 0 and not block.chrome:
-                size[block.region] += len(block.text)
-        for kind in ("article", "main", "content"):
-            found = [r for r, k in enumerate(self.regions) if k == kind and size[r]]
-            if found:
-                return max(found, key=lambda r: (size[r], -r))
+            n = block.text.count(" ") + 1
+            for element in self.above(block.element):
+                element.words += n
+        every = self.elements[0].words
+        regions = [k for k, e in enumerate(self.elements) if e.kind and e.words]
+        free = [k for k in regions if not any(e.marks for e in self.above(k))]
+        for found in (free, [k for k in regions if 2 * self.elements[k].words >= every]):
+            for kind in ("article", "main", "content"):
+                same = [k for k in found if self.elements[k].kind == kind]
+                if same:
+                    return max(same, key=lambda k: (self.elements[k].words, -k))
         return -1
 
+    def kept_blocks(self) -> list[tuple[str, bool, str]]:
+        """Tag, whether in the article, and text of the blocks that are not chrome."""
+        article = self.article()
+        for element in self.above(article):
+            element.holds = True
+        every = self.elements[0].words
+        state: list[tuple[bool, bool]] = []  # chrome, in the article
+        for k, e in enumerate(self.elements):
+            chrome, inside = state[e.parent] if k else (False, False)
+            if not e.holds:
+                chrome |= bool(e.marks & (TAG | COMMENT)) or bool(e.marks & NAME and 2 * e.words <= every)
+                chrome |= inside and e.kind == "article"  # a comment or a teaser
+            state.append((chrome, inside or k == article))
+        return [(b.tag, state[b.element][1], b.text) for b in self.blocks if not state[b.element][0]]
+
+
+def marks_of(tag: str, rest: str) -> tuple[int, str]:
+    """The marks of an element and the kind of region that it is, by its tag and attributes."""
+    marks, kind = TAG if tag in CHROME_TAGS else 0, tag if tag in ("article", "main") else ""
+    named: set[str] = set()
+    for a in ATTRIBUTE.finditer(rest):
+        key, value = a[1].lower(), a[2] or a[3] or a[4] or ""
+        if key == "role":
+            marks |= TAG if value.lower() in CHROME_ROLES else 0
+            kind = kind or {"article": "article", "main": "main"}.get(value.lower(), "")
+        elif key in ("class", "id"):
+            for word in value.split():
+                names = names_in(word)
+                named |= names & CONTENT_NAMES if names & NOT_A_NAME else names
+        elif key == "itemprop":
+            kind = "article" if value.lower() == "articlebody" else kind
+        elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
+            marks |= TAG
+        elif key == "style" and "display:none" in value.replace(" ", "").lower():
+            marks |= TAG
+    if tag not in ("html", "body", "article", "main"):
+        if named & CHROME_NAMES and not named & CONTENT_NAMES:
+            marks |= COMMENT if named & COMMENT_NAMES else NAME
+        elif named & CONTENT_NAMES and not named & CHROME_NAMES:
+            kind = kind or "content"
+    return marks, kind
+
 
 def read_page(source: str) -> Page:
-    page, stack, held = Page(), [Element("", False, -1)], []
+    page, stack, held = Page(), [0], []
+    elements = page.elements
+    dropped: list[str] = []  # open inline elements from the outermost marked one on
 
     def flush(tag: str) -> None:
         text = " ".join(entities.unescape("".join(held)).split())
         held.clear()
+        dropped.clear()
         if text:
-            top = stack[-1]
-            page.blocks.append(Block(tag, top.chrome, top.region, text))
+            page.blocks.append(Block(tag, stack[-1], text))
 
     last = "body"
     for m in TOKENS.finditer(source):
         if m["text"] is not None:
-            held.append(m["text"])
+            held.append(" " if dropped else m["text"])
         elif m["data"] is not None:
-            held.append(entities.escape(m["data"], quote=False))
+            held.append(" " if dropped else entities.escape(m["data"], quote=False))
         elif m["tag"]:
-            tag = m["tag"].lower()
+            tag, rest = m["tag"].lower(), m["rest"] or ""
             if tag in INLINE:
                 if tag == "br":
                     held.append(" ")
-                if tag not in ("span", "a", "label") or m["close"] or not m["rest"]:
+                elif tag in VOID:
                     continue
-            if tag not in INLINE:
-                flush(last)
-                last = tag
+                elif not m["close"]:
+                    if dropped or (rest and not rest.endswith("/") and marks_of(tag, rest)[0]):
+                        dropped.append(tag)
+                elif tag in dropped:
+                    del dropped[len(dropped) - 1 - dropped[::-1].index(tag) :]
+                continue
+            flush(last)
+            last = tag
             if m["close"]:
                 for k in range(len(stack) - 1, 0, -1):
-                    if stack[k].tag == tag:
+                    if elements[stack[k]].tag == tag:
                         del stack[k:]
                         break
                 continue
-            if tag in VOID or tag in INLINE or (m["rest"] or "").endswith("/"):
+            if tag in VOID or rest.endswith("/"):
                 continue
             if tag in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "td", "tr", "th", "dd", "dt", "option"):
                 # Often unclosed: it ends where its like begins, and holds no state unless it is named.
-                while len(stack) > 1 and stack[-1].tag == tag:
+                while len(stack) > 1 and elements[stack[-1]].tag == tag:
                     stack.pop()
-                if not m["rest"]:
+                if not rest:
                     continue
-            top = stack[-1]
-            chrome, kind = top.chrome or tag in CHROME_TAGS, tag if tag in ("article", "main") else ""
-            for a in ATTRIBUTE.finditer(m["rest"] or ""):
-                key, value = a[1].lower(), a[2] or a[3] or a[4] or ""
-                if key == "role":
-                    chrome |= value.lower() in CHROME_ROLES
-                    kind = kind or {"article": "article", "main": "main"}.get(value.lower(), "")
-                elif key in ("class", "id"):
-                    names = names_in(value)
-                    if tag not in ("html", "body", "article", "main"):
-                        chrome |= bool(names & CHROME_NAMES)
-                    if not kind and names & CONTENT_NAMES:
-                        kind = "content"
-                elif key == "itemprop":
-                    kind = "article" if value.lower() == "articlebody" else kind
-                elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
-                    chrome = True
-                elif key == "style":
-                    chrome |= "display:none" in value.replace(" ", "").lower()
-            region = top.region
-            # An inner element of the same kind (a comment, a teaser) does not take its text from the outer one.
-            if kind and not chrome and (region < 0 or (page.regions[region], kind) in (("content", "main"), ("content", "article"), ("main", "article"))):
-                page.regions.append(kind)
-                region = len(page.regions) - 1
-            if kind == "article" and top.region >= 0 and page.regions[top.region] == "article":
-                chrome = True
-            stack.append(Element(tag, chrome, region))
+            elements.append(Element(tag, stack[-1], *marks_of(tag, rest)))
+            stack.append(len(elements) - 1)
     flush(last)
     return page
 
 
-def stream_of(page: Page) -> tuple[list[str], list[tuple[int, int, int]]]:
-    """The tokens that are compared with other pages, and (block, first, last + 1) of the blocks in them."""
-    tokens: list[str] = []
-    places = []
-    for k, block in enumerate(page.blocks):
-        if block.chrome:
-            continue
-        tokens.append(f"<{block.tag}>")
-        first = len(tokens)
-        tokens += block.text.split(" ")
-        places.append((k, first, len(tokens)))
-    return tokens, places
-
-
 def suffix_ranks(tokens: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """The suffix array of the tokens, sorted by their first `depth` (a power of two), and the rank of each suffix.
 
@@ -211,92 +253,193 @@ def suffix_ranks(tokens: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray
     return np.argsort(rank, kind="stable"), rank
 
 
-def _streams(htmls: list[str]) -> tuple[list[Page], list[list[str]], list[list[tuple[int, int, int]]]]:
-    pages = [read_page(h or "") for h in htmls]
-    both = [stream_of(p) for p in pages]
-    return pages, [b[0] for b in both], [b[1] for b in both]
+def prefix_lengths(tokens: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
+    """How many tokens, up to `depth`, each suffix in the suffix array has in common with the one before it."""
+    out = np.zeros(len(order), np.int64)
+    same = np.ones(max(len(order) - 1, 0), bool)
+    for k in range(depth):
+        a, b = order[:-1] + k, order[1:] + k
+        same &= (a < len(tokens)) & (b < len(tokens))
+        same[same] = tokens[a[same]] == tokens[b[same]]
+        out[1:] += same
+    return out
 
 
-def substring_hashes(tokens: list[str], depth: int) -> np.ndarray:
-    """A hash of every `depth` consecutive tokens."""
-    known = np.fromiter((xxhash.xxh3_64_intdigest(t) for t in tokens), np.uint64, len(tokens))
-    if len(known) < depth:
+def shared_substrings(streams: list[np.ndarray], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of every substring of `depth` tokens in the streams: a stream and a place that hold it, and how many streams do."""
+    sizes = np.array([len(t) for t in streams])
+    # Streams are parted by tokens of their own, so no substring reaches over an edge.
+    codes = np.unique(np.concatenate([np.empty(0, np.uint64), *streams]), return_inverse=True)[1].astype(np.int64)
+    begins = np.cumsum(sizes + 1) - sizes - 1
+    flat = np.empty(int(sizes.sum()) + len(streams), np.int64)
+    at = np.arange(len(codes)) + np.repeat(np.arange(len(streams)), sizes)
+    flat[at] = codes
+    flat[begins + sizes] = -1 - np.arange(len(streams))
+    order, _ = suffix_ranks(flat, depth)
+    interval = np.cumsum(prefix_lengths(flat, order, depth) < depth) - 1
+    owner = np.repeat(np.arange(len(streams)), sizes + 1)[order]
+    whole = order + depth <= (begins + sizes)[owner]
+    order, interval, owner = order[whole], interval[whole], owner[whole]
+    named, first, interval = np.unique(interval, return_index=True, return_inverse=True)
+    n = holders(interval, owner, len(named))
+    return owner[first], order[first] - begins[owner[first]], n
+
+
+def window_hashes(tokens: np.ndarray) -> np.ndarray:
+    """An even hash of every DEPTH consecutive tokens."""
+    if len(tokens) < DEPTH:
         return np.empty(0, np.uint64)
-    out = known[: len(known) - depth + 1].copy()
-    for k in range(1, depth):
-        out *= np.uint64(0x9E3779B97F4A7C15)
-        out ^= out >> np.uint64(31)
-        out += known[k : k + len(out)]
+    return gram_hashes(tokens, DEPTH) & ~np.uint64(1)
+
+
+def holders(keys: np.ndarray, pages: np.ndarray, n_keys: int) -> np.ndarray:
+    """How many distinct pages hold each of the keys 0 to n_keys - 1."""
+    width = int(pages.max()) + 1 if len(pages) else 1
+    return np.bincount(np.unique(keys * width + pages) // width, minlength=n_keys)
+
+
+Blocks = list[tuple[str, bool, str]]
+
+
+class Stream:
+    """The tokens of a page that are compared with other pages, and its substrings: a key, the place and the length of each.
+
+    Keys of substrings of DEPTH tokens are even, keys of whole blocks with fewer tokens odd.
+    """
+
+    def __init__(self, blocks: Blocks, hashes: WordHashes):
+        self.blocks = blocks
+        tokens: list[bytes] = []
+        self.places = []  # first, last + 1 of the words of each block; its tag comes before
+        for tag, _, text in blocks:
+            tokens.append(b"<%s>" % tag.encode("utf-8", "surrogatepass"))
+            first = len(tokens)
+            tokens += text.encode("utf-8", "surrogatepass").split(b" ")
+            self.places.append((first, len(tokens)))
+        self.tokens = hashes.of(tokens)
+        self.windows = window_hashes(self.tokens)
+        short = [(a - 1, b) for a, b in self.places if b - a + 1 < DEPTH]
+        self.short = np.array([whole_hash(self.tokens[a:b]) | np.uint64(1) for a, b in short], np.uint64)
+        self.short_at = np.array(short, np.int64).reshape(-1, 2)
+
+    def keys(self) -> np.ndarray:
+        return np.concatenate([self.windows, self.short])
+
+    def covered(self, known: np.ndarray) -> np.ndarray:
+        """Which tokens lie in substrings whose keys are known."""
+        edge = np.zeros(len(self.tokens) + 1, np.int64)
+        hit = np.flatnonzero(np.isin(self.windows, known))
+        np.add.at(edge, hit, 1)
+        np.add.at(edge, hit + DEPTH, -1)
+        at = self.short_at[np.isin(self.short, known)]
+        np.add.at(edge, at[:, 0], 1)
+        np.add.at(edge, at[:, 1], -1)
+        return np.cumsum(edge[:-1]) > 0
+
+
+CODEC = "zstd"
+
+
+def packed(blocks: Blocks) -> bytes:
+    data = json.dumps(blocks, ensure_ascii=False, separators=(",", ":")).encode("utf-8", "surrogatepass")
+    return len(data).to_bytes(8, "little") + pa.Codec(CODEC, 9).compress(data, asbytes=True)
+
+
+def unpacked(data: bytes) -> Blocks:
+    raw = pa.Codec(CODEC).decompress(data[8:], decompressed_size=int.from_bytes(data[:8], "little"), asbytes=True)
+    return [tuple(b) for b in json.loads(raw.decode("utf-8", "surrogatepass"))]
+
+
+def parsed(rows: DataFrame) -> DataFrame:
+    """page_id, url, host, bytes and the packed blocks of every row; a page is parsed here and nowhere else."""
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            blocks = [packed(read_page(h.as_py() or "").kept_blocks()) for h in batch.column(3)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(blocks, pa.binary())], ["page_id", "url", "host", "blocks"])
+
+    return rows.select("page_id", "url", "host", "html").mapInArrow(parse, "page_id long, url string, host string, blocks binary")
+
+
+def by_host(table: pa.Table) -> dict[str, list[int]]:
+    out: dict[str, list[int]] = {}
+    for k, host in enumerate(table.column("host").to_pylist()):
+        out.setdefault(host, []).append(k)
     return out
 
 
-def covered_by(hit: np.ndarray, n_tokens: int) -> np.ndarray:
-    """Which tokens lie in the substrings that begin at the places `hit`."""
-    edge = np.zeros(n_tokens + 1, np.int64)
-    np.add.at(edge, hit, 1)
-    np.add.at(edge, hit + DEPTH, -1)
-    return np.cumsum(edge[:-1]) > 0
+def known_keys(table: pa.Table) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """The keys of each host, sorted, and the number beside each."""
+    out = {}
+    for host, rows in by_host(table).items():
+        mine = table.take(pa.array(rows, pa.int64()))
+        h, n = (np.concatenate([np.array(x, np.int64) for x in mine.column(c).to_pylist()]) for c in ("hs", "ns"))
+        order = np.argsort(h.view(np.uint64))
+        out[host] = h.view(np.uint64)[order], n[order]
+    return out
 
 
-def page_numbers(ids: list) -> np.ndarray:
-    """A number for each row; rows that repeat an id are one page."""
-    return np.unique([str(i) for i in ids], return_inverse=True)[1].astype(np.int64)
+NONE = np.empty(0, np.uint64), np.empty(0, np.int64)
 
+KEYS = "host string, h long, n long"
+
+
+def _key_rows(hosts: list[str], h: list[np.ndarray], n: list[np.ndarray]) -> pa.Table:
+    names = pa.array(hosts, pa.string()).take(pa.array(np.repeat(np.arange(len(h)), [len(x) for x in h]), pa.int64()))
+    keys = signed(np.concatenate([np.empty(0, np.uint64), *h]))
+    return pa.table([names, pa.array(keys, pa.int64()), pa.array(np.concatenate([np.empty(0, np.int64), *n]), pa.int64())], ["host", "h", "n"])
 
-def holders(keys: np.ndarray, pages: np.ndarray, n_keys: int) -> np.ndarray:
-    """How many distinct pages hold each of the keys 0 to n_keys - 1."""
-    width = int(pages.max()) + 1 if len(pages) else 1
-    return np.bincount(np.unique(keys * width + pages) // width, minlength=n_keys)
 
+def least_pages(pages: int, parts: int) -> int:
+    """How many of a shard's pages hold a substring at least, if the host's pages hold it often enough."""
+    return max(1 if parts > 1 else LEAST_PAGES, int(np.ceil(LEAST_SHARE * pages)))
 
-SUBSTRINGS = "host string, shard int, h long, n long"
-
-
-def _substring_rows(host: str, shard: int, h: np.ndarray, n: np.ndarray) -> pa.Table:
-    size = len(h)
-    columns = [pa.array([host] * size, pa.string()), pa.array([shard] * size, pa.int32()), pa.array(signed(h), pa.int64()), pa.array(n, pa.int64())]
-    return pa.table(columns, ["host", "shard", "h", "n"])
-
-
-def shard_substrings(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """host, shard, h, n: the substrings of a shard, and how many pages hold each. A host's only shard tells those of several pages."""
-    host, shard = key[0].as_py(), key[1].as_py()
-    _, streams, _ = _streams(table.column("html").to_pylist())
-    # Pages are parted by tokens of their own, so no substring reaches over an edge.
-    numbers: dict[str, int] = {}
-    flat, hashes, begins = [], [], []
-    for k, tokens in enumerate(streams):
-        begins.append(len(flat))
-        flat += [numbers.setdefault(t, len(numbers)) for t in tokens]
-        flat.append(-k - 1)
-        hashes.append(substring_hashes(tokens, DEPTH))
-    every = np.concatenate(hashes)
-    if not len(every):
-        return _substring_rows(host, shard, every, np.empty(0, np.int64))
-    starts = np.concatenate([np.arange(len(h)) + b for h, b in zip(hashes, begins, strict=True)])
-    # Suffixes with the same rank, neighbours in the suffix array, begin with the same substring.
-    rank = suffix_ranks(np.array(flat, np.int64), DEPTH)[1][starts]
-    _, first, group = np.unique(rank, return_index=True, return_inverse=True)
-    owner = np.repeat(page_numbers(table.column("page_id").to_pylist()), [len(h) for h in hashes])
-    n = holders(group, owner, len(first))
-    told = np.flatnonzero(n >= (1 if table.column("shards")[0].as_py() > 1 else 2))
-    return _substring_rows(host, shard, every[first[told]], n[told])
-
-
-def own_substrings(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
-    """host, shard, h, n: the repeated substrings that a shard's pages hold, and how many pages with content of their own hold each."""
-    known = np.sort(np.array(right.column("h").to_numpy(), np.int64).view(np.uint64))
-    keys, pages = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    if len(known):
-        _, streams, _ = _streams(left.column("html").to_pylist())
-        for number, tokens in zip(page_numbers(left.column("page_id").to_pylist()), streams, strict=True):
-            hashes = substring_hashes(tokens, DEPTH)
-            hit = np.flatnonzero(np.isin(hashes, known))
-            if len(hit) and np.count_nonzero(~covered_by(hit, len(tokens))) >= OWN * len(tokens):
-                keys.append(np.searchsorted(known, np.unique(hashes[hit])))
-                pages.append(np.full(len(keys[-1]), number))
-    n = holders(np.concatenate(keys), np.concatenate(pages), len(known))
-    return _substring_rows(key[0].as_py(), key[1].as_py(), known, n)
+
+def candidates(table: pa.Table) -> pa.Table:
+    """host, h, n: the substrings that enough pages of a shard hold, of all shards in a bucket, from their suffix arrays."""
+    hosts, found, counts = [], [], []
+    hashes = WordHashes()
+    blocks, part, parts = table.column("blocks"), table.column("part").to_pylist(), table.column("parts").to_pylist()
+    for host, rows in by_host(table).items():
+        for shard in sorted({part[k] for k in rows}):
+            own = [k for k in rows if part[k] == shard]
+            streams = [Stream(unpacked(blocks[k].as_py()), hashes) for k in own]
+            page, place, n = shared_substrings([s.tokens for s in streams])
+            told = np.flatnonzero(n >= least_pages(len(own), parts[own[0]]))
+            found.append(np.array([streams[p].windows[q] for p, q in zip(page[told], place[told], strict=True)], np.uint64))
+            short, where = np.unique(np.concatenate([s.short for s in streams]), return_inverse=True)
+            n_short = holders(where, np.repeat(np.arange(len(own)), [len(s.short) for s in streams]), len(short))
+            told_short = np.flatnonzero(n_short >= ARTICLE_SHARE * len(own))
+            found.append(short[told_short])
+            counts += [n[told], n_short[told_short]]
+            hosts += [host, host]
+    return _key_rows(hosts, found, counts)
+
+
+def counted(own_only: bool):
+    """host, h, n: how many pages of a bucket hold each known key of their host; `own_only`: pages with content of their own."""
+
+    def count(left: pa.Table, right: pa.Table) -> pa.Table:
+        hosts, found, counts = [], [], []
+        hashes = WordHashes()
+        told = known_keys(right)
+        for host, rows in by_host(left).items():
+            if host not in told:
+                continue
+            known, _ = told[host]
+            n = np.zeros(len(known), np.int64)
+            for k in rows:
+                stream = Stream(unpacked(left.column("blocks")[k].as_py()), hashes)
+                keys = np.unique(stream.keys())
+                keys = keys[np.isin(keys, known, assume_unique=True)]
+                if len(keys) and (not own_only or np.count_nonzero(~stream.covered(known)) >= OWN * len(stream.tokens)):
+                    n[np.searchsorted(known, keys)] += 1
+            hosts.append(host)
+            found.append(known[n > 0])
+            counts.append(n[n > 0])
+        return _key_rows(hosts, found, counts)
+
+    return count
 
 
 def kept_words(words: list[str], covered: np.ndarray) -> list[str]:
@@ -314,15 +457,16 @@ def kept_words(words: list[str], covered: np.ndarray) -> list[str]:
     return [w for w, s in zip(words, stays[1:], strict=True) if s]
 
 
-def text_of(page: Page, tokens: list[str], places: list[tuple[int, int, int]], covered: np.ndarray, in_article: np.ndarray) -> str:
-    """The text of a page's blocks, given which tokens boilerplate covers by the measure for article text and by the other."""
-    article = page.article()
+def text_of(stream: Stream, known: np.ndarray, common: np.ndarray) -> str:
+    """The text of a page, given the keys of the boilerplate that counts outside of the article and everywhere."""
+    everywhere = stream.covered(common)
+    outside = everywhere | stream.covered(known)
+    article = any(inside for _, inside, _ in stream.blocks)
     out: list[str] = []
     aside: list[str] = []
-    for k, first, last in places:
-        inside = article >= 0 and page.blocks[k].region == article
-        words = kept_words(tokens[first:last], (in_article if inside else covered)[first - 1 : last])
-        if article >= 0 and not inside:
+    for (_, inside, text), (first, last) in zip(stream.blocks, stream.places, strict=True):
+        words = kept_words(text.split(" "), (everywhere if inside else outside)[first - 1 : last])
+        if article and not inside:
             aside += words
             continue
         out += (aside if len(aside) >= DEPTH else []) + words
@@ -331,23 +475,28 @@ def text_of(page: Page, tokens: list[str], places: list[tuple[int, int, int]], c
 
 
 def main_texts(left: pa.Table, right: pa.Table) -> pa.Table:
-    """page_id, url, text of a shard's pages, given the boilerplate that they hold and how many pages hold it."""
-    pages, streams, places = _streams(left.column("html").to_pylist())
-    known = np.array(right.column("h").to_numpy(), np.int64).view(np.uint64)
-    least = max(ARTICLE_PAGES, ARTICLE_SHARE * left.column("pages")[0].as_py()) if left.num_rows else 0
-    common = known[np.array(right.column("n").to_numpy()) >= least]
-    texts = []
-    for page, tokens, where in zip(pages, streams, places, strict=True):
-        hashes = substring_hashes(tokens, DEPTH)
-        covered, in_article = (covered_by(np.flatnonzero(np.isin(hashes, x)), len(tokens)) for x in (known, common))
-        texts.append(text_of(page, tokens, where, covered, in_article))
+    """page_id, url, text of a bucket's pages, given the boilerplate of their hosts and how many pages hold it."""
+    texts = [""] * left.num_rows
+    hashes = WordHashes()
+    total = left.column("pages").to_pylist()
+    told = known_keys(right)
+    for host, rows in by_host(left).items():
+        known, n = told.get(host, NONE)
+        common = known[n >= max(ARTICLE_PAGES, ARTICLE_SHARE * (total[rows[0]] or len(rows)))]
+        known = known[known % 2 == 0]
+        for k in rows:
+            texts[k] = text_of(Stream(unpacked(left.column("blocks")[k].as_py()), hashes), known, common)
     return pa.table({"page_id": left.column("page_id"), "url": left.column("url"), "text": pa.array(texts, pa.string())})
 
 
-def held_by(found: DataFrame, least: int) -> DataFrame:
-    """The substrings that at least so many pages of the host hold, for every shard that has them, with that number."""
-    counted = found.groupBy("host", "h").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    return found.select("host", "shard", "h").join(counted, ["host", "h"])
+def bucketed(dealt: DataFrame, buckets: int) -> DataFrame:
+    """The rows as a table with one file per bucket, which needs no shuffle to be grouped by it. The catalogue keeps no entry."""
+    spark, name = dealt.sparkSession, fresh_name("pages")
+    writer = dealt.repartition(buckets, "bucket").write.option("path", scratch_dir(spark, "page-blocks"))
+    writer.option("compression", "uncompressed").bucketBy(buckets, "bucket").saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # an external one: its files stay
+    return table
 
 
 def extract(pages: DataFrame, shard: int = SHARD) -> DataFrame:
@@ -357,15 +506,35 @@ def extract(pages: DataFrame, shard: int = SHARD) -> DataFrame:
     )
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
     rows = rows.withColumn("host", host)
-    distinct = rows.groupBy("host", "page_id").agg(F.count("*").alias("n"))
-    sizes = stage(distinct.groupBy("host").agg(F.sum("n").alias("n"), F.count("*").alias("pages")), "host-sizes")
-    shards = F.ceil(F.col("n") / shard)
-    dealt = rows.join(sizes, "host").select(
-        "page_id", "url", "html", "host", "pages", shards.alias("shards"), F.pmod(F.xxhash64("page_id"), shards).cast("int").alias("shard")
-    )
-    groups = dealt.groupBy("host", "shard")
-    found = stage(groups.applyInArrow(shard_substrings, SUBSTRINGS), "page-substrings")
-    repeated = held_by(found, 2).groupBy("host", "shard")
-    own = stage(groups.cogroup(repeated).applyInArrow(own_substrings, SUBSTRINGS), "own-substrings")
-    boilerplate = held_by(own, LEAST_PAGES).groupBy("host", "shard")
-    return groups.cogroup(boilerplate).applyInArrow(main_texts, "page_id long, url string, text string")
+    sizes = rows.groupBy("host").agg(F.count("*").alias("pages"), F.coalesce(F.sum(F.octet_length("html").cast("long")), F.lit(0)).alias("bytes"))
+    parts = F.greatest(F.ceil(F.col("pages") / shard), F.ceil(F.col("bytes") / SHARD_BYTES), F.lit(1)).cast("int")
+    sizes = stage(sizes.withColumn("parts", parts), "host-sizes")
+    total = sizes.agg(F.coalesce(F.sum(F.col("bytes").cast("decimal(38,0)")), F.lit(0))).first()[0]
+    buckets = max(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(total) // BUCKET_BYTES + 1)
+    bucket = F.pmod(F.xxhash64("host", "part"), F.lit(buckets)).cast("int")
+    several = bounded(sizes.where("parts > 1").select("host", "pages", "parts"), "large-hosts")
+    dealt = parsed(rows).withColumn("rid", F.monotonically_increasing_id()).join(several, "host", "left")
+    dealt = dealt.withColumn("parts", F.coalesce("parts", F.lit(1)))
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("rid"), F.col("parts")).cast("int")).drop("rid")
+    table = bucketed(dealt.withColumn("bucket", bucket), buckets)
+    groups = table.groupBy("bucket")
+    places = sizes.select("host", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    places = places.withColumn("bucket", bucket).select("host", "bucket").distinct()
+
+    def dealt_keys(keys: DataFrame):
+        """A host's keys as rows of arrays, for every bucket that has pages of it."""
+        lists = keys.groupBy("host", F.pmod("h", F.lit(64)).alias("slice"))
+        lists = lists.agg(F.collect_list(F.struct("h", "n")).alias("k")).select("host", F.col("k.h").alias("hs"), F.col("k.n").alias("ns"))
+        return lists.join(places, "host").select("bucket", "host", "hs", "ns").groupBy("bucket")
+
+    def often(found: DataFrame) -> DataFrame:
+        """The keys that enough of a host's pages hold."""
+        counts = found.groupBy("host", "h").agg(F.sum("n").alias("n")).join(sizes.select("host", "pages"), "host")
+        least = F.greatest(F.lit(LEAST_PAGES), F.col("pages") * F.lit(LEAST_SHARE))
+        least_short = F.greatest(F.lit(ARTICLE_PAGES), F.col("pages") * F.lit(ARTICLE_SHARE))
+        return counts.where(F.col("n") >= F.when(F.col("h") % 2 == 0, least).otherwise(least_short)).select("host", "h", "n")
+
+    told = stage(groups.applyInArrow(candidates, KEYS).groupBy("host", "h").agg(F.max("n").alias("n")), "page-candidates")
+    repeated = stage(often(groups.cogroup(dealt_keys(told)).applyInArrow(counted(False), KEYS)), "page-repeats")
+    boilerplate = stage(often(groups.cogroup(dealt_keys(repeated)).applyInArrow(counted(True), KEYS)), "page-boilerplate")
+    return groups.cogroup(dealt_keys(boilerplate)).applyInArrow(main_texts, "page_id long, url string, text string")
