@@ -20,7 +20,7 @@ pages that are ARTICLE_SHARE of the host's pages. What is covered by boilerplate
 and more inside of a block; all other text stays, also outside of the article. Only where the text that is left between two
 parts of the article has fewer than DEPTH words, too few for a substring, the tags decide and it goes.
 
-Pages are parsed once, into a table in the shared folder with one file per bucket of shards; all later steps read it without a
+Pages are parsed once, into a table in the shared folder that is bucketed by shard; all later steps read it without a
 shuffle.
 
 Defined cases: null and empty html give the empty text; unclosed, crossed and cut tags are taken as they come (an inline element
@@ -36,19 +36,22 @@ import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import WordHashes, bounded, fresh_name, gram_hashes, signed, stage, whole_hash
+from plumbline.llm.common import bounded, fresh_name, gram_hashes, mix, signed, stage
 from plumbline.session import scratch_dir
 
 DEPTH = 8
 SHARD = 256
 SHARD_BYTES = 1 << 24
-BUCKET_BYTES = 1 << 24
+FILE_BYTES = 1 << 24
+FILE_BUCKETS = 8
 OWN = 0.2
 LEAST_PAGES = 2
 LEAST_SHARE = 1 / 64
@@ -191,9 +194,11 @@ def read_page(source: str) -> Page:
     dropped: list[str] = []  # open inline elements from the outermost marked one on
 
     def flush(tag: str) -> None:
+        dropped.clear()
+        if not held:
+            return
         text = " ".join(entities.unescape("".join(held)).split())
         held.clear()
-        dropped.clear()
         if text:
             page.blocks.append(Block(tag, stack[-1], text))
 
@@ -285,6 +290,41 @@ def shared_substrings(streams: list[np.ndarray], depth: int = DEPTH) -> tuple[np
     return owner[first], order[first] - begins[owner[first]], n
 
 
+def among(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which keys are in `known`, which is sorted."""
+    if not len(known):
+        return np.zeros(len(keys), bool)
+    return known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys
+
+
+BASE = 0x9E3779B97F4A7C15
+_BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))
+
+
+@lru_cache(maxsize=2)
+def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers of BASE and of its inverse modulo 2^64."""
+    out = []
+    for base in (BASE, pow(BASE, -1, 1 << 64)):
+        factors = np.full(size + 1, base, np.uint64)
+        factors[0] = 1
+        out.append(np.cumprod(factors))
+    return out[0], out[1]
+
+
+def token_hashes(data: bytes) -> np.ndarray:
+    """A 64-bit hash of every token between single spaces: differences of the running sums of a polynomial, all tokens at once."""
+    if not data:
+        return np.empty(0, np.uint64)
+    codes = np.frombuffer(data, np.uint8)
+    up, down = powers(max(1 << 17, 1 << len(codes).bit_length()))
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum(_BYTES[codes] * up[: len(codes)], out=sums[1:])
+    spaces = np.flatnonzero(codes == 32)
+    first, last = np.append(0, spaces + 1), np.append(spaces, len(codes))
+    return mix((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64))
+
+
 def window_hashes(tokens: np.ndarray) -> np.ndarray:
     """An even hash of every DEPTH consecutive tokens."""
     if len(tokens) < DEPTH:
@@ -307,20 +347,17 @@ class Stream:
     Keys of substrings of DEPTH tokens are even, keys of whole blocks with fewer tokens odd.
     """
 
-    def __init__(self, blocks: Blocks, hashes: WordHashes):
+    def __init__(self, blocks: Blocks):
         self.blocks = blocks
-        tokens: list[bytes] = []
-        self.places = []  # first, last + 1 of the words of each block; its tag comes before
-        for tag, _, text in blocks:
-            tokens.append(b"<%s>" % tag.encode("utf-8", "surrogatepass"))
-            first = len(tokens)
-            tokens += text.encode("utf-8", "surrogatepass").split(b" ")
-            self.places.append((first, len(tokens)))
-        self.tokens = hashes.of(tokens)
+        self.tokens = token_hashes(" ".join(f"<{tag}> {text}" for tag, _, text in blocks).encode("utf-8", "surrogatepass"))
+        ends = np.cumsum([text.count(" ") + 2 for _, _, text in blocks]).tolist()
+        # First and last + 1 of the words of each block; its tag comes before.
+        self.places = [(a + 1, b) for a, b in zip([0, *ends], ends, strict=False)]
         self.windows = window_hashes(self.tokens)
-        short = [(a - 1, b) for a, b in self.places if b - a + 1 < DEPTH]
-        self.short = np.array([whole_hash(self.tokens[a:b]) | np.uint64(1) for a, b in short], np.uint64)
-        self.short_at = np.array(short, np.int64).reshape(-1, 2)
+        short = [(k, a - 1, b) for k, (a, b) in enumerate(self.places) if b - a + 1 < DEPTH]
+        keys = [xxhash.xxh3_64_intdigest(blocks[k][2].encode("utf-8", "surrogatepass")) | 1 for k, _, _ in short]
+        self.short = np.array(keys, np.uint64)
+        self.short_at = np.array([x[1:] for x in short], np.int64).reshape(-1, 2)
 
     def keys(self) -> np.ndarray:
         return np.concatenate([self.windows, self.short])
@@ -328,10 +365,10 @@ class Stream:
     def covered(self, known: np.ndarray) -> np.ndarray:
         """Which tokens lie in substrings whose keys are known."""
         edge = np.zeros(len(self.tokens) + 1, np.int64)
-        hit = np.flatnonzero(np.isin(self.windows, known))
+        hit = np.flatnonzero(among(self.windows, known))
         np.add.at(edge, hit, 1)
         np.add.at(edge, hit + DEPTH, -1)
-        at = self.short_at[np.isin(self.short, known)]
+        at = self.short_at[among(self.short, known)]
         np.add.at(edge, at[:, 0], 1)
         np.add.at(edge, at[:, 1], -1)
         return np.cumsum(edge[:-1]) > 0
@@ -398,12 +435,11 @@ def least_pages(pages: int, parts: int) -> int:
 def candidates(table: pa.Table) -> pa.Table:
     """host, h, n: the substrings that enough pages of a shard hold, of all shards in a bucket, from their suffix arrays."""
     hosts, found, counts = [], [], []
-    hashes = WordHashes()
     blocks, part, parts = table.column("blocks"), table.column("part").to_pylist(), table.column("parts").to_pylist()
     for host, rows in by_host(table).items():
         for shard in sorted({part[k] for k in rows}):
             own = [k for k in rows if part[k] == shard]
-            streams = [Stream(unpacked(blocks[k].as_py()), hashes) for k in own]
+            streams = [Stream(unpacked(blocks[k].as_py())) for k in own]
             page, place, n = shared_substrings([s.tokens for s in streams])
             told = np.flatnonzero(n >= least_pages(len(own), parts[own[0]]))
             found.append(np.array([streams[p].windows[q] for p, q in zip(page[told], place[told], strict=True)], np.uint64))
@@ -421,7 +457,6 @@ def counted(own_only: bool):
 
     def count(left: pa.Table, right: pa.Table) -> pa.Table:
         hosts, found, counts = [], [], []
-        hashes = WordHashes()
         told = known_keys(right)
         for host, rows in by_host(left).items():
             if host not in told:
@@ -429,9 +464,9 @@ def counted(own_only: bool):
             known, _ = told[host]
             n = np.zeros(len(known), np.int64)
             for k in rows:
-                stream = Stream(unpacked(left.column("blocks")[k].as_py()), hashes)
+                stream = Stream(unpacked(left.column("blocks")[k].as_py()))
                 keys = np.unique(stream.keys())
-                keys = keys[np.isin(keys, known, assume_unique=True)]
+                keys = keys[among(keys, known)]
                 if len(keys) and (not own_only or np.count_nonzero(~stream.covered(known)) >= OWN * len(stream.tokens)):
                     n[np.searchsorted(known, keys)] += 1
             hosts.append(host)
@@ -464,20 +499,27 @@ def text_of(stream: Stream, known: np.ndarray, common: np.ndarray) -> str:
     article = any(inside for _, inside, _ in stream.blocks)
     out: list[str] = []
     aside: list[str] = []
+    n_aside = 0
     for (_, inside, text), (first, last) in zip(stream.blocks, stream.places, strict=True):
-        words = kept_words(text.split(" "), (everywhere if inside else outside)[first - 1 : last])
+        covered = (everywhere if inside else outside)[first - 1 : last]
+        n = last - first
+        if covered.any():
+            words = kept_words(text.split(" "), covered)
+            text, n = " ".join(words), len(words)
+        if not n:
+            continue
         if article and not inside:
-            aside += words
+            aside.append(text)
+            n_aside += n
             continue
-        out += (aside if len(aside) >= DEPTH else []) + words
-        aside = []
-    return " ".join(out + (aside if len(aside) >= DEPTH else []))
+        out += [*(aside if n_aside >= DEPTH else []), text]
+        aside, n_aside = [], 0
+    return " ".join(out + (aside if n_aside >= DEPTH else []))
 
 
 def main_texts(left: pa.Table, right: pa.Table) -> pa.Table:
     """page_id, url, text of a bucket's pages, given the boilerplate of their hosts and how many pages hold it."""
     texts = [""] * left.num_rows
-    hashes = WordHashes()
     total = left.column("pages").to_pylist()
     told = known_keys(right)
     for host, rows in by_host(left).items():
@@ -485,15 +527,18 @@ def main_texts(left: pa.Table, right: pa.Table) -> pa.Table:
         common = known[n >= max(ARTICLE_PAGES, ARTICLE_SHARE * (total[rows[0]] or len(rows)))]
         known = known[known % 2 == 0]
         for k in rows:
-            texts[k] = text_of(Stream(unpacked(left.column("blocks")[k].as_py()), hashes), known, common)
+            texts[k] = text_of(Stream(unpacked(left.column("blocks")[k].as_py())), known, common)
     return pa.table({"page_id": left.column("page_id"), "url": left.column("url"), "text": pa.array(texts, pa.string())})
 
 
-def bucketed(dealt: DataFrame, buckets: int) -> DataFrame:
-    """The rows as a table with one file per bucket, which needs no shuffle to be grouped by it. The catalogue keeps no entry."""
+def bucketed(dealt: DataFrame, files: int) -> DataFrame:
+    """The rows as a table that needs no shuffle to be grouped by bucket: all rows of one are in one of its files.
+
+    The catalogue keeps no entry.
+    """
     spark, name = dealt.sparkSession, fresh_name("pages")
-    writer = dealt.repartition(buckets, "bucket").write.option("path", scratch_dir(spark, "page-blocks"))
-    writer.option("compression", "uncompressed").bucketBy(buckets, "bucket").saveAsTable(name)
+    writer = dealt.repartition(files, "bucket").write.option("path", scratch_dir(spark, "page-blocks"))
+    writer.option("compression", "uncompressed").bucketBy(files, "bucket").saveAsTable(name)
     table = spark.table(name)
     spark.sql(f"DROP TABLE {name}")  # an external one: its files stay
     return table
@@ -510,13 +555,13 @@ def extract(pages: DataFrame, shard: int = SHARD) -> DataFrame:
     parts = F.greatest(F.ceil(F.col("pages") / shard), F.ceil(F.col("bytes") / SHARD_BYTES), F.lit(1)).cast("int")
     sizes = stage(sizes.withColumn("parts", parts), "host-sizes")
     total = sizes.agg(F.coalesce(F.sum(F.col("bytes").cast("decimal(38,0)")), F.lit(0))).first()[0]
-    buckets = max(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(total) // BUCKET_BYTES + 1)
-    bucket = F.pmod(F.xxhash64("host", "part"), F.lit(buckets)).cast("int")
+    files = max(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(total) // FILE_BYTES + 1)
+    bucket = F.pmod(F.xxhash64("host", "part"), F.lit(FILE_BUCKETS * files)).cast("int")
     several = bounded(sizes.where("parts > 1").select("host", "pages", "parts"), "large-hosts")
     dealt = parsed(rows).withColumn("rid", F.monotonically_increasing_id()).join(several, "host", "left")
     dealt = dealt.withColumn("parts", F.coalesce("parts", F.lit(1)))
     dealt = dealt.withColumn("part", F.pmod(F.xxhash64("rid"), F.col("parts")).cast("int")).drop("rid")
-    table = bucketed(dealt.withColumn("bucket", bucket), buckets)
+    table = bucketed(dealt.withColumn("bucket", bucket), files)
     groups = table.groupBy("bucket")
     places = sizes.select("host", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     places = places.withColumn("bucket", bucket).select("host", "bucket").distinct()
