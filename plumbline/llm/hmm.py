@@ -5,9 +5,10 @@ own; other words share symbols by their last three bytes. A state emits a symbol
 proportion to the word's training count, with 0.1 for each known word and for all unknown ones together. The latter does not depend
 on the state, so a text's likelihood is that of its symbols, from the scaled forward recursion, times those shares.
 
-Training: counts of all training tokens; then Baum-Welch. A bounded sample (one document from each of START buckets of
-ids) gives the starting point. Each of ROUNDS full rounds takes expected counts from every training text, in Spark
-tasks, and adds them up across partitions; the model itself is of bounded size.
+Training: counts of all training tokens; then every text is written once as its symbols, which all later steps read. At
+first each training text is of one state, chosen by the frequent word that occurs most often in it, so texts that share a
+language or a subject begin together. Each of ROUNDS rounds of Baum-Welch takes expected counts from every training text, in
+Spark tasks, and adds them up across partitions; the model itself is of bounded size.
 
 Scoring joins the words outside the frequent ones with the count table, one row per document and word, so the count
 table is never held by a task.
@@ -34,9 +35,7 @@ from plumbline.llm.common import fold, lower_words_of, stage, texts, vector_rows
 FREQUENT = 1 << 16
 SHARED = 2048
 STATES = 8
-START = 1000
-START_ROUNDS = 12
-ROUNDS = 2
+ROUNDS = 3
 HELD = 300_000
 GROUP_TOKENS = 200_000
 ADD = 0.1
@@ -186,22 +185,27 @@ def count_words(rows: DataFrame) -> DataFrame:
     return parts.groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def start_sample(rows: DataFrame) -> list[str]:
-    """One training text from each of START buckets of ids, found by a partial aggregate."""
-    keyed = training(rows).withColumn("h", F.xxhash64("doc_id", F.lit("hmm")))
-    chosen = keyed.groupBy(F.pmod("h", F.lit(START)).alias("bucket")).agg(F.min("h").alias("h"))
-    picked = keyed.join(F.broadcast(chosen.select("h")), "h").groupBy("h").agg(F.min("text").alias("text"))
-    return [r.text for r in picked.orderBy("h").collect()]
-
-
 def shared_column(word: Column, n: int) -> Column:
     """The shared symbol of a word, as `Symbols` gives it, without the offset of the frequent ones."""
     return F.pmod(F.crc32(F.substring(word, -3, 3)), F.lit(n)).cast("int")
 
 
-def first_model(counts: DataFrame, rows: DataFrame, states: int, seed: int = 5) -> Model:
+def most_frequent(counts: DataFrame, n: int) -> list:
+    """The n most frequent words with their counts, equal ones by word. A histogram of the counts' logarithms gives the
+    least count that can matter, so tasks send few rows beyond those wanted."""
+    level = F.floor(F.log2("c") * 16)
+    held, least = 0, 0
+    for r in sorted(counts.groupBy(level.alias("level")).count().collect(), key=lambda r: -r.level):
+        held, least = held + r["count"], r.level
+        if held >= n:
+            break
+    return counts.where(level >= least).orderBy(F.desc("c"), "word").limit(n).collect()
+
+
+def first_model(counts: DataFrame, states: int) -> Model:
+    """The symbols with their counts, and a chain whose states are all the same."""
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    top = counts.orderBy(F.desc("c"), "word").limit(FREQUENT).collect()
+    top = most_frequent(counts, FREQUENT)
     frequent = [bytes(r.word) for r in top]
     tail = (
         counts.join(F.broadcast(counts.sparkSession.createDataFrame([(bytearray(w),) for w in frequent], "word binary")), "word", "left_anti")
@@ -218,72 +222,24 @@ def first_model(counts: DataFrame, rows: DataFrame, states: int, seed: int = 5)
     unigram = np.concatenate([own, mass]) + ADD
     emit = np.repeat((unigram / unigram.sum())[:, None], states, axis=1)
     flat = np.full(states, 1 / states)
-    model = Model(frequent, own, int(total.n), int(total.v), log_share, flat, np.full((states, states), 1 / states), emit)
-    symbols = Symbols(frequent)
-    parts = [symbols.of([*lower_words_of(t), END]) for t in start_sample(rows)]
-    if not parts:
-        return model
-    rng = np.random.default_rng(seed)
-    start, move, counted = np.zeros(states), np.eye(states) * 100.0, np.zeros_like(emit)
-    for part in parts:  # at first each text is of one state
-        state = rng.integers(states)
-        start[state] += 1
-        np.add.at(counted[:, state], part, 1)
-    model = reestimated(model, start, move, counted)
-    for _ in range(START_ROUNDS):
-        totals = np.zeros(states), np.zeros((states, states)), np.zeros_like(emit)
-        for _, flat_symbols, first, sizes in sequences(parts):
-            expected(model, flat_symbols, first, sizes, totals)
-        model = reestimated(model, *totals)
-    return model
+    return Model(frequent, own, int(total.n), int(total.v), log_share, flat, np.full((states, states), 1 / states), emit)
 
 
-def full_round(model: Model, rows: DataFrame) -> Model:
-    """One round of Baum-Welch over every training text."""
-    sent = rows.sparkSession.sparkContext.broadcast(model)
-    k, v = len(model.start), len(model.emit)
+def symbol_rows(rows: DataFrame, model: Model) -> DataFrame:
+    """Per row (word null): its symbols, n_tokens, what the frequent tokens give and the shares of the shared ones. Per row
+    and other word: tf."""
+    sent = rows.sparkSession.sparkContext.broadcast((model.frequent, model.counts, model.log_share))  # bounded by FREQUENT and SHARED
+    names = ["rid", "doc_id", "word", "tf", "n_tokens", "n_frequent", "base", "shares", "symbols"]
 
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
-        symbols = Symbols(model.frequent)
-        totals = np.zeros(k), np.zeros((k, k)), np.zeros((v, k))
-        seen = False
-        for batch in batches:
-            parts = [symbols.of([*lower_words_of(t.as_py()), END]) for t in batch.column(0)]
-            for _, flat, first, sizes in sequences(parts):
-                expected(model, flat, first, sizes, totals)
-                seen = True
-        if seen:
-            yield vector_rows(np.concatenate([t.reshape(-1) for t in totals]))
-
-    parts = training(rows).select("text").mapInArrow(gather, "slice int, data binary")
-    found = vector_sum(parts, k + k * k + v * k)
-    if not found.any():
-        return model
-    return reestimated(model, found[:k], found[k : k + k * k].reshape(k, k), found[k + k * k :].reshape(v, k))
-
-
-def train(rows: DataFrame, counts: DataFrame, states: int = STATES, rounds: int = ROUNDS) -> Model:
-    model = first_model(counts, rows, states)
-    for _ in range(rounds):
-        model = full_round(model, rows)
-    return model
-
-
-def scored_parts(rows: DataFrame, model: Model) -> DataFrame:
-    """Per row (word null): n_tokens, what the frequent tokens give, the chain's log10 likelihood. Per row and other word: tf."""
-    sent = rows.sparkSession.sparkContext.broadcast(model)  # bounded by FREQUENT, SHARED and STATES
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
-        symbols, n = Symbols(model.frequent), len(model.frequent)
-        frequent_log = np.log10(model.counts + ADD)
-        names = ["rid", "doc_id", "word", "tf", "n_tokens", "n_frequent", "base", "chain"]
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, counts, log_share = sent.value
+        symbols, n = Symbols(frequent), len(frequent)
+        frequent_log = np.log10(counts + ADD)
         for batch in batches:
             rids, ids = batch.column(0), batch.column(1)
             size = batch.num_rows
-            shares, base, known = np.zeros(size), np.zeros(size), np.zeros(size, np.int64)
-            parts: list[np.ndarray] = []
+            shares, base, known, lengths = np.zeros(size), np.zeros(size), np.zeros(size, np.int64), np.zeros(size, np.int64)
+            parts: list[bytes] = []
             owner: list[int] = []
             words: list[bytes] = []
             tfs: list[int] = []
@@ -291,21 +247,17 @@ def scored_parts(rows: DataFrame, model: Model) -> DataFrame:
                 tokens = [*lower_words_of(batch.column(2)[i].as_py()), END]
                 part = symbols.of(tokens)
                 own = part < n
-                known[i] = own.sum()
+                lengths[i], known[i] = len(part), own.sum()
                 base[i] = frequent_log[part[own]].sum()
-                shares[i] = model.log_share[part[~own] - n].sum()
+                shares[i] = log_share[part[~own] - n].sum()
                 rare = Counter(tokens[j] for j in np.flatnonzero(~own))
                 owner += [i] * len(rare)
                 words += rare.keys()
                 tfs += rare.values()
-                parts.append(part)
-            chain = -shares
-            for take, flat, first, lengths in sequences(parts):
-                chain[take] += forward(model, flat, first, lengths)[0]
-            sizes = pa.array([len(x) for x in parts], pa.int64())
+                parts.append(part.tobytes())
             none = lambda kind: pa.nulls(size, kind)
             yield pa.RecordBatch.from_arrays(
-                [rids, ids, none(pa.binary()), none(pa.int64()), sizes, pa.array(known), pa.array(base), pa.array(chain)], names
+                [rids, ids, none(pa.binary()), none(pa.int64()), *map(pa.array, (lengths, known, base, shares)), pa.array(parts, pa.binary())], names
             )
             empty = lambda kind: pa.nulls(len(words), kind)
             yield pa.RecordBatch.from_arrays(
@@ -314,13 +266,73 @@ def scored_parts(rows: DataFrame, model: Model) -> DataFrame:
                     empty(pa.int64()),
                     pa.array(words, pa.binary()),
                     pa.array(tfs, pa.int64()),
-                    *(empty(k) for k in (pa.int64(), pa.int64(), pa.float64(), pa.float64())),
+                    *(empty(k) for k in (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary())),
                 ],
                 names,
             )
 
     return rows.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text").mapInArrow(
-        score, "rid long, doc_id long, word binary, tf long, n_tokens long, n_frequent long, base double, chain double"
+        read, "rid long, doc_id long, word binary, tf long, n_tokens long, n_frequent long, base double, shares double, symbols binary"
+    )
+
+
+def first_state(part: np.ndarray, n_frequent: int, states: int) -> int:
+    """The state that a text is of at first: by its most repeated frequent word, the more frequent of equals; 0 without one."""
+    own = part[:-1][part[:-1] < n_frequent]
+    return int(np.argmax(np.bincount(own))) % states if len(own) else 0
+
+
+def full_round(model: Model, read: DataFrame, first: bool = False) -> Model:
+    """One round of Baum-Welch over every training text; the `first` takes each text as of its first state."""
+    sent = read.sparkSession.sparkContext.broadcast(model)
+    k, v = len(model.start), len(model.emit)
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = sent.value
+        totals = np.zeros(k), np.zeros((k, k)), np.zeros((v, k))
+        seen = False
+        for batch in batches:
+            parts = [np.frombuffer(x.as_buffer(), np.int32) for x in batch.column(0)]
+            seen |= bool(parts)
+            if first:
+                for part in parts:
+                    state = first_state(part, len(model.frequent), k)
+                    totals[0][state] += 1
+                    np.add.at(totals[2][:, state], part, 1)
+                continue
+            for _, flat, begins, sizes in sequences(parts):
+                expected(model, flat, begins, sizes, totals)
+        if seen:
+            yield vector_rows(np.concatenate([t.reshape(-1) for t in totals]))
+
+    parts = training(read).select("symbols").mapInArrow(gather, "slice int, data binary")
+    found = vector_sum(parts, k + k * k + v * k)
+    if not found.any():
+        return model
+    move = np.eye(k) * 100.0 if first else found[k : k + k * k].reshape(k, k)
+    return reestimated(model, found[:k], move, found[k + k * k :].reshape(v, k))
+
+
+def train(model: Model, read: DataFrame, rounds: int = ROUNDS) -> Model:
+    for k in range(rounds + 1):
+        model = full_round(model, read, first=k == 0)
+    return model
+
+
+def chain_rows(read: DataFrame, model: Model) -> DataFrame:
+    """Per row the log10 likelihood of the chain beside what is known of it."""
+    sent = read.sparkSession.sparkContext.broadcast(model)  # bounded by FREQUENT, SHARED and STATES
+    names = ["rid", "doc_id", "n_tokens", "n_frequent", "base", "chain"]
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            chain = -batch.column(5).to_numpy()
+            for take, flat, first, lengths in sequences([np.frombuffer(x.as_buffer(), np.int32) for x in batch.column(6)]):
+                chain[take] += forward(sent.value, flat, first, lengths)[0]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(chain)], names)
+
+    return read.select(*names[:5], "shares", "symbols").mapInArrow(
+        score, "rid long, doc_id long, n_tokens long, n_frequent long, base double, chain double"
     )
 
 
@@ -328,14 +340,16 @@ def score_texts(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS) ->
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
     rows = texts(docs)
     counts = stage(count_words(rows), "word-counts")
-    model = train(rows, counts, states, rounds)
-    parts = stage(scored_parts(rows, model), "hmm-parts")  # the row ids are fixed here
+    model = first_model(counts, states)
+    parts = stage(symbol_rows(rows, model), "hmm-symbols")  # the row ids are fixed here
+    read = parts.where("word IS NULL")
+    model = train(model, read, rounds)
     rare = parts.where("word IS NOT NULL").select("rid", "word", "tf").join(counts, "word", "left")
     rare = rare.groupBy("rid").agg(
         F.sum(F.col("tf") * F.log10(F.coalesce("c", F.lit(0)) + F.lit(ADD))).alias("rare_log"),
         F.sum(F.when(F.col("c") > 0, F.col("tf")).otherwise(0)).alias("rare_known"),
     )
-    out = parts.where("word IS NULL").join(rare, "rid", "left")
+    out = chain_rows(read, model).join(rare, "rid", "left")
     rest = F.coalesce("rare_log", F.lit(0.0))
     return out.select(
         "doc_id",
