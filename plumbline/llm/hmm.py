@@ -93,50 +93,59 @@ def sequences(parts: list[np.ndarray]) -> Iterator[tuple[list[int], np.ndarray,
         yield take, np.concatenate([parts[i] for i in take]), np.concatenate([[0], np.cumsum(sizes)])[:-1], sizes
 
 
+def by_step(first: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of all sequences in the order of their steps, and where each step begins in it."""
+    active = np.searchsorted(-sizes, -np.arange(int(sizes[0])), side="left")  # sequences longer than t
+    begins = np.concatenate([[0], np.cumsum(active)])
+    row = np.arange(begins[-1]) - np.repeat(begins[:-1], active)
+    return first[row] + np.repeat(np.arange(len(active)), active), begins
+
+
 def forward(model: Model, flat: np.ndarray, first: np.ndarray, sizes: np.ndarray, keep: bool = False):
-    """log10 likelihood of each sequence; with `keep` also the scaled forward values and scales of every token."""
-    n, steps = len(sizes), int(sizes[0])
-    active = np.searchsorted(-sizes, -np.arange(steps), side="left")  # sequences longer than t
-    out = np.zeros(n)
-    alpha = np.broadcast_to(model.start, (n, len(model.start))).astype(np.float64)
-    kept = np.empty((len(flat), len(model.start))) if keep else None
+    """log10 likelihood of each sequence; with `keep` also the order by step, the emissions in it, scaled forward values and scales."""
+    order, begins = by_step(first, sizes)
+    emitted = model.emit[flat[order]]
+    out = np.zeros(len(sizes))
+    alpha = np.broadcast_to(model.start, (len(sizes), len(model.start)))
+    kept = np.empty_like(emitted) if keep else None
     scales = np.empty(len(flat)) if keep else None
-    for t in range(steps):
-        m = active[t]
-        at = first[:m] + t
-        now = (alpha[:m] if t == 0 else alpha[:m] @ model.move) * model.emit[flat[at]]
+    for t in range(len(begins) - 1):
+        low, high = begins[t], begins[t + 1]
+        m = high - low
+        now = (alpha[:m] if t == 0 else alpha[:m] @ model.move) * emitted[low:high]
         scale = now.sum(axis=1)
         now /= scale[:, None]
         out[:m] += np.log10(scale)
         if keep:
-            kept[at] = now
-            scales[at] = scale
+            kept[low:high] = now
+            scales[low:high] = scale
         alpha = now
-    return out, kept, scales
+    return (out, order, begins, emitted, kept, scales) if keep else (out,)
 
 
 def expected(model: Model, flat: np.ndarray, first: np.ndarray, sizes: np.ndarray, totals: tuple) -> float:
     """Add the expected starts, moves and emissions of a group of sequences to `totals`; returns its log10 likelihood."""
     start, move, emit = totals
-    found, kept, scales = forward(model, flat, first, sizes, keep=True)
-    n, steps, k = len(sizes), int(sizes[0]), len(model.start)
-    active = np.searchsorted(-sizes, -np.arange(steps), side="left")
-    beta = np.ones((n, k))
-    for t in range(steps - 1, -1, -1):
-        m = active[t]
-        at = first[:m] + t
-        if t + 1 < steps and (later := active[t + 1]):
-            nxt = first[:later] + t + 1
-            ahead = beta[:later] * model.emit[flat[nxt]] / scales[nxt][:, None]
-            move += (kept[at[:later]].T @ ahead) * model.move
+    found, order, begins, emitted, kept, scales = forward(model, flat, first, sizes, keep=True)
+    emitted /= scales[:, None]
+    beta = np.ones((len(sizes), len(model.start)))
+    for t in range(len(begins) - 2, -1, -1):
+        low, high = begins[t], begins[t + 1]
+        if t + 2 < len(begins):
+            later = begins[t + 2] - high
+            ahead = beta[:later] * emitted[high : high + later]
+            move += (kept[low : low + later].T @ ahead) * model.move
             beta[:later] = ahead @ model.move.T
-        # kept now holds the posterior of the state at each token
-        kept[at] *= beta[:m]
-    start += kept[first].sum(axis=0)
-    order = np.argsort(flat, kind="stable")
-    symbols = flat[order]
+        # kept from the next step on holds the posterior of the state at each token
+        if t + 2 < len(begins):
+            kept[high : high + later] = posterior
+        posterior = kept[low:high] * beta[: high - low]
+    kept[: begins[1]] = posterior
+    start += posterior.sum(axis=0)
+    by_symbol = np.argsort(flat[order], kind="stable")
+    symbols = flat[order][by_symbol]
     edges = np.flatnonzero(np.concatenate([[True], symbols[1:] != symbols[:-1]]))
-    emit[symbols[edges]] += np.add.reduceat(kept[order], edges, axis=0)
+    emit[symbols[edges]] += np.add.reduceat(kept[by_symbol], edges, axis=0)
     return float(found.sum())
 
 
