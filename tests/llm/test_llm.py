@@ -609,6 +609,37 @@ def test_runs_around_boilerplate_and_copies_stay(spark):
         assert got[20] == got[21] == bare and all(got[30 + i] == f"{bare} changed{i} {bare}" for i in range(3))
 
 
+def test_marks_of_wrappers_and_inline_elements():
+    def text(source):
+        return " ".join(t for _, _, t in extract.read_page(source).kept_blocks())
+
+    for name in ("site no-sidebar", "content-with-sidebar", "sidebar-left-layout", "page has-ads"):
+        assert text(f'<div class="{name}"><article><p>All of it</p></article></div>') == "All of it"
+        assert text(f'<div class="{name}"><p>All of it</p></div>') == "All of it"
+    assert text("<form><main><p>All of it</p></main><p>Mail</p></form><aside><article>Teaser</article></aside>") == "All of it Mail"
+    inline = '<p>One <span class="advert">Buy now</span> two <span hidden>secret <b>x</b></span> three <a class="share">Share</a><p>four'
+    assert text(inline) == "One two three four"
+    assert text("<article><p>Own text of it</p><article class='comment'>Reply</article></article>") == "Own text of it"
+
+
+def test_shared_substrings():
+    rng = np.random.default_rng(4)
+    for depth in (2, 4):
+        pages = [rng.integers(0, 3, n).astype(np.uint64) for n in (0, 1, 5, 30, 30, 2)]
+        want = defaultdict(set)
+        for k, p in enumerate(pages):
+            for i in range(len(p) - depth + 1):
+                want[tuple(p[i : i + depth])].add(k)
+        got = {tuple(pages[k][i : i + depth]): n for k, i, n in zip(*extract.shared_substrings(pages, depth), strict=True)}
+        assert got == {key: len(held) for key, held in want.items()}
+
+
+def test_token_hashes():
+    tokens = "a b ab ba aab é e a éa ab x".split(" ")
+    hashes = extract.token_hashes(" ".join(tokens).encode())
+    assert len(set(hashes.tolist())) == len(set(tokens)) and hashes[0] == hashes[7] and hashes[2] == hashes[9]
+
+
 def test_suffix_ranks():
     tokens = np.array([3, 1, 2, 3, 1, 2, 9, 3, 1])
     order, rank = extract.suffix_ranks(tokens, 4)
