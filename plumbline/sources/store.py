@@ -3,10 +3,14 @@
 Keys are hashes of what a row says (its natural key), so two runs on different clusters give the
 same row the same key and no counter has to be shared. Rows that a table already has are not
 appended again.
+
+Each append writes a folder per table and, last of all, its manifest. Readers see only what manifests name, so the
+tables of a run appear together or not at all. Two appends at once may both bring a row; readers take it once.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -166,33 +170,59 @@ def only_new(existing: DataFrame, rows: DataFrame) -> DataFrame:
     return rows.join(existing.select(key), key, "left_anti")
 
 
+_MANIFESTS = "manifests"
+
+
+def _link(schema: str) -> str | None:
+    """The column that names a verdict's validation."""
+    return next((c for c in schema.split() if c.lower().strip(",") in ("validation_id", "validationid")), None)
+
+
+def _stored(spark: SparkSession, path: str, schema: str, kind: str) -> DataFrame:
+    schema = f"{schema}, attempt string"
+    try:
+        return spark.read.schema(schema).format(kind).load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def read_store(spark: SparkSession, path: str, layout: Mapping[str, str] = TABLES) -> dict[str, DataFrame]:
-    """The tables of a store; a table that was never written is empty."""
+    """The tables of a store as of now; a table that was never written is empty.
+
+    Manifests are listed before the tables, and a manifest is younger than its rows, so all tables show the same runs.
+    """
+    # One short row per run.
+    runs = _stored(spark, f"{path}/{_MANIFESTS}", "batch string, timestamp string", "json").select("attempt").distinct()
     tables = {}
     for name, schema in layout.items():
-        try:
-            tables[name] = spark.read.schema(schema).parquet(f"{path}/{name}")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            tables[name] = spark.createDataFrame([], schema)
+        rows = _stored(spark, f"{path}/{name}", schema, "parquet")
+        # A key says which validation it belongs to; naming that as well lets filters on it reach the files.
+        keys = list(dict.fromkeys(filter(None, [rows.columns[0], _link(schema)])))
+        tables[name] = rows.join(runs, "attempt", "left_semi").drop("attempt").dropDuplicates(keys)
     return tables
 
 
-def _append(spark: SparkSession, path: str, layout: Mapping[str, str], rows: Mapping[str, DataFrame]) -> None:
-    """Append what is new, parents before children.
+def _append(
+    spark: SparkSession, path: str, layout: Mapping[str, str], rows: Mapping[str, DataFrame], batch: str, timestamp: str
+) -> None:
+    """Append what is new, parents before children, and the manifest after all of them.
 
     A verdict's key holds its validation's. Verdicts, which can be many, are therefore compared only with
     those of the validations at hand, which their writer sorts by, so that Parquet skips the others.
     """
     existing = read_store(spark, path, layout)
+    attempt = f"attempt={uuid.uuid4().hex}"
     for name in layout:
         known, new = existing[name], rows[name]
-        link = next((c for c in layout[name].split() if c.lower().strip(",") in ("validation_id", "validationid")), None)
+        link = _link(layout[name])
         if link and new.columns[0] != link:
             runs = [r[0] for r in new.select(link).distinct().collect()]  # one per suite of the run
             known, new = known.where(F.col(link).isin(runs)), new.sortWithinPartitions(link)
-        only_new(known, new).write.mode("append").parquet(f"{path}/{name}")
+        only_new(known, new).write.parquet(f"{path}/{name}/{attempt}")
+    manifest = spark.range(1, numPartitions=1).select(F.lit(batch).alias("batch"), F.lit(timestamp).alias("timestamp"))
+    manifest.write.json(f"{path}/{_MANIFESTS}/{attempt}")
 
 
 def append_to_store(results: DataFrame, path: str, batch: str, timestamp: str) -> None:
@@ -200,12 +230,13 @@ def append_to_store(results: DataFrame, path: str, batch: str, timestamp: str) -
 
     The verdicts are written once before the tables are made from them, so the data is checked once.
     """
-    _append(results.sparkSession, path, TABLES, store_rows(staged(results), batch, timestamp))
+    _append(results.sparkSession, path, TABLES, store_rows(staged(results), batch, timestamp), batch, timestamp)
 
 
 def append_to_compact_store(results: DataFrame, path: str, batch: str, timestamp: str) -> None:
     """The same in the compact layout."""
-    _append(results.sparkSession, path, COMPACT_TABLES, compact_store_rows(staged(results), batch, timestamp))
+    rows = compact_store_rows(staged(results), batch, timestamp)
+    _append(results.sparkSession, path, COMPACT_TABLES, rows, batch, timestamp)
 
 
 def store_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
