@@ -866,6 +866,32 @@ def date_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_TEXTS = "(SELECT strftime(o_orderdate::DATE, '%d/%m/%Y') AS day, strftime(o_orderdate::DATE, '%Y%m') AS month FROM orders)"
+
+
+@query(
+    union_all(
+        count_rule(0, _TEXTS, "count(*) >= 1", where="day = '30/06/1997'"),
+        count_rule(1, _TEXTS, "count(*) <= 2", where="month = '199704'"),
+        count_rule(2, _TEXTS, "count(*) >= 1", where="month >= '199701' AND month < '199706'"),
+        null_rule(3, "day", _TEXTS, where="day <> '07/06/1997'"),
+    )
+)
+def suite_formatted_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conditions that compare days kept as text with date macros in the same format."""
+    register_date_macros(spark, dt.date(1997, 6, 14))
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "date_format(o_orderdate, 'dd/MM/yyyy') AS day", "date_format(o_orderdate, 'yyyyMM') AS month"
+    )
+    rules = [
+        rule(COUNT, min_value=1).where("day = quarter_end_text('%d/%m/%Y')"),
+        rule(COUNT, max_value=2).where("month = quarter_start_text('%Y%m')"),
+        rule(COUNT, min_value=1).where("month >= year_start_text(format => '%Y%m') AND month < today_text('%Y%m')"),
+        rule(NOT_NULL, column="day").where("day <> today_minus_text(7, '%d/%m/%Y')"),
+    ]
+    return verdicts(validate(orders, rules))
+
+
 _CONDITION = "'event_type = :kind_' || event_type || ' AND value > :min_value AND props <> '':not_'' AND user_id = :user_' || user_id"
 
 

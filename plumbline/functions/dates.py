@@ -160,10 +160,24 @@ _SQL_BODIES: dict[str, tuple[str, str]] = {
 }
 
 
+def _formatted(day: str) -> str:
+    """SQL text of a date in the strftime format that is named `format`.
+
+    Values hold no percent sign, so one directive after the other can be replaced. With a constant format Spark folds
+    it all into one literal. What is no directive of the table raises an error, which fails the rule.
+    """
+    text = "replace(format, '%%', chr(1))"
+    for directive, pattern in _PATTERNS.items():
+        text = f"replace({text}, '{directive}', date_format({day}, '{pattern}'))"
+    known = f"IF(contains({text}, '%'), raise_error(concat('unsupported format ', format)), {text})"
+    return f"replace({known}, chr(1), '%')"
+
+
 def register_date_macros(spark: SparkSession, as_of: dt.date) -> None:
     """Define the macros as temporary SQL functions anchored at `as_of`.
 
-    A condition may then say `o_orderdate >= month_start()` or `ts < today_minus(days => 7)`.
+    A condition may then say `o_orderdate >= month_start()` or `ts < today_minus(days => 7)`. Each macro also comes
+    as text, in a format given last: `day = month_start_text('%d/%m/%Y')`, `day = today_minus_text(7, '%Y%m%d')`.
     """
     anchor = f"DATE'{as_of.isoformat()}'"
     for name, (signature, body) in _SQL_BODIES.items():
@@ -171,3 +185,8 @@ def register_date_macros(spark: SparkSession, as_of: dt.date) -> None:
             f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({signature}) RETURNS DATE "
             f"RETURN {body.format(d=anchor)}"
         )
+        arguments = ", ".join(filter(None, [signature, f"format STRING DEFAULT '{ISO_DATE}'"]))
+        spark.sql(
+            f"CREATE OR REPLACE TEMPORARY FUNCTION {name}_text({arguments}) RETURNS STRING "
+            f"RETURN {_formatted(body.format(d=anchor))}"
+        )

@@ -14,15 +14,16 @@ from plumbline.sources.readers import staged
 
 Item = TypeVar("Item")
 
-# SQL states of class 22 are errors of the data: division by zero, overflow, a text that is no number.
-_DATA_ERROR = re.compile(r"\[([A-Z][A-Z0-9_.]*)\][^\n]*(?:\n[^\n]*){0,8}?SQLSTATE: 22")
+# SQL states of class 22 are errors of the data: division by zero, overflow, a text that is no number. P0001 is what a
+# condition raises itself.
+_DATA_ERROR = re.compile(r"\[([A-Z][A-Z0-9_.]*)\][^\n]*(?:\n[^\n]*){0,8}?SQLSTATE: (?:22|P0001)")
 
 
 def data_error(error: PySparkException | Py4JJavaError) -> str | None:
     """The condition of a data error, also of one that ended a task; None for any other failure."""
     if "PatternSyntaxException" in str(error):
         return "INVALID_PARAMETER_VALUE.PATTERN"
-    if isinstance(error, PySparkException) and (error.getSqlState() or "").startswith("22"):
+    if isinstance(error, PySparkException) and (error.getSqlState() or "").startswith(("22", "P0001")):
         return error.getCondition() or type(error).__name__
     found = _DATA_ERROR.search(str(error))
     return found[1] if found else None
