@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from fractions import Fraction
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -263,6 +266,44 @@ def quantiles_narrowed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frame.withColumn("quantile", F.round("quantile", 4))
 
 
+_EXACT = {
+    "far_key": f"{2**60}::HUGEINT + o_orderkey",
+    "far_amount": f"{10**30}::HUGEINT + o_custkey",
+    "micros": "epoch_us(o_orderdate::TIMESTAMP)::HUGEINT",
+}
+
+
+def _exact_oracle(name: str, value: str) -> str:
+    # Four times each quartile is a whole number.
+    return "\nUNION ALL\n".join(
+        f"""SELECT '{name}' AS column_name, {k} AS quarter, ((4 * low + (high - low) * share) // 4)::VARCHAR AS whole,
+       {"0" if name == "micros" else "((4 * low + (high - low) * share) % 4)::INT"} AS quarters
+FROM (SELECT min(v) FILTER (WHERE r = {k} * (n - 1) // 4) AS low, min(v) FILTER (WHERE r = ({k} * (n - 1) + 3) // 4) AS high,
+             any_value({k} * (n - 1) % 4) AS share
+      FROM (SELECT {value} AS v, row_number() OVER (ORDER BY {value}) - 1 AS r, count(*) OVER () AS n FROM orders))"""
+        for k in (1, 2, 3)
+    )
+
+
+@query(union_all(*[_exact_oracle(name, value) for name, value in _EXACT.items()]))
+def quantiles_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quartiles of a bigint and a decimal column whose values are closer together than doubles are, and of times."""
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        f"{2**60}L + o_orderkey AS far_key",
+        f"CAST({10**30} + o_custkey AS DECIMAL(38, 0)) AS far_amount",
+        "CAST(o_orderdate AS TIMESTAMP) AS micros",
+    )
+    found = exact_quantiles(orders, list(_EXACT), ranked_rows=1000)
+    rows = []
+    for name, values in found.items():
+        for k, value in enumerate(values, 1):
+            if name == "micros":
+                value = (value - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
+            scaled = int(4 * Fraction(value))
+            rows.append((name, k, str(scaled // 4), scaled % 4))
+    return spark.createDataFrame(rows, "column_name string, quarter int, whole string, quarters int")
+
+
 @query(
     union_all(
         *[

@@ -8,6 +8,7 @@ sketch tells whether a value list is worth moving them.
 
 from __future__ import annotations
 
+import decimal
 import math
 from typing import Any
 
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.operators.quantiles import RANKED_ROWS, exact_quantiles
+from plumbline.operators.quantiles import RANKED_ROWS, between, exact_quantiles, order_of
 from plumbline import sqltext as sql
 from plumbline.plans.frequency import KEY_LENGTH, countable, key_tally, tally
 from plumbline.sources.readers import columnar, staged
@@ -108,10 +109,10 @@ def _sketches(df: DataFrame, fields: list[tuple[int, T.StructField]]) -> dict[st
 _LIST = "array<struct<value: string, n: bigint>>"
 
 
-def _branch(position: int, source: str, distinct: str, quartiles: str = "NULL", listed: str = "NULL") -> str:
+def _branch(position: int, source: str, distinct: str, quartiles: str = "NULL", listed: str = "NULL", ends: str = "NULL") -> str:
     return (
         f"SELECT {position} AS position, {distinct} AS counted, CAST({quartiles} AS ARRAY<DOUBLE>) AS exact_quartiles, "
-        f"CAST({listed} AS {_LIST}) AS listed FROM {source}"
+        f"CAST({ends} AS ARRAY<STRING>) AS ends, CAST({listed} AS {_LIST}) AS listed FROM {source}"
     )
 
 
@@ -142,38 +143,65 @@ def _text_branch(position: int, column: str) -> str:
     return _branch(position, counted, "count_if(__n > 0)", listed=listed)
 
 
-def _ranked_branch(position: int, column: str, count: int) -> str:
-    """A numeric column with few enough values for one task to rank them: quartiles from the counts."""
+def _ranked_branch(position: int, field: T.StructField, count: int) -> str:
+    """A numeric column with few enough values for one task to rank them: quartiles from the counts.
+
+    Where doubles would round the values, the two values that each quartile lies between are given as text.
+    """
+    column, wide = field.name, order_of(field.name, field.dataType).wide
+    number = "__v" if wide else "CAST(__v AS DOUBLE)"
     ranked = (
         "(SELECT number, sum(__n) OVER (ORDER BY number ROWS UNBOUNDED PRECEDING) AS upto FROM "
-        f"(SELECT CAST(__v AS DOUBLE) AS number, __n FROM {tally(column)} WHERE __v IS NOT NULL))"
+        f"(SELECT {number} AS number, __n FROM {tally(column)} WHERE __v IS NOT NULL))"
     )
     points = []
     for p in QUARTILES:
         place = p * (count - 1)
         low, high = (f"min(number) FILTER (WHERE upto > {rank})" for rank in (math.floor(place), math.ceil(place)))
-        points.append(f"{low} + ({high} - {low}) * {sql.number(place - math.floor(place))}")
+        if wide:
+            points += [f"CAST({low} AS STRING)", f"CAST({high} AS STRING)"]
+        else:
+            points.append(f"{low} + ({high} - {low}) * {sql.number(place - math.floor(place))}")
+    if wide:
+        return _branch(position, ranked, "count(1)", ends=f"array({', '.join(points)})")
     return _branch(position, ranked, "count(1)", f"array({', '.join(points)})")
 
 
+def _quartiles(row: dict, counts: dict[int, int]) -> dict:
+    """Quartiles as doubles and as text, of a column given by the values that they lie between."""
+    ends = row.pop("ends")
+    if ends and None not in ends:
+        places = [p * (counts[row["position"]] - 1) for p in QUARTILES]
+        values = [decimal.Decimal(e) for e in ends]
+        found = [between(values[2 * k], values[2 * k + 1], place - math.floor(place)) for k, place in enumerate(places)]
+        row |= {"exact_quartiles": [float(v) for v in found], "texts": [_plain(v) for v in found]}
+    return row
+
+
+def _plain(value: float | decimal.Decimal) -> str:
+    return f"{value:f}" if isinstance(value, decimal.Decimal) else repr(value)
+
+
 _KNOWN = (
     "position int, column_name string, data_type string, kind string, record_count bigint, count bigint, "
     "min double, max double, exact_min string, exact_max string, mean double, stddev double, min_length int, max_length int, avg_length double, "
-    "min_time string, max_time string, sketch bigint, known_quartiles array<double>"
+    "min_time string, max_time string, sketch bigint, known_quartiles array<double>, known_texts array<string>"
 )
 
 
-def _known(fields: list[tuple[int, T.StructField]], facts: dict[str, Any], points: dict[str, list[float]]) -> list[dict]:
+def _known(fields: list[tuple[int, T.StructField]], facts: dict[str, Any], points: dict[str, list[Any]]) -> list[dict]:
     rows = []
     names = ("count", "min", "max", "exact_min", "exact_max", "mean", "stddev", "min_length", "max_length", "avg_length", "min_time", "max_time")
     for i, field in fields:
+        own = points.get(field.name)
         row = {
             "position": i,
             "column_name": field.name,
             "data_type": field.dataType.simpleString(),
             "kind": kind_of(field.dataType),
             "record_count": facts["rows"],
-            "known_quartiles": points.get(field.name) or facts.get(f"quartiles{i}"),
+            "known_quartiles": [float(v) for v in own] if own else facts.get(f"quartiles{i}"),
+            "known_texts": [_plain(v) for v in own] if own and order_of(field.name, field.dataType).wide else None,
             "sketch": facts.get(f"sketch{i}"),
         }
         row |= {name: facts.get(f"{name}{i}") for name in names}
@@ -210,6 +238,9 @@ _PROFILE = (
     "max_time",
     "exact_min",
     "exact_max",
+    "quartile_texts[0] AS exact_p25",
+    "quartile_texts[1] AS exact_p50",
+    "quartile_texts[2] AS exact_p75",
     "map_from_entries(listed) AS value_counts",
     "is_category AS probable_category",
     f"CASE WHEN is_category THEN slice(listed, 1, {CATEGORY_VALUES}) END AS top_values",
@@ -229,6 +260,7 @@ def profile(
     and quartiles are exact; a numeric column with more than `ranked_rows` values takes narrowing
     rounds for its quartiles. Without `exact` they come from sketches, and only text columns with few
     values are counted. `max_sample_rows` profiles a sample of about that size instead of the whole table.
+    Quartiles are doubles; those of bigint and of decimals with more than 15 digits also come as exact texts.
     Columns of nested types get null counts only, so no column can make the profile fail.
     """
     df = sample_capped(df, max_sample_rows) if max_sample_rows is not None else columnar(df)
@@ -259,7 +291,7 @@ def profile(
         elif not exact or not countable(field.dataType):
             continue
         elif kind == NUMERIC and field.name not in points:
-            branches.append(_ranked_branch(i, field.name, facts[f"count{i}"]))
+            branches.append(_ranked_branch(i, field, facts[f"count{i}"]))
         else:
             branches.append(_distinct_branch(i, field))
     # One row per column of the table on both sides of the join.
@@ -267,11 +299,12 @@ def profile(
     # One plan for a thousand columns would take the driver longer than the data takes the cluster. Each
     # job gives one row per column, with at most LISTED_VALUES values.
     rows: list[dict] = []
+    counts = {i: facts[f"count{i}"] for i, _ in fields}
     for start in range(0, len(branches), COLUMNS_PER_JOB):
         job = sql.over(df, " UNION ALL ".join(branches[start : start + COLUMNS_PER_JOB]))
-        rows += [row.asDict(recursive=True) for row in job.collect()]
+        rows += [_quartiles(row.asDict(recursive=True), counts) for row in job.collect()]
     counted = sql.local_table(
-        df.sparkSession, rows, f"position int, counted bigint, exact_quartiles array<double>, listed {_LIST}"
+        df.sparkSession, rows, f"position int, counted bigint, exact_quartiles array<double>, texts array<string>, listed {_LIST}"
     )
     return (
         known.join(F.broadcast(counted), "position", "left")
@@ -279,6 +312,7 @@ def profile(
             "*",
             "coalesce(counted, sketch) AS distinct_count",
             "coalesce(known_quartiles, exact_quartiles) AS quartiles",
+            "coalesce(known_texts, texts) AS quartile_texts",
             f"CASE WHEN counted <= {LISTED_IF_DISTINCT_AT_MOST} THEN listed END AS few",
         )
         .drop("listed")

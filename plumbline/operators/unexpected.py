@@ -23,11 +23,18 @@ RULES_PER_PASS = 64
 
 
 def _entry(item: Planned, column: str) -> str:
-    # Numbers sort as numbers, everything else as its text.
+    # Numbers sort as numbers, everything else as its text. Doubles round bigint and decimals; those that fall together
+    # are told apart by their whole part and what is over it.
     order = f"CAST({column} AS DOUBLE)" if isinstance(item.data_type, T.NumericType) else "CAST(NULL AS DOUBLE)"
+    whole = rest = "NULL"
+    if isinstance(item.data_type, T.LongType):
+        whole = column
+    elif isinstance(item.data_type, T.DecimalType):
+        whole, rest = f"floor({column})", f"{column} - floor({column})"
     return (
         f"struct({item.seq} AS seq, {group_key_text(item.rule.group_by)} AS group_key, "
-        f"{order} AS order_number, CAST({column} AS STRING) AS value)"
+        f"{order} AS order_number, CAST({whole} AS DECIMAL(38, 0)) AS order_whole, "
+        f"try_cast({rest} AS DECIMAL(38, 37)) AS order_rest, CAST({column} AS STRING) AS value)"
     )
 
 
@@ -75,7 +82,7 @@ def unexpected_values(
     found = reduce(DataFrame.unionByName, parts).selectExpr("*", f"pmod(spark_partition_id(), {BUCKETS}) AS bucket")
     # Two steps: the first of each bucket of tasks, then the first of those, so that no task gets a
     # list from every task of the scan.
-    ranked = "row_number() OVER (PARTITION BY {} ORDER BY order_number, value)"
+    ranked = "row_number() OVER (PARTITION BY {} ORDER BY order_number, order_whole, order_rest, value)"
     near = found.selectExpr("*", f"{ranked.format('seq, group_key, bucket')} AS place").where(f"place <= {limit}")
     return near.selectExpr("seq", "group_key", f"{ranked.format('seq, group_key')} AS rank", "value").where(f"rank <= {limit}")
 

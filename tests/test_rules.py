@@ -345,6 +345,13 @@ def test_unexpected_list_is_bounded_and_ordered(spark):
     assert json.loads(rows[1]["unexpected_list"]) == [str(i) for i in range(900, 920)]
 
 
+def test_unexpected_values_beyond_doubles_are_in_order(spark):
+    df = spark.range(5).selectExpr("-9007199254740990 - id AS v", "CAST(-1e20BD - id / 1000BD AS DECIMAL(30, 3)) AS w")
+    rows = verdicts(df, [Rule.make(BETWEEN, column=c, min_value=0) for c in "vw"], samples=True)
+    assert json.loads(rows[0]["unexpected_list"]) == [str(-9007199254740990 - i) for i in (4, 3, 2, 1, 0)]
+    assert json.loads(rows[1]["unexpected_list"]) == [f"-100000000000000000000.00{i}" for i in (4, 3, 2, 1, 0)]
+
+
 @pytest.mark.parametrize(
     ("data_type", "alias", "expected"),
     [

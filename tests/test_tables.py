@@ -1,7 +1,9 @@
 """Profile, quantiles, constraints, structure, outliers, proposals."""
 
+import datetime as dt
 import json
 import math
+from decimal import Decimal
 
 import numpy as np
 import pytest
@@ -123,6 +125,33 @@ def test_quantiles_are_exact(spark, spread):
         assert got == pytest.approx(np.quantile(values, probabilities).tolist(), rel=1e-12)
 
 
+def test_quantiles_beyond_doubles(spark):
+    low = 9007199254740993
+    df = spark.createDataFrame([(low,), (low,), (low + 2,)], "v bigint")
+    assert exact_quantiles(df, ["v"], [0.0, 0.25, 0.5, 1.0]) == {"v": [low, low, low, low + 2]}
+    got = profile(df).first()
+    assert [got["exact_p25"], got["exact_p50"], got["exact_p75"]] == [str(low), str(low), str(low + 1)]
+    # Many rows of one double, of a bigint and of a decimal with a fraction; two columns in one result.
+    rows = spark.range(3000).selectExpr(
+        "4611686018427387904 + id % 400 AS a", "CAST(1e20BD + id / 1000BD AS DECIMAL(30, 3)) AS b", "-9007199254740993 - id AS c"
+    )
+    for ranked_rows in (50, 1_000_000):
+        found = exact_quantiles(rows, ["a", "b", "c"], [0.5, 1.0], ranked_rows)
+        values = sorted(2**62 + i % 400 for i in range(3000))
+        assert found["a"] == [Decimal(values[1499] + values[1500]) / 2, 2**62 + 399]
+        assert found["b"] == [Decimal("100000000000000000001.4995"), Decimal("100000000000000000002.999")]
+        assert found["c"] == [-(2**53) - 1 - Decimal("1499.5"), -(2**53) - 1]
+    for ranked_rows in (50, 5000):
+        assert profile(rows, ranked_rows=ranked_rows).first()["exact_p50"] == str(2**62 + 187)
+
+
+def test_quantiles_of_days_and_times(spark):
+    df = spark.sql("SELECT DATE'2024-02-28' + CAST(id AS INT) AS d, TIMESTAMP'2500-01-01 00:00:00.000001' + make_dt_interval(0, 0, 0, id) AS t FROM range(4)")
+    found = exact_quantiles(df, ["d", "t"], [0.0, 0.5])
+    assert found["d"] == [dt.datetime(2024, 2, 28), dt.datetime(2024, 2, 29, 12)]
+    assert found["t"] == [dt.datetime(2500, 1, 1, 0, 0, 0, 1), dt.datetime(2500, 1, 1, 0, 0, 1, 500001)]
+
+
 def test_quantiles_of_columns_without_values(spark):
     df = spark.createDataFrame([(None, 1), (None, 2)], "a double, b int")
     assert exact_quantiles(df, ["a", "b"], [0.5]) == {"b": [1.5]}

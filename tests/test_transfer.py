@@ -1,6 +1,7 @@
 """Sources, sinks, store, dates, parameters, streams."""
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 import pytest
@@ -15,7 +16,7 @@ from plumbline.operators.suite import validate
 from plumbline.plans.rules import Rule, rules_from_config, rules_to_frame
 from plumbline import session
 from plumbline.session import drop_staged, scratch_dir
-from plumbline.sources import readers
+from plumbline.sources import readers, store
 from plumbline.sources.readers import (
     between_days,
     columnar,
@@ -69,6 +70,23 @@ def test_date_macros(spark, macro, arguments, day, expected):
     register_date_macros(spark, dt.date.fromisoformat(day))
     called = spark.sql(f"SELECT CAST({macro}({', '.join(map(str, arguments))}) AS STRING)").first()[0]
     assert built == called == expected
+    given = ", ".join([*map(str, arguments), "'%d.%m.%y %%Y %j o''clock'"])
+    formatted, plain = spark.sql(f"SELECT {macro}_text({given}), {macro}_text()").first()
+    there = dt.date.fromisoformat(expected)
+    assert formatted == there.strftime("%d.%m.%y %%Y %j o'clock")
+    assert arguments or plain == expected
+
+
+def test_formats_in_conditions(spark, meters):
+    register_date_macros(spark, dt.date(2024, 5, 3))
+    conditions = ["day = today_minus_text(1, '%Y-%m-%d')", "day = month_start_text()", "day = today_text('%Q')"]
+    rules = [Rule.make("expect_table_row_count_to_be_between", min_value=1).where(c) for c in conditions]
+    got = {r["seq"]: r for r in validate(meters, rules).collect()}
+    assert [got[i]["success"] for i in range(3)] == [True, True, False]
+    assert [got[i]["element_count"] for i in range(2)] == [3, 1]
+    # A constant format leaves nothing to reckon per row.
+    plan = meters.where("day = month_end_text('%Y-%m-%d')")._jdf.queryExecution().optimizedPlan().toString()
+    assert "2024-05-31" in plan and "replace" not in plan
 
 
 def test_formats(spark):
@@ -213,6 +231,52 @@ def test_store_is_idempotent_and_linked(spark, meters):
     assert results_with_rules(tables).count() == 15
 
 
+def test_a_run_is_stored_as_a_whole(spark, meters, monkeypatch):
+    path = scratch_dir(spark, "store-whole")
+    results = staged(validate(meters, [Rule.make(NOT_NULL, column="meter").by("day")], source="meters"))
+    append_to_store(results, path, "b1", "2024-01-01 00:00:00")
+
+    def sizes():
+        return {name: df.count() for name, df in read_store(spark, path).items()}
+
+    before, calls, whole = sizes(), [], store.only_new
+
+    def dies_after_three(existing, rows):
+        calls.append(1)
+        if len(calls) > 3:
+            raise RuntimeError("lost")
+        return whole(existing, rows)
+
+    monkeypatch.setattr(store, "only_new", dies_after_three)
+    with pytest.raises(RuntimeError):
+        append_to_store(results, path, "b2", "2024-01-02 00:00:00")
+    monkeypatch.undo()
+    assert sizes() == before
+    append_to_store(results, path, "b2", "2024-01-02 00:00:00")
+    after = sizes()
+    assert after["validation_results"] == 2 * before["validation_results"] and after["datasources"] == 1
+    assert all(r["is_valid"] for r in check_store(read_store(spark, path)).collect())
+
+
+def test_two_appends_at_once(spark, meters):
+    path = scratch_dir(spark, "store-twice")
+    results = staged(validate(meters, [Rule.make(NOT_NULL, column="meter").by("day")], source="meters"))
+    with ThreadPoolExecutor(3) as pool:
+        runs = [pool.submit(append_to_store, results, path, b, "2024-01-01 00:00:00") for b in ("b1", "b2", "b2")]
+        for run in runs:
+            run.result()
+    tables = read_store(spark, path)
+    got = {name: df.count() for name, df in tables.items()}
+    assert got == {
+        "datasources": 1, "expectation_suites": 1, "expectations": 1, "batches": 2, "validations": 2,
+        "validation_results": 2 * results.count(),
+    }
+    assert all(r["is_valid"] for r in check_store(tables).collect())
+    # A filter on the validation reaches the files.
+    plan = tables["validation_results"].where("validation_id = 'x'")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(validation_id,x)" in plan
+
+
 def test_suites_are_saved_and_applied_by_name(spark, tmp_path, meters):
     document = {"expectation_suite_name": "a", "expectations": [{"type": NOT_NULL, "column": "meter", "row_condition": "reading > 1"}]}
     rows = rules_to_frame(spark, rules_from_config(document) + rules_from_config([{"type": NOT_NULL, "column": "x"}], "b"))
