@@ -188,20 +188,26 @@ def _stored(spark: SparkSession, path: str, schema: str, kind: str) -> DataFrame
         return spark.createDataFrame([], schema)
 
 
-def read_store(spark: SparkSession, path: str, layout: Mapping[str, str] = TABLES) -> dict[str, DataFrame]:
-    """The tables of a store as of now; a table that was never written is empty.
+def _finished(spark: SparkSession, path: str, layout: Mapping[str, str]) -> dict[str, DataFrame]:
+    """The rows of all runs that have a manifest. What two appends at once have both brought is there twice.
 
     Manifests are listed before the tables, and a manifest is younger than its rows, so all tables show the same runs.
     """
     # One short row per run.
-    runs = _stored(spark, f"{path}/{_MANIFESTS}", "batch string, timestamp string", "json").select("attempt").distinct()
-    tables = {}
-    for name, schema in layout.items():
-        rows = _stored(spark, f"{path}/{name}", schema, "parquet")
-        # A key says which validation it belongs to; naming that as well lets filters on it reach the files.
-        keys = list(dict.fromkeys(filter(None, [rows.columns[0], _link(schema)])))
-        tables[name] = rows.join(runs, "attempt", "left_semi").drop("attempt").dropDuplicates(keys)
-    return tables
+    runs = _stored(spark, f"{path}/{_MANIFESTS}", "batch string, timestamp string", "json").select("attempt")
+    return {
+        name: _stored(spark, f"{path}/{name}", schema, "parquet").join(runs, "attempt", "left_semi").drop("attempt")
+        for name, schema in layout.items()
+    }
+
+
+def read_store(spark: SparkSession, path: str, layout: Mapping[str, str] = TABLES) -> dict[str, DataFrame]:
+    """The tables of a store as of now; a table that was never written is empty."""
+    # A key says which validation it belongs to; naming that as well lets filters on it reach the files.
+    return {
+        name: rows.dropDuplicates(list(dict.fromkeys(filter(None, [rows.columns[0], _link(layout[name])]))))
+        for name, rows in _finished(spark, path, layout).items()
+    }
 
 
 def _append(
@@ -212,7 +218,7 @@ def _append(
     A verdict's key holds its validation's. Verdicts, which can be many, are therefore compared only with
     those of the validations at hand, which their writer sorts by, so that Parquet skips the others.
     """
-    existing = read_store(spark, path, layout)
+    existing = _finished(spark, path, layout)
     attempt = f"attempt={uuid.uuid4().hex}"
     for name in layout:
         known, new = existing[name], rows[name]
