@@ -39,8 +39,22 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
 
 
 def read_csv_as_text(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header and every column a string."""
-    return spark.read.option("header", True).csv(path)
+    """CSV with a header and every column a string.
+
+    The names come from the first line, as Spark would take them. Without a schema Spark looks up each file by its own path
+    for them, in as many as 10,000 tasks.
+    """
+    reader = spark.read.option("header", True)
+    line = "__line"
+    lines = spark.read.schema(f"{line} string").text(path)
+    first = lines.where(F.length(F.trim(line)) > 0).select(line).take(1)
+    if not first:
+        return reader.csv(path)
+    header = reader.csv(spark.sparkContext.parallelize([first[0][line]], 1)).schema
+    folders = {name.lower() for name in lines.columns if name != line}
+    if folders & {name.lower() for name in header.names}:
+        return reader.csv(path)  # a column that is a folder's name too would be left out of a given schema
+    return reader.schema(header).csv(path)
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str | None = None, multi_line: bool = False) -> DataFrame:

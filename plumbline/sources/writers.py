@@ -13,6 +13,11 @@ from plumbline.sources.readers import EXTRACT_FETCH_ROWS, jdbc_options, staged
 
 RUN_FORMAT = "yyyyMMdd_HHmmss"
 
+# On local disks Hadoop writes a checksum file beside every file and, without its native library, starts a process to set the
+# permissions of each of the two. For many small files that is most of the time. Only for local paths: clients of other file
+# systems expect the usual class for their local buffers.
+_WITHOUT_CHECKSUM_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+
 
 def settled(results: DataFrame) -> DataFrame:
     """The verdicts as a written table. What uses verdicts more than once must not check the data again."""
@@ -102,11 +107,17 @@ def append_rows(spark: SparkSession, rows: Sequence[Mapping[str, Any]], database
     return len(rows)
 
 
+def _is_local(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getUri().getScheme() == "file"
+
+
 def write_by_day(df: DataFrame, column: str, path: str, max_rows: int = EXTRACT_FETCH_ROWS) -> None:
-    """CSV files in one folder per day, none longer than `max_rows`."""
+    """CSV files in one folder per day, none longer than `max_rows`. On local disks they have no checksum files beside them."""
     (
         df.withColumn("extract_date", F.to_date(F.col(f"`{column}`")))
         .write.partitionBy("extract_date")
+        .options(**(_WITHOUT_CHECKSUM_FILES if _is_local(df.sparkSession, path) else {}))
         .option("header", True)
         .option("maxRecordsPerFile", max_rows)
         .csv(path)

@@ -23,6 +23,7 @@ from plumbline.sources.readers import (
     day_predicates,
     jdbc_options,
     limited_batch,
+    read_csv_as_text,
     reads_whole_rows,
     resolve_source,
     staged,
@@ -200,6 +201,48 @@ def test_day_files_are_capped(spark, tmp_path):
     assert len(files) == 6 and all(len(f.read_text().splitlines()) <= 51 for f in files)
 
 
+def test_day_files_have_no_checksum_files_beside_them(spark, tmp_path):
+    df = spark.range(250).selectExpr("id", "timestampadd(DAY, CAST(id % 2 AS INT), TIMESTAMP'2024-01-01 05:00:00') AS t")
+    write_by_day(df.coalesce(1), "t", str(tmp_path / "out"), max_rows=50)
+    assert len(list((tmp_path / "out").rglob("*.csv"))) == 6 and not list((tmp_path / "out").rglob(".*.crc"))
+    read = read_csv_as_text(spark, str(tmp_path / "out"))
+    assert read.columns == ["id", "t", "extract_date"] and read.agg({"id": "sum"}).first()[0] == 250 * 249 / 2
+
+
+def test_text_of_many_files_is_read_without_a_task_per_file(spark, tmp_path):
+    for i in range(40):
+        (tmp_path / f"{i}.csv").write_text(f"a,b\n{i},x\n")
+    spark.sparkContext.setJobGroup("many-files", "")
+    try:
+        rows = read_csv_as_text(spark, str(tmp_path))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("many-files") for s in tracker.getJobInfo(j).stageIds]
+    assert stages and max(s.numTasks for s in stages if s) < 40
+    assert rows.columns == ["a", "b"] and rows.agg({"a": "sum"}).first()[0] == 40 * 39 / 2
+
+
+@pytest.mark.parametrize(
+    "files",
+    [
+        {"x.csv": "\n \na,\"b, c\",a,\n1,2,3,4\n"},
+        {"day=2024-01-01/x.csv": "day,a\n5,1\n", "day=2024-01-02/x.csv": "day,a\n6,2\n"},
+        {"value=7/x.csv": "__line,b\n1,2\n"},
+        {"x.csv": "a,b\n"},
+        {"x.csv": ""},
+    ],
+)
+def test_text_has_the_columns_that_spark_infers(spark, tmp_path, files):
+    for name, content in files.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(content)
+    plain = spark.read.option("header", True).csv(str(tmp_path))
+    read = read_csv_as_text(spark, str(tmp_path))
+    assert read.schema == plain.schema
+    assert sorted(map(str, read.collect())) == sorted(map(str, plain.collect()))
+
+
 def test_run_files(spark, tmp_path, meters):
     results = validate(meters, [Rule.make(NOT_NULL, column="meter")])
     summary_path, details_path = write_run(results, str(tmp_path), "20240131_000000")
