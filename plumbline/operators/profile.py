@@ -67,8 +67,8 @@ def sample_capped(df: DataFrame, max_rows: int) -> DataFrame:
 
 _FACTS = {
     NUMERIC: {
-        "min": "min(CAST({c} AS DOUBLE))",
-        "max": "max(CAST({c} AS DOUBLE))",
+        "min": "CAST(min({c}) AS DOUBLE)",
+        "max": "CAST(max({c}) AS DOUBLE)",
         "exact_min": "CAST(min({c}) AS STRING)",
         "exact_max": "CAST(max({c}) AS STRING)",
         "mean": "avg(CAST({c} AS DOUBLE))",
@@ -144,7 +144,7 @@ def _text_branch(position: int, column: str) -> str:
 
 
 def _ranked_branch(position: int, field: T.StructField, count: int) -> str:
-    """A numeric column with few enough values for one task to rank them: quartiles from the counts.
+    """A numeric column with few enough values, whatever its rows, for one task to rank them: quartiles from the counts.
 
     Where doubles would round the values, the two values that each quartile lies between are given as text.
     """
@@ -167,6 +167,11 @@ def _ranked_branch(position: int, field: T.StructField, count: int) -> str:
     return _branch(position, ranked, "count(1)", f"array({', '.join(points)})")
 
 
+def _most_values(data_type: T.DataType, low: str | None, high: str | None) -> float:
+    """How many values can lie between the extremes of a column: for whole numbers their range, else no one knows."""
+    return int(high) - int(low) + 1 if isinstance(data_type, T.IntegralType) and low is not None else math.inf
+
+
 def _quartiles(row: dict, counts: dict[int, int]) -> dict:
     """Quartiles as doubles and as text, of a column given by the values that they lie between."""
     ends = row.pop("ends")
@@ -257,7 +262,7 @@ def profile(
     """Profile every column; one row per column.
 
     Both passes run at once; the result is a small table that reads no data. With `exact`, distinct counts
-    and quartiles are exact; a numeric column with more than `ranked_rows` values takes narrowing
+    and quartiles are exact; a numeric column that may have more than `ranked_rows` values takes narrowing
     rounds for its quartiles. Without `exact` they come from sketches, and only text columns with few
     values are counted. `max_sample_rows` profiles a sample of about that size instead of the whole table.
     Quartiles are doubles; those of bigint and of decimals with more than 15 digits also come as exact texts.
@@ -275,7 +280,7 @@ def profile(
     large = {
         f.name: (facts[f"count{i}"], facts[f"min{i}"], facts[f"max{i}"])
         for i, f in numeric
-        if exact and facts[f"count{i}"] > ranked_rows
+        if exact and min(facts[f"count{i}"], _most_values(f.dataType, facts[f"exact_min{i}"], facts[f"exact_max{i}"])) > ranked_rows
     }
     points = exact_quantiles(df, list(large), QUARTILES, ranked_rows, large) if large else {}
 

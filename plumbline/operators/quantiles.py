@@ -105,14 +105,34 @@ class _Span:
 _Target = tuple[str, int]  # column and rank from 0
 
 
-def _members(spans: list[tuple[int, _Span]], *fields, value=_Span.value) -> tuple[Column, Column]:
-    """(rows that lie in any of a column's spans, a row per span they lie in). One scan serves all spans of a column."""
-    inside = reduce(lambda a, b: a | b, [span.holds() for _, span in spans])
-    entries = [
-        F.when(span.holds(), F.struct(F.lit(slot).alias("slot"), value(span).alias("v"), *[f(span) for f in fields]))
-        for slot, span in spans
-    ]
-    return inside, F.inline(F.filter(F.array(*entries), lambda entry: entry.isNotNull()))
+def _disjoint(spans: list[tuple[int, _Span]]) -> bool:
+    ordered = sorted((span for _, span in spans), key=lambda span: span.low)
+    return all(a.high < b.low for a, b in zip(ordered, ordered[1:]))
+
+
+def _members(df: DataFrame, spans: list[tuple[int, _Span]], value=_Span.value, **fields) -> DataFrame:
+    """A row (slot, v, fields) per row and span it lies in, of a column's spans. One scan serves all of them."""
+    inside = df.where(reduce(lambda a, b: a | b, [span.holds() for _, span in spans]))
+    fields = {"slot": None, "v": value, **fields}
+    if not _disjoint(spans):
+        entries = [
+            F.when(span.holds(), F.struct(*[_field(f, slot, span).alias(name) for name, f in fields.items()]))
+            for slot, span in spans
+        ]
+        return inside.select(F.inline(F.filter(F.array(*entries), lambda entry: entry.isNotNull())))
+    # A row lies in one span only. Without an array and a generator for each, Spark compiles the whole pass.
+    *others, (last_slot, last) = spans
+    columns = []
+    for name, field in fields.items():
+        own = _field(field, last_slot, last)
+        for slot, span in reversed(others):
+            own = F.when(span.holds(), _field(field, slot, span)).otherwise(own)
+        columns.append(own.alias(name))
+    return inside.select(*columns)
+
+
+def _field(build, slot: int, span: _Span) -> Column:
+    return F.lit(slot) if build is None else build(span)
 
 
 def _by_column(spans: Mapping[_Span, list[int]]) -> dict[str, list[tuple[int, _Span]]]:
@@ -124,7 +144,7 @@ def _by_column(spans: Mapping[_Span, list[int]]) -> dict[str, list[tuple[int, _S
 
 def _part(span: _Span) -> Column:
     share = (span.value() - span.low) / (span.high - span.low)
-    return F.least(F.floor(share * PARTS), F.lit(PARTS - 1)).alias("part")
+    return F.least(F.floor(share * PARTS), F.lit(PARTS - 1))
 
 
 def _by_parts(df: DataFrame, spans: Mapping[_Span, list[int]]) -> dict[_Target, _Span]:
@@ -132,10 +152,8 @@ def _by_parts(df: DataFrame, spans: Mapping[_Span, list[int]]) -> dict[_Target,
     listed = list(spans)
     searches = []
     for own in _by_column(spans).values():
-        inside, rows = _members(own, _part)
         counted = (
-            df.where(inside)
-            .select(rows)
+            _members(df, own, part=_part)
             .groupBy("slot", "part")
             .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
         )
@@ -225,8 +243,7 @@ def _order_statistics(df: DataFrame, spans: Mapping[_Span, list[int]]) -> dict[_
     listed = list(spans)
     searches = []
     for own in _by_column(spans).values():
-        inside, rows = _members(own, value=_Span.ranked)
-        counted = df.where(inside).select(rows).groupBy("slot", "v").agg(F.count(F.lit(1)).alias("n"))
+        counted = _members(df, own, _Span.ranked).groupBy("slot", "v").agg(F.count(F.lit(1)).alias("n"))
         # A span has at most `ranked_rows` rows, or the few values that one double stands for.
         upto = F.sum("n").over(Window.partitionBy("slot").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
         wanted = [F.struct(F.lit(slot).alias("slot"), F.lit(r - span.below).alias("rank")) for slot, span in own for r in spans[span]]

@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import math
+import sys
 from decimal import Decimal
 
 import numpy as np
@@ -15,7 +16,7 @@ from plumbline.operators.custom import custom_check
 from plumbline.operators.outliers import detect_anomalies
 from plumbline.operators.profile import profile
 from plumbline.operators.quantiles import exact_quantiles
-from plumbline.operators import structure
+from plumbline.operators import quantiles, structure
 from plumbline.operators.skew import attach_facts, key_counts
 from plumbline.operators.structure import (
     duplicate_keys,
@@ -157,6 +158,57 @@ def test_quantiles_of_columns_without_values(spark):
     assert exact_quantiles(df, ["a", "b"], [0.5]) == {"b": [1.5]}
 
 
+def _refused(*_, **__):
+    raise AssertionError("not for this column")
+
+
+def test_rounds_over_all_rows_need_no_generator(spark, monkeypatch):
+    values = np.random.default_rng(5).normal(0, 1, 4000)
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    monkeypatch.setattr(quantiles.F, "inline", _refused)
+    got = exact_quantiles(df, ["v"], [0.25, 0.5, 0.75], 50)["v"]
+    assert got == pytest.approx(np.quantile(values, [0.25, 0.5, 0.75]).tolist(), rel=1e-12)
+
+
+@pytest.mark.parametrize("bounds", [[(0, 9)], [(0, 3), (4, 9)], [(6, 9), (0, 2), (3, 5)], [(0, 5), (3, 9)], [(0, 5), (0, 5)], [(0, 4), (4, 9)]])
+def test_rows_of_spans(spark, bounds):
+    spans = [(i, quantiles._Span("v", quantiles.Order("`v`"), float(a), float(b), 0, 9)) for i, (a, b) in enumerate(bounds, 3)]
+    df = spark.sql("SELECT if(id < 12, CAST(id AS DOUBLE), if(id = 12, double('NaN'), NULL)) AS v FROM range(14)")
+    rows = quantiles._members(df, spans, part=quantiles._part).collect()
+    wanted = [
+        (slot, float(v), min(math.floor((v - s.low) / (s.high - s.low) * 4096), 4095))
+        for slot, s in spans for v in range(12) if s.low <= v <= s.high
+    ]
+    assert sorted(map(tuple, rows)) == sorted(wanted)
+
+
+def test_rows_of_spans_without_an_order(spark):
+    nan = quantiles._Span("v", quantiles.Order("`v`"), math.nan, math.nan, 0, 2)
+    one = quantiles._Span("v", quantiles.Order("`v`"), 1.0, 1.0, 0, 1)
+    df = spark.createDataFrame([(math.nan,), (math.nan,), (1.0,), (2.0,), (None,)], "v double")
+    for spans in ([(0, nan)], [(0, nan), (1, one)], [(1, one), (0, nan)]):
+        found = sorted(r["slot"] for r in quantiles._members(df, spans).collect())
+        assert found == sorted([0, 0] + [1] * (len(spans) - 1))
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint"])
+def test_profile_ranks_whole_numbers_of_a_small_range_by_their_counts(spark, monkeypatch, kind):
+    df = spark.sql(f"SELECT CAST(if(id % 7 = 0, NULL, id * id % 90 - 40) AS {kind}) AS v FROM range(5000)")
+    values = [i * i % 90 - 40 for i in range(5000) if i % 7]
+    module = sys.modules[profile.__module__]
+    monkeypatch.setattr(module, "exact_quantiles", _refused)
+    row = profile(df, ranked_rows=100).first()
+    assert [row["p25"], row["p50"], row["p75"]] == np.quantile(values, [0.25, 0.5, 0.75]).tolist()
+    assert (row["distinct_count"], row["min"], row["max"]) == (len(set(values)), min(values), max(values))
+
+
+def test_profile_narrows_whole_numbers_of_a_large_range(spark, monkeypatch):
+    df = spark.range(200).selectExpr("id * 4611686018427387 AS v")
+    monkeypatch.setattr(sys.modules[profile.__module__], "exact_quantiles", _refused)
+    with pytest.raises(AssertionError):
+        profile(df, ranked_rows=100)
+
+
 def test_profile_uses_narrowing_for_large_columns(spark):
     df = spark.range(5000).selectExpr("id", "CAST(id % 10 AS DOUBLE) AS d")
     assert by_column(profile(df, ranked_rows=100)).keys() == {"id", "d"}
